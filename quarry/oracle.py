@@ -86,3 +86,102 @@ select (select id from m order by n_followers desc, id limit 1) top_id,
 
 ORACLE["distinct_users"] = "with " + GRAPH + """
 select cast(count(distinct "user") as bigint) n_users from adj"""
+
+# ----------------------------------------------------------------- sshd log
+
+AUTH = r"""
+auth_lines as (
+  select concat(strftime(ts, '%b'), ' ', lpad(cast(day(ts) as varchar), 2, ' '), ' ', strftime(ts, '%H:%M:%S'), ' host1 sshd[1]: ',
+   case when event_type = 'purchase' then concat('Accepted password for u', cast(user_id as varchar), ' from ')
+        when event_type = 'signup' then concat('Failed password for invalid user ',
+             case when user_id % 10 = 0 then 'support' when user_id % 10 = 1 then '' else concat('x', cast(user_id % 40 as varchar)) end, ' from ')
+        when event_type = 'error' then concat('Failed password for u', cast(user_id as varchar), ' from ')
+        when event_type = 'click' then concat('message repeated ', cast(event_id % 5 + 2 as varchar), ' times: [ Failed password for u', cast(user_id as varchar), ' from ')
+        else 'Connection closed by ' end,
+   '10.0.', cast(user_id % 7 as varchar), '.', cast(event_id % 11 as varchar), ' port ', cast(1024 + event_id % 5000 as varchar), ' ssh2') line
+  from events),
+p0 as (select line, trim(regexp_extract(line, 'for (.*?) ?from ', 1)) s from auth_lines
+       where contains(line, 'Accepted password for') or contains(line, 'Failed password for')),
+p as (select substr(line, 1, 6) "day",
+        cast(contains(line, 'Accepted password for') as integer) is_ok,
+        cast(contains(line, 'Failed password for invalid user') as integer) is_invalid,
+        case when contains(s, 'invalid user')
+             then nullif(string_split_regex(trim(regexp_extract(s, 'invalid user(.*)$', 1)), '\s+')[1], '')
+             else string_split_regex(s, '\s+')[-1] end account,
+        case when contains(line, 'Failed password for invalid user')
+             then trim(regexp_extract(line, 'invalid user (.*?) ?from ', 1)) end invalid_account,
+        regexp_extract(line, 'from (\S+) port', 1) ip,
+        cast(case when contains(line, 'Accepted password for') then 1
+             when contains(line, 'message repeated') and regexp_extract(line, 'message repeated (\d+) time', 1) <> ''
+             then cast(regexp_extract(line, 'message repeated (\d+) time', 1) as bigint) else 1 end as bigint) w
+      from p0)
+"""
+
+ORACLE["auth_parse"] = "with " + AUTH + "select * from p"
+
+ORACLE["auth_filtered"] = "with " + AUTH + """
+select cast(count(*) filter (where contains(line, 'Accepted password for')) as bigint) n_accepted,
+       cast(count(*) filter (where contains(line, 'Failed password for')) as bigint) n_failed,
+       cast(count(*) filter (where contains(line, 'Failed password for invalid user')) as bigint) n_failed_invalid
+from auth_lines"""
+
+ORACLE["auth_union_attempts"] = "with " + AUTH + """
+select account, w, is_ok from p where is_ok = 1 union all select account, w, is_ok from p where is_ok = 0"""
+
+ORACLE["auth_attempts_by_account"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) attempts from p group by account"""
+
+ORACLE["auth_success_by_account"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) successes from p where is_ok = 1 group by account"""
+
+ORACLE["auth_failed_by_account"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) failures from p where is_ok = 0 group by account"""
+
+_RATE = """,
+ok as (select account, cast(sum(w) as bigint) successes from p where is_ok = 1 group by account),
+tot as (select account, cast(sum(w) as bigint) attempts from p group by account),
+sr as (select ok.account, successes, attempts, successes / attempts rate
+       from ok left join tot on ok.account is not distinct from tot.account)
+"""
+
+ORACLE["auth_success_rate"] = "with " + AUTH + _RATE + """
+select account, successes, attempts, round(rate, 6) rate from sr"""
+
+ORACLE["auth_best_success_rate"] = "with " + AUTH + _RATE + """
+select account, round(rate, 6) rate from sr where rate = (select max(rate) from sr)"""
+
+ORACLE["auth_failed_by_ip"] = "with " + AUTH + """
+select ip, cast(sum(w) as bigint) failures from p where is_ok = 0 group by ip"""
+
+ORACLE["auth_failed_by_invalid"] = "with " + AUTH + """
+select invalid_account, cast(sum(w) as bigint) failures from p where is_invalid = 1 group by invalid_account"""
+
+ORACLE["auth_attempts_by_day"] = "with " + AUTH + """
+select "day", cast(sum(w) as bigint) attempts from p group by "day" """
+
+ORACLE["auth_top_account"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) attempts from p group by account
+order by attempts desc, account asc nulls last limit 1"""
+
+ORACLE["auth_top_success"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) successes from p where is_ok = 1 group by account
+order by successes desc, account asc nulls last limit 1"""
+
+ORACLE["auth_top_failed"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) failures from p where is_ok = 0 group by account
+order by failures desc, account asc nulls last limit 1"""
+
+ORACLE["auth_top3_ips"] = "with " + AUTH + """
+select ip, cast(sum(w) as bigint) failures from p where is_ok = 0 group by ip
+order by failures desc, ip asc nulls last limit 3"""
+
+ORACLE["auth_top10_invalid"] = "with " + AUTH + """
+select invalid_account, cast(sum(w) as bigint) failures from p where is_invalid = 1 group by invalid_account
+order by failures desc, invalid_account asc nulls last limit 10"""
+
+ORACLE["auth_day_extremes"] = "with " + AUTH + """,
+d as (select "day", cast(sum(w) as bigint) attempts from p group by "day")
+select (select "day" from d order by attempts desc, "day" limit 1) most_day,
+       (select max(attempts) from d) most_attempts,
+       (select "day" from d order by attempts asc, "day" limit 1) least_day,
+       (select min(attempts) from d) least_attempts"""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import follows
+from quarry.operators import authlog, follows
 from quarry.sources import fixtures as fx
 from quarry.sources import text
 
@@ -85,3 +85,94 @@ def q_follower_summary_owners(spark, sf):
 @query("distinct_users")
 def q_distinct_users(spark, sf):
     return follows.distinct_users(_adj(spark, sf))
+
+
+# ---------------------------------------------------------------- sshd log
+
+def _auth(spark, sf):
+    return authlog.parse(fx.auth_lines(spark, sf))
+
+
+@query("auth_parse")
+def q_auth_parse(spark, sf):
+    return _auth(spark, sf)
+
+
+@query("auth_filtered")
+def q_auth_filtered(spark, sf):
+    return authlog.filter_counts(fx.auth_lines(spark, sf))
+
+
+@query("auth_union_attempts")
+def q_auth_union_attempts(spark, sf):
+    return authlog.union_attempts(_auth(spark, sf))
+
+
+@query("auth_attempts_by_account")
+def q_auth_attempts_by_account(spark, sf):
+    return authlog.attempts_by_account(_auth(spark, sf))
+
+
+@query("auth_success_by_account")
+def q_auth_success_by_account(spark, sf):
+    return authlog.successes_by_account(_auth(spark, sf))
+
+
+@query("auth_failed_by_account")
+def q_auth_failed_by_account(spark, sf):
+    return authlog.failures_by_account(_auth(spark, sf))
+
+
+@query("auth_success_rate")
+def q_auth_success_rate(spark, sf):
+    return authlog.success_rate(_auth(spark, sf)).withColumn("rate", F.round("rate", 6))
+
+
+@query("auth_best_success_rate")
+def q_auth_best_success_rate(spark, sf):
+    return authlog.best_success_rate(_auth(spark, sf))
+
+
+@query("auth_failed_by_ip")
+def q_auth_failed_by_ip(spark, sf):
+    return authlog.failures_by_ip(_auth(spark, sf))
+
+
+@query("auth_failed_by_invalid")
+def q_auth_failed_by_invalid(spark, sf):
+    return authlog.failures_by_invalid(_auth(spark, sf))
+
+
+@query("auth_attempts_by_day")
+def q_auth_attempts_by_day(spark, sf):
+    return authlog.attempts_by_day(_auth(spark, sf))
+
+
+@query("auth_top_account")
+def q_auth_top_account(spark, sf):
+    return authlog.top_k(authlog.attempts_by_account(_auth(spark, sf)), "account", "attempts", 1)
+
+
+@query("auth_top_success")
+def q_auth_top_success(spark, sf):
+    return authlog.top_k(authlog.successes_by_account(_auth(spark, sf)), "account", "successes", 1)
+
+
+@query("auth_top_failed")
+def q_auth_top_failed(spark, sf):
+    return authlog.top_k(authlog.failures_by_account(_auth(spark, sf)), "account", "failures", 1)
+
+
+@query("auth_top3_ips")
+def q_auth_top3_ips(spark, sf):
+    return authlog.top_k(authlog.failures_by_ip(_auth(spark, sf)), "ip", "failures", 3)
+
+
+@query("auth_top10_invalid")
+def q_auth_top10_invalid(spark, sf):
+    return authlog.top_k(authlog.failures_by_invalid(_auth(spark, sf)), "invalid_account", "failures", 10)
+
+
+@query("auth_day_extremes")
+def q_auth_day_extremes(spark, sf):
+    return authlog.day_extremes(_auth(spark, sf))
