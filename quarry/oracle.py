@@ -185,3 +185,44 @@ select (select "day" from d order by attempts desc, "day" limit 1) most_day,
        (select max(attempts) from d) most_attempts,
        (select "day" from d order by attempts asc, "day" limit 1) least_day,
        (select min(attempts) from d) least_attempts"""
+
+# -------------------------------------------------------------- HyperLogLog
+
+TOKENS = r"""
+id_lines as (select concat_ws(' ', l_orderkey, l_partkey) line from lineitem),
+tk0 as (select unnest(range(len(t))) pos, unnest(t) tok
+        from (select list_filter(string_split_regex(trim(line), '\s+'), lambda x: x <> '') t from id_lines)),
+tk as (select cast(pos as integer) pos, try_cast(tok as bigint) token from tk0),
+tok as (select pos, token from tk where token is not null),
+hk as (select pos, token,
+        xor(xor(xor(('0x' || substr(md5(concat('42:0:', token & 65535)), 1, 8))::BIGINT,
+                    ('0x' || substr(md5(concat('42:1:', (token >> 16) & 65535)), 1, 8))::BIGINT),
+                    ('0x' || substr(md5(concat('42:2:', (token >> 32) & 65535)), 1, 8))::BIGINT),
+                    ('0x' || substr(md5(concat('42:3:', (token >> 48) & 65535)), 1, 8))::BIGINT) h
+       from tok),
+upd as (select pos,
+        ((token::HUGEINT * 14439580439569971107::HUGEINT) % 18446744073709551616::HUGEINT
+          // 18014398509481984::HUGEINT)::BIGINT j,
+        cast(case when h = 0 then 33 else 33 - length(bin(h)) end as bigint) rho
+       from hk)
+"""
+
+ORACLE["id_tokens"] = "with " + TOKENS + "select pos, token from tk"
+
+ORACLE["tabulation_hash"] = "with " + TOKENS + "select token, h from hk"
+
+ORACLE["hll_registers"] = "with " + TOKENS + "select j, max(rho) rho from upd group by j"
+
+ORACLE["hll_merge"] = "with " + TOKENS + """,
+a as (select j, max(rho) rho from upd where pos = 0 group by j),
+b as (select j, max(rho) rho from upd where pos = 1 group by j)
+select j, max(rho) rho from (select * from a union all select * from b) group by j"""
+
+ORACLE["hll_estimate"] = "with " + TOKENS + """,
+r as (select j, max(rho) rho from upd group by j),
+s as (select count(*) n_set, coalesce(sum(pow(2.0, -rho)), 0) zsum from r),
+e as (select n_set, 1024 - n_set v, (0.7213e0 / (1 + 1.079e0 / 1024)) * 1024 * 1024 / (zsum + (1024 - n_set)) e_raw from s),
+f as (select n_set, case when e_raw <= 2.5e0 * 1024 and v > 0 then 1024 * ln(1024.0e0 / v)
+                         when e_raw > 4294967296.0e0 / 30 then -4294967296.0e0 * ln(1 - e_raw / 4294967296.0e0)
+                         else e_raw end est from e)
+select cast(1024 as bigint) m, cast(n_set as bigint) n_set, round(est, 6) estimate, cast(trunc(est) as bigint) estimate_int from f"""

@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import authlog, follows
+from quarry.operators import authlog, follows, sketch
 from quarry.sources import fixtures as fx
 from quarry.sources import text
 
@@ -176,3 +176,45 @@ def q_auth_top10_invalid(spark, sf):
 @query("auth_day_extremes")
 def q_auth_day_extremes(spark, sf):
     return authlog.day_extremes(_auth(spark, sf))
+
+
+# ---------------------------------------------------------------- HyperLogLog
+
+HLL_M, HLL_SEED = 1024, 42
+
+
+def _tokens(spark, sf):
+    return text.parse_id_tokens(fx.id_lines(spark, sf)).where(F.col("token").isNotNull())
+
+
+@query("id_tokens")
+def q_id_tokens(spark, sf):
+    return text.parse_id_tokens(fx.id_lines(spark, sf))
+
+
+@query("tabulation_hash")
+def q_tabulation_hash(spark, sf):
+    return sketch.hashed_keys(_tokens(spark, sf), "token", HLL_SEED)
+
+
+@query("hll_registers")
+def q_hll_registers(spark, sf):
+    return sketch.build(_tokens(spark, sf), "token", HLL_M, HLL_SEED).registers
+
+
+@query("hll_merge")
+def q_hll_merge(spark, sf):
+    t = _tokens(spark, sf)
+    a = sketch.build(t.where("pos = 0"), "token", HLL_M, HLL_SEED)
+    b = sketch.build(t.where("pos = 1"), "token", HLL_M, HLL_SEED)
+    return sketch.merge(a, b).registers
+
+
+@query("hll_estimate")
+def q_hll_estimate(spark, sf):
+    return sketch.estimate(sketch.build(_tokens(spark, sf), "token", HLL_M, HLL_SEED))
+
+
+@query("approx_distinct")
+def q_approx_distinct(spark, sf):
+    return sketch.approx_distinct(_tokens(spark, sf), "token")
