@@ -69,9 +69,9 @@ def tabulation_hash_inline(x: Column, seed: int) -> Column:
 def tabulation_tables(spark: SparkSession, seed: int) -> DataFrame:
     """(tbl, idx, v): 4 x 65,536 uniform 32-bit entries; size fixed by the
     algorithm (262,144 rows, about 6 MB), independent of the data."""
-    t = spark.range(TAB_CHUNKS).withColumnRenamed("id", "tbl")
-    i = spark.range(TAB_SIZE).withColumnRenamed("id", "idx")
-    return t.join(i).select("tbl", "idx", md5_u32(seed, F.col("tbl"), F.col("idx")).alias("v"))
+    r = spark.range(TAB_CHUNKS * TAB_SIZE).select(F.shiftright("id", 16).alias("tbl"),
+                                                  F.col("id").bitwiseAND(F.lit(TAB_SIZE - 1)).alias("idx"))
+    return r.select("tbl", "idx", md5_u32(seed, F.col("tbl"), F.col("idx")).alias("v"))
 
 
 def with_tabulation_hash(df: DataFrame, key: str, seed: int, out: str = "h") -> DataFrame:

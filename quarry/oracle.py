@@ -226,3 +226,112 @@ f as (select n_set, case when e_raw <= 2.5e0 * 1024 and v > 0 then 1024 * ln(102
                          when e_raw > 4294967296.0e0 / 30 then -4294967296.0e0 * ln(1 - e_raw / 4294967296.0e0)
                          else e_raw end est from e)
 select cast(1024 as bigint) m, cast(n_set as bigint) n_set, round(est, 6) estimate, cast(trunc(est) as bigint) estimate_int from f"""
+
+# ------------------------------------------------------------------ geo 1-NN
+
+GEO = """
+gp as (select c_custkey id, c_name location, ((c_custkey * 7919) % 18000) / cast(100 as double) - 90 latitude,
+              ((c_custkey * 104729) % 36000) / cast(100 as double) - 180 longitude from customer),
+gq as (select s_suppkey qid, ((s_suppkey * 7919 + 1234) % 18000) / cast(100 as double) - 90 latitude,
+              ((s_suppkey * 104729 + 777) % 36000) / cast(100 as double) - 180 longitude from supplier)
+"""
+
+ORACLE["geo_points"] = "with " + GEO + """
+select id, location, round(radians(latitude), 9) lat_rad, round(radians(longitude), 9) lon_rad from gp"""
+
+ORACLE["geo_nearest"] = "with " + GEO + """,
+pr as (select gq.qid, gp.id, gp.location,
+         2 * asin(sqrt(least(1.0, pow(sin((radians(gp.latitude) - radians(gq.latitude)) / 2), 2)
+           + cos(radians(gq.latitude)) * cos(radians(gp.latitude)) * pow(sin((radians(gp.longitude) - radians(gq.longitude)) / 2), 2)))) dist
+       from gq cross join gp)
+select qid, id, location, round(dist, 6) dist from pr
+qualify row_number() over (partition by qid order by round(dist, 9), id) = 1"""
+
+# ------------------------------------------------------- embeddings, cosine
+
+VEC = """
+vl as (select concat('w', cast(vec_id as varchar), ' ',
+          array_to_string(list_transform(embedding, lambda x: cast(cast(round(cast(x as double) * 1e6) as bigint) as varchar)), ' ')) line
+       from embeddings),
+pv as (select split_part(line, ' ', 1) word, list_transform(string_split(line, ' ')[2:], lambda x: cast(x as double)) vec from vl),
+ev as (select vec_id idx, concat('w', cast(vec_id as varchar)) word, cast(embedding as double[]) v from embeddings),
+un as (select idx, word, list_transform(v, lambda x: x / sqrt(list_inner_product(v, v))) u from ev where list_inner_product(v, v) > 0),
+qw as (select doc_id qid, concat('w', cast(doc_id as varchar)) word from labels),
+q as (select qw.qid, un.idx self_idx, un.u from qw join un on qw.word = un.word)
+"""
+
+ORACLE["vectors_parse"] = "with " + VEC + """
+select word, cast(len(vec) as integer) dim, cast(list_sum(vec) as bigint) vsum from pv"""
+
+ORACLE["vectors_normalize"] = "with " + VEC + """,
+nv as (select word, sqrt(list_inner_product(vec, vec)) n, vec from pv),
+uv as (select word, n, list_transform(vec, lambda x: x / n) u from nv where n > 0)
+select word, round(n, 6) norm, round(u[1], 6) first_unit, round(sqrt(list_inner_product(u, u)), 6) unit_norm from uv"""
+
+ORACLE["query_vectors"] = "with " + VEC + """
+select qw.qid, qw.word, ev.idx, cast(len(ev.v) as integer) dim from qw join ev on qw.word = ev.word"""
+
+ORACLE["query_words_unknown"] = "with " + VEC + """
+select qid, word from qw where word not in (select word from ev)"""
+
+ORACLE["cosine_top3"] = "with " + VEC + """,
+sc as (select q.qid, x.idx, list_inner_product(q.u, x.u) sim from q join un x on x.idx <> q.self_idx)
+select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
+  select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
+
+# ------------------------------------------------------------ Euclidean 1-NN
+
+PUBS = """
+pb as (select p_partkey id, concat(p_name, ' ', p_partkey) name, cast((p_partkey * 7919) % 700000 as double) easting,
+              cast((p_partkey * 104729) % 1300000 as double) northing from part),
+pq as (select s_suppkey qid, cast((s_suppkey * 15485863 + 355) % 700000 as double) easting,
+              cast((s_suppkey * 32452843 + 111) % 1300000 as double) northing from supplier),
+nn as (select qid, id, name, sqrt(d2) dist from (
+         select pq.qid, pb.id, pb.name,
+                (pb.easting - pq.easting) * (pb.easting - pq.easting) + (pb.northing - pq.northing) * (pb.northing - pq.northing) d2
+         from pq cross join pb)
+       qualify row_number() over (partition by qid order by d2, id) = 1),
+ex as (select qid, case when qid % 10 = 0 then 'wrong' else name end label from nn)
+"""
+
+ORACLE["l2_nearest"] = "with " + PUBS + "select qid, id, name, dist from nn"
+ORACLE["l2_nearest_expanded"] = ORACLE["l2_nearest"]
+ORACLE["l2_nearest_batched"] = ORACLE["l2_nearest"]
+
+ORACLE["nn_label_mismatches"] = "with " + PUBS + """
+select nn.qid, nn.name found, ex.label expected from nn join ex on nn.qid = ex.qid where nn.name is distinct from ex.label"""
+
+ORACLE["nn_label_error_count"] = "with " + PUBS + """
+select cast(count(*) as bigint) n_queries, cast(count(*) filter (where nn.name is distinct from ex.label) as bigint) n_errors
+from nn join ex on nn.qid = ex.qid"""
+
+# ---------------------------------------------------------------------- LSH
+
+LSH = VEC + """,
+hp as (select p.range plane, d.range dim,
+         round(sqrt(-2 * ln((('0x' || substr(md5(concat('1234:', p.range, ':', d.range, ':a')), 1, 8))::BIGINT::DOUBLE + 1) / 4294967297e0))
+           * cos(2 * pi() * (('0x' || substr(md5(concat('1234:', p.range, ':', d.range, ':b')), 1, 8))::BIGINT::DOUBLE + 1) / 4294967297e0), 9) g
+       from range(16) p cross join range((select max(len(embedding)) from embeddings)) d),
+pm as (select plane, list(g order by dim) gv from hp group by plane),
+sg as (select ev.idx, string_agg(case when list_inner_product(ev.v, pm.gv) > 0 then '1' else '0' end, '' order by pm.plane) sig
+       from ev cross join pm group by ev.idx),
+pos as (select t.range tbl, j.range slot, (('0x' || substr(md5(concat('1234:h:', t.range, ':', j.range)), 1, 8))::BIGINT % 16) p
+        from range(8) t cross join range(6) j),
+bk as (select sg.idx, cast(pos.tbl as integer) tbl, string_agg(substr(sig, cast(pos.p as integer) + 1, 1), '' order by pos.slot) bucket
+       from sg cross join pos group by sg.idx, pos.tbl)
+"""
+
+ORACLE["lsh_signature"] = "with " + LSH + "select idx, sig from sg"
+
+ORACLE["lsh_buckets"] = "with " + LSH + "select idx, tbl, bucket from bk"
+
+ORACLE["lsh_bucket_sizes"] = "with " + LSH + "select tbl, bucket, cast(count(*) as bigint) n from bk group by tbl, bucket"
+
+ORACLE["lsh_top3"] = "with " + LSH + """,
+qx as (select q.qid, q.self_idx, b.tbl, b.bucket from q join bk b on b.idx = q.self_idx),
+cand as (select distinct qx.qid, xb.idx from qx join bk xb on xb.tbl = qx.tbl and xb.bucket = qx.bucket
+         where xb.idx <> qx.self_idx),
+sc as (select cand.qid, cand.idx, list_inner_product(q.u, un.u) sim
+       from cand join q on q.qid = cand.qid join un on un.idx = cand.idx)
+select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
+  select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""

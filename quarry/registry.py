@@ -12,7 +12,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quarry.operators import authlog, follows, sketch
+from quarry.functions import vectors as vfn
+from quarry.operators import authlog, follows, lsh, neighbours, sketch, spatial
 from quarry.sources import fixtures as fx
 from quarry.sources import text
 
@@ -218,3 +219,137 @@ def q_hll_estimate(spark, sf):
 @query("approx_distinct")
 def q_approx_distinct(spark, sf):
     return sketch.approx_distinct(_tokens(spark, sf), "token")
+
+
+# ---------------------------------------------------------------- geo 1-NN
+
+@query("geo_points")
+def q_geo_points(spark, sf):
+    g = fx.geo_points(spark, sf)
+    return g.select("id", "location", F.round(F.radians("latitude"), 9).alias("lat_rad"),
+                    F.round(F.radians("longitude"), 9).alias("lon_rad"))
+
+
+@query("geo_nearest")
+def q_geo_nearest(spark, sf):
+    r = spatial.nearest_on_sphere(fx.geo_points(spark, sf), fx.geo_queries(spark, sf), carry=["location"])
+    return r.withColumn("dist", F.round("dist", 6))
+
+
+# ------------------------------------------------------ embeddings, cosine
+
+def _vectors(spark, sf):
+    return fx.embedding_vectors(spark, sf)
+
+
+def _query_vectors(spark, sf):
+    return neighbours.query_vectors(fx.query_words(spark, sf), _vectors(spark, sf))
+
+
+@query("vectors_parse")
+def q_vectors_parse(spark, sf):
+    v = text.parse_vectors(fx.vector_lines(spark, sf))
+    return v.select("word", F.size("vec").alias("dim"),
+                    F.aggregate("vec", F.lit(0.0), lambda s, x: s + x).cast("bigint").alias("vsum"))
+
+
+@query("vectors_normalize")
+def q_vectors_normalize(spark, sf):
+    v = text.parse_vectors(fx.vector_lines(spark, sf))
+    u = v.select("word", vfn.norm(F.col("vec")).alias("norm"), vfn.normalize(F.col("vec")).alias("u"))
+    return u.select("word", F.round("norm", 6).alias("norm"),
+                    F.round(F.element_at("u", 1), 6).alias("first_unit"),
+                    F.round(vfn.norm(F.col("u")), 6).alias("unit_norm"))
+
+
+@query("query_vectors")
+def q_query_vectors(spark, sf):
+    return _query_vectors(spark, sf).select("qid", "word", "idx", F.size("vec").alias("dim"))
+
+
+@query("query_words_unknown")
+def q_query_words_unknown(spark, sf):
+    return neighbours.unknown_words(fx.query_words(spark, sf), _vectors(spark, sf))
+
+
+@query("cosine_top3")
+def q_cosine_top3(spark, sf):
+    return neighbours.cosine_topk(_query_vectors(spark, sf), _vectors(spark, sf), k=3)
+
+
+# ------------------------------------------------------------ Euclidean 1-NN
+
+def _l2(spark, sf, form):
+    return spatial.nearest_in_plane(fx.pubs(spark, sf), fx.pub_queries(spark, sf), carry=["name"], form=form)
+
+
+def _expected_labels(spark, sf):
+    """Expected label per query: the true nearest name by the batched scan
+    (a different algorithm from the grid search), spoiled for every tenth
+    query so that the check has something to find."""
+    nn = neighbours.l2_nearest_batched(fx.pubs(spark, sf), fx.pub_queries(spark, sf), carry=["name"])
+    return nn.select("qid", F.when(F.col("qid") % 10 == 0, F.lit("wrong")).otherwise(F.col("name")).alias("label"))
+
+
+@query("l2_nearest")
+def q_l2_nearest(spark, sf):
+    return _l2(spark, sf, "direct")
+
+
+@query("l2_nearest_expanded")
+def q_l2_nearest_expanded(spark, sf):
+    return _l2(spark, sf, "expanded")
+
+
+@query("l2_nearest_batched")
+def q_l2_nearest_batched(spark, sf):
+    return neighbours.l2_nearest_batched(fx.pubs(spark, sf), fx.pub_queries(spark, sf), carry=["name"])
+
+
+@query("nn_label_mismatches")
+def q_nn_label_mismatches(spark, sf):
+    return neighbours.label_mismatches(_l2(spark, sf, "direct"), _expected_labels(spark, sf))
+
+
+@query("nn_label_error_count")
+def q_nn_label_error_count(spark, sf):
+    return neighbours.label_error_count(_l2(spark, sf, "direct"), _expected_labels(spark, sf))
+
+
+# ------------------------------------------------------------------- LSH
+
+LSH_PLANES, LSH_BITS, LSH_TABLES, LSH_SEED = 16, 6, 8, 1234
+
+
+def _lsh_params(spark, vectors):
+    dim = vectors.agg(F.max(F.size("vec"))).first()[0]
+    planes = lsh.plane_matrix(lsh.hyperplanes(spark, LSH_PLANES, dim, LSH_SEED))
+    return planes, lsh.bit_positions(LSH_TABLES, LSH_BITS, LSH_PLANES, LSH_SEED)
+
+
+@query("lsh_signature")
+def q_lsh_signature(spark, sf):
+    v = _vectors(spark, sf)
+    planes, _ = _lsh_params(spark, v)
+    return lsh.signatures(v, planes)
+
+
+@query("lsh_buckets")
+def q_lsh_buckets(spark, sf):
+    v = _vectors(spark, sf)
+    planes, pos = _lsh_params(spark, v)
+    return lsh.buckets(lsh.signatures(v, planes), pos)
+
+
+@query("lsh_bucket_sizes")
+def q_lsh_bucket_sizes(spark, sf):
+    v = _vectors(spark, sf)
+    planes, pos = _lsh_params(spark, v)
+    return lsh.bucket_sizes(lsh.buckets(lsh.signatures(v, planes), pos))
+
+
+@query("lsh_top3")
+def q_lsh_top3(spark, sf):
+    v = _vectors(spark, sf)
+    planes, pos = _lsh_params(spark, v)
+    return lsh.lsh_topk(_query_vectors(spark, sf), v, planes, pos, k=3)
