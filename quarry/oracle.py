@@ -335,3 +335,40 @@ sc as (select cand.qid, cand.idx, list_inner_product(q.u, un.u) sim
        from cand join q on q.qid = cand.qid join un on un.idx = cand.idx)
 select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
   select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
+
+# --------------------------------------------------------------- source tree
+
+SRC = r"""
+sf as (select concat('src/', source, '/', doc_id, case when doc_id % 3 = 0 then '.c' when doc_id % 3 = 1 then '.h' else '.txt' end) path,
+         concat(case when doc_id % 5 = 0 then '' when doc_id % 5 = 1 then concat('// SPDX-License-Identifier: MIT', chr(10))
+                     when doc_id % 5 = 2 then concat('/* SPDX-License-Identifier: GPL-2.0 */', chr(10))
+                     when doc_id % 5 = 3 then concat(' * SPDX-License-Identifier: (GPL-2.0 OR MIT)', chr(10))
+                     else concat('// SPDX-License-Identifier: Apache-2.0', chr(10)) end, text) content
+       from documents),
+fe as (select path, content, case when contains(string_split(path, '/')[-1], '.') then string_split(string_split(path, '/')[-1], '.')[-1] else '' end ext from sf),
+lc as (select path, cast(length(content) - length(replace(content, chr(10), '')) as bigint) lines, content from fe where ext in ('c', 'h')),
+li as (select path, nullif(regexp_extract(content, 'SPDX-License-Identifier:\s*\(?([^\s)*]+)', 1), '') license from fe where ext = 'c')
+"""
+
+ORACLE["corpus_count_by_ext"] = "with " + SRC + """
+select ext, cast(count(*) as bigint) n_files from fe where ext in ('c', 'h') group by ext"""
+
+ORACLE["corpus_total_bytes"] = "with " + SRC + """
+select cast(count(*) as bigint) n_files, cast(coalesce(sum(strlen(content)), 0) as bigint) total_bytes from sf"""
+
+ORACLE["corpus_longest"] = "with " + SRC + """
+select path, lines from lc order by lines desc, path limit 10"""
+
+ORACLE["corpus_longest_sha1"] = "with " + SRC + """
+select path, sha1(content) sha1 from (select * from lc order by lines desc, path limit 10)"""
+
+ORACLE["corpus_grep_count"] = "with " + SRC + """
+select 'License' phrase, cast(count(distinct path) as bigint) n_files from sf where contains(content, 'License')"""
+
+ORACLE["corpus_licenses"] = "with " + SRC + "select path, license from li where license is not null"
+
+ORACLE["corpus_license_counts"] = "with " + SRC + """
+select license, cast(count(*) as bigint) n from li where license is not null group by license"""
+
+ORACLE["corpus_top_license"] = "with " + SRC + """
+select license, cast(count(*) as bigint) n from li where license is not null group by license order by n desc, license limit 1"""

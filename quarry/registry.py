@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import vectors as vfn
-from quarry.operators import authlog, follows, lsh, neighbours, sketch, spatial
+from quarry.operators import authlog, corpus, follows, lsh, neighbours, sketch, spatial
 from quarry.sources import fixtures as fx
 from quarry.sources import text
 
@@ -353,3 +353,48 @@ def q_lsh_top3(spark, sf):
     v = _vectors(spark, sf)
     planes, pos = _lsh_params(spark, v)
     return lsh.lsh_topk(_query_vectors(spark, sf), v, planes, pos, k=3)
+
+
+# ------------------------------------------------------------- source tree
+
+GREP_PHRASE = "License"
+
+
+@query("corpus_count_by_ext")
+def q_corpus_count_by_ext(spark, sf):
+    return corpus.count_by_ext(fx.source_files(spark, sf))
+
+
+@query("corpus_total_bytes")
+def q_corpus_total_bytes(spark, sf):
+    return corpus.total_bytes(fx.source_files(spark, sf))
+
+
+@query("corpus_longest")
+def q_corpus_longest(spark, sf):
+    return corpus.longest(fx.source_files(spark, sf), 10)
+
+
+@query("corpus_longest_sha1")
+def q_corpus_longest_sha1(spark, sf):
+    return corpus.longest_sha1(fx.source_files(spark, sf), 10)
+
+
+@query("corpus_grep_count")
+def q_corpus_grep_count(spark, sf):
+    return corpus.grep_count(fx.source_files(spark, sf), GREP_PHRASE)
+
+
+@query("corpus_licenses")
+def q_corpus_licenses(spark, sf):
+    return corpus.licenses(fx.source_files(spark, sf))
+
+
+@query("corpus_license_counts")
+def q_corpus_license_counts(spark, sf):
+    return corpus.license_counts(fx.source_files(spark, sf))
+
+
+@query("corpus_top_license")
+def q_corpus_top_license(spark, sf):
+    return corpus.top_license(fx.source_files(spark, sf))
