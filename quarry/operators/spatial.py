@@ -27,6 +27,7 @@ dense cell pairs with every point of that cell; a density-adaptive grid
 from __future__ import annotations
 
 import math
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -52,41 +53,60 @@ def _sphere_level(n_points: int) -> int:
     return max(0, min(MAX_SPHERE_LEVEL, p))
 
 
-def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
-                      lat: str = "latitude", lon: str = "longitude", carry=(), level: int | None = None,
-                      digits: int = 9) -> DataFrame:
-    """Nearest point for every query; coordinates in degrees.
+@dataclass(frozen=True)
+class SphereIndex:
+    """Grid index of a point set: points with their level-0 cell, and the
+    representative pyramid.  Build once, query many times."""
+    level: int
+    pts: DataFrame    # (_pid, _plat, _plon, *carry, ci, cj)
+    reps: DataFrame   # (ci, cj, r struct<i, la, lo>, lv)
+    carry: tuple
 
-    Returns (qid, pid, *carry, dist) with dist the central angle in radians
-    (ranked after rounding to ``digits``).
-    """
-    carry = list(carry)
-    if level is None:
-        level = _sphere_level(points.count())
-    nlat, nlon = 2 ** level, 2 ** (level + 1)
 
-    def cell(df, la, lo):
-        ci = F.least(F.floor((F.col(la) + 90.0) / 180.0 * nlat), F.lit(nlat - 1)).cast("int")
-        cj = F.pmod(F.floor((F.col(lo) + 180.0) / 360.0 * nlon), F.lit(nlon)).cast("int")
-        return df.withColumn("ci", ci).withColumn("cj", cj)
+def _sphere_cells(df: DataFrame, la: str, lo: str, level: int) -> DataFrame:
+    nlat, nlon = 2 ** level, 2 ** (level + 1)
+    ci = F.least(F.floor((F.col(la) + 90.0) / 180.0 * nlat), F.lit(nlat - 1)).cast("int")
+    cj = F.pmod(F.floor((F.col(lo) + 180.0) / 360.0 * nlon), F.lit(nlon)).cast("int")
+    return df.withColumn("ci", ci).withColumn("cj", cj)
 
-    pts = cell(points.select(F.col(pid).alias("_pid"), F.col(lat).alias("_plat"), F.col(lon).alias("_plon"),
-                             *carry), "_plat", "_plon")
-    qs = cell(queries.select(F.col(qid).alias("_qid"), F.col(lat).alias("_qlat"), F.col(lon).alias("_qlon")),
-              "_qlat", "_qlon")
 
-    # Stage 1: representative pyramid, level l has 2^(level-l) bands.
+def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", lon: str = "longitude",
+                 carry=(), level: int | None = None) -> SphereIndex:
+    carry = tuple(carry)
+    if level is None:
+        level = _sphere_level(points.count())
+    pts = _sphere_cells(points.select(F.col(pid).alias("_pid"), F.col(lat).alias("_plat"),
+                                      F.col(lon).alias("_plon"), *carry), "_plat", "_plon", level)
+    # Representative pyramid: each level aggregates the level below.
     rep = F.min(F.struct(F.col("_pid").alias("i"), F.col("_plat").alias("la"), F.col("_plon").alias("lo")))
     cur = pts.groupBy("ci", "cj").agg(rep.alias("r"))
-    levels = [cur.withColumn("lv", F.lit(0))]
+    reps = cur.withColumn("lv", F.lit(0))
     for lv in range(1, level + 1):
         cur = (cur.groupBy(F.shiftright("ci", 1).alias("ci"), F.shiftright("cj", 1).alias("cj"))
                .agg(F.min("r").alias("r")))
-        levels.append(cur.withColumn("lv", F.lit(lv)))
-    reps = levels[0]
-    for lv_df in levels[1:]:
-        reps = reps.unionByName(lv_df)
+        reps = reps.unionByName(cur.withColumn("lv", F.lit(lv)))
+    return SphereIndex(level, pts, reps, carry)
 
+
+def persist_index(index: SphereIndex, path: str) -> SphereIndex:
+    """Write the index to the shared folder and read it back: later queries
+    (every micro-batch of a stream) start from these files, with no lineage
+    back to the point source."""
+    spark = index.pts.sparkSession
+    index.pts.write.mode("overwrite").parquet(f"{path}/pts")
+    index.reps.write.mode("overwrite").parquet(f"{path}/reps")
+    return SphereIndex(index.level, spark.read.parquet(f"{path}/pts"), spark.read.parquet(f"{path}/reps"),
+                       index.carry)
+
+
+def sphere_nearest(index: SphereIndex, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
+                   lat: str = "latitude", lon: str = "longitude", digits: int = 9) -> DataFrame:
+    level, pts, reps, carry = index.level, index.pts, index.reps, list(index.carry)
+    nlat, nlon = 2 ** level, 2 ** (level + 1)
+    qs = _sphere_cells(queries.select(F.col(qid).alias("_qid"), F.col(lat).alias("_qlat"),
+                                      F.col(lon).alias("_qlon")), "_qlat", "_qlon", level)
+
+    # Stage 1: 3x3 neighbourhood at every level -> upper bound b.
     qn = (qs.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(level))))
           .withColumn("ci", _neigh3(F.expr("shiftright(ci, lv)")))
           .withColumn("cj", _neigh3(F.expr("shiftright(cj, lv)")))
@@ -114,7 +134,7 @@ def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id",
           .withColumn("cj", F.explode(F.sequence(F.when(full, F.lit(0)).otherwise(cj_lo),
                                                  F.when(full, F.lit(nlon - 1)).otherwise(cj_hi))))
           .withColumn("cj", F.pmod("cj", F.lit(nlon)))
-          .select("_qid", "_qlat", "_qlon", "b", "ci", "cj"))
+          .select("_qid", "_qlat", "_qlon", "ci", "cj"))
     pairs = q2.join(pts, ["ci", "cj"])
     dist = haversine(*qrad, F.radians("_plat"), F.radians("_plon"))
     best = (pairs.select("_qid", F.struct(F.round(dist, digits).alias("d"), F.col("_pid").alias("i"),
@@ -124,6 +144,18 @@ def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id",
                        *[F.col(f"s.{c}").alias(c) for c in carry], F.col("s.dist").alias("dist"))
 
 
+def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
+                      lat: str = "latitude", lon: str = "longitude", carry=(), level: int | None = None,
+                      digits: int = 9) -> DataFrame:
+    """Nearest point for every query; coordinates in degrees.
+
+    Returns (qid, pid, *carry, dist) with dist the central angle in radians
+    (ranked after rounding to ``digits``, ties to the smaller id).
+    """
+    idx = sphere_index(points, pid=pid, lat=lat, lon=lon, carry=carry, level=level)
+    return sphere_nearest(idx, queries, pid=pid, qid=qid, lat=lat, lon=lon, digits=digits)
+
+
 # ------------------------------------------------------------------- plane
 
 def _plane_grid(points: DataFrame, x: str, y: str):

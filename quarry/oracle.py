@@ -372,3 +372,9 @@ select license, cast(count(*) as bigint) n from li where license is not null gro
 
 ORACLE["corpus_top_license"] = "with " + SRC + """
 select license, cast(count(*) as bigint) n from li where license is not null group by license order by n desc, license limit 1"""
+
+# ----------------------------------------------------------------- streaming
+# A stream that has consumed all its input equals the batch job.
+
+ORACLE["stream_geo_nearest"] = ORACLE["geo_nearest"]
+ORACLE["stream_hll_registers"] = ORACLE["hll_registers"]

@@ -16,6 +16,7 @@ from quarry.functions import vectors as vfn
 from quarry.operators import authlog, corpus, follows, lsh, neighbours, sketch, spatial
 from quarry.sources import fixtures as fx
 from quarry.sources import text
+from quarry.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -398,3 +399,16 @@ def q_corpus_license_counts(spark, sf):
 @query("corpus_top_license")
 def q_corpus_top_license(spark, sf):
     return corpus.top_license(fx.source_files(spark, sf))
+
+
+# --------------------------------------------------------------- streaming
+
+@query("stream_geo_nearest")
+def q_stream_geo_nearest(spark, sf):
+    r = incremental.run_nearest_stream(spark, fx.geo_points(spark, sf), fx.geo_queries(spark, sf))
+    return r.select("qid", "id", "location", F.round("dist", 6).alias("dist"))
+
+
+@query("stream_hll_registers")
+def q_stream_hll_registers(spark, sf):
+    return incremental.run_registers_stream(spark, fx.id_lines(spark, sf), HLL_M, HLL_SEED).select("j", "rho")
