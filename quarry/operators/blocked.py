@@ -89,24 +89,29 @@ def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: in
     duplicates across groups removed, ranked by a window.
     """
     g = list(group_cols)
-    if not g:
-        left = left.withColumn("_g", F.lit(0))
-        right = right.withColumn("_g", F.lit(0))
-        g = ["_g"]
     lcols = [lid, "vec"] + ([self_col] if self_col else []) + g
     left = left.select(*lcols)
     right = right.select(rid, "vec", *g)
     B = float(block_rows)
-    # One row per group with both block counts; as small as the number of
-    # groups, so AQE broadcasts it when it is small and shuffles it otherwise.
-    nl = left.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / B).cast("int").alias("_nbl"))
-    nr = right.groupBy(*g).agg(F.ceil(F.count(F.lit(1)) / B).cast("int").alias("_nbr"))
-    blocks = nl.join(nr, g)
-    lrep = (left.join(blocks, g)
+    nblocks = F.ceil(F.count(F.lit(1)) / B).cast("int")
+    if g:
+        # One row per group with both block counts; as small as the number
+        # of groups, so AQE broadcasts it when small and shuffles otherwise.
+        nl = left.groupBy(*g).agg(nblocks.alias("_nbl"))
+        nr = right.groupBy(*g).agg(nblocks.alias("_nbr"))
+        blocks = nl.join(nr, g)
+        left = left.join(blocks, g)
+        right = right.join(blocks, g)
+    else:
+        # Whole-table block counts as scalar subqueries: no join at all.
+        nbl, nbr = left.select(nblocks).scalar(), right.select(nblocks).scalar()
+        left = left.withColumn("_nbl", nbl).withColumn("_nbr", nbr)
+        right = right.withColumn("_nbl", nbl).withColumn("_nbr", nbr)
+    lrep = (left
             .withColumn("_lb", F.pmod(F.xxhash64(lid), F.col("_nbl")).cast("int"))
             .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.col("_nbr") - 1)))
             .drop("_nbl", "_nbr"))
-    rrep = (right.join(blocks, g)
+    rrep = (right
             .withColumn("_rb", F.pmod(F.xxhash64(rid), F.col("_nbr")).cast("int"))
             .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_nbl") - 1)))
             .drop("_nbl", "_nbr"))
