@@ -35,10 +35,16 @@ from pyspark.sql import functions as F
 from quarry.functions.geo import haversine
 
 POINTS_PER_CELL = 2.0
+STEP = 2                       # pyramid levels are 2^STEP = 4x coarser each
 MAX_SPHERE_LEVEL = 15          # 2^15 latitude bands: cells of ~0.005 degrees
 _EPS = 1e-9
 
 
+def _top(bits: int) -> int:
+    """Number of coarser pyramid levels until one cell spans ``bits`` bits."""
+    return -(-bits // STEP)
+
+
 def _neigh3(c: Column) -> Column:
     return F.explode(F.array(c - 1, c, c + 1))
 
@@ -81,8 +87,8 @@ def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", l
     rep = F.min(F.struct(F.col("_pid").alias("i"), F.col("_plat").alias("la"), F.col("_plon").alias("lo")))
     cur = pts.groupBy("ci", "cj").agg(rep.alias("r"))
     reps = cur.withColumn("lv", F.lit(0))
-    for lv in range(1, level + 1):
-        cur = (cur.groupBy(F.shiftright("ci", 1).alias("ci"), F.shiftright("cj", 1).alias("cj"))
+    for lv in range(1, _top(level) + 1):
+        cur = (cur.groupBy(F.shiftright("ci", STEP).alias("ci"), F.shiftright("cj", STEP).alias("cj"))
                .agg(F.min("r").alias("r")))
         reps = reps.unionByName(cur.withColumn("lv", F.lit(lv)))
     return SphereIndex(level, pts, reps, carry)
@@ -107,10 +113,10 @@ def sphere_nearest(index: SphereIndex, queries: DataFrame, *, pid: str = "id", q
                                       F.col(lon).alias("_qlon")), "_qlat", "_qlon", level)
 
     # Stage 1: 3x3 neighbourhood at every level -> upper bound b.
-    qn = (qs.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(level))))
-          .withColumn("ci", _neigh3(F.expr("shiftright(ci, lv)")))
-          .withColumn("cj", _neigh3(F.expr("shiftright(cj, lv)")))
-          .withColumn("cj", F.pmod("cj", F.expr(f"shiftright({nlon}, lv)"))))
+    qn = (qs.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(_top(level)))))
+          .withColumn("ci", _neigh3(F.expr(f"shiftright(ci, lv * {STEP})")))
+          .withColumn("cj", _neigh3(F.expr(f"shiftright(cj, lv * {STEP})")))
+          .withColumn("cj", F.pmod("cj", F.expr(f"greatest(shiftright({nlon}, lv * {STEP}), 1)"))))
     qn = qn.select("_qid", "_qlat", "_qlon", "lv", "ci", "cj")
     qrad = (F.radians("_qlat"), F.radians("_qlon"))
     cand = qn.join(reps, ["lv", "ci", "cj"])
@@ -215,14 +221,14 @@ def nearest_in_plane(points: DataFrame, queries: DataFrame, *, pid: str = "id",
                          F.col("_pn").alias("n")))
     cur = pts.groupBy("cx", "cy").agg(rep.alias("r"))
     reps = cur.withColumn("lv", F.lit(0))
-    for lv in range(1, levels + 1):
-        cur = (cur.groupBy(F.shiftright("cx", 1).alias("cx"), F.shiftright("cy", 1).alias("cy"))
+    for lv in range(1, _top(levels) + 1):
+        cur = (cur.groupBy(F.shiftright("cx", STEP).alias("cx"), F.shiftright("cy", STEP).alias("cy"))
                .agg(F.min("r").alias("r")))
         reps = reps.unionByName(cur.withColumn("lv", F.lit(lv)))
     qc = cells(qs, "_qx", "_qy", True)
-    qn = (qc.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(levels))))
-          .withColumn("cx", _neigh3(F.expr("shiftright(cx, lv)")))
-          .withColumn("cy", _neigh3(F.expr("shiftright(cy, lv)"))))
+    qn = (qc.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(_top(levels)))))
+          .withColumn("cx", _neigh3(F.expr(f"shiftright(cx, lv * {STEP})")))
+          .withColumn("cy", _neigh3(F.expr(f"shiftright(cy, lv * {STEP})"))))
     bound = (qn.join(reps, ["lv", "cx", "cy"])
              .select("_qid", d2(F.col("r.x"), F.col("r.y"), F.col("r.n")).alias("d2"))
              .groupBy("_qid").agg(F.min("d2").alias("b2")))

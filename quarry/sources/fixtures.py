@@ -54,14 +54,14 @@ def graph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem")
+    li = load(spark, sf_dir, "lineitem", spread=True)
     return li.select(F.concat_ws(" ", "l_orderkey", "l_partkey").alias("line"))
 
 
 def auth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sshd syslog lines, one per event: accepted, failed, invalid user
     (including ``support`` and an empty name), repeated failure, other."""
-    ev = load(spark, sf_dir, "events")
+    ev = load(spark, sf_dir, "events", spread=True)
     uid = F.col("user_id").cast("string")
     et = F.col("event_type")
     invalid_name = (F.when(F.col("user_id") % 10 == 0, F.lit("support"))
@@ -97,7 +97,7 @@ def geo_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GloVe-style text: ``w<vec_id>`` then the components times 10^6 as integers."""
-    e = load(spark, sf_dir, "embeddings")
+    e = load(spark, sf_dir, "embeddings", spread=True)
     comps = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("bigint").cast("string"))
     return e.select(F.concat(F.lit("w"), F.col("vec_id").cast("string"), F.lit(" "),
                              F.array_join(comps, " ")).alias("line"))
@@ -105,7 +105,7 @@ def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(idx, word, vec array<double>) straight from the table."""
-    e = load(spark, sf_dir, "embeddings")
+    e = load(spark, sf_dir, "embeddings", spread=True)
     return e.select(F.col("vec_id").alias("idx"), F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
@@ -139,7 +139,7 @@ def pub_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A source tree as (path, content): ``.c``/``.h``/``.txt`` files, with
     SPDX lines in four comment styles (and none) prepended to the text."""
-    d = load(spark, sf_dir, "documents")
+    d = load(spark, sf_dir, "documents", spread=True)
     ext = (F.when(F.col("doc_id") % 3 == 0, F.lit(".c"))
            .when(F.col("doc_id") % 3 == 1, F.lit(".h")).otherwise(F.lit(".txt")))
     r = F.col("doc_id") % 5

@@ -8,9 +8,28 @@ TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineite
           "events", "documents", "embeddings", "pages", "benchmark", "labels",
           "conversations")
 
+_handles: dict[tuple[str, str, bool], DataFrame] = {}
 
-def load(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """Parquet scan; Catalyst prunes columns and pushes filters into it."""
+
+def load(spark: SparkSession, sf_dir: str, name: str, spread: bool = False) -> DataFrame:
+    """Parquet scan; Catalyst prunes columns and pushes filters into it.
+
+    ``spread=True`` is for inputs that feed per-row CPU work (regex parsing,
+    hashing, vector products).  A scan with fewer splits than the session's
+    parallelism (a small file with one row group) is redistributed
+    round-robin so every core gets rows; a large input already arrives in at
+    least that many splits and is left untouched, so no shuffle is added at
+    scale.
+    """
     if name not in TABLES:
         raise ValueError(f"unknown table {name!r}")
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    key = (spark.sparkContext.applicationId, f"{sf_dir.rstrip('/')}/{name}.parquet", spread)
+    df = _handles.get(key)
+    if df is None:
+        df = spark.read.parquet(key[1])
+        if spread:
+            par = spark.sparkContext.defaultParallelism
+            if df.rdd.getNumPartitions() < par:
+                df = df.repartition(par)
+        _handles[key] = df
+    return df

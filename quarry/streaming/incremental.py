@@ -36,7 +36,7 @@ def stage_files(df: DataFrame, path: str, n_files: int = 4) -> str:
 
 
 def nearest_stream(spark: SparkSession, index, query_dir: str, query_schema, out_dir: str,
-                   ckpt_dir: str, *, max_files_per_trigger: int = 1):
+                   ckpt_dir: str, *, max_files_per_trigger: int = 2):
     """Answer every arriving query micro-batch against a static point index
     (see :func:`quarry.operators.spatial.persist_index`)."""
 
@@ -55,12 +55,12 @@ def nearest_stream(spark: SparkSession, index, query_dir: str, query_schema, out
 
 
 def registers_stream(spark: SparkSession, line_dir: str, out_dir: str, ckpt_dir: str, *,
-                     m: int = 1024, seed: int = 42, max_files_per_trigger: int = 1):
+                     m: int = 1024, seed: int = 42, max_files_per_trigger: int = 2):
     """Maintain HLL registers over arriving id lines (complete mode)."""
     lines = (spark.readStream.schema("line string").option("maxFilesPerTrigger", max_files_per_trigger)
              .parquet(line_dir))
     toks = parse_id_tokens(lines).where(F.col("token").isNotNull())
-    upd = hll.register_updates(toks, "token", m, seed, method="inline")
+    upd = hll.register_updates(toks, "token", m, seed, method="join")
     regs = upd.groupBy("j").agg(F.max("rho").alias("rho"))
 
     def publish(batch: DataFrame, batch_id: int) -> None:
