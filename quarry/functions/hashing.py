@@ -78,12 +78,11 @@ def with_tabulation_hash(df: DataFrame, key: str, seed: int, out: str = "h") ->
     """Join form of the tabulation hash: four equi-joins against the table
     slices.  The table has a proven size bound, so it is broadcast."""
     spark = df.sparkSession
-    tabs = tabulation_tables(spark, seed)
     cur = df
     names = []
     for i in range(TAB_CHUNKS):
         k, v = f"__tk{i}", f"__tv{i}"
-        sl = tabs.where(F.col("tbl") == i).select(F.col("idx").alias(k), F.col("v").alias(v))
+        sl = spark.range(TAB_SIZE).select(F.col("id").alias(k), md5_u32(seed, i, F.col("id")).alias(v))
         cur = (cur.withColumn(k, _limb(F.col(key), i))
                .join(F.broadcast(sl), k, "left").drop(k))
         names.append(v)
