@@ -1,27 +1,34 @@
 """Exact nearest point for every query, on the sphere or in the plane,
-through a grid index and equi-joins (no query x point product).
-
-Stage 1 (upper bound): points are bucketed into grid cells; a pyramid of
-coarser grids keeps one representative point per non-empty cell (each level
-is an aggregate of the level below, so the pyramid costs about one pass over
-the points).  Every query looks at the 3x3 neighbourhood of its cell at every
-level; the nearest representative found is a real point, so its distance is
-an upper bound ``b`` on the nearest-neighbour distance.  The coarsest level
-covers everything, so every query gets a bound.
-
-Stage 2 (exact): every point nearer than ``b`` lies in the cells that meet the
-box of radius ``b`` around the query (on the sphere: the latitude band and
-the longitude span of the spherical cap).  The query is exploded over those
-cells, equi-joined with the points on the cell key, and the minimum of
-``(distance, id)`` is taken per query with partial aggregation.
-
-Both stages are joins on cell keys; AQE broadcasts the small side at runtime
-and splits skewed cells.  Ties go to the smaller point id.
-
-Known limit: the grid is uniform, sized from the point count (about two
-points per cell).  Where points are very unevenly spread, a query next to a
-dense cell pairs with every point of that cell; a density-adaptive grid
-(splitting hot cells) is the next step.
+through a grid pyramid and equi-joins (no query x point product).
+
+Index (built once per point set):
+  * exact copies (same coordinates) collapse to one point, the smallest id,
+    which is the one a tie would pick anyway; a location holding a third of
+    all rows becomes one row;
+  * every point gets a cell of a fine level-0 grid (32x finer per axis than
+    a uniform grid with about two points per cell would be), so dense
+    clusters are resolved into small cells;
+  * a pyramid keeps one representative point per non-empty cell at level 0
+    and at every coarser level (each 4x4 cells of the level below); each
+    level is an aggregate of the previous one.
+
+Query, stage 1 (upper bound): the 3x3 neighbourhood of the query's cell at
+every level is joined with the representatives; the nearest one is a real
+point, so its distance ``b`` bounds the answer.  The coarsest level covers
+everything, so every query has a bound.
+
+Query, stage 2 (exact): the points nearer than ``b`` lie in the box of radius
+``b`` (on the sphere: the cap's latitude band and longitude span, with the
+poles and the antimeridian handled).  The search descends the pyramid from
+the top, keeping only non-empty cells that meet the box (a join with the
+representatives of each level) and expanding them into their 16 children,
+down to level 0, where the remaining cells are joined with the points.  Work
+follows the points near the query: sparse regions are crossed at coarse
+levels, dense ones are resolved at fine levels.  The minimum of
+``(distance, id)`` per query is taken with partial aggregation.
+
+Every join is on cell keys; AQE broadcasts small sides at runtime and splits
+skewed partitions.  Ties go to the smaller point id.
 """
 
 from __future__ import annotations
@@ -33,15 +40,17 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.geo import haversine
+from quarry.session import scratch_path
 
-POINTS_PER_CELL = 2.0
-STEP = 2                       # pyramid levels are 2^STEP = 4x coarser each
-MAX_SPHERE_LEVEL = 15          # 2^15 latitude bands: cells of ~0.005 degrees
+POINTS_PER_CELL = 2.0     # density of the uniform grid the resolution starts from
+FINER_BITS = 5            # level 0 is 2^5 = 32x finer per axis than that
+MAX_BITS = 20             # 2^20 latitude bands: cells of ~19 m
+STEP = 2                  # each pyramid level is 2^STEP = 4x coarser per axis
 _EPS = 1e-9
 
 
 def _top(bits: int) -> int:
-    """Number of coarser pyramid levels until one cell spans ``bits`` bits."""
+    """Pyramid levels above level 0 until one cell spans ``bits`` bits."""
     return -(-bits // STEP)
 
 
@@ -49,107 +58,210 @@ def _neigh3(c: Column) -> Column:
     return F.explode(F.array(c - 1, c, c + 1))
 
 
-# ------------------------------------------------------------------ sphere
+def _children() -> Column:
+    return F.explode(F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db"))
+                               for a in range(1 << STEP) for b in range(1 << STEP)]))
 
-def _sphere_level(n_points: int) -> int:
-    # cells = 2 * 4^p  ~  n / POINTS_PER_CELL
-    if n_points <= 0:
-        return 0
-    p = int(round(0.5 * math.log2(max(n_points / POINTS_PER_CELL / 2.0, 1.0))))
-    return max(0, min(MAX_SPHERE_LEVEL, p))
+
+@dataclass(frozen=True)
+class Geometry:
+    kind: str                 # "sphere" or "plane"
+    bits: int                 # level 0 has 2^bits rows (latitude bands / y cells)
+    ni: int                   # level-0 size along i
+    nj: int                   # level-0 size along j
+    wrap_j: bool              # longitude wraps
+    x0: float = 0.0           # plane origin and cell size
+    y0: float = 0.0
+    c0: float = 1.0
+    form: str = "direct"      # plane distance form
+
+    # ---- cells of level 0 (i = latitude / y, j = longitude / x) ----
+    def cells(self, a: Column, b: Column, clamp: bool = True):
+        if self.kind == "sphere":
+            ci = F.least(F.floor((a + 90.0) / 180.0 * self.ni), F.lit(self.ni - 1))
+            cj = F.pmod(F.floor((b + 180.0) / 360.0 * self.nj), F.lit(self.nj))
+            return ci.cast("int"), cj.cast("int")
+        ci = F.floor((a - self.y0) / self.c0)
+        cj = F.floor((b - self.x0) / self.c0)
+        if clamp:
+            ci = F.least(F.greatest(ci, F.lit(0)), F.lit(self.ni - 1))
+            cj = F.least(F.greatest(cj, F.lit(0)), F.lit(self.nj - 1))
+        return ci.cast("int"), cj.cast("int")
+
+    # ---- distance between a query (qa, qb) and a point (pa, pb[, pn]) ----
+    def dist(self, qa: Column, qb: Column, pa: Column, pb: Column, pn: Column | None = None) -> Column:
+        if self.kind == "sphere":
+            return haversine(F.radians(qa), F.radians(qb), F.radians(pa), F.radians(pb))
+        if self.form == "expanded":
+            qn = qa * qa + qb * qb
+            d2 = F.greatest(pn - 2.0 * (pa * qa + pb * qb) + qn, F.lit(0.0))
+        else:
+            d2 = (pa - qa) * (pa - qa) + (pb - qb) * (pb - qb)
+        return F.sqrt(d2)
+
+    # ---- level-0 index box of radius d around (qa, qb) ----
+    def box(self, qa: Column, qb: Column, d: Column):
+        """(ilo, ihi, jlo, jhi, jfull); j may run past [0, nj) on the sphere."""
+        d = d * (1 + _EPS) + _EPS
+        if self.kind == "sphere":
+            ddeg = F.degrees(d)
+            lat_lo, lat_hi = qa - ddeg, qa + ddeg
+            ilo = F.greatest(F.lit(0), F.floor((lat_lo + 90.0) / 180.0 * self.ni))
+            ihi = F.least(F.lit(self.ni - 1), F.floor((lat_hi + 90.0) / 180.0 * self.ni))
+            ratio = F.sin(d) / F.cos(F.radians(qa))
+            dlon = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * (1 + _EPS) + _EPS
+            jlo = F.floor((qb - dlon + 180.0) / 360.0 * self.nj)
+            jhi = F.floor((qb + dlon + 180.0) / 360.0 * self.nj)
+            full = ((lat_hi >= 90.0) | (lat_lo <= -90.0) | (d >= math.pi / 2) | (ratio >= 1.0)
+                    | (jhi - jlo + 1 >= self.nj))
+            return ilo.cast("int"), ihi.cast("int"), jlo.cast("int"), jhi.cast("int"), full
+        ilo = F.greatest(F.lit(0), F.floor((qa - d - self.y0) / self.c0))
+        ihi = F.least(F.lit(self.ni - 1), F.floor((qa + d - self.y0) / self.c0))
+        jlo = F.greatest(F.lit(0), F.floor((qb - d - self.x0) / self.c0))
+        jhi = F.least(F.lit(self.nj - 1), F.floor((qb + d - self.x0) / self.c0))
+        return ilo.cast("int"), ihi.cast("int"), jlo.cast("int"), jhi.cast("int"), F.lit(False)
 
 
 @dataclass(frozen=True)
-class SphereIndex:
-    """Grid index of a point set: points with their level-0 cell, and the
-    representative pyramid.  Build once, query many times."""
-    level: int
-    pts: DataFrame    # (_pid, _plat, _plon, *carry, ci, cj)
-    reps: DataFrame   # (ci, cj, r struct<i, la, lo>, lv)
+class GridIndex:
+    geom: Geometry
+    pts: DataFrame    # (_pid, _pa, _pb, _pn, *carry, ci, cj)
+    reps: DataFrame   # (ci, cj, r struct<i, a, b, n>, lv): partitioned by level
     carry: tuple
 
 
-def _sphere_cells(df: DataFrame, la: str, lo: str, level: int) -> DataFrame:
-    nlat, nlon = 2 ** level, 2 ** (level + 1)
-    ci = F.least(F.floor((F.col(la) + 90.0) / 180.0 * nlat), F.lit(nlat - 1)).cast("int")
-    cj = F.pmod(F.floor((F.col(lo) + 180.0) / 360.0 * nlon), F.lit(nlon)).cast("int")
-    return df.withColumn("ci", ci).withColumn("cj", cj)
-
+def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, path: str) -> GridIndex:
+    """Write the index under ``path`` (a folder of the shared checkpoint
+    location) and return it read back from there, so queries plan against
+    two small file sources and nothing has lineage back to the point source
+    (a lost executor re-reads files instead of re-aggregating).
 
-def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", lon: str = "longitude",
-                 carry=(), level: int | None = None) -> SphereIndex:
+    The pyramid is one aggregate: every point is listed once per level with
+    its cell at that level, and ``groupBy(lv, ci, cj)`` keeps the minimum
+    representative.  Partial aggregation collapses the coarse levels inside
+    each task, so the shuffle is about one row per level-0 cell.
+    """
+    spark = points.sparkSession
     carry = tuple(carry)
-    if level is None:
-        level = _sphere_level(points.count())
-    pts = _sphere_cells(points.select(F.col(pid).alias("_pid"), F.col(lat).alias("_plat"),
-                                      F.col(lon).alias("_plon"), *carry), "_plat", "_plon", level)
-    # Representative pyramid: each level aggregates the level below.
-    rep = F.min(F.struct(F.col("_pid").alias("i"), F.col("_plat").alias("la"), F.col("_plon").alias("lo")))
-    cur = pts.groupBy("ci", "cj").agg(rep.alias("r"))
-    reps = cur.withColumn("lv", F.lit(0))
-    for lv in range(1, _top(level) + 1):
-        cur = (cur.groupBy(F.shiftright("ci", STEP).alias("ci"), F.shiftright("cj", STEP).alias("cj"))
-               .agg(F.min("r").alias("r")))
-        reps = reps.unionByName(cur.withColumn("lv", F.lit(lv)))
-    return SphereIndex(level, pts, reps, carry)
-
-
-def persist_index(index: SphereIndex, path: str) -> SphereIndex:
-    """Write the index to the shared folder and read it back: later queries
-    (every micro-batch of a stream) start from these files, with no lineage
-    back to the point source."""
-    spark = index.pts.sparkSession
-    index.pts.write.mode("overwrite").parquet(f"{path}/pts")
-    index.reps.write.mode("overwrite").parquet(f"{path}/reps")
-    return SphereIndex(index.level, spark.read.parquet(f"{path}/pts"), spark.read.parquet(f"{path}/reps"),
-                       index.carry)
-
-
-def sphere_nearest(index: SphereIndex, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
-                   lat: str = "latitude", lon: str = "longitude", digits: int = 9) -> DataFrame:
-    level, pts, reps, carry = index.level, index.pts, index.reps, list(index.carry)
-    nlat, nlon = 2 ** level, 2 ** (level + 1)
-    qs = _sphere_cells(queries.select(F.col(qid).alias("_qid"), F.col(lat).alias("_qlat"),
-                                      F.col(lon).alias("_qlon")), "_qlat", "_qlon", level)
-
-    # Stage 1: 3x3 neighbourhood at every level -> upper bound b.
-    qn = (qs.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(_top(level)))))
-          .withColumn("ci", _neigh3(F.expr(f"shiftright(ci, lv * {STEP})")))
-          .withColumn("cj", _neigh3(F.expr(f"shiftright(cj, lv * {STEP})")))
-          .withColumn("cj", F.pmod("cj", F.expr(f"greatest(shiftright({nlon}, lv * {STEP}), 1)"))))
-    qn = qn.select("_qid", "_qlat", "_qlon", "lv", "ci", "cj")
-    qrad = (F.radians("_qlat"), F.radians("_qlon"))
-    cand = qn.join(reps, ["lv", "ci", "cj"])
-    bound = (cand.select("_qid", haversine(*qrad, F.radians(F.col("r.la")), F.radians(F.col("r.lo"))).alias("d"))
-             .groupBy("_qid").agg(F.min("d").alias("b")))
-
-    # Stage 2: cells meeting the cap of radius b.
-    q2 = qs.join(bound, "_qid")
-    d = F.col("b") * (1 + _EPS) + _EPS
-    ddeg = F.degrees(d)
-    lat_lo, lat_hi = F.col("_qlat") - ddeg, F.col("_qlat") + ddeg
-    ci_lo = F.greatest(F.lit(0), F.floor((lat_lo + 90.0) / 180.0 * nlat)).cast("int")
-    ci_hi = F.least(F.lit(nlat - 1), F.floor((lat_hi + 90.0) / 180.0 * nlat)).cast("int")
-    ratio = F.sin(d) / F.cos(F.radians("_qlat"))
-    full = (lat_hi >= 90.0) | (lat_lo <= -90.0) | (d >= math.pi / 2) | (ratio >= 1.0)
-    dlon = F.degrees(F.asin(F.least(ratio, F.lit(1.0)))) * (1 + _EPS) + _EPS
-    cj_lo = F.floor((F.col("_qlon") - dlon + 180.0) / 360.0 * nlon).cast("int")
-    cj_hi = F.floor((F.col("_qlon") + dlon + 180.0) / 360.0 * nlon).cast("int")
-    full = full | (cj_hi - cj_lo + 1 >= nlon)
-    q2 = (q2.withColumn("ci", F.explode(F.sequence(ci_lo, ci_hi)))
-          .withColumn("cj", F.explode(F.sequence(F.when(full, F.lit(0)).otherwise(cj_lo),
-                                                 F.when(full, F.lit(nlon - 1)).otherwise(cj_hi))))
-          .withColumn("cj", F.pmod("cj", F.lit(nlon)))
-          .select("_qid", "_qlat", "_qlon", "ci", "cj"))
-    pairs = q2.join(pts, ["ci", "cj"])
-    dist = haversine(*qrad, F.radians("_plat"), F.radians("_plon"))
-    best = (pairs.select("_qid", F.struct(F.round(dist, digits).alias("d"), F.col("_pid").alias("i"),
-                                          dist.alias("dist"), *[F.col(c) for c in carry]).alias("s"))
-            .groupBy("_qid").agg(F.min("s").alias("s")))
+    # Exact copies collapse to the smallest id (partial aggregation first, so
+    # a location holding a third of the rows is one row per task).
+    first = F.min(F.struct(F.col(pid).alias("i"), *[F.col(c) for c in carry])).alias("p")
+    uniq = (points.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+            .groupBy(F.col(a).alias("_pa"), F.col(b).alias("_pb")).agg(first))
+    ci, cj = geom.cells(F.col("_pa"), F.col("_pb"))
+    pts = uniq.select(F.col("p.i").alias("_pid"), "_pa", "_pb",
+                      (F.col("_pa") * F.col("_pa") + F.col("_pb") * F.col("_pb")).alias("_pn"),
+                      *[F.col(f"p.{c}").alias(c) for c in carry], ci.alias("ci"), cj.alias("cj"))
+    pts.write.mode("overwrite").parquet(f"{path}/pts")
+    pts = spark.read.parquet(f"{path}/pts")
+    rep = F.struct(F.col("_pid").alias("i"), F.col("_pa").alias("a"), F.col("_pb").alias("b"),
+                   F.col("_pn").alias("n"))
+    levels = F.expr("array(" + ", ".join(
+        f"named_struct('lv', {lv}, 'ci', shiftright(ci, {STEP * lv}), 'cj', shiftright(cj, {STEP * lv}))"
+        for lv in range(_top(geom.bits) + 1)) + ")")
+    reps = (pts.select(rep.alias("r"), F.explode(levels).alias("c"))
+            .groupBy(F.col("c.lv").alias("lv"), F.col("c.ci").alias("ci"), F.col("c.cj").alias("cj"))
+            .agg(F.min("r").alias("r")))
+    reps.write.mode("overwrite").partitionBy("lv").parquet(f"{path}/reps")
+    return GridIndex(geom, pts, spark.read.parquet(f"{path}/reps"), carry)
+
+
+def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b: str, digits: int | None):
+    geom, pts, reps, carry = index.geom, index.pts, index.reps, list(index.carry)
+    top = _top(geom.bits)
+    qa, qb = F.col("_qa"), F.col("_qb")
+    qci, qcj = geom.cells(F.col(a), F.col(b), clamp=True)
+    qs = queries.select(F.col(qid).alias("_qid"), F.col(a).alias("_qa"), F.col(b).alias("_qb"),
+                        qci.alias("_ci"), qcj.alias("_cj"))
+    ci, cj = F.col("_ci"), F.col("_cj")
+
+    # Stage 1: 3x3 neighbourhood at every level, one generator -> upper bound.
+    # (Built as one SQL expression: a single call instead of hundreds of
+    # Column-API round trips.)
+    nb = []
+    for lv in range(top + 1):
+        sh = STEP * lv
+        wrap = max(geom.nj >> sh, 1)
+        for di in (-1, 0, 1):
+            for dj in (-1, 0, 1):
+                j = f"shiftright(_cj, {sh}) + ({dj})"
+                j = f"pmod({j}, {wrap})" if geom.wrap_j else j
+                nb.append(f"named_struct('lv', {lv}, 'ci', shiftright(_ci, {sh}) + ({di}), 'cj', {j})")
+    nb = F.expr("array(" + ", ".join(nb) + ")")
+    qn = qs.select("_qid", "_qa", "_qb", F.explode(nb).alias("n")).select(
+        "_qid", "_qa", "_qb", F.col("n.lv").alias("lv"), F.col("n.ci").alias("ci"), F.col("n.cj").alias("cj"))
+    bound = (qn.join(reps, ["lv", "ci", "cj"])
+             .groupBy("_qid", "_qa", "_qb")
+             .agg(F.min(geom.dist(qa, qb, F.col("r.a"), F.col("r.b"), F.col("r.n"))).alias("bd")))
+
+    # Stage 2: descend the pyramid through non-empty cells meeting the box.
+    ilo, ihi, jlo, jhi, full = geom.box(qa, qb, F.col("bd"))
+    q2 = bound.select("_qid", "_qa", "_qb", ilo.alias("ilo"), ihi.alias("ihi"),
+                      jlo.alias("jlo"), jhi.alias("jhi"), full.alias("full"))
+    if geom.wrap_j:
+        nj = geom.nj
+        lo, hi, fl = F.col("jlo"), F.col("jhi"), F.col("full")
+
+        def rg(x, y):
+            return F.struct(x.alias("lo"), y.alias("hi"))
+        ranges = (F.when(fl, F.array(rg(F.lit(0), F.lit(nj - 1))))
+                  .when(lo < 0, F.array(rg(lo + nj, F.lit(nj - 1)), rg(F.lit(0), hi)))
+                  .when(hi >= nj, F.array(rg(lo, F.lit(nj - 1)), rg(F.lit(0), hi - nj)))
+                  .otherwise(F.array(rg(lo, hi))))
+    else:
+        ranges = F.array(F.struct(F.col("jlo").alias("lo"), F.col("jhi").alias("hi")))
+    s = STEP * top
+    box = ["_qid", "_qa", "_qb", "ilo", "ihi", "jlo", "jhi"]
+    front = (q2.select("_qid", "_qa", "_qb", "ilo", "ihi", F.explode(ranges).alias("rg"))
+             .select("_qid", "_qa", "_qb", "ilo", "ihi", F.col("rg.lo").alias("jlo"), F.col("rg.hi").alias("jhi"),
+                     F.explode(F.sequence(F.shiftright("ilo", s), F.shiftright("ihi", s))).alias("ci"))
+             .select(*box, "ci", F.explode(F.sequence(F.shiftright("jlo", s), F.shiftright("jhi", s))).alias("cj"))
+             .join(reps.where(F.col("lv") == top).select("ci", "cj"), ["ci", "cj"]))
+    f = 1 << STEP
+    ch = F.explode(F.expr("array(" + ", ".join(
+        f"named_struct('ci', ci * {f} + {da}, 'cj', cj * {f} + {db})"
+        for da in range(f) for db in range(f)) + ")"))
+    for lv in range(top - 1, -1, -1):
+        s = STEP * lv
+        meets = F.expr(f"shiftleft(k.ci, {s}) <= ihi and shiftleft(k.ci + 1, {s}) - 1 >= ilo and "
+                       f"shiftleft(k.cj, {s}) <= jhi and shiftleft(k.cj + 1, {s}) - 1 >= jlo")
+        front = (front.select(*box, ch.alias("k")).where(meets)
+                 .select(*box, F.col("k.ci").alias("ci"), F.col("k.cj").alias("cj"))
+                 .join(reps.where(F.col("lv") == lv).select("ci", "cj"), ["ci", "cj"]))
+
+    pairs = front.select("_qid", "_qa", "_qb", "ci", "cj").join(pts, ["ci", "cj"])
+    dist = geom.dist(qa, qb, F.col("_pa"), F.col("_pb"), F.col("_pn"))
+    rank = F.round(dist, digits) if digits is not None else dist
+    best = (pairs.groupBy("_qid")
+            .agg(F.min(F.struct(rank.alias("d"), F.col("_pid").alias("i"), dist.alias("dist"),
+                                *[F.col(c) for c in carry])).alias("s")))
     return best.select(F.col("_qid").alias(qid), F.col("s.i").alias(pid),
                        *[F.col(f"s.{c}").alias(c) for c in carry], F.col("s.dist").alias("dist"))
 
 
+# ------------------------------------------------------------------ sphere
+
+def _sphere_bits(n_points: int) -> int:
+    # uniform grid: 2 * 4^p cells ~ n / POINTS_PER_CELL
+    p = 0 if n_points <= 0 else int(round(0.5 * math.log2(max(n_points / POINTS_PER_CELL / 2.0, 1.0))))
+    return max(1, min(MAX_BITS, p + FINER_BITS))
+
+
+def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", lon: str = "longitude",
+                 carry=(), level: int | None = None, path: str | None = None) -> GridIndex:
+    """Grid pyramid of points given in degrees, written under ``path`` (a
+    fresh folder of the shared location by default); ``level`` overrides the
+    number of latitude-band bits of level 0."""
+    bits = level if level is not None else _sphere_bits(points.count())
+    geom = Geometry("sphere", bits, 2 ** bits, 2 ** (bits + 1), True)
+    return _build(points, geom, pid, lat, lon, carry, path or scratch_path(points.sparkSession, "sphere-index"))
+
+
+def sphere_nearest(index: GridIndex, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
+                   lat: str = "latitude", lon: str = "longitude", digits: int = 9) -> DataFrame:
+    return _query(index, queries, qid, pid, lat, lon, digits)
+
+
 def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
                       lat: str = "latitude", lon: str = "longitude", carry=(), level: int | None = None,
                       digits: int = 9) -> DataFrame:
@@ -164,20 +276,19 @@ def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id",
 
 # ------------------------------------------------------------------- plane
 
-def _plane_grid(points: DataFrame, x: str, y: str):
+def plane_index(points: DataFrame, *, pid: str = "id", x: str = "easting", y: str = "northing",
+                carry=(), form: str = "direct") -> GridIndex | None:
     st = points.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
                     F.min(y).alias("y0"), F.max(y).alias("y1")).first()
-    n = st["n"]
-    if not n:
+    if not st["n"]:
         return None
-    w = max(st["x1"] - st["x0"], 0.0)
-    h = max(st["y1"] - st["y0"], 0.0)
-    area = max(w * h, 1.0)
-    c = math.sqrt(area * POINTS_PER_CELL / n)
-    c = max(c, max(w, h, 1.0) / 2 ** 20, 1e-12)
-    g = max(1, int(math.ceil(max(w, h) / c)) + 1)
-    levels = max(0, int(math.ceil(math.log2(g))))
-    return float(st["x0"]), float(st["y0"]), c, g, levels
+    span = max(float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"]), 1e-9)
+    p = int(math.ceil(0.5 * math.log2(max(st["n"] / POINTS_PER_CELL, 1.0))))
+    bits = max(1, min(MAX_BITS, p + FINER_BITS))
+    g = 2 ** bits
+    geom = Geometry("plane", bits, g, g, False, x0=float(st["x0"]), y0=float(st["y0"]),
+                    c0=span * (1 + 1e-12) / g, form=form)
+    return _build(points, geom, pid, y, x, carry, scratch_path(points.sparkSession, "plane-index"))
 
 
 def nearest_in_plane(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
@@ -186,70 +297,11 @@ def nearest_in_plane(points: DataFrame, queries: DataFrame, *, pid: str = "id",
 
     ``form='direct'`` sums squared differences; ``form='expanded'`` uses
     |p|^2 - 2 p.q + |q|^2 with the point norm precomputed (double precision).
-    Returns (qid, pid, *carry, dist).
+    Returns (qid, pid, *carry, dist); ties to the smaller id.
     """
-    carry = list(carry)
-    grid = _plane_grid(points, x, y)
-    schema_cols = [F.col(qid).alias(qid), F.lit(None).cast("bigint").alias(pid)]
-    if grid is None:
-        return queries.select(*schema_cols).limit(0)
-    x0, y0, c, g, levels = grid
-
-    def cells(df, xc, yc, clamp):
-        cx = F.floor((F.col(xc) - x0) / c).cast("int")
-        cy = F.floor((F.col(yc) - y0) / c).cast("int")
-        if clamp:
-            cx = F.least(F.greatest(cx, F.lit(0)), F.lit(g - 1))
-            cy = F.least(F.greatest(cy, F.lit(0)), F.lit(g - 1))
-        return df.withColumn("cx", cx).withColumn("cy", cy)
-
-    pts = cells(points.select(F.col(pid).alias("_pid"), F.col(x).alias("_px"), F.col(y).alias("_py"), *carry)
-                .withColumn("_pn", F.col("_px") * F.col("_px") + F.col("_py") * F.col("_py")),
-                "_px", "_py", False)
-    qs = queries.select(F.col(qid).alias("_qid"), F.col(x).alias("_qx"), F.col(y).alias("_qy"))
-
-    def d2(px, py, pn):
-        if form == "expanded":
-            qn = F.col("_qx") * F.col("_qx") + F.col("_qy") * F.col("_qy")
-            return F.greatest(pn - 2.0 * (px * F.col("_qx") + py * F.col("_qy")) + qn, F.lit(0.0))
-        dx, dy = px - F.col("_qx"), py - F.col("_qy")
-        return dx * dx + dy * dy
-
-    # Stage 1: pyramid of representatives; queries use clamped cells so the
-    # top level always meets the data.
-    rep = F.min(F.struct(F.col("_pid").alias("i"), F.col("_px").alias("x"), F.col("_py").alias("y"),
-                         F.col("_pn").alias("n")))
-    cur = pts.groupBy("cx", "cy").agg(rep.alias("r"))
-    reps = cur.withColumn("lv", F.lit(0))
-    for lv in range(1, _top(levels) + 1):
-        cur = (cur.groupBy(F.shiftright("cx", STEP).alias("cx"), F.shiftright("cy", STEP).alias("cy"))
-               .agg(F.min("r").alias("r")))
-        reps = reps.unionByName(cur.withColumn("lv", F.lit(lv)))
-    qc = cells(qs, "_qx", "_qy", True)
-    qn = (qc.withColumn("lv", F.explode(F.sequence(F.lit(0), F.lit(_top(levels)))))
-          .withColumn("cx", _neigh3(F.expr(f"shiftright(cx, lv * {STEP})")))
-          .withColumn("cy", _neigh3(F.expr(f"shiftright(cy, lv * {STEP})"))))
-    bound = (qn.join(reps, ["lv", "cx", "cy"])
-             .select("_qid", d2(F.col("r.x"), F.col("r.y"), F.col("r.n")).alias("d2"))
-             .groupBy("_qid").agg(F.min("d2").alias("b2")))
-
-    # Stage 2: cells meeting the square of half-width sqrt(b2).
-    r = F.sqrt("b2") * (1 + _EPS) + _EPS
-    q2 = qs.join(bound, "_qid")
-
-    def lo(v, o):
-        return F.greatest(F.lit(0), F.floor((F.col(v) - r - o) / c)).cast("int")
-
-    def hi(v, o):
-        return F.least(F.lit(g - 1), F.floor((F.col(v) + r - o) / c)).cast("int")
-
-    q2 = (q2.withColumn("cx", F.explode(F.sequence(lo("_qx", x0), hi("_qx", x0))))
-          .withColumn("cy", F.explode(F.sequence(lo("_qy", y0), hi("_qy", y0))))
-          .select("_qid", "_qx", "_qy", "cx", "cy"))
-    pairs = q2.join(pts, ["cx", "cy"])
-    dd = d2(F.col("_px"), F.col("_py"), F.col("_pn"))
-    best = (pairs.select("_qid", F.struct(dd.alias("d2"), F.col("_pid").alias("i"),
-                                          *[F.col(cc) for cc in carry]).alias("s"))
-            .groupBy("_qid").agg(F.min("s").alias("s")))
-    return best.select(F.col("_qid").alias(qid), F.col("s.i").alias(pid),
-                       *[F.col(f"s.{cc}").alias(cc) for cc in carry], F.sqrt("s.d2").alias("dist"))
+    idx = plane_index(points, pid=pid, x=x, y=y, carry=carry, form=form)
+    if idx is None:
+        return queries.select(F.col(qid), F.lit(None).cast("bigint").alias(pid),
+                              *[F.lit(None).cast("string").alias(c) for c in carry],
+                              F.lit(None).cast("double").alias("dist")).limit(0)
+    return _query(idx, queries, qid, pid, y, x, None)

@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.operators import sketch as hll
-from quarry.operators.spatial import persist_index, sphere_index, sphere_nearest
+from quarry.operators.spatial import sphere_index, sphere_nearest
 from quarry.session import scratch_path
 from quarry.sources.text import parse_id_tokens
 
@@ -38,7 +38,7 @@ def stage_files(df: DataFrame, path: str, n_files: int = 4) -> str:
 def nearest_stream(spark: SparkSession, index, query_dir: str, query_schema, out_dir: str,
                    ckpt_dir: str, *, max_files_per_trigger: int = 2):
     """Answer every arriving query micro-batch against a static point index
-    (see :func:`quarry.operators.spatial.persist_index`)."""
+    (written once by :func:`quarry.operators.spatial.sphere_index`)."""
 
     def answer(batch: DataFrame, batch_id: int) -> None:
         # One folder per batch id, overwritten: a replayed batch replaces its
@@ -75,7 +75,7 @@ def registers_stream(spark: SparkSession, line_dir: str, out_dir: str, ckpt_dir:
 def run_nearest_stream(spark: SparkSession, points: DataFrame, queries: DataFrame,
                        carry=("location",)) -> DataFrame:
     base = scratch_path(spark, "geo-stream")
-    index = persist_index(sphere_index(points, carry=carry), os.path.join(base, "index"))
+    index = sphere_index(points, carry=carry, path=os.path.join(base, "index"))
     qdir = stage_files(queries, os.path.join(base, "in"))
     out = os.path.join(base, "out")
     q = nearest_stream(spark, index, qdir, queries.schema, out, os.path.join(base, "ckpt"))

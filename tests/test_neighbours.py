@@ -120,3 +120,19 @@ def test_query_words_and_labels(spark):
     assert [tuple(r) for r in neighbours.label_mismatches(found, exp).collect()] == [(2, "y", "z")]
     c = neighbours.label_error_count(found, exp).collect()[0]
     assert (c.n_queries, c.n_errors) == (2, 1)
+
+
+def test_grid_nn_with_copies_and_dense_cluster(spark):
+    # A third of the points are copies of one location, another third sit in
+    # a tiny cluster; the answers must equal brute force (ties -> smaller id).
+    rng = np.random.default_rng(9)
+    P = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 1e6, size=(300, 2)))]
+    P += [(1000 + i, 5e5, 5e5) for i in range(300)]
+    P += [(2000 + i, 2e5 + float(dx), 7e5 + float(dy)) for i, (dx, dy) in enumerate(rng.uniform(0, 3, size=(300, 2)))]
+    Q = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 1e6, size=(60, 2)))]
+    Q += [(100 + i, 5e5 + i, 5e5) for i in range(20)] + [(200 + i, 2e5 + i * 0.1, 7e5 + 1) for i in range(20)]
+    pdf = spark.createDataFrame(P, "id long, easting double, northing double")
+    qdf = spark.createDataFrame(Q, "qid long, easting double, northing double")
+    want = {qid: min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1] for qid, qx, qy in Q}
+    assert {r.qid: r.id for r in spatial.nearest_in_plane(pdf, qdf).collect()} == want
+    assert want[100] == 1000
