@@ -212,22 +212,28 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
         ranges = F.array(F.struct(F.col("jlo").alias("lo"), F.col("jhi").alias("hi")))
     s = STEP * top
     box = ["_qid", "_qa", "_qb", "ilo", "ihi", "jlo", "jhi"]
+
+    def level(lv):
+        return reps.where(F.col("lv") == lv).select("ci", "cj")
+
     front = (q2.select("_qid", "_qa", "_qb", "ilo", "ihi", F.explode(ranges).alias("rg"))
              .select("_qid", "_qa", "_qb", "ilo", "ihi", F.col("rg.lo").alias("jlo"), F.col("rg.hi").alias("jhi"),
                      F.explode(F.sequence(F.shiftright("ilo", s), F.shiftright("ihi", s))).alias("ci"))
              .select(*box, "ci", F.explode(F.sequence(F.shiftright("jlo", s), F.shiftright("jhi", s))).alias("cj"))
-             .join(reps.where(F.col("lv") == top).select("ci", "cj"), ["ci", "cj"]))
+             .join(level(top), ["ci", "cj"]))
     f = 1 << STEP
     ch = F.explode(F.expr("array(" + ", ".join(
         f"named_struct('ci', ci * {f} + {da}, 'cj', cj * {f} + {db})"
-        for da in range(f) for db in range(f)) + ")"))
+        for da in range(f) for db in range(f)) + ")")).alias("k")
     for lv in range(top - 1, -1, -1):
         s = STEP * lv
+        nxt = level(lv)
+        # children meeting the box (a left-side filter Spark applies before
+        # the join) that are non-empty at this level (the equi-join)
         meets = F.expr(f"shiftleft(k.ci, {s}) <= ihi and shiftleft(k.ci + 1, {s}) - 1 >= ilo and "
                        f"shiftleft(k.cj, {s}) <= jhi and shiftleft(k.cj + 1, {s}) - 1 >= jlo")
-        front = (front.select(*box, ch.alias("k")).where(meets)
-                 .select(*box, F.col("k.ci").alias("ci"), F.col("k.cj").alias("cj"))
-                 .join(reps.where(F.col("lv") == lv).select("ci", "cj"), ["ci", "cj"]))
+        front = front.select(*box, ch).join(
+            nxt, (F.col("k.ci") == nxt.ci) & (F.col("k.cj") == nxt.cj) & meets).drop("k")
 
     pairs = front.select("_qid", "_qa", "_qb", "ci", "cj").join(pts, ["ci", "cj"])
     dist = geom.dist(qa, qb, F.col("_pa"), F.col("_pb"), F.col("_pn"))
