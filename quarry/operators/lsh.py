@@ -81,13 +81,16 @@ def bucket_sizes(bk: DataFrame) -> DataFrame:
 
 def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
              block_rows: int = 1024) -> DataFrame:
-    """queries (qid, idx, vec), vectors (idx, vec) -> (qid, rank, idx, sim)."""
+    """queries (qid, idx, vec) whose idx names a row of ``vectors`` (idx, vec)
+    -> (qid, rank, idx, sim).
+
+    The bucket table is computed once, for the data; a query takes the
+    buckets of its own row by an equi-join instead of a second signing pass.
+    """
     xb = buckets(signatures(vectors, planes), positions)
     x = unit_vectors(vectors).select("idx", "vec").join(xb, "idx")
-    qsig = signatures(queries.select("idx", "vec").dropDuplicates(["idx"]), planes)
-    qb = buckets(qsig, positions)
-    q = (unit_vectors(queries).select("qid", F.col("idx").alias("self_idx"), "vec")
-         .join(qb.withColumnRenamed("idx", "self_idx"), "self_idx"))
+    qb = xb.select(F.col("idx").alias("self_idx"), F.col("tbl").alias("tbl"), F.col("bucket").alias("bucket"))
+    q = unit_vectors(queries).select("qid", F.col("idx").alias("self_idx"), "vec").join(qb, "self_idx")
     top = blocked_topk(q, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
                        group_cols=("tbl", "bucket"), self_col="self_idx", block_rows=block_rows)
     return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
