@@ -14,6 +14,8 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -22,6 +24,7 @@ from pyspark.sql import functions as F
 from quarry.functions.hashing import md5_u32, md5_u32_py
 from quarry.operators.blocked import blocked_topk
 from quarry.operators.neighbours import SIM_DIGITS, unit_vectors
+from quarry.session import scratch_path
 
 _U = 4294967297.0  # 2^32 + 1: maps a 32-bit draw to (0, 1)
 
@@ -79,19 +82,46 @@ def bucket_sizes(bk: DataFrame) -> DataFrame:
     return bk.groupBy("tbl", "bucket").agg(F.count(F.lit(1)).cast("bigint").alias("n"))
 
 
-def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
-             block_rows: int = 1024) -> DataFrame:
-    """queries (qid, idx, vec) whose idx names a row of ``vectors`` (idx, vec)
-    -> (qid, rank, idx, sim).
+@dataclass(frozen=True)
+class LshIndex:
+    buckets: DataFrame   # (idx, tbl, bucket)
+    vectors: DataFrame   # (idx, vec): unit vectors
+
 
-    The bucket table is computed once, for the data; a query takes the
-    buckets of its own row by an equi-join instead of a second signing pass.
+def fit(vectors: DataFrame, planes: np.ndarray, positions, path: str | None = None) -> LshIndex:
+    """Sign every row once and write the bucket table and the unit vectors
+    under ``path`` (a fresh folder of the shared location by default).
+
+    Queries then join files: the signing pass runs once per index, not once
+    per reference in a query plan, and nothing has lineage back to the
+    source.
     """
-    xb = buckets(signatures(vectors, planes), positions)
-    x = unit_vectors(vectors).select("idx", "vec").join(xb, "idx")
-    qb = xb.select(F.col("idx").alias("self_idx"), F.col("tbl").alias("tbl"), F.col("bucket").alias("bucket"))
-    q = unit_vectors(queries).select("qid", F.col("idx").alias("self_idx"), "vec").join(qb, "self_idx")
+    spark = vectors.sparkSession
+    path = path or scratch_path(spark, "lsh-index")
+    buckets(signatures(vectors, planes), positions).write.mode("overwrite").parquet(f"{path}/buckets")
+    unit_vectors(vectors).select("idx", "vec").write.mode("overwrite").parquet(f"{path}/vectors")
+    return LshIndex(spark.read.parquet(f"{path}/buckets"), spark.read.parquet(f"{path}/vectors"))
+
+
+def query(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = 1024) -> DataFrame:
+    """queries (qid, idx) naming rows of the index -> (qid, rank, idx, sim).
+
+    A query takes the buckets of its own row by an equi-join; candidates are
+    the rows sharing a (table, bucket), ranked by the exact dot product of
+    unit vectors inside :func:`blocked_topk`.
+    """
+    x = index.vectors.join(index.buckets, "idx")
+    qb = index.buckets.select(F.col("idx").alias("self_idx"), F.col("tbl").alias("tbl"),
+                              F.col("bucket").alias("bucket"))
+    qv = index.vectors.select(F.col("idx").alias("self_idx"), F.col("vec").alias("vec"))
+    q = queries.select("qid", F.col("idx").alias("self_idx")).join(qv, "self_idx").join(qb, "self_idx")
     top = blocked_topk(q, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
                        group_cols=("tbl", "bucket"), self_col="self_idx", block_rows=block_rows)
     return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
                       F.round("score", SIM_DIGITS).alias("sim"))
+
+
+def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
+             block_rows: int = 1024) -> DataFrame:
+    """Fit on ``vectors`` (idx, vec) and answer ``queries`` (qid, idx)."""
+    return query(fit(vectors, planes, positions), queries, k=k, block_rows=block_rows)
