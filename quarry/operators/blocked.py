@@ -119,7 +119,10 @@ def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: in
     schema = f"{lid} long, {rid} long, score double"
     part = (lrep.groupBy(*keys).cogroup(rrep.groupBy(*keys))
             .applyInPandas(_block_fn(lid, rid, self_col, k, metric, digits), schema))
-    part = part.dropDuplicates([lid, rid])
+    if group_cols:
+        # the same pair can meet in several groups (LSH tables); without
+        # groups every pair is scored exactly once and no dedupe is needed
+        part = part.dropDuplicates([lid, rid])
     rkey = F.round("score", digits) if digits is not None else F.col("score")
     order = [rkey.desc() if metric == "dot" else rkey.asc(), F.col(rid).asc()]
     w = Window.partitionBy(lid).orderBy(*order)
