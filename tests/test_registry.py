@@ -78,3 +78,9 @@ def test_scan_prunes_columns(spark):
     txt = plan_text(QUERIES["auth_top3_ips"](spark, SMOKE))
     scan = [ln for ln in txt.splitlines() if "FileScan parquet" in ln][0]
     assert "value" not in scan and "props" not in scan
+
+
+def test_filter_pushed_to_scan(spark):
+    txt = plan_text(QUERIES["follow_counts"](spark, SMOKE))
+    scans = [ln for ln in txt.splitlines() if "FileScan parquet" in ln and "o_orderpriority" in ln]
+    assert scans and "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)" in scans[0]
