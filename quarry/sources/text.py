@@ -85,5 +85,12 @@ def read_point_csv(spark: SparkSession, path: str, kind: str = "geo") -> DataFra
 
 
 def with_line_ids(df: DataFrame) -> DataFrame:
-    """Line number as query id for plain query files (done once, at load)."""
+    """Line number as query id for plain query files (done once, at load).
+
+    Consecutive numbers need the row count of every earlier split;
+    ``zipWithIndex`` gets them with one counting pass and numbers each split
+    in its own task.  The DataFrame alternatives either are not consecutive
+    (``monotonically_increasing_id``) or need one global window, which puts
+    every row in a single task.
+    """
     return df.rdd.zipWithIndex().map(lambda r: (r[1],) + tuple(r[0])).toDF(["qid"] + df.columns)
