@@ -46,3 +46,17 @@ def test_point_csv(spark, tmp_path):
     g = tmp_path / "ufo.csv"
     g.write_text("location,latitude,longitude\nA,10.5,-20.25\n")
     assert rows(text.read_point_csv(spark, str(g))) == [("A", 10.5, -20.25)]
+
+
+def test_line_ids_across_many_splits(spark, tmp_path):
+    f = tmp_path / "many.txt"
+    f.write_text("".join(f"line{i:05d}\n" for i in range(5000)))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "4096")
+    try:
+        df = text.read_lines(spark, str(f))
+        assert df.rdd.getNumPartitions() > 5
+        got = text.with_line_ids(df).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted((r.qid, r.line) for r in got) == [(i, f"line{i:05d}") for i in range(5000)]
