@@ -84,3 +84,8 @@ def test_filter_pushed_to_scan(spark):
     txt = plan_text(QUERIES["follow_counts"](spark, SMOKE))
     scans = [ln for ln in txt.splitlines() if "FileScan parquet" in ln and "o_orderpriority" in ln]
     assert scans and "PushedFilters: [IsNotNull(o_orderpriority), EqualTo(o_orderpriority,1-URGENT)" in scans[0]
+
+
+def test_per_query_topk_limits_before_shuffle(spark):
+    txt = plan_text(QUERIES["cosine_top3"](spark, SMOKE))
+    assert "WindowGroupLimit" in txt

@@ -107,3 +107,19 @@ def test_duplicates_do_not_change_registers(spark):
     once = sketch.build(_keys(spark, 0, 1000), "k", 128, 42)
     twice = sketch.build(_keys(spark, 0, 1000).unionByName(_keys(spark, 0, 1000)), "k", 128, 42)
     assert _regs(once) == _regs(twice)
+
+
+from hypothesis import given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+
+@settings(max_examples=5, deadline=None)
+@given(st.lists(st.integers(min_value=-(2 ** 63), max_value=2 ** 63 - 1), min_size=1, max_size=50))
+def test_hashing_matches_python_on_random_keys(spark, keys):
+    df = spark.createDataFrame([(k,) for k in keys], "x bigint")
+    got = df.select("x", multiply_shift_index(F.col("x"), 12).alias("j"),
+                    tabulation_hash_inline(F.col("x"), 7).alias("h")).collect()
+    for r in got:
+        u = r.x % 2 ** 64
+        assert r.j == ((u * MULTIPLIER) % 2 ** 64) >> 52
+        assert r.h == _py_tab(u, 7)
