@@ -123,3 +123,27 @@ def test_hashing_matches_python_on_random_keys(spark, keys):
         u = r.x % 2 ** 64
         assert r.j == ((u * MULTIPLIER) % 2 ** 64) >> 52
         assert r.h == _py_tab(u, 7)
+
+
+def _formula(regs, m):
+    z = sum(2.0 ** -r for r in regs) + (m - len(regs))
+    e = 0.7213 / (1 + 1.079 / m) * m * m / z
+    v = m - len(regs)
+    if e <= 2.5 * m and v > 0:
+        return m * math.log(m / v)
+    if e > 2 ** 32 / 30:
+        return -(2 ** 32) * math.log(1 - e / 2 ** 32)
+    return e
+
+
+@pytest.mark.parametrize("m,rhos", [
+    (64, [1, 2, 3]),                      # linear counting (empty registers)
+    (16, [5] * 16),                       # raw estimate, every register set
+    (16, [26] * 16),                      # large-range correction
+])
+def test_estimate_branches(spark, m, rhos):
+    regs = spark.createDataFrame([(j, r) for j, r in enumerate(rhos)], "j bigint, rho bigint")
+    got = sketch.estimate(sketch.Sketch(regs, m, 0)).collect()[0]
+    assert got.n_set == len(rhos)
+    assert got.estimate == pytest.approx(round(_formula(rhos, m), 6), rel=1e-12)
+    assert got.estimate_int == int(_formula(rhos, m))
