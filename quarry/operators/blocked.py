@@ -1,17 +1,24 @@
-"""Exact top-k between two vector sets, block against block.
+"""Exact top-k between two vector sets.
 
 The work of an exact k-nearest search is every (query, row) score, but the
-output is only k rows per query.  Both sides are cut into blocks of at most
-``block_rows`` rows (hash of the id, per group), every query block meets every
-data block of its group through a co-grouped shuffle, and one Arrow batch per
-block pair computes the score matrix with one NumPy product and keeps the
-k best per query row.  No pair is ever a row: a block pair emits at most
-``k * rows`` results, and the final ranking sees at most ``k * blocks`` rows
-per query.
-
-Groups (``group_cols``) restrict the pairs: LSH buckets, for example.  Block
-counts come from per-group row counts, so a hot group is split into as many
-bounded blocks as it needs instead of landing in one task.
+output is only k rows per query, and no pair ever becomes a row.  Two plans:
+
+* Broadcast scan (no groups, query matrix within a checked size bound,
+  ``BROADCAST_BYTES``): the query matrix is broadcast once and the data is
+  scanned where it lies with ``mapInPandas``; each task keeps the k best per
+  query across its Arrow batches and emits them once.  The data is never
+  shuffled.  This is the reference's case of a few query words against a
+  whole vocabulary.
+* Block against block (beyond the bound, or with groups): both sides are cut
+  into blocks of at most ``block_rows`` rows (hash of the id, per group),
+  every query block meets every data block of its group through a
+  co-grouped shuffle, and one NumPy product per block pair keeps the k best
+  per query row.  Block counts come from per-group row counts, so a hot
+  group (an LSH bucket with a third of the rows) is split into as many
+  bounded blocks as it needs instead of landing in one task.
+
+Both end with a window per query that ranks at most ``k * pieces`` rows
+(Spark applies the rank limit before the shuffle).
 """
 
 from __future__ import annotations
@@ -75,9 +82,47 @@ def _block_fn(lid: str, rid: str, self_col: str | None, k: int, metric: str, dig
     return fn
 
 
+def _scan_fn(bq, lid: str, rid: str, k: int, metric: str, digits: int | None, has_self: bool,
+             chunk: int = 1024):
+    """mapInPandas body: the broadcast query matrix against every Arrow batch
+    of a data partition; the k best per query are kept across the batches of
+    the partition and emitted once at its end."""
+    def fn(it):
+        Q, qids, sids = bq.value
+        qsq = np.einsum("ij,ij->i", Q, Q) if metric == "l2" else None
+        keep = []
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            xid = pdf[rid].to_numpy(dtype=np.int64)
+            xsq = np.einsum("ij,ij->i", X, X) if metric == "l2" else None
+            for s in range(0, len(Q), chunk):
+                G = Q[s:s + chunk] @ X.T
+                if metric == "dot":
+                    score = G
+                    key = -(np.round(G, digits) if digits is not None else G)
+                else:
+                    score = np.maximum(qsq[s:s + chunk, None] - 2.0 * G + xsq[None, :], 0.0)
+                    key = np.round(score, digits) if digits is not None else score
+                if has_self:
+                    key = np.where(sids[s:s + chunk, None] == xid[None, :], np.inf, key)
+                r, c = _top_rows(key, xid, k)
+                keep.append(pd.DataFrame({lid: qids[s:s + chunk][r], rid: xid[c],
+                                          "score": score[r, c], "_key": key[r, c]}))
+        if keep:
+            out = pd.concat(keep, ignore_index=True).sort_values([lid, "_key", rid], kind="stable")
+            yield out.groupby(lid, sort=False).head(k).drop(columns="_key")
+    return fn
+
+
+BROADCAST_BYTES = 32 << 20
+
+
 def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: int,
                  metric: str = "dot", digits: int | None = None, group_cols=(),
-                 self_col: str | None = None, block_rows: int = 1024) -> DataFrame:
+                 self_col: str | None = None, block_rows: int = 1024,
+                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Exact top-k per left row among right rows of the same group.
 
     left:  (lid bigint, vec array<double>, [self_col bigint], *group_cols)
@@ -92,6 +137,25 @@ def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: in
     lcols = [lid, "vec"] + ([self_col] if self_col else []) + g
     left = left.select(*lcols)
     right = right.select(rid, "vec", *g)
+    schema = f"{lid} long, {rid} long, score double"
+    rkey = F.round("score", digits) if digits is not None else F.col("score")
+    order = [rkey.desc() if metric == "dot" else rkey.asc(), F.col(rid).asc()]
+    w = Window.partitionBy(lid).orderBy(*order)
+
+    if not g:
+        # Size check of the query side (one small aggregate).  A query matrix
+        # below the bound is broadcast and the data is scanned where it lies:
+        # no shuffle of the data; beyond the bound, blocks meet by cogroup.
+        st = left.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+        if st["n"] and st["n"] * (st["d"] or 0) * 8 <= broadcast_bytes:
+            rows = left.collect()
+            Q = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
+            qids = np.array([r[lid] for r in rows], dtype=np.int64)
+            sids = np.array([r[self_col] for r in rows], dtype=np.int64) if self_col else None
+            bq = left.sparkSession.sparkContext.broadcast((Q, qids, sids))
+            part = right.mapInPandas(_scan_fn(bq, lid, rid, k, metric, digits, self_col is not None), schema)
+            return (part.withColumn("rank", F.row_number().over(w))
+                    .where(F.col("rank") <= k))
     B = float(block_rows)
     nblocks = F.ceil(F.count(F.lit(1)) / B).cast("int")
     if g:
@@ -116,15 +180,11 @@ def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: in
             .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_nbl") - 1)))
             .drop("_nbl", "_nbr"))
     keys = g + ["_lb", "_rb"]
-    schema = f"{lid} long, {rid} long, score double"
     part = (lrep.groupBy(*keys).cogroup(rrep.groupBy(*keys))
             .applyInPandas(_block_fn(lid, rid, self_col, k, metric, digits), schema))
     if group_cols:
         # the same pair can meet in several groups (LSH tables); without
         # groups every pair is scored exactly once and no dedupe is needed
         part = part.dropDuplicates([lid, rid])
-    rkey = F.round("score", digits) if digits is not None else F.col("score")
-    order = [rkey.desc() if metric == "dot" else rkey.asc(), F.col(rid).asc()]
-    w = Window.partitionBy(lid).orderBy(*order)
     return (part.withColumn("rank", F.row_number().over(w))
             .where(F.col("rank") <= k))

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import normalize
-from quarry.operators.blocked import blocked_topk
+from quarry.operators.blocked import BROADCAST_BYTES, blocked_topk
 
 SIM_DIGITS = 6
 
@@ -36,7 +36,8 @@ def unknown_words(words: DataFrame, vectors: DataFrame) -> DataFrame:
     return words.join(vectors.select("word"), "word", "left_anti").select("qid", "word")
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = 1024) -> DataFrame:
+def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = 1024,
+                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Exact cosine top-k per query, the query's own vector excluded.
 
     queries: (qid, idx, vec) raw vectors; vectors: (idx, vec) raw vectors.
@@ -45,19 +46,21 @@ def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows:
     q = unit_vectors(queries).select("qid", F.col("idx").alias("self_idx"), "vec")
     x = unit_vectors(vectors).select("idx", "vec")
     top = blocked_topk(q, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
-                       self_col="self_idx", block_rows=block_rows)
+                       self_col="self_idx", block_rows=block_rows, broadcast_bytes=broadcast_bytes)
     return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
                       F.round("score", SIM_DIGITS).alias("sim"))
 
 
 def l2_nearest_batched(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
-                       cols=("easting", "northing"), carry=(), block_rows: int = 2048) -> DataFrame:
+                       cols=("easting", "northing"), carry=(), block_rows: int = 2048,
+                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """1-NN by blocks of queries against blocks of points, one matrix
     product per block pair (the batched linear scan)."""
     vec = F.array(*[F.col(c).cast("double") for c in cols])
     p = points.select(F.col(pid).alias("_pid"), vec.alias("vec"))
     q = queries.select(F.col(qid).alias("_qid"), vec.alias("vec"))
-    top = blocked_topk(q, p, lid="_qid", rid="_pid", k=1, metric="l2", block_rows=block_rows)
+    top = blocked_topk(q, p, lid="_qid", rid="_pid", k=1, metric="l2", block_rows=block_rows,
+                       broadcast_bytes=broadcast_bytes)
     res = top.select(F.col("_qid").alias(qid), F.col("_pid").alias(pid), F.sqrt("score").alias("dist"))
     if carry:
         res = res.join(points.select(F.col(pid), *carry), pid)

@@ -1,6 +1,7 @@
 import math
 
 import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quarry.operators import lsh, neighbours, spatial
@@ -58,7 +59,8 @@ def test_plane_variants_agree_with_brute_force(spark):
         want[qid] = min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1]
     for res in (spatial.nearest_in_plane(pdf, qdf, form="direct"),
                 spatial.nearest_in_plane(pdf, qdf, form="expanded"),
-                neighbours.l2_nearest_batched(pdf, qdf, block_rows=64)):
+                neighbours.l2_nearest_batched(pdf, qdf, block_rows=64, broadcast_bytes=0),
+                neighbours.l2_nearest_batched(pdf.repartition(4), qdf)):
         assert {r.qid: r.id for r in res.collect()} == want
     assert want[999] == 900
 
@@ -82,9 +84,10 @@ def _cos_brute(X, qids, k):
     return out
 
 
-def test_cosine_topk_matches_brute_force(spark):
+@pytest.mark.parametrize("bcast", [0, 1 << 30])   # block cogroup / broadcast scan
+def test_cosine_topk_matches_brute_force(spark, bcast):
     X, vecs, qs = _vec_frames(spark)
-    res = neighbours.cosine_topk(qs, vecs, k=3, block_rows=32).collect()
+    res = neighbours.cosine_topk(qs, vecs.repartition(3), k=3, block_rows=32, broadcast_bytes=bcast).collect()
     got = {}
     for r in sorted(res, key=lambda r: (r.qid, r.rank)):
         got.setdefault(r.qid, []).append(r.idx)
