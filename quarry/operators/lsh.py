@@ -18,11 +18,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_u32, md5_u32_py
-from quarry.operators.blocked import blocked_topk
+from quarry.operators.blocked import BROADCAST_BYTES, _top_rows, blocked_topk
 from quarry.operators.neighbours import SIM_DIGITS, unit_vectors
 from quarry.session import scratch_path
 
@@ -72,10 +72,16 @@ def signatures(vectors: DataFrame, planes: np.ndarray, id_col: str = "idx") -> D
     return vectors.select(id_col, "vec").mapInPandas(fn, f"{id_col} long, sig string")
 
 
+def bucket_keys(positions: list[list[int]], sig: str = "sig"):
+    """array<string> of the L bucket keys: the selected bits of each table,
+    in slot order (one SQL expression)."""
+    return F.expr("array(" + ", ".join(
+        "concat(" + ", ".join(f"substr({sig}, {p + 1}, 1)" for p in pos) + ")" for pos in positions) + ")")
+
+
 def buckets(sigs: DataFrame, positions: list[list[int]], id_col: str = "idx") -> DataFrame:
-    """(id, tbl, bucket): the selected bits of each table, in slot order."""
-    keys = F.array(*[F.concat(*[F.substring("sig", p + 1, 1) for p in pos]) for pos in positions])
-    return sigs.select(id_col, F.posexplode(keys).alias("tbl", "bucket"))
+    """(id, tbl, bucket): one row per table."""
+    return sigs.select(id_col, F.posexplode(bucket_keys(positions)).alias("tbl", "bucket"))
 
 
 def bucket_sizes(bk: DataFrame) -> DataFrame:
@@ -84,44 +90,100 @@ def bucket_sizes(bk: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LshIndex:
-    buckets: DataFrame   # (idx, tbl, bucket)
-    vectors: DataFrame   # (idx, vec): unit vectors
+    rows: DataFrame      # (idx, vec unit, keys array<string> of the L buckets)
 
 
 def fit(vectors: DataFrame, planes: np.ndarray, positions, path: str | None = None) -> LshIndex:
-    """Sign every row once and write the bucket table and the unit vectors
-    under ``path`` (a fresh folder of the shared location by default).
-
-    Queries then join files: the signing pass runs once per index, not once
-    per reference in a query plan, and nothing has lineage back to the
-    source.
+    """Sign every row once (one Arrow pass) and write (idx, unit vector,
+    bucket keys) under ``path`` (a fresh folder of the shared location by
+    default).  One row per vector: the L tables are an array, not L copies.
+    Queries read these files; nothing has lineage back to the source.
     """
     spark = vectors.sparkSession
     path = path or scratch_path(spark, "lsh-index")
-    buckets(signatures(vectors, planes), positions).write.mode("overwrite").parquet(f"{path}/buckets")
-    unit_vectors(vectors).select("idx", "vec").write.mode("overwrite").parquet(f"{path}/vectors")
-    return LshIndex(spark.read.parquet(f"{path}/buckets"), spark.read.parquet(f"{path}/vectors"))
+    keys = signatures(vectors, planes).select("idx", bucket_keys(positions).alias("keys"))
+    unit_vectors(vectors).select("idx", "vec").join(keys, "idx").write.mode("overwrite").parquet(path)
+    return LshIndex(spark.read.parquet(path))
 
 
-def query(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = 1024) -> DataFrame:
+def _scan_fn(bq, k: int):
+    """mapInPandas body for a broadcast query set: per Arrow batch of index
+    rows and per table, rows and queries sharing a bucket meet in one NumPy
+    product; the k best per query are kept across the batches of the task.
+    Every index row lives in one task, so the per-task dedupe of pairs found
+    through several tables is exact."""
+    def fn(it):
+        Q, qids, sids, qkeys = bq.value
+        L = qkeys.shape[1]
+        by_bucket = []
+        for t in range(L):
+            d = {}
+            for i, key in enumerate(qkeys[:, t]):
+                d.setdefault(key, []).append(i)
+            by_bucket.append({key: np.array(v) for key, v in d.items()})
+        keep = []
+        for pdf in it:
+            if pdf.empty:
+                continue
+            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
+            xid = pdf["idx"].to_numpy(dtype=np.int64)
+            xkeys = np.stack(pdf["keys"].to_numpy())
+            for t in range(L):
+                col = xkeys[:, t]
+                for key in np.unique(col):
+                    qi = by_bucket[t].get(key)
+                    if qi is None:
+                        continue
+                    xi = np.flatnonzero(col == key)
+                    score = Q[qi] @ X[xi].T
+                    kk = -np.round(score, SIM_DIGITS)
+                    kk = np.where(sids[qi][:, None] == xid[xi][None, :], np.inf, kk)
+                    r, c = _top_rows(kk, xid[xi], k)
+                    keep.append(pd.DataFrame({"qid": qids[qi][r], "idx": xid[xi][c],
+                                              "score": score[r, c], "_key": kk[r, c]}))
+        if keep:
+            out = (pd.concat(keep, ignore_index=True).drop_duplicates(["qid", "idx"])
+                   .sort_values(["qid", "_key", "idx"], kind="stable"))
+            yield out.groupby("qid", sort=False).head(k).drop(columns="_key")
+    return fn
+
+
+def query(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = 1024,
+          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """queries (qid, idx) naming rows of the index -> (qid, rank, idx, sim).
 
-    A query takes the buckets of its own row by an equi-join; candidates are
-    the rows sharing a (table, bucket), ranked by the exact dot product of
-    unit vectors inside :func:`blocked_topk`.
+    Candidates are the rows sharing a (table, bucket) with the query's own
+    row, ranked by the exact dot product of unit vectors.  A query set whose
+    matrix passes the size check is broadcast and the index is scanned in
+    place (no shuffle of the index); otherwise both sides are exploded to
+    (table, bucket) and meet block against block in :func:`blocked_topk`.
     """
-    x = index.vectors.join(index.buckets, "idx")
-    qb = index.buckets.select(F.col("idx").alias("self_idx"), F.col("tbl").alias("tbl"),
-                              F.col("bucket").alias("bucket"))
-    qv = index.vectors.select(F.col("idx").alias("self_idx"), F.col("vec").alias("vec"))
-    q = queries.select("qid", F.col("idx").alias("self_idx")).join(qv, "self_idx").join(qb, "self_idx")
-    top = blocked_topk(q, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
-                       group_cols=("tbl", "bucket"), self_col="self_idx", block_rows=block_rows)
+    rows = index.rows
+    q = (queries.select("qid", F.col("idx").alias("self_idx"))
+         .join(rows.select(F.col("idx").alias("self_idx"), F.col("vec").alias("vec"), F.col("keys").alias("keys")),
+               "self_idx"))
+    w = Window.partitionBy("qid").orderBy(F.round("score", SIM_DIGITS).desc(), F.col("idx").asc())
+    st = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
+    if st["n"] and st["n"] * (st["d"] or 0) * 8 <= broadcast_bytes:
+        got = q.collect()
+        Q = np.array([r["vec"] for r in got], dtype=np.float64).reshape(len(got), -1)
+        qids = np.array([r["qid"] for r in got], dtype=np.int64)
+        sids = np.array([r["self_idx"] for r in got], dtype=np.int64)
+        qkeys = np.array([list(r["keys"]) for r in got], dtype=object)
+        bq = rows.sparkSession.sparkContext.broadcast((Q, qids, sids, qkeys))
+        top = (rows.mapInPandas(_scan_fn(bq, k), "qid long, idx long, score double")
+               .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
+    else:
+        x = rows.select("idx", "vec", F.posexplode("keys").alias("tbl", "bucket"))
+        qx = q.select("qid", "self_idx", "vec", F.posexplode("keys").alias("tbl", "bucket"))
+        top = blocked_topk(qx, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
+                           group_cols=("tbl", "bucket"), self_col="self_idx", block_rows=block_rows)
     return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
                       F.round("score", SIM_DIGITS).alias("sim"))
 
 
 def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
-             block_rows: int = 1024) -> DataFrame:
+             block_rows: int = 1024, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Fit on ``vectors`` (idx, vec) and answer ``queries`` (qid, idx)."""
-    return query(fit(vectors, planes, positions), queries, k=k, block_rows=block_rows)
+    return query(fit(vectors, planes, positions), queries, k=k, block_rows=block_rows,
+                 broadcast_bytes=broadcast_bytes)

@@ -95,11 +95,14 @@ def test_cosine_topk_matches_brute_force(spark, bcast):
     assert got[4][0] == 5                      # the duplicate is a neighbour, not "self"
 
 
-def test_lsh_never_beats_exact(spark):
+def test_lsh_never_beats_exact_and_paths_agree(spark):
     X, vecs, qs = _vec_frames(spark)
     planes = lsh.plane_matrix(lsh.hyperplanes(spark, 8, X.shape[1], 1234))
     pos = lsh.bit_positions(4, 3, 8, 1234)
-    approx = lsh.lsh_topk(qs, vecs, planes, pos, k=3, block_rows=16).collect()
+    index = lsh.fit(vecs.repartition(3), planes, pos)
+    approx = lsh.query(index, qs, k=3, block_rows=16, broadcast_bytes=0).collect()
+    scanned = lsh.query(index, qs, k=3).collect()
+    assert sorted(tuple(r) for r in approx) == sorted(tuple(r) for r in scanned)
     exact = {(r.qid, r.rank): r.sim for r in neighbours.cosine_topk(qs, vecs, k=3).collect()}
     assert approx
     for r in approx:
