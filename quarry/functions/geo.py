@@ -13,6 +13,3 @@ def haversine(lat1: Column, lon1: Column, lat2: Column, lon2: Column) -> Column:
          + F.cos(lat1) * F.cos(lat2) * F.pow(F.sin((lon2 - lon1) / 2), 2))
     return F.lit(2.0) * F.asin(F.sqrt(F.least(a, F.lit(1.0))))
 
-
-def to_radians(c: Column) -> Column:
-    return F.radians(c)

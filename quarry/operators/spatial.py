@@ -54,15 +54,6 @@ def _top(bits: int) -> int:
     return -(-bits // STEP)
 
 
-def _neigh3(c: Column) -> Column:
-    return F.explode(F.array(c - 1, c, c + 1))
-
-
-def _children() -> Column:
-    return F.explode(F.array(*[F.struct(F.lit(a).alias("da"), F.lit(b).alias("db"))
-                               for a in range(1 << STEP) for b in range(1 << STEP)]))
-
-
 @dataclass(frozen=True)
 class Geometry:
     kind: str                 # "sphere" or "plane"

@@ -142,3 +142,20 @@ def test_grid_nn_with_copies_and_dense_cluster(spark):
     want = {qid: min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1] for qid, qx, qy in Q}
     assert {r.qid: r.id for r in spatial.nearest_in_plane(pdf, qdf).collect()} == want
     assert want[100] == 1000
+
+
+def test_vector_expressions(spark):
+    from quarry.functions.vectors import dot, l2_direct, norm, normalize
+    df = spark.createDataFrame([([3.0, 4.0], [0.0, 1.0]), ([0.0, 0.0], [1.0, 1.0])], "a array<double>, b array<double>")
+    r = df.select(dot(F.col("a"), F.col("b")).alias("d"), l2_direct(F.col("a"), F.col("b")).alias("l"),
+                  norm(F.col("a")).alias("n"), normalize(F.col("a")).alias("u")).collect()
+    assert (r[0].d, r[0].n, r[0].u) == (4.0, 5.0, [0.6, 0.8])
+    assert r[0].l == pytest.approx(math.sqrt(9 + 9))
+    assert r[1].u is None                     # zero vector: NULL, not a division error
+
+
+def test_cluster_conf_sizes_with_cores():
+    from quarry.session import cluster_conf
+    c = cluster_conf(8000)
+    assert c["spark.sql.shuffle.partitions"] == "24000"
+    assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 * 1024

@@ -147,3 +147,12 @@ def test_estimate_branches(spark, m, rhos):
     assert got.n_set == len(rhos)
     assert got.estimate == pytest.approx(round(_formula(rhos, m), 6), rel=1e-12)
     assert got.estimate_int == int(_formula(rhos, m))
+
+
+def test_tabulation_table_form(spark):
+    from quarry.functions.hashing import tabulation_tables
+    t = tabulation_tables(spark, 42)
+    assert t.count() == 4 * 65536
+    some = {(r.tbl, r.idx): r.v for r in t.where("idx in (0, 1, 65535)").collect()}
+    for (tbl, idx), v in some.items():
+        assert v == int(hashlib.md5(f"42:{tbl}:{idx}".encode()).hexdigest()[:8], 16)
