@@ -77,24 +77,24 @@ def follower_summary_owners(adj: DataFrame) -> DataFrame:
 
     Top id and max come from the mentioned ids; the mean divides all
     follower links by the number of owners; the zero count is the owners
-    nobody mentions (anti join), which stays right when mentioned ids own no
-    line (the owners-minus-mentioned subtraction would not).
+    nobody mentions, which stays right when mentioned ids own no line (the
+    owners-minus-mentioned subtraction would not).  One full outer join of
+    owners and follower counts (both one row per id) and one aggregate.
     """
     mentioned = (adj.select(F.explode("follows").alias("id"))
                  .groupBy("id").agg(F.count(F.lit(1)).alias("n_followers")))
-    owners = adj.select(F.col("user").alias("id")).distinct()
-    top = mentioned.agg(
-        _top_id("id", "n_followers").alias("top_id"),
+    owners = adj.select(F.col("user").alias("id"), F.lit(True).alias("owner")).distinct()
+    both = owners.join(mentioned, "id", "full")
+    is_owner = F.col("owner").isNotNull()
+    return both.agg(
+        F.min_by(F.col("id"), F.when(F.col("n_followers").isNotNull(),
+                                     F.struct((-F.col("n_followers")).alias("k"), F.col("id").alias("i"))))
+        .alias("top_id"),
         F.coalesce(F.max("n_followers"), F.lit(0)).cast("bigint").alias("max_followers"),
-        F.coalesce(F.sum("n_followers"), F.lit(0)).cast("bigint").alias("n_links"))
-    pop = owners.agg(F.count(F.lit(1)).alias("n_owners"))
-    zero = owners.join(mentioned, "id", "left_anti").agg(F.count(F.lit(1)).cast("bigint").alias("n_zero"))
-    # Three one-row aggregates side by side: scalar subqueries, no join.
-    return top.select(
-        "top_id", "max_followers",
-        F.round(F.try_divide(F.col("n_links").cast("double"), pop.scalar()), 6).alias("avg_followers"),
-        zero.scalar().alias("n_zero"),
-        pop.scalar().cast("bigint").alias("n_owners"))
+        F.round(F.try_divide(F.coalesce(F.sum("n_followers"), F.lit(0)).cast("double"),
+                             F.count_if(is_owner).cast("double")), 6).alias("avg_followers"),
+        F.count_if(is_owner & F.col("n_followers").isNull()).cast("bigint").alias("n_zero"),
+        F.count_if(is_owner).cast("bigint").alias("n_owners"))
 
 
 def distinct_users(adj: DataFrame) -> DataFrame:
