@@ -265,8 +265,9 @@ select word, cast(len(vec) as integer) dim, cast(list_sum(vec) as bigint) vsum f
 
 ORACLE["vectors_normalize"] = "with " + VEC + """,
 nv as (select word, sqrt(list_inner_product(vec, vec)) n, vec from pv),
-uv as (select word, n, list_transform(vec, lambda x: x / n) u from nv where n > 0)
-select word, round(n, 6) norm, round(u[1], 6) first_unit, round(sqrt(list_inner_product(u, u)), 6) unit_norm from uv"""
+uv as (select word, n, vec, list_transform(vec, lambda x: x / n) u from nv where n > 0)
+select word, cast(list_inner_product(vec, vec) as bigint) sq_norm, round(u[1], 6) first_unit,
+       round(sqrt(list_inner_product(u, u)), 6) unit_norm from uv"""
 
 ORACLE["query_vectors"] = "with " + VEC + """
 select qw.qid, qw.word, ev.idx, cast(len(ev.v) as integer) dim from qw join ev on qw.word = ev.word"""

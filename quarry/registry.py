@@ -257,8 +257,10 @@ def q_vectors_parse(spark, sf):
 @query("vectors_normalize")
 def q_vectors_normalize(spark, sf):
     v = text.parse_vectors(fx.vector_lines(spark, sf))
-    u = v.select("word", vfn.norm(F.col("vec")).alias("norm"), vfn.normalize(F.col("vec")).alias("u"))
-    return u.select("word", F.round("norm", 6).alias("norm"),
+    # The components are integers (x 10^6), so the squared norm is an exact
+    # integer; a rounded norm near 10^6 would fall on decimal rounding ties.
+    u = v.select("word", vfn.sq_norm(F.col("vec")).alias("sq"), vfn.normalize(F.col("vec")).alias("u"))
+    return u.select("word", F.col("sq").cast("bigint").alias("sq_norm"),
                     F.round(F.element_at("u", 1), 6).alias("first_unit"),
                     F.round(vfn.norm(F.col("u")), 6).alias("unit_norm"))
 
