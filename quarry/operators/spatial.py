@@ -36,7 +36,7 @@ from __future__ import annotations
 import math
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.functions.geo import haversine
@@ -90,6 +90,21 @@ class Geometry:
             d2 = (pa - qa) * (pa - qa) + (pb - qb) * (pb - qb)
         return F.sqrt(d2)
 
+    # ---- lower bound of the distance from (qa, qb) to any point of a cell ----
+    def cell_lower_bound(self, qa: Column, qb: Column, ci: Column, cj: Column, s: int) -> Column:
+        """Cell (ci, cj) at shift ``s`` covers level-0 rows [ci << s, (ci + 1) << s).
+        Plane: distance to the cell rectangle.  Sphere: the latitude gap to
+        the cell's band (a great-circle distance is never below it)."""
+        lo_i, hi_i = F.shiftleft(ci, s).cast("double"), F.shiftleft(ci + 1, s).cast("double")
+        if self.kind == "sphere":
+            lat_lo = lo_i * (180.0 / self.ni) - 90.0
+            lat_hi = hi_i * (180.0 / self.ni) - 90.0
+            return F.radians(F.greatest(lat_lo - qa, qa - lat_hi, F.lit(0.0)))
+        lo_j, hi_j = F.shiftleft(cj, s).cast("double"), F.shiftleft(cj + 1, s).cast("double")
+        dy = F.greatest(self.y0 + lo_i * self.c0 - qa, qa - (self.y0 + hi_i * self.c0), F.lit(0.0))
+        dx = F.greatest(self.x0 + lo_j * self.c0 - qb, qb - (self.x0 + hi_j * self.c0), F.lit(0.0))
+        return F.sqrt(dx * dx + dy * dy)
+
     # ---- level-0 index box of radius d around (qa, qb) ----
     def box(self, qa: Column, qb: Column, d: Column):
         """(ilo, ihi, jlo, jhi, jfull); j may run past [0, nj) on the sphere."""
@@ -187,7 +202,7 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
 
     # Stage 2: descend the pyramid through non-empty cells meeting the box.
     ilo, ihi, jlo, jhi, full = geom.box(qa, qb, F.col("bd"))
-    q2 = bound.select("_qid", "_qa", "_qb", ilo.alias("ilo"), ihi.alias("ihi"),
+    q2 = bound.select("_qid", "_qa", "_qb", "bd", ilo.alias("ilo"), ihi.alias("ihi"),
                       jlo.alias("jlo"), jhi.alias("jhi"), full.alias("full"))
     if geom.wrap_j:
         nj = geom.nj
@@ -202,16 +217,29 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
     else:
         ranges = F.array(F.struct(F.col("jlo").alias("lo"), F.col("jhi").alias("hi")))
     s = STEP * top
-    box = ["_qid", "_qa", "_qb", "ilo", "ihi", "jlo", "jhi"]
+    box = ["_qid", "_qa", "_qb", "bd", "ilo", "ihi", "jlo", "jhi"]
+    by_query = Window.partitionBy("_qid")
 
     def level(lv):
-        return reps.where(F.col("lv") == lv).select("ci", "cj")
-
-    front = (q2.select("_qid", "_qa", "_qb", "ilo", "ihi", F.explode(ranges).alias("rg"))
-             .select("_qid", "_qa", "_qb", "ilo", "ihi", F.col("rg.lo").alias("jlo"), F.col("rg.hi").alias("jhi"),
+        return reps.where(F.col("lv") == lv).select("ci", "cj", "r")
+
+    def tighten(front, sh):
+        """Branch and bound: the representatives of the cells just reached
+        are real points, so the nearest of them tightens the query's bound;
+        cells whose lower-bound distance exceeds it cannot hold the answer."""
+        dr = geom.dist(qa, qb, F.col("r.a"), F.col("r.b"), F.col("r.n"))
+        lb = geom.cell_lower_bound(qa, qb, F.col("ci"), F.col("cj"), sh)
+        return (front.withColumn("bd", F.least(F.col("bd"), F.min(dr).over(by_query)))
+                .where(lb <= F.col("bd") * (1 + _EPS) + _EPS)
+                .select(*box, "ci", "cj"))
+
+    front = (q2.select("_qid", "_qa", "_qb", "bd", "ilo", "ihi", F.explode(ranges).alias("rg"))
+             .select("_qid", "_qa", "_qb", "bd", "ilo", "ihi", F.col("rg.lo").alias("jlo"),
+                     F.col("rg.hi").alias("jhi"),
                      F.explode(F.sequence(F.shiftright("ilo", s), F.shiftright("ihi", s))).alias("ci"))
              .select(*box, "ci", F.explode(F.sequence(F.shiftright("jlo", s), F.shiftright("jhi", s))).alias("cj"))
              .join(level(top), ["ci", "cj"]))
+    front = tighten(front, s)
     f = 1 << STEP
     ch = F.explode(F.expr("array(" + ", ".join(
         f"named_struct('ci', ci * {f} + {da}, 'cj', cj * {f} + {db})"
@@ -225,6 +253,7 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
                        f"shiftleft(k.cj, {s}) <= jhi and shiftleft(k.cj + 1, {s}) - 1 >= jlo")
         front = front.select(*box, ch).join(
             nxt, (F.col("k.ci") == nxt.ci) & (F.col("k.cj") == nxt.cj) & meets).drop("k")
+        front = tighten(front, s)
 
     pairs = front.select("_qid", "_qa", "_qb", "ci", "cj").join(pts, ["ci", "cj"])
     dist = geom.dist(qa, qb, F.col("_pa"), F.col("_pb"), F.col("_pn"))
