@@ -24,7 +24,11 @@ the top, keeping only non-empty cells that meet the box (a join with the
 representatives of each level) and expanding them into their 16 children,
 down to level 0, where the remaining cells are joined with the points.  Work
 follows the points near the query: sparse regions are crossed at coarse
-levels, dense ones are resolved at fine levels.  The minimum of
+levels, dense ones are resolved at fine levels.  At every level the
+representatives of the cells reached tighten the query's bound (a window per
+query over its few frontier cells) and cells whose lower-bound distance
+exceeds it are dropped (branch and bound), so a query far from a dense
+cluster only reaches the cluster's near edge.  The minimum of
 ``(distance, id)`` per query is taken with partial aggregation.
 
 Every join is on cell keys; AQE broadcasts small sides at runtime and splits
