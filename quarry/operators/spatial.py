@@ -24,8 +24,9 @@ the top, keeping only non-empty cells that meet the box (a join with the
 representatives of each level) and expanding them into their 16 children,
 down to level 0, where the remaining cells are joined with the points.  Work
 follows the points near the query: sparse regions are crossed at coarse
-levels, dense ones are resolved at fine levels.  At every level the
-representatives of the cells reached tighten the query's bound (a window per
+levels, dense ones are resolved at fine levels.  At the finest levels (where
+the frontier multiplies) the representatives of the cells reached tighten
+the query's bound (a window per
 query over its few frontier cells) and cells whose lower-bound distance
 exceeds it are dropped (branch and bound), so a query far from a dense
 cluster only reaches the cluster's near edge.  The minimum of
@@ -50,6 +51,7 @@ POINTS_PER_CELL = 2.0     # density of the uniform grid the resolution starts fr
 FINER_BITS = 5            # level 0 is 2^5 = 32x finer per axis than that
 MAX_BITS = 20             # 2^20 latitude bands: cells of ~19 m
 STEP = 2                  # each pyramid level is 2^STEP = 4x coarser per axis
+TIGHTEN_BELOW = 2         # branch-and-bound pruning at the finest levels (< this)
 _EPS = 1e-9
 
 
@@ -243,7 +245,6 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
                      F.explode(F.sequence(F.shiftright("ilo", s), F.shiftright("ihi", s))).alias("ci"))
              .select(*box, "ci", F.explode(F.sequence(F.shiftright("jlo", s), F.shiftright("jhi", s))).alias("cj"))
              .join(level(top), ["ci", "cj"]))
-    front = tighten(front, s)
     f = 1 << STEP
     ch = F.explode(F.expr("array(" + ", ".join(
         f"named_struct('ci', ci * {f} + {da}, 'cj', cj * {f} + {db})"
@@ -257,7 +258,11 @@ def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b:
                        f"shiftleft(k.cj, {s}) <= jhi and shiftleft(k.cj + 1, {s}) - 1 >= jlo")
         front = front.select(*box, ch).join(
             nxt, (F.col("k.ci") == nxt.ci) & (F.col("k.cj") == nxt.cj) & meets).drop("k")
-        front = tighten(front, s)
+        if lv < TIGHTEN_BELOW:
+            # the frontier multiplies 16x per level; prune where it is widest
+            front = tighten(front, s)
+        else:
+            front = front.select(*box, "ci", "cj")
 
     pairs = front.select("_qid", "_qa", "_qb", "ci", "cj").join(pts, ["ci", "cj"])
     dist = geom.dist(qa, qb, F.col("_pa"), F.col("_pb"), F.col("_pn"))
