@@ -60,3 +60,26 @@ def test_line_ids_across_many_splits(spark, tmp_path):
     finally:
         spark.conf.set("spark.sql.files.maxPartitionBytes", old)
     assert sorted((r.qid, r.line) for r in got) == [(i, f"line{i:05d}") for i in range(5000)]
+
+
+def test_worker_functions_travel_by_value(tmp_path):
+    # Executors may not have the package on their path: functions used in
+    # Arrow batches must unpickle in a process that cannot import quarry.
+    import subprocess
+    import sys
+
+    from pyspark import cloudpickle
+
+    import quarry  # noqa: F401  (registers pickle-by-value)
+    from quarry.operators.blocked import _top_rows
+
+    blob = tmp_path / "f.pkl"
+    blob.write_bytes(cloudpickle.dumps(_top_rows))
+    code = ("import pickle, sys, numpy as np; "
+            "sys.path = [p for p in sys.path if 'repo' not in p]; "
+            f"f = pickle.loads(open({str(blob)!r}, 'rb').read()); "
+            "r, c = f(np.array([[3.0, 1.0, 2.0]]), np.array([7, 8, 9]), 2); "
+            "print(list(c))")
+    out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
+    assert out.returncode == 0, out.stderr[-500:]
+    assert out.stdout.strip() == "[1, 2]"
