@@ -79,7 +79,7 @@ def test_worker_functions_travel_by_value(tmp_path):
             "sys.path = [p for p in sys.path if 'repo' not in p]; "
             f"f = pickle.loads(open({str(blob)!r}, 'rb').read()); "
             "r, c = f(np.array([[3.0, 1.0, 2.0]]), np.array([7, 8, 9]), 2); "
-            "print(list(c))")
+            "print([int(x) for x in c])")
     out = subprocess.run([sys.executable, "-c", code], cwd=str(tmp_path), capture_output=True, text=True)
     assert out.returncode == 0, out.stderr[-500:]
     assert out.stdout.strip() == "[1, 2]"
