@@ -159,3 +159,16 @@ def test_cluster_conf_sizes_with_cores():
     c = cluster_conf(8000)
     assert c["spark.sql.shuffle.partitions"] == "24000"
     assert int(c["spark.sql.files.maxPartitionBytes"]) == 256 * 1024 * 1024
+
+
+@pytest.mark.parametrize("below", [0, 99])
+def test_pruning_depth_never_changes_answers(spark, monkeypatch, below):
+    monkeypatch.setattr(spatial, "TIGHTEN_BELOW", below)
+    rng = np.random.default_rng(13)
+    P = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 1e5, size=(200, 2)))]
+    P += [(500 + i, 5e4 + float(dx), 5e4 + float(dy)) for i, (dx, dy) in enumerate(rng.uniform(0, 2, size=(200, 2)))]
+    Q = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-1e4, 1.1e5, size=(40, 2)))]
+    pdf = spark.createDataFrame(P, "id long, easting double, northing double")
+    qdf = spark.createDataFrame(Q, "qid long, easting double, northing double")
+    want = {qid: min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1] for qid, qx, qy in Q}
+    assert {r.qid: r.id for r in spatial.nearest_in_plane(pdf, qdf).collect()} == want
