@@ -1,9 +1,12 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import simhash
+from quarry.llm import decontam, simhash
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op5_decontam": decontam.op5_decontam,
 }
 
-ORACLE: dict[str, str] = {}
+ORACLE: dict[str, str] = {
+    "op5_decontam": decontam.OP5_SQL,
+}
