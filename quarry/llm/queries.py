@@ -1,9 +1,10 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, simhash
+from quarry.llm import decontam, packing, simhash
 
 QUERIES = {
     "op2_simhash": simhash.op2_simhash,
+    "op3_packing": packing.op3_packing,
     "op5_decontam": decontam.op5_decontam,
 }
 
