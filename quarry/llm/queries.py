@@ -1,8 +1,9 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, packing, simhash
+from quarry.llm import decontam, langid, packing, simhash
 
 QUERIES = {
+    "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op3_packing": packing.op3_packing,
     "op5_decontam": decontam.op5_decontam,
