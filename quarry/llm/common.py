@@ -52,3 +52,27 @@ def unused(df: DataFrame, base: str) -> str:
 def text_key(c: Column) -> Column:
     """64-bit hash of a text; with the id it identifies a document row."""
     return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())
+
+
+def slot_bitmap(keys: DataFrame, bits: int = 22):
+    """Native membership filter of fixed size over a table with one long column.
+
+    Returns a function of a long column that is true for every key of the
+    table (and for few others, while the table has far fewer keys than
+    ``2^bits``).  At most ``2^bits / 64`` longs reach the driver.
+    """
+    key = keys.columns[0]
+    slot = F.pmod(F.col(key), F.lit(1 << bits))
+    words = (keys.where(F.col(key).isNotNull()).select(slot.alias("s"))
+             .groupBy(F.shiftright("s", 6).cast("int").alias("w"))
+             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b")).collect())
+    array = [0] * (1 << (bits - 6))
+    for r in words:
+        array[r["w"]] = r["b"]
+    table_ = constant_array(array, "bigint")
+
+    def contains(c: Column) -> Column:
+        s = F.pmod(c, F.lit(1 << bits))
+        word = F.get(table_, F.shiftright(s, 6).cast("int"))
+        return F.getbit(word, s.bitwiseAND(F.lit(63)).cast("int")) == 1
+    return contains

@@ -1,14 +1,16 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, langid, packing, simhash
+from quarry.llm import decontam, langid, linededup, packing, simhash
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op3_packing": packing.op3_packing,
     "op5_decontam": decontam.op5_decontam,
+    "op10_linededup": linededup.op10_linededup,
 }
 
 ORACLE: dict[str, str] = {
     "op5_decontam": decontam.OP5_SQL,
+    "op10_linededup": linededup.OP10_SQL,
 }
