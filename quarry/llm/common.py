@@ -76,3 +76,8 @@ def slot_bitmap(keys: DataFrame, bits: int = 22):
         word = F.get(table_, F.shiftright(s, 6).cast("int"))
         return F.getbit(word, s.bitwiseAND(F.lit(63)).cast("int")) == 1
     return contains
+
+
+def bound(c: Column, use) -> Column:
+    """``use(c)`` with ``c`` evaluated once, also where ``use`` has it inside a lambda."""
+    return F.get(F.transform(F.array(c), use), F.lit(0))

@@ -1,12 +1,13 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, langid, linededup, packing, simhash
+from quarry.llm import decontam, langid, linededup, packing, quality, simhash
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op3_packing": packing.op3_packing,
     "op5_decontam": decontam.op5_decontam,
+    "op8_quality": quality.op8_quality,
     "op10_linededup": linededup.op10_linededup,
 }
 
