@@ -81,3 +81,23 @@ def slot_bitmap(keys: DataFrame, bits: int = 22):
 def bound(c: Column, use) -> Column:
     """``use(c)`` with ``c`` evaluated once, also where ``use`` has it inside a lambda."""
     return F.get(F.transform(F.array(c), use), F.lit(0))
+
+
+def prefix_sums(c: Column, block: int = 256) -> Column:
+    """Inclusive running sums of an array<int>, as array<long>: first within
+    blocks, then over the blocks, so that long arrays stay cheap."""
+    empty = F.array().cast("array<long>")
+
+    def within(xs: Column) -> Column:
+        return F.aggregate(xs, F.struct(F.lit(0).cast("long").alias("n"), empty.alias("out")),
+                           lambda a, x: F.struct((a["n"] + x).alias("n"), F.concat(a["out"], F.array(a["n"] + x)).alias("out")),
+                           lambda a: a["out"])
+
+    def over(xs: Column) -> Column:
+        starts = F.filter(F.sequence(F.lit(0), F.ceil(F.size(xs) / block).cast("int")), lambda b: b * block < F.size(xs))
+        blocks = F.transform(starts, lambda b: within(F.slice(xs, b * block + 1, F.lit(block))))
+        return F.aggregate(blocks, F.struct(F.lit(0).cast("long").alias("n"), empty.alias("out")),
+                           lambda a, p: F.struct((a["n"] + F.element_at(p, -1)).alias("n"),
+                                                 F.concat(a["out"], F.transform(p, lambda x: x + a["n"])).alias("out")),
+                           lambda a: a["out"])
+    return bound(c, over)
