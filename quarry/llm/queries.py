@@ -1,11 +1,12 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, langid, linededup, packing, quality, secrets, simhash
+from quarry.llm import decontam, html, langid, linededup, packing, quality, secrets, simhash
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
     "op2_simhash": simhash.op2_simhash,
     "op3_packing": packing.op3_packing,
+    "op4_html": html.op4_html,
     "op5_decontam": decontam.op5_decontam,
     "op7_secrets": secrets.op7_secrets,
     "op8_quality": quality.op8_quality,
