@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, html, langid, linededup, packing, quality, secrets, simhash
+from quarry.llm import decontam, html, langid, linededup, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -8,6 +8,7 @@ QUERIES = {
     "op3_packing": packing.op3_packing,
     "op4_html": html.op4_html,
     "op5_decontam": decontam.op5_decontam,
+    "op6_warc": warc.op6_warc,
     "op7_secrets": secrets.op7_secrets,
     "op8_quality": quality.op8_quality,
     "op10_linededup": linededup.op10_linededup,
@@ -16,4 +17,5 @@ QUERIES = {
 ORACLE: dict[str, str] = {
     "op5_decontam": decontam.OP5_SQL,
     "op10_linededup": linededup.OP10_SQL,
+    "op6_warc": warc.OP6_SQL,
 }
