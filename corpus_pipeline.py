@@ -9,21 +9,54 @@ columns of ``documents``.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from quarry.llm import simhash
+from quarry.llm import decontam, langid, linededup, packing, simhash
 from quarry.llm.common import staged, table
 
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents without a language (no letter, or unlike every learned one) go."""
+    return langid.accepted(docs, langid.fit(docs))
+
+
+def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Repeated lines go, the earliest stays; a document of which no word is
+    left goes with them.  ``n_chars`` follows the text."""
+    kept = linededup.dedup_lines(docs)
+    changed = F.col("n_exact_removed") + F.col("n_near_removed") > 0
+    left = kept.where(~changed | F.regexp_like("text", F.lit("[^\\x20\\x09-\\x0D]")))
+    return left.select(*[F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
+                         if c == "n_chars" else F.col(c) for c in docs.columns])
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each SimHash group stays."""
     return simhash.keep_one(docs)
 
 
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents with a benchmark window go."""
+    return decontam.clean(docs, table(spark, sf_dir, "benchmark", "item_id", "text"))
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token sequences: one row per piece, with its ids."""
+    import public_tokenizers
+    return packing.pack(docs, public_tokenizers.path(TOKENIZER))
+
+
 STAGES = [
+    ("language_id", language_id),
+    ("line_dedup", line_dedup),
     ("simhash_near_dedup", near_duplicates),
+    ("benchmark_decontamination", decontamination),
+    ("packing", pack),
 ]
 
-#: Classifiers and connected components have no SQL form; tests compare with brute force.
+#: Classifiers, connected components and tokenizers have no SQL form; tests compare with brute force.
 ORACLE_SQL = None
 
 
