@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import decontam, html, langid, linededup, packing, quality, secrets, simhash, warc
+from quarry.llm import chat, decontam, html, langid, linededup, packing, quality, secrets, simhash, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -11,6 +11,7 @@ QUERIES = {
     "op6_warc": warc.op6_warc,
     "op7_secrets": secrets.op7_secrets,
     "op8_quality": quality.op8_quality,
+    "op9_chat": chat.op9_chat,
     "op10_linededup": linededup.op10_linededup,
 }
 
