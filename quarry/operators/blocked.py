@@ -1,33 +1,35 @@
-"""Exact top-k between two vector sets.
-
-The work of an exact k-nearest search is every (query, row) score, but the
-output is only k rows per query, and no pair ever becomes a row.  Two plans:
-
-* Broadcast scan (no groups, query matrix within a checked size bound,
-  ``BROADCAST_BYTES``): the query matrix is broadcast once and the data is
-  scanned where it lies with ``mapInPandas``; each task keeps the k best per
-  query across its Arrow batches and emits them once.  The data is never
-  shuffled.  This is the reference's case of a few query words against a
-  whole vocabulary.
-* Block against block (beyond the bound, or with groups): both sides are cut
-  into blocks of at most ``block_rows`` rows (hash of the id, per group),
-  every query block meets every data block of its group through a
-  co-grouped shuffle, and one NumPy product per block pair keeps the k best
-  per query row.  Block counts come from per-group row counts, so a hot
-  group (an LSH bucket with a third of the rows) is split into as many
-  bounded blocks as it needs instead of landing in one task.
-
-Both end with a window per query that ranks at most ``k * pieces`` rows
-(Spark applies the rank limit before the shuffle).
+"""Exact top-k of vectors through pivot cells, one plan at every size.
+
+Index: every data row goes to the cell of its nearest pivot (a bounded,
+hash-chosen set of data rows); a cell keeps its row count and radius.  Cells
+are searched in blocks of bounded size.
+
+Query: (1) a query first searches the cell of the nearest pivot, which gives
+it k rows and so a bound on its k-th distance; (2) by the triangle
+inequality a cell can only hold a better row if the distance to its pivot
+less its radius is within the bound, and only such cells are searched.  All
+meetings are equi-joins on (cell, block).
+
+A block is searched by :func:`search_blocks`: sorted rows stream through one
+task, the block's data rows first and then its queries, so that memory holds
+one block and one Arrow batch whatever the number of queries, and each query
+leaves at most k rows per block.
 """
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
+
+BLOCK_ROWS = 16384
+MAX_PIVOTS = 256
+
 
 def _top_rows(key: np.ndarray, ids: np.ndarray, k: int):
     """Per row of ``key`` (lower is better), the k best columns, ties to the
@@ -50,141 +52,184 @@ def _top_rows(key: np.ndarray, ids: np.ndarray, k: int):
     return rows[keep], cols[keep]
 
 
-def _block_fn(lid: str, rid: str, self_col: str | None, k: int, metric: str, digits: int | None,
-              chunk: int = 1024):
-    def fn(lp: pd.DataFrame, rp: pd.DataFrame) -> pd.DataFrame:
-        empty = pd.DataFrame({lid: pd.Series([], dtype="int64"), rid: pd.Series([], dtype="int64"),
-                              "score": pd.Series([], dtype="float64")})
-        if lp.empty or rp.empty:
-            return empty
-        X = np.stack(rp["vec"].to_numpy()).astype(np.float64)
-        xid = rp[rid].to_numpy(dtype=np.int64)
-        xsq = np.einsum("ij,ij->i", X, X) if metric == "l2" else None
-        out = []
-        for s in range(0, len(lp), chunk):
-            part = lp.iloc[s:s + chunk]
-            Q = np.stack(part["vec"].to_numpy()).astype(np.float64)
-            G = Q @ X.T
-            if metric == "dot":
-                score = G
-                key = -(np.round(G, digits) if digits is not None else G)
-            else:
-                qsq = np.einsum("ij,ij->i", Q, Q)
-                score = np.maximum(qsq[:, None] - 2.0 * G + xsq[None, :], 0.0)
-                key = np.round(score, digits) if digits is not None else score
-            if self_col is not None:
-                sid = part[self_col].to_numpy(dtype=np.int64)
-                key = np.where(sid[:, None] == xid[None, :], np.inf, key)
-            r, c = _top_rows(key, xid, k)
-            out.append(pd.DataFrame({lid: part[lid].to_numpy(dtype=np.int64)[r], rid: xid[c],
-                                     "score": score[r, c]}))
-        return pd.concat(out, ignore_index=True) if out else empty
-    return fn
-
-
-def _scan_fn(bq, lid: str, rid: str, k: int, metric: str, digits: int | None, has_self: bool,
-             chunk: int = 1024):
-    """mapInPandas body: the broadcast query matrix against every Arrow batch
-    of a data partition; the k best per query are kept across the batches of
-    the partition and emitted once at its end."""
-    def fn(it):
-        Q, qids, sids = bq.value
-        qsq = np.einsum("ij,ij->i", Q, Q) if metric == "l2" else None
-        keep = []
-        for pdf in it:
-            if pdf.empty:
+def _matrix(column: pa.Array) -> np.ndarray:
+    n = len(column)
+    return column.flatten().to_numpy(zero_copy_only=False).astype(np.float64, copy=False).reshape(n, -1)
+
+
+def score_block(Q, X, xid, sid, k: int, metric: str, digits: int | None):
+    """(query row, data row, score) of the k best data rows of each query."""
+    G = Q @ X.T
+    if metric == "dot":
+        score = G
+        key = -(np.round(G, digits) if digits is not None else G)
+    else:
+        score = np.maximum(np.einsum("ij,ij->i", Q, Q)[:, None] - 2.0 * G + np.einsum("ij,ij->i", X, X)[None, :], 0.0)
+        key = np.round(score, digits) if digits is not None else score
+    if sid is not None:
+        key = np.where(sid[:, None] == xid[None, :], np.inf, key)
+    r, c = _top_rows(key, xid, k)
+    return r, c, score[r, c]
+
+
+def _stream_fn(k: int, metric: str, digits: int | None, chunk: int = 256):
+    """mapInArrow body over rows sorted by (g, b, side): data rows of a block, then its queries."""
+    def run(batches):
+        current, ids, parts, block = None, [], [], None
+        for b in batches:
+            if not b.num_rows:
                 continue
-            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            xid = pdf[rid].to_numpy(dtype=np.int64)
-            xsq = np.einsum("ij,ij->i", X, X) if metric == "l2" else None
-            for s in range(0, len(Q), chunk):
-                G = Q[s:s + chunk] @ X.T
-                if metric == "dot":
-                    score = G
-                    key = -(np.round(G, digits) if digits is not None else G)
-                else:
-                    score = np.maximum(qsq[s:s + chunk, None] - 2.0 * G + xsq[None, :], 0.0)
-                    key = np.round(score, digits) if digits is not None else score
-                if has_self:
-                    key = np.where(sids[s:s + chunk, None] == xid[None, :], np.inf, key)
-                r, c = _top_rows(key, xid, k)
-                keep.append(pd.DataFrame({lid: qids[s:s + chunk][r], rid: xid[c],
-                                          "score": score[r, c], "_key": key[r, c]}))
-        if keep:
-            out = pd.concat(keep, ignore_index=True).sort_values([lid, "_key", rid], kind="stable")
-            yield out.groupby(lid, sort=False).head(k).drop(columns="_key")
-    return fn
-
-
-BROADCAST_BYTES = 32 << 20
-
-
-def blocked_topk(left: DataFrame, right: DataFrame, *, lid: str, rid: str, k: int,
-                 metric: str = "dot", digits: int | None = None, group_cols=(),
-                 self_col: str | None = None, block_rows: int = 1024,
-                 broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Exact top-k per left row among right rows of the same group.
-
-    left:  (lid bigint, vec array<double>, [self_col bigint], *group_cols)
-    right: (rid bigint, vec array<double>, *group_cols)
-    metric ``dot``: larger score first; ``l2``: smaller squared distance
+            g = b.column("g").to_numpy(zero_copy_only=False)
+            at = b.column("b").to_numpy(zero_copy_only=False)
+            side = b.column("side").to_numpy(zero_copy_only=False)
+            rid = b.column("id").to_numpy(zero_copy_only=False)
+            sid = b.column("self").fill_null(-(1 << 63)).to_numpy(zero_copy_only=False)
+            cuts = np.flatnonzero((g[1:] != g[:-1]) | (at[1:] != at[:-1]) | (side[1:] != side[:-1])) + 1
+            out = []
+            for a, z in zip(np.r_[0, cuts], np.r_[cuts, len(g)], strict=True):
+                key = (g[a], at[a])
+                if key != current:
+                    current, ids, parts, block = key, [], [], None
+                vecs = _matrix(b.column("vec").slice(a, z - a))
+                if side[a] == 0:
+                    ids.append(rid[a:z])
+                    parts.append(vecs)
+                    continue
+                if not parts:
+                    continue
+                if block is None:
+                    block = np.concatenate(parts), np.concatenate(ids)
+                for s in range(0, z - a, chunk):
+                    r, c, score = score_block(vecs[s:s + chunk], *block, sid[a + s:min(a + s + chunk, z)], k, metric, digits)
+                    out.append((rid[a + s:min(a + s + chunk, z)][r], block[1][c], score))
+            if out:
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.concatenate([x[i] for x in out]), t) for i, t in enumerate((pa.int64(), pa.int64(), pa.float64()))],
+                    names=["qid", "rid", "score"])
+    return run
+
+
+def search_blocks(data: DataFrame, queries: DataFrame, k: int, metric: str, digits: int | None,
+                  block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """(qid, rid, score): for every query, the k best rows of each block of its group.
+
+    data (g string, id, vec); queries (g, id, self, vec), ``self`` being an
+    id to leave out or NULL.  A group of any size is cut into blocks of about
+    ``block_rows`` by a hash of the id.
+    """
+    sizes = data.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / block_rows).cast("int").alias("n"))
+    none = F.lit(None).cast("bigint")
+    d = data.join(sizes, "g").select("g", F.pmod(F.xxhash64("id"), F.col("n")).cast("int").alias("b"), F.lit(0).alias("side"),
+                                     F.col("id").cast("bigint").alias("id"), none.alias("self"), "vec")
+    q = queries.join(sizes, "g").select("g", F.explode(F.sequence(F.lit(0), F.col("n") - 1)).alias("b"), F.lit(1).alias("side"),
+                                        F.col("id").cast("bigint").alias("id"), F.col("self").cast("bigint").alias("self"), "vec")
+    both = d.unionByName(q).repartition("g", "b").sortWithinPartitions("g", "b", "side", "id")
+    return both.mapInArrow(_stream_fn(k, metric, digits), "qid long, rid long, score double")
+
+
+def _best(rows: DataFrame, k: int, metric: str, digits: int | None) -> DataFrame:
+    """``rows`` with their rank per query, the first k."""
+    key = F.round("score", digits) if digits is not None else F.col("score")
+    w = Window.partitionBy("qid").orderBy(key.desc() if metric == "dot" else key.asc(), F.col("rid").asc())
+    return rows.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def _to_pivots(pivots: np.ndarray, vecs: np.ndarray) -> np.ndarray:
+    sq = np.einsum("ij,ij->i", vecs, vecs)[:, None] - 2.0 * vecs @ pivots.T + np.einsum("ij,ij->i", pivots, pivots)[None, :]
+    return np.sqrt(np.maximum(sq, 0.0))
+
+
+def checked_dim(vec, dim: int, what: str):
+    """``vec``, failing with a clear message where it has another dimension."""
+    wrong = F.raise_error(F.concat(F.lit(f"{what} of dimension "), F.size(vec).cast("string"), F.lit(f", expected {dim}")))
+    return F.when(F.size(vec) == dim, vec).otherwise(wrong)
+
+
+class PivotIndex:
+    """Data rows by pivot cell, written once to the shared folder."""
+
+    def __init__(self, data: DataFrame, pivots: int | None = None, path: str | None = None):
+        """data (id, vec): no NULL vector, no NaN."""
+        spark = data.sparkSession
+        self.n, self.dim = (lambda r: (r["n"], r["d"] or 0))(data.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first())
+        m = max(1, min(pivots or int(math.sqrt(self.n) / 4), MAX_PIVOTS))
+        # at most MAX_PIVOTS vectors reach the driver
+        chosen = data.orderBy(F.xxhash64("id"), "id").limit(m).select("vec").collect() if self.n else []
+        self.pivots = P = np.array([r["vec"] for r in chosen], dtype=np.float64).reshape(len(chosen), self.dim)
+
+        def assign(batches):
+            for b in batches:
+                if b.num_rows:
+                    d = _to_pivots(P, _matrix(b.column("vec")))
+                    cell = d.argmin(axis=1)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(cell, pa.int32()), pa.array(d[np.arange(len(cell)), cell]), b.column("id"), b.column("vec")],
+                        names=["cell", "dist", "id", "vec"])
+
+        path = path or scratch_path(spark, "pivot-index")
+        rows = data.select(F.col("id").cast("bigint").alias("id"), checked_dim(F.col("vec"), self.dim, "a data vector").alias("vec"))
+        rows.mapInArrow(assign, "cell int, dist double, id long, vec array<double>").write.mode("overwrite").parquet(path)
+        self.rows = spark.read.schema("cell int, dist double, id long, vec array<double>").parquet(path)
+        self.count, self.radius = np.zeros(max(1, len(P))), np.zeros(max(1, len(P)))
+        for r in self.rows.groupBy("cell").agg(F.count(F.lit(1)).alias("n"), F.max("dist").alias("r")).collect():
+            self.count[r["cell"]], self.radius[r["cell"]] = r["n"], r["r"]
+
+
+def exact_topk(index: PivotIndex, queries: DataFrame, k: int, metric: str = "l2", digits: int | None = None,
+               block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """Exact k nearest rows per query: (qid, rid, score, rank).
+
+    queries (id, self, vec).  ``metric`` ``l2``: score is the squared
+    distance, smaller first; ``dot``: both sides are unit vectors, larger
     first.  Scores are compared after rounding to ``digits``; ties go to the
-    smaller rid.  ``self_col`` names a left column whose value is excluded as
-    a right id (the query's own row).  Returns (lid, rid, score) with
-    duplicates across groups removed, ranked by a window.
+    smaller id.  A vector of another dimension than the index's fails.
     """
-    g = list(group_cols)
-    lcols = [lid, "vec"] + ([self_col] if self_col else []) + g
-    left = left.select(*lcols)
-    right = right.select(rid, "vec", *g)
-    schema = f"{lid} long, {rid} long, score double"
-    rkey = F.round("score", digits) if digits is not None else F.col("score")
-    order = [rkey.desc() if metric == "dot" else rkey.asc(), F.col(rid).asc()]
-    w = Window.partitionBy(lid).orderBy(*order)
-
-    if not g:
-        # Size check of the query side (one small aggregate).  A query matrix
-        # below the bound is broadcast and the data is scanned where it lies:
-        # no shuffle of the data; beyond the bound, blocks meet by cogroup.
-        st = left.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-        if st["n"] and st["n"] * (st["d"] or 0) * 8 <= broadcast_bytes:
-            rows = left.collect()
-            Q = np.array([r["vec"] for r in rows], dtype=np.float64).reshape(len(rows), -1)
-            qids = np.array([r[lid] for r in rows], dtype=np.int64)
-            sids = np.array([r[self_col] for r in rows], dtype=np.int64) if self_col else None
-            bq = left.sparkSession.sparkContext.broadcast((Q, qids, sids))
-            part = right.mapInPandas(_scan_fn(bq, lid, rid, k, metric, digits, self_col is not None), schema)
-            return (part.withColumn("rank", F.row_number().over(w))
-                    .where(F.col("rank") <= k))
-    B = float(block_rows)
-    nblocks = F.ceil(F.count(F.lit(1)) / B).cast("int")
-    if g:
-        # One row per group with both block counts; as small as the number
-        # of groups, so AQE broadcasts it when small and shuffles otherwise.
-        nl = left.groupBy(*g).agg(nblocks.alias("_nbl"))
-        nr = right.groupBy(*g).agg(nblocks.alias("_nbr"))
-        blocks = nl.join(nr, g)
-        left = left.join(blocks, g)
-        right = right.join(blocks, g)
-    else:
-        # Whole-table block counts as scalar subqueries: no join at all.
-        nbl, nbr = left.select(nblocks).scalar(), right.select(nblocks).scalar()
-        left = left.withColumn("_nbl", nbl).withColumn("_nbr", nbr)
-        right = right.withColumn("_nbl", nbl).withColumn("_nbr", nbr)
-    lrep = (left
-            .withColumn("_lb", F.pmod(F.xxhash64(lid), F.col("_nbl")).cast("int"))
-            .withColumn("_rb", F.explode(F.sequence(F.lit(0), F.col("_nbr") - 1)))
-            .drop("_nbl", "_nbr"))
-    rrep = (right
-            .withColumn("_rb", F.pmod(F.xxhash64(rid), F.col("_nbr")).cast("int"))
-            .withColumn("_lb", F.explode(F.sequence(F.lit(0), F.col("_nbl") - 1)))
-            .drop("_nbl", "_nbr"))
-    keys = g + ["_lb", "_rb"]
-    part = (lrep.groupBy(*keys).cogroup(rrep.groupBy(*keys))
-            .applyInPandas(_block_fn(lid, rid, self_col, k, metric, digits), schema))
-    if group_cols:
-        # the same pair can meet in several groups (LSH tables); without
-        # groups every pair is scored exactly once and no dedupe is needed
-        part = part.dropDuplicates([lid, rid])
-    return (part.withColumn("rank", F.row_number().over(w))
-            .where(F.col("rank") <= k))
+    P, count, radius = index.pivots, index.count, index.radius
+    roomy = np.flatnonzero(count > k)  # one row more than k: the query's own may be among them
+    q = queries.select(F.col("id").cast("bigint").alias("id"), F.col("self").cast("bigint").alias("self"),
+                       checked_dim(F.col("vec"), index.dim, "a query vector").alias("vec"))
+    slack = 10.0 ** -digits if digits is not None else 0.0
+
+    def home(batches):
+        for b in batches:
+            if b.num_rows and len(P):
+                d = _to_pivots(P, _matrix(b.column("vec")))
+                cell = roomy[d[:, roomy].argmin(axis=1)] if len(roomy) else np.full(len(d), -1)
+                yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), *(b.column(c) for c in ("id", "self", "vec"))],
+                                                 names=["cell", "id", "self", "vec"])
+
+    def others(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            d = _to_pivots(P, _matrix(b.column("vec")))
+            kth = b.column("kth").fill_null(math.nan).to_numpy(zero_copy_only=False)
+            if metric == "dot":
+                bound = np.sqrt(np.maximum(2.0 - 2.0 * (kth - slack), 0.0))
+            else:
+                bound = np.sqrt(np.maximum(kth + slack, 0.0))
+            bound = np.where(np.isnan(kth), np.inf, bound * (1 + 1e-9) + 1e-7)
+            near = (d - radius[None, :len(P)] <= bound[:, None]) & (count[None, :len(P)] > 0)
+            cell = b.column("cell").to_numpy(zero_copy_only=False)
+            near[np.arange(len(cell))[cell >= 0], cell[cell >= 0]] = False
+            r, c = np.nonzero(near)
+            take = pa.array(r)
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int32()), *(b.column(x).take(take) for x in ("id", "self", "vec"))],
+                                             names=["cell", "id", "self", "vec"])
+
+    schema = "cell int, id long, self long, vec array<double>"
+    data = index.rows.select(F.col("cell").cast("string").alias("g"), "id", "vec")
+
+    def search(qs: DataFrame) -> DataFrame:
+        return search_blocks(data, qs.select(F.col("cell").cast("string").alias("g"), "id", "self", "vec"), k, metric, digits, block_rows)
+
+    spark = q.sparkSession
+    path = scratch_path(spark, "pivot-search")
+    q.mapInArrow(home, schema).write.parquet(f"{path}/queries")
+    at_home = spark.read.schema(schema).parquet(f"{path}/queries")
+    _best(search(at_home), k, metric, digits).drop("rank").write.parquet(f"{path}/first")
+    first = spark.read.schema("qid long, rid long, score double").parquet(f"{path}/first")
+    last = F.min("score") if metric == "dot" else F.max("score")
+    bound = first.groupBy("qid").agg(F.when(F.count(F.lit(1)) >= k, last).alias("kth"))
+    rest = at_home.join(bound, at_home.id == bound.qid, "left").select("cell", "id", "self", "vec", "kth").mapInArrow(others, schema)
+    return _best(first.unionByName(search(rest)), k, metric, digits)

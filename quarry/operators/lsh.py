@@ -5,10 +5,13 @@
 * signature: bit p = (v . plane_p > 0), computed per Arrow batch with one
   matrix product (the planes are d x dim numbers, a parameter-sized constant);
 * buckets: L tables, each keyed by k bit positions drawn with replacement;
-* top-k: candidates are rows sharing a (table, bucket) with the query; they
-  are ranked by the exact dot product of unit vectors inside
-  :func:`blocked_topk`, grouped by (table, bucket), so a bucket is processed
-  block against block and candidate pairs are never materialised as rows.
+* index: one Arrow pass emits a row's unit vector and its bucket in every
+  table; rows are written per (table, bucket), sorted inside each task, without
+  an exchange of vectors;
+* top-k: a query is hashed by its own vector, whether it is in the index or
+  not; only buckets that some query hashes to are read on, and
+  :func:`search_blocks` ranks them by the exact dot product, a large bucket in
+  bounded blocks, so candidate pairs are never rows.
   A query that shares no bucket with any row gets no neighbour.
 """
 
@@ -17,13 +20,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame, SparkSession, Window
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_u32, md5_u32_py
-from quarry.operators.blocked import BROADCAST_BYTES, _top_rows, blocked_topk
-from quarry.operators.neighbours import SIM_DIGITS, unit_vectors
+from quarry.operators.blocked import BLOCK_ROWS, _best, _matrix, checked_dim, search_blocks
+from quarry.operators.neighbours import SIM_DIGITS, unit_vectors, usable
 from quarry.session import scratch_path
 
 _U = 4294967297.0  # 2^32 + 1: maps a 32-bit draw to (0, 1)
@@ -55,21 +58,29 @@ def bit_positions(n_tables: int, k: int, n_planes: int, seed: int) -> list[list[
     return [[md5_u32_py(seed, "h", t, j) % n_planes for j in range(k)] for t in range(n_tables)]
 
 
+def _sign_bits(planes: np.ndarray, vecs: np.ndarray) -> np.ndarray:
+    """(rows x planes) of the characters 0 and 1, as bytes."""
+    return ((vecs @ planes.T) > 0).astype(np.uint8) + np.uint8(48)
+
+
+def _strings(chars: np.ndarray) -> pa.Array:
+    """One string per row of a (rows x length) byte matrix, without a loop."""
+    n, width = chars.shape
+    return pa.StringArray.from_buffers(n, pa.py_buffer((np.arange(n + 1) * width).astype(np.int32)),
+                                       pa.py_buffer(np.ascontiguousarray(chars)))
+
+
 def signatures(vectors: DataFrame, planes: np.ndarray, id_col: str = "idx") -> DataFrame:
     """(id, sig): sig is the d-character bit string, one Arrow batch at a time."""
     P = np.asarray(planes, dtype=np.float64)
 
-    def fn(it):
-        for pdf in it:
-            if pdf.empty:
-                yield pd.DataFrame({id_col: pd.Series([], dtype="int64"), "sig": pd.Series([], dtype=str)})
-                continue
-            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            bits = (X @ P.T) > 0
-            chars = np.where(bits, "1", "0")
-            yield pd.DataFrame({id_col: pdf[id_col].to_numpy(dtype=np.int64),
-                                "sig": ["".join(r) for r in chars]})
-    return vectors.select(id_col, "vec").mapInPandas(fn, f"{id_col} long, sig string")
+    def fn(batches):
+        for b in batches:
+            if b.num_rows:
+                yield pa.RecordBatch.from_arrays([b.column(id_col), _strings(_sign_bits(P, _matrix(b.column("vec"))))], names=[id_col, "sig"])
+    rows = vectors.where(usable(F.col("vec"))).select(F.col(id_col).cast("bigint").alias(id_col),
+                                                      checked_dim(F.col("vec"), P.shape[1], "a vector").alias("vec"))
+    return rows.mapInArrow(fn, f"{id_col} long, sig string")
 
 
 def bucket_keys(positions: list[list[int]], sig: str = "sig"):
@@ -90,100 +101,75 @@ def bucket_sizes(bk: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LshIndex:
-    rows: DataFrame      # (idx, vec unit, keys array<string> of the L buckets)
+    rows: DataFrame      # (tbl, bucket, idx, vec unit): one row per vector and table
+    planes: np.ndarray
+    positions: list
+
+
+SCHEMA = "tbl int, bucket string, {0} long, self long, vec array<double>"
+
+
+def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str) -> DataFrame:
+    """(tbl, bucket, id, self, vec unit): one Arrow pass over (id, self, vec)."""
+    P = np.asarray(planes, dtype=np.float64)
+
+    def fn(batches):
+        for b in batches:
+            if not b.num_rows:
+                continue
+            vecs = _matrix(b.column("vec"))
+            bits = _sign_bits(P, vecs)
+            norm = np.sqrt(np.einsum("ij,ij->i", vecs, vecs))
+            some = np.flatnonzero(norm > 0)
+            unit = (vecs[some] / norm[some, None]).ravel()
+            offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * P.shape[1])
+            vec = pa.ListArray.from_arrays(offsets, pa.array(unit))
+            ids, own = b.column(id_col).take(pa.array(some)), b.column("self").take(pa.array(some))
+            for t, pos in enumerate(positions):
+                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), t), pa.int32()), _strings(bits[some][:, pos]), ids, own, vec],
+                                                 names=["tbl", "bucket", id_col, "self", "vec"])
+    src = rows.where(usable(F.col("vec"))).select(F.col(id_col).cast("bigint").alias(id_col), F.col("self").cast("bigint").alias("self"),
+                                                  checked_dim(F.col("vec"), P.shape[1], "a vector").alias("vec"))
+    return src.mapInArrow(fn, SCHEMA.format(id_col))
 
 
 def fit(vectors: DataFrame, planes: np.ndarray, positions, path: str | None = None) -> LshIndex:
-    """Sign every row once (one Arrow pass) and write (idx, unit vector,
-    bucket keys) under ``path`` (a fresh folder of the shared location by
-    default).  One row per vector: the L tables are an array, not L copies.
-    Queries read these files; nothing has lineage back to the source.
+    """Hash every row once and write (tbl, bucket, idx, unit vector) under
+    ``path`` (a fresh folder of the shared location by default), each task's
+    rows in bucket order.  No vector is shuffled; queries read these files.
     """
     spark = vectors.sparkSession
     path = path or scratch_path(spark, "lsh-index")
-    keys = signatures(vectors, planes).select("idx", bucket_keys(positions).alias("keys"))
-    unit_vectors(vectors).select("idx", "vec").join(keys, "idx").write.mode("overwrite").parquet(path)
-    return LshIndex(spark.read.parquet(path))
-
-
-def _scan_fn(bq, k: int):
-    """mapInPandas body for a broadcast query set: per Arrow batch of index
-    rows and per table, rows and queries sharing a bucket meet in one NumPy
-    product; the k best per query are kept across the batches of the task.
-    Every index row lives in one task, so the per-task dedupe of pairs found
-    through several tables is exact."""
-    def fn(it):
-        Q, qids, sids, qkeys = bq.value
-        L = qkeys.shape[1]
-        by_bucket = []
-        for t in range(L):
-            d = {}
-            for i, key in enumerate(qkeys[:, t]):
-                d.setdefault(key, []).append(i)
-            by_bucket.append({key: np.array(v) for key, v in d.items()})
-        keep = []
-        for pdf in it:
-            if pdf.empty:
-                continue
-            X = np.stack(pdf["vec"].to_numpy()).astype(np.float64)
-            xid = pdf["idx"].to_numpy(dtype=np.int64)
-            xkeys = np.stack(pdf["keys"].to_numpy())
-            for t in range(L):
-                col = xkeys[:, t]
-                for key in np.unique(col):
-                    qi = by_bucket[t].get(key)
-                    if qi is None:
-                        continue
-                    xi = np.flatnonzero(col == key)
-                    score = Q[qi] @ X[xi].T
-                    kk = -np.round(score, SIM_DIGITS)
-                    kk = np.where(sids[qi][:, None] == xid[xi][None, :], np.inf, kk)
-                    r, c = _top_rows(kk, xid[xi], k)
-                    keep.append(pd.DataFrame({"qid": qids[qi][r], "idx": xid[xi][c],
-                                              "score": score[r, c], "_key": kk[r, c]}))
-        if keep:
-            out = (pd.concat(keep, ignore_index=True).drop_duplicates(["qid", "idx"])
-                   .sort_values(["qid", "_key", "idx"], kind="stable"))
-            yield out.groupby("qid", sort=False).head(k).drop(columns="_key")
-    return fn
-
-
-def query(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = 1024,
-          broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """queries (qid, idx) naming rows of the index -> (qid, rank, idx, sim).
+    rows = _hashed(vectors.select("idx", F.lit(None).cast("bigint").alias("self"), "vec"), planes, positions, "idx").drop("self")
+    rows.sortWithinPartitions("tbl", "bucket").write.mode("overwrite").parquet(path)
+    return LshIndex(spark.read.schema(rows.schema).parquet(path), planes, positions)
+
+
+def query_by_vector(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """queries (qid, self, vec) -> (qid, rank, idx, sim).
 
     Candidates are the rows sharing a (table, bucket) with the query's own
-    row, ranked by the exact dot product of unit vectors.  A query set whose
-    matrix passes the size check is broadcast and the index is scanned in
-    place (no shuffle of the index); otherwise both sides are exploded to
-    (table, bucket) and meet block against block in :func:`blocked_topk`.
+    vector, ranked by the exact dot product of unit vectors.  ``self`` is an
+    id to leave out, or NULL.
     """
-    rows = index.rows
-    q = (queries.select("qid", F.col("idx").alias("self_idx"))
-         .join(rows.select(F.col("idx").alias("self_idx"), F.col("vec").alias("vec"), F.col("keys").alias("keys")),
-               "self_idx"))
-    w = Window.partitionBy("qid").orderBy(F.round("score", SIM_DIGITS).desc(), F.col("idx").asc())
-    st = q.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    if st["n"] and st["n"] * (st["d"] or 0) * 8 <= broadcast_bytes:
-        got = q.collect()
-        Q = np.array([r["vec"] for r in got], dtype=np.float64).reshape(len(got), -1)
-        qids = np.array([r["qid"] for r in got], dtype=np.int64)
-        sids = np.array([r["self_idx"] for r in got], dtype=np.int64)
-        qkeys = np.array([list(r["keys"]) for r in got], dtype=object)
-        bq = rows.sparkSession.sparkContext.broadcast((Q, qids, sids, qkeys))
-        top = (rows.mapInPandas(_scan_fn(bq, k), "qid long, idx long, score double")
-               .withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k))
-    else:
-        x = rows.select("idx", "vec", F.posexplode("keys").alias("tbl", "bucket"))
-        qx = q.select("qid", "self_idx", "vec", F.posexplode("keys").alias("tbl", "bucket"))
-        top = blocked_topk(qx, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
-                           group_cols=("tbl", "bucket"), self_col="self_idx", block_rows=block_rows)
-    return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
+    q = _hashed(queries, index.planes, index.positions, "qid")
+    wanted = q.select("tbl", "bucket").distinct()
+    g = F.concat_ws(":", "tbl", "bucket")
+    data = index.rows.join(wanted, ["tbl", "bucket"], "left_semi").select(g.alias("g"), F.col("idx").alias("id"), "vec")
+    found = search_blocks(data, q.select(g.alias("g"), F.col("qid").alias("id"), "self", "vec"), k, "dot", SIM_DIGITS, block_rows)
+    # a pair can meet in several tables
+    top = _best(found.groupBy("qid", "rid").agg(F.max("score").alias("score")), k, "dot", SIM_DIGITS)
+    return top.select("qid", F.col("rank").cast("int").alias("rank"), F.col("rid").alias("idx"),
                       F.round("score", SIM_DIGITS).alias("sim"))
 
 
+def query(index: LshIndex, queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """queries (qid, idx) that name rows of ``vectors``; the row itself is left out."""
+    named = queries.select("qid", F.col("idx").alias("self")).join(vectors.select(F.col("idx").alias("self"), "vec"), "self")
+    return query_by_vector(index, named, k, block_rows)
+
+
 def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
-             block_rows: int = 1024, broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+             block_rows: int = BLOCK_ROWS) -> DataFrame:
     """Fit on ``vectors`` (idx, vec) and answer ``queries`` (qid, idx)."""
-    return query(fit(vectors, planes, positions), queries, k=k, block_rows=block_rows,
-                 broadcast_bytes=broadcast_bytes)
+    return query(fit(vectors, planes, positions), queries, vectors, k=k, block_rows=block_rows)

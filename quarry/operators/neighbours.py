@@ -1,14 +1,16 @@
 """Nearest neighbours of embedding vectors and of named points.
 
-* cosine top-k: unit vectors, exact scores through :func:`blocked_topk`
-  (block-against-block NumPy products, k results per query per block);
-* Euclidean 1-NN: a grid index for 2-D points (:mod:`quarry.operators.spatial`)
-  and the batched matrix-product form through :func:`blocked_topk`;
+* cosine top-k and Euclidean 1-NN in any dimension: exact, through pivot
+  cells (:mod:`quarry.operators.blocked`);
+* Euclidean 1-NN of 2-D points also through a grid index
+  (:mod:`quarry.operators.spatial`);
 * query words -> vectors by an equi join, unknown words by an anti join;
 * expected-label checks by a join on the query id.
 
 "Self" is dropped by id, not by position, and scores are rounded to 6
-decimals before ranking, ties to the smaller id.
+decimals before ranking, ties to the smaller id.  A query whose vector is
+NULL or has a NULL or NaN component has no neighbour: Euclidean 1-NN answers
+it with NULLs, top-k leaves it out.
 """
 
 from __future__ import annotations
@@ -17,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quarry.functions.vectors import normalize
-from quarry.operators.blocked import BROADCAST_BYTES, blocked_topk
+from quarry.operators.blocked import BLOCK_ROWS, PivotIndex, exact_topk
 
 SIM_DIGITS = 6
 
@@ -36,35 +38,45 @@ def unknown_words(words: DataFrame, vectors: DataFrame) -> DataFrame:
     return words.join(vectors.select("word"), "word", "left_anti").select("qid", "word")
 
 
-def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = 1024,
-                broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
+def usable(vec):
+    """The vector has no NULL and no NaN, and is not NULL itself."""
+    return vec.isNotNull() & ~F.exists(vec, lambda x: x.isNull() | F.isnan(x))
+
+
+def cosine_topk(queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS,
+                pivots: int | None = None) -> DataFrame:
     """Exact cosine top-k per query, the query's own vector excluded.
 
     queries: (qid, idx, vec) raw vectors; vectors: (idx, vec) raw vectors.
     Returns (qid, rank, idx, sim).
     """
-    q = unit_vectors(queries).select("qid", F.col("idx").alias("self_idx"), "vec")
-    x = unit_vectors(vectors).select("idx", "vec")
-    top = blocked_topk(q, x, lid="qid", rid="idx", k=k, metric="dot", digits=SIM_DIGITS,
-                       self_col="self_idx", block_rows=block_rows, broadcast_bytes=broadcast_bytes)
-    return top.select("qid", F.col("rank").cast("int").alias("rank"), "idx",
+    x = unit_vectors(vectors.where(usable(F.col("vec")))).select(F.col("idx").alias("id"), "vec")
+    q = unit_vectors(queries.where(usable(F.col("vec")))).select(F.col("qid").alias("id"), F.col("idx").alias("self"), "vec")
+    top = exact_topk(PivotIndex(x, pivots), q, k, "dot", SIM_DIGITS, block_rows)
+    return top.select("qid", F.col("rank").cast("int").alias("rank"), F.col("rid").alias("idx"),
                       F.round("score", SIM_DIGITS).alias("sim"))
 
 
+def l2_nearest_vectors(queries: DataFrame, vectors: DataFrame, block_rows: int = BLOCK_ROWS, pivots: int | None = None) -> DataFrame:
+    """Exact Euclidean 1-NN in any dimension: queries (qid, self, vec),
+    vectors (idx, vec) -> (qid, idx, dist), one row per query.  ``self`` is an
+    id to leave out, or NULL.  Queries and data must agree in dimension."""
+    x = vectors.where(usable(F.col("vec"))).select(F.col("idx").alias("id"), "vec")
+    q = queries.where(usable(F.col("vec"))).select(F.col("qid").alias("id"), "self", "vec")
+    top = exact_topk(PivotIndex(x, pivots), q, 1, "l2", None, block_rows)
+    found = top.select(F.col("qid").alias("_q"), F.col("rid").alias("idx"), F.sqrt("score").alias("dist"))
+    return queries.join(found, queries.qid == found["_q"], "left").select("qid", "idx", "dist")
+
+
 def l2_nearest_batched(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
-                       cols=("easting", "northing"), carry=(), block_rows: int = 2048,
-                       broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """1-NN by blocks of queries against blocks of points, one matrix
-    product per block pair (the batched linear scan)."""
+                       cols=("easting", "northing"), carry=(), block_rows: int = BLOCK_ROWS) -> DataFrame:
+    """1-NN of points with named coordinates, by matrix products over pivot cells."""
     vec = F.array(*[F.col(c).cast("double") for c in cols])
-    p = points.select(F.col(pid).alias("_pid"), vec.alias("vec"))
-    q = queries.select(F.col(qid).alias("_qid"), vec.alias("vec"))
-    top = blocked_topk(q, p, lid="_qid", rid="_pid", k=1, metric="l2", block_rows=block_rows,
-                       broadcast_bytes=broadcast_bytes)
-    res = top.select(F.col("_qid").alias(qid), F.col("_pid").alias(pid), F.sqrt("score").alias("dist"))
+    q = queries.select(F.col(qid).alias("qid"), F.lit(None).cast("bigint").alias("self"), vec.alias("vec"))
+    res = l2_nearest_vectors(q, points.select(F.col(pid).alias("idx"), vec.alias("vec")), block_rows)
+    res = res.select(F.col("qid").alias(qid), F.col("idx").alias(pid), "dist")
     if carry:
-        res = res.join(points.select(F.col(pid), *carry), pid)
-        res = res.select(qid, pid, *carry, "dist")
+        res = res.join(points.select(F.col(pid), *carry), pid, "left").select(qid, pid, *carry, "dist")
     return res
 
 

@@ -140,9 +140,16 @@ class GridIndex:
     pts: DataFrame    # (_pid, _pa, _pb, _pn, *carry, ci, cj)
     reps: DataFrame   # (ci, cj, r struct<i, a, b, n>, lv): partitioned by level
     carry: tuple
+    empty: bool = False
 
 
-def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, path: str) -> GridIndex:
+def _on_map(a: str, b: str) -> Column:
+    """Both coordinates are there and are numbers."""
+    ok = [F.col(c).isNotNull() & ~F.isnan(F.col(c).cast("double")) for c in (a, b)]
+    return ok[0] & ok[1]
+
+
+def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, path: str, empty: bool = False) -> GridIndex:
     """Write the index under ``path`` (a folder of the shared checkpoint
     location) and return it read back from there, so queries plan against
     two small file sources and nothing has lineage back to the point source
@@ -158,14 +165,14 @@ def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, p
     # Exact copies collapse to the smallest id (partial aggregation first, so
     # a location holding a third of the rows is one row per task).
     first = F.min(F.struct(F.col(pid).alias("i"), *[F.col(c) for c in carry])).alias("p")
-    uniq = (points.where(F.col(a).isNotNull() & F.col(b).isNotNull())
+    uniq = (points.where(_on_map(a, b))
             .groupBy(F.col(a).alias("_pa"), F.col(b).alias("_pb")).agg(first))
     ci, cj = geom.cells(F.col("_pa"), F.col("_pb"))
     pts = uniq.select(F.col("p.i").alias("_pid"), "_pa", "_pb",
                       (F.col("_pa") * F.col("_pa") + F.col("_pb") * F.col("_pb")).alias("_pn"),
                       *[F.col(f"p.{c}").alias(c) for c in carry], ci.alias("ci"), cj.alias("cj"))
     pts.write.mode("overwrite").parquet(f"{path}/pts")
-    pts = spark.read.parquet(f"{path}/pts")
+    pts = spark.read.schema(pts.schema).parquet(f"{path}/pts")
     rep = F.struct(F.col("_pid").alias("i"), F.col("_pa").alias("a"), F.col("_pb").alias("b"),
                    F.col("_pn").alias("n"))
     levels = F.expr("array(" + ", ".join(
@@ -175,7 +182,18 @@ def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, p
             .groupBy(F.col("c.lv").alias("lv"), F.col("c.ci").alias("ci"), F.col("c.cj").alias("cj"))
             .agg(F.min("r").alias("r")))
     reps.write.mode("overwrite").partitionBy("lv").parquet(f"{path}/reps")
-    return GridIndex(geom, pts, spark.read.parquet(f"{path}/reps"), carry)
+    return GridIndex(geom, pts, spark.read.schema(reps.schema).parquet(f"{path}/reps"), carry, empty)
+
+
+def _answer(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b: str, digits: int | None) -> DataFrame:
+    """One row per query: a query without a place on the map, and every query
+    over an empty index, has a NULL id and distance."""
+    good = _query(index, queries.where(_on_map(a, b)), qid, pid, a, b, digits)
+    lost = queries if index.empty else queries.where(~_on_map(a, b))
+    kinds = dict(index.pts.dtypes)
+    return good.unionByName(lost.select(
+        F.col(qid), F.lit(None).cast(kinds["_pid"]).alias(pid), *[F.lit(None).cast(kinds[c]).alias(c) for c in index.carry],
+        F.lit(None).cast("double").alias("dist")))
 
 
 def _query(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b: str, digits: int | None):
@@ -287,14 +305,15 @@ def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", l
     """Grid pyramid of points given in degrees, written under ``path`` (a
     fresh folder of the shared location by default); ``level`` overrides the
     number of latitude-band bits of level 0."""
-    bits = level if level is not None else _sphere_bits(points.count())
+    n = points.where(_on_map(lat, lon)).count()
+    bits = level if level is not None else _sphere_bits(n)
     geom = Geometry("sphere", bits, 2 ** bits, 2 ** (bits + 1), True)
-    return _build(points, geom, pid, lat, lon, carry, path or scratch_path(points.sparkSession, "sphere-index"))
+    return _build(points, geom, pid, lat, lon, carry, path or scratch_path(points.sparkSession, "sphere-index"), not n)
 
 
 def sphere_nearest(index: GridIndex, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
                    lat: str = "latitude", lon: str = "longitude", digits: int = 9) -> DataFrame:
-    return _query(index, queries, qid, pid, lat, lon, digits)
+    return _answer(index, queries, qid, pid, lat, lon, digits)
 
 
 def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
@@ -312,18 +331,16 @@ def nearest_on_sphere(points: DataFrame, queries: DataFrame, *, pid: str = "id",
 # ------------------------------------------------------------------- plane
 
 def plane_index(points: DataFrame, *, pid: str = "id", x: str = "easting", y: str = "northing",
-                carry=(), form: str = "direct") -> GridIndex | None:
-    st = points.agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
+                carry=(), form: str = "direct") -> GridIndex:
+    st = points.where(_on_map(x, y)).agg(F.count(F.lit(1)).alias("n"), F.min(x).alias("x0"), F.max(x).alias("x1"),
                     F.min(y).alias("y0"), F.max(y).alias("y1")).first()
-    if not st["n"]:
-        return None
-    span = max(float(st["x1"] - st["x0"]), float(st["y1"] - st["y0"]), 1e-9)
+    x0, x1, y0, y1 = (float(st[c]) if st["n"] else 0.0 for c in ("x0", "x1", "y0", "y1"))
+    span = max(x1 - x0, y1 - y0, 1e-9)
     p = int(math.ceil(0.5 * math.log2(max(st["n"] / POINTS_PER_CELL, 1.0))))
     bits = max(1, min(MAX_BITS, p + FINER_BITS))
     g = 2 ** bits
-    geom = Geometry("plane", bits, g, g, False, x0=float(st["x0"]), y0=float(st["y0"]),
-                    c0=span * (1 + 1e-12) / g, form=form)
-    return _build(points, geom, pid, y, x, carry, scratch_path(points.sparkSession, "plane-index"))
+    geom = Geometry("plane", bits, g, g, False, x0=x0, y0=y0, c0=span * (1 + 1e-12) / g, form=form)
+    return _build(points, geom, pid, y, x, carry, scratch_path(points.sparkSession, "plane-index"), not st["n"])
 
 
 def nearest_in_plane(points: DataFrame, queries: DataFrame, *, pid: str = "id", qid: str = "qid",
@@ -335,8 +352,4 @@ def nearest_in_plane(points: DataFrame, queries: DataFrame, *, pid: str = "id",
     Returns (qid, pid, *carry, dist); ties to the smaller id.
     """
     idx = plane_index(points, pid=pid, x=x, y=y, carry=carry, form=form)
-    if idx is None:
-        return queries.select(F.col(qid), F.lit(None).cast("bigint").alias(pid),
-                              *[F.lit(None).cast("string").alias(c) for c in carry],
-                              F.lit(None).cast("double").alias("dist")).limit(0)
-    return _query(idx, queries, qid, pid, y, x, None)
+    return _answer(idx, queries, qid, pid, y, x, None)

@@ -59,7 +59,7 @@ def test_plane_variants_agree_with_brute_force(spark):
         want[qid] = min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1]
     for res in (spatial.nearest_in_plane(pdf, qdf, form="direct"),
                 spatial.nearest_in_plane(pdf, qdf, form="expanded"),
-                neighbours.l2_nearest_batched(pdf, qdf, block_rows=64, broadcast_bytes=0),
+                neighbours.l2_nearest_batched(pdf, qdf, block_rows=64),
                 neighbours.l2_nearest_batched(pdf.repartition(4), qdf)):
         assert {r.qid: r.id for r in res.collect()} == want
     assert want[999] == 900
@@ -84,10 +84,10 @@ def _cos_brute(X, qids, k):
     return out
 
 
-@pytest.mark.parametrize("bcast", [0, 1 << 30])   # block cogroup / broadcast scan
-def test_cosine_topk_matches_brute_force(spark, bcast):
+@pytest.mark.parametrize("pivots,block_rows", [(1, 32), (12, 16), (None, 16384), (300, 8)])
+def test_cosine_topk_matches_brute_force(spark, pivots, block_rows):
     X, vecs, qs = _vec_frames(spark)
-    res = neighbours.cosine_topk(qs, vecs.repartition(3), k=3, block_rows=32, broadcast_bytes=bcast).collect()
+    res = neighbours.cosine_topk(qs, vecs.repartition(3), k=3, block_rows=block_rows, pivots=pivots).collect()
     got = {}
     for r in sorted(res, key=lambda r: (r.qid, r.rank)):
         got.setdefault(r.qid, []).append(r.idx)
@@ -100,9 +100,16 @@ def test_lsh_never_beats_exact_and_paths_agree(spark):
     planes = lsh.plane_matrix(lsh.hyperplanes(spark, 8, X.shape[1], 1234))
     pos = lsh.bit_positions(4, 3, 8, 1234)
     index = lsh.fit(vecs.repartition(3), planes, pos)
-    approx = lsh.query(index, qs, k=3, block_rows=16, broadcast_bytes=0).collect()
-    scanned = lsh.query(index, qs, k=3).collect()
-    assert sorted(tuple(r) for r in approx) == sorted(tuple(r) for r in scanned)
+    approx = lsh.query(index, qs, vecs, k=3, block_rows=16).collect()
+    whole = lsh.query(index, qs, vecs, k=3).collect()
+    assert sorted(tuple(r) for r in approx) == sorted(tuple(r) for r in whole)
+    U = X / np.linalg.norm(X, axis=1, keepdims=True)
+    bits = (X @ planes.T) > 0
+    keys = [[tuple(b[p] for p in ps) for ps in pos] for b in bits]
+    for q in range(40):
+        cand = [j for j in range(len(X)) if j != q and any(a == b for a, b in zip(keys[q], keys[j]))]
+        want = [j for _, j in sorted((-round(float(U[j] @ U[q]), 6), j) for j in cand)[:3]]
+        assert [r.idx for r in sorted((r for r in approx if r.qid == q), key=lambda r: r.rank)] == want
     exact = {(r.qid, r.rank): r.sim for r in neighbours.cosine_topk(qs, vecs, k=3).collect()}
     assert approx
     for r in approx:
@@ -172,3 +179,77 @@ def test_pruning_depth_never_changes_answers(spark, monkeypatch, below):
     qdf = spark.createDataFrame(Q, "qid long, easting double, northing double")
     want = {qid: min(((px - qx) ** 2 + (py - qy) ** 2, pid) for pid, px, py in P)[1] for qid, qx, qy in Q}
     assert {r.qid: r.id for r in spatial.nearest_in_plane(pdf, qdf).collect()} == want
+
+
+def test_queries_without_a_place_are_answered_with_null(spark):
+    nan, P = float("nan"), [(1, 10.0, 10.0), (2, -60.0, -120.0), (3, float("nan"), 5.0), (4, None, 5.0)]
+    Q = [(1, None, 10.0), (2, nan, 10.0), (3, 9.0, 9.0), (4, 5.0, None)]
+    pdf = spark.createDataFrame(P, "id long, latitude double, longitude double")
+    qdf = spark.createDataFrame(Q, "qid long, latitude double, longitude double")
+    got = {r.qid: (r.id, r.dist) for r in spatial.nearest_on_sphere(pdf, qdf).collect()}
+    assert got.keys() == {1, 2, 3, 4} and got[1] == got[2] == got[4] == (None, None) and got[3][0] == 1
+    plane = pdf.toDF("id", "easting", "northing"), qdf.toDF("qid", "easting", "northing")
+    for res in (spatial.nearest_in_plane(*plane), spatial.nearest_in_plane(*plane, form="expanded"), neighbours.l2_nearest_batched(*plane)):
+        got = [(r.qid, r.id) for r in res.collect()]
+        assert sorted(got) == [(1, None), (2, None), (3, 1), (4, None)]
+    none = spatial.nearest_in_plane(plane[0].limit(0), plane[1]).collect()
+    assert sorted((r.qid, r.id, r.dist) for r in none) == [(i, None, None) for i in (1, 2, 3, 4)]
+
+
+def test_l2_in_any_dimension_matches_brute_force(spark):
+    X, vecs, qs = _vec_frames(spark)
+    q = qs.select("qid", F.col("idx").alias("self"), "vec")
+    got = {r.qid: (r.idx, r.dist) for r in neighbours.l2_nearest_vectors(q, vecs, block_rows=16, pivots=20).collect()}
+    for i in range(40):
+        d = np.linalg.norm(X - X[i], axis=1)
+        want = min((d[j], j) for j in range(len(X)) if j != i)
+        assert got[i][0] == want[1] and abs(got[i][1] - want[0]) < 1e-6
+
+
+def test_dimension_mismatch_fails_clearly(spark):
+    _, vecs, _ = _vec_frames(spark)
+    q = spark.createDataFrame([(1, None, [1.0, 2.0])], "qid long, self long, vec array<double>")
+    with pytest.raises(Exception, match="a query vector of dimension 2, expected 16"):
+        neighbours.l2_nearest_vectors(q, vecs).collect()
+
+
+def test_pivots_prune_and_blocks_stay_bounded(spark):
+    # Two far clusters: a query of one never visits the cells of the other.
+    from quarry.operators.blocked import PivotIndex, exact_topk
+    rng = np.random.default_rng(2)
+    X = np.concatenate([rng.normal(0, 1, size=(200, 4)), rng.normal(1000, 1, size=(200, 4))])
+    data = spark.createDataFrame([(i, [float(v) for v in x]) for i, x in enumerate(X)], "id long, vec array<double>")
+    index = PivotIndex(data, 8)
+    assert index.count.sum() == 400 and index.radius.max() < 100
+    q = data.where("id < 20").select("id", F.lit(None).cast("long").alias("self"), "vec")
+    got = {r.qid: (r.rid, r["rank"]) for r in exact_topk(index, q, 1).collect()}
+    assert got == {i: (i, 1) for i in range(20)}
+
+
+def test_search_keeps_k_best_whatever_the_number_of_batches():
+    # One block, many Arrow batches of queries: memory holds the block and a batch.
+    import tracemalloc
+
+    import pyarrow as pa
+
+    from quarry.operators.blocked import _stream_fn
+    rng = np.random.default_rng(4)
+
+    def batch(side, ids):
+        n = len(ids)
+        return pa.RecordBatch.from_arrays(
+            [pa.array(["c"] * n), pa.array([0] * n, pa.int32()), pa.array([side] * n, pa.int32()), pa.array(ids, pa.int64()),
+             pa.array([None] * n, pa.int64()), pa.array(list(rng.normal(size=(n, 8))), pa.list_(pa.float64()))],
+            names=["g", "b", "side", "id", "self", "vec"])
+
+    def peak(batches):
+        tracemalloc.start()
+        rows = sum(r.num_rows for r in _stream_fn(2, "l2", None)(
+            x for k in range(batches) for x in ([batch(0, range(500))] if k == 0 else [batch(1, range(200))])))
+        top = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return rows, top
+
+    few, many = peak(6), peak(60)
+    assert (few[0], many[0]) == (5 * 400, 59 * 400)
+    assert many[1] < 1.5 * few[1]
