@@ -30,11 +30,12 @@ def day_key(line: Column) -> Column:
 
 
 def attempt_weight(line: Column) -> Column:
-    """Accepted -> 1; ``message repeated n times`` -> n; otherwise 1."""
+    """Accepted -> 1; ``message repeated n times`` -> n; otherwise 1
+    (also where n does not fit 64 bits)."""
     rep = F.regexp_extract(line, _REPEATED, 1)
     return (F.when(line.contains(ACCEPTED), F.lit(1))
-            .when(line.contains("message repeated") & (rep != ""), rep.cast("int"))
-            .otherwise(F.lit(1))).cast("bigint")
+            .when(line.contains("message repeated") & (rep != ""), F.coalesce(rep.try_cast("bigint"), F.lit(1).cast("bigint")))
+            .otherwise(F.lit(1).cast("bigint"))).cast("bigint")
 
 
 def account(line: Column) -> Column:

@@ -17,10 +17,8 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-# The odd multiplier of the register index, 0xc863b1e7d63f37a3,
-# as 16-bit limbs, lowest first.
+# Fixed value: the odd multiplier of the register index.
 MULTIPLIER = 0xC863B1E7D63F37A3
-MULT_LIMBS = (14243, 54847, 45543, 51299)
 
 TAB_CHUNKS = 4          # 64-bit key = four 16-bit chunks
 TAB_SIZE = 1 << 16      # entries per table
@@ -31,16 +29,23 @@ def _limb(x: Column, i: int) -> Column:
 
 
 def multiply_shift_index(x: Column, log2m: int) -> Column:
-    """Top ``log2m`` bits of ``x * MULTIPLIER mod 2^64`` (log2m <= 16)."""
-    if not 0 <= log2m <= 16:
-        raise ValueError("log2m must be in [0, 16]")
+    """Top ``log2m`` bits of ``x * MULTIPLIER mod 2^64`` (log2m below 64)."""
+    if not 0 <= log2m <= 63:
+        raise ValueError("log2m must be in [0, 63]")
+    if not log2m:
+        return F.when(x.isNotNull(), F.lit(0).cast("bigint"))
     x0, x1, x2, x3 = (_limb(x, i) for i in range(4))
-    c0, c1, c2, c3 = (F.lit(c).cast("bigint") for c in MULT_LIMBS)
+    c0, c1, c2, c3 = (F.lit(MULTIPLIER >> (16 * i) & 0xFFFF).cast("bigint") for i in range(4))
     p0 = x0 * c0
     p1 = x0 * c1 + x1 * c0 + F.shiftrightunsigned(p0, 16)
     p2 = x0 * c2 + x1 * c1 + x2 * c0 + F.shiftrightunsigned(p1, 16)
     p3 = x0 * c3 + x1 * c2 + x2 * c1 + x3 * c0 + F.shiftrightunsigned(p2, 16)
-    return F.shiftrightunsigned(p3.bitwiseAND(F.lit(65535)), 16 - log2m)
+    if log2m <= 16:
+        return F.shiftrightunsigned(p3.bitwiseAND(F.lit(65535)), 16 - log2m)
+    whole = p0.bitwiseAND(F.lit(65535))
+    for i, p in enumerate((p1, p2, p3), 1):
+        whole = whole.bitwiseOR(F.shiftleft(p.bitwiseAND(F.lit(65535)), 16 * i))
+    return F.shiftrightunsigned(whole, 64 - log2m)
 
 
 def md5_u32(*parts) -> Column:

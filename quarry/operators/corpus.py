@@ -28,9 +28,9 @@ def count_by_ext(files: DataFrame, exts=SOURCE_EXTS) -> DataFrame:
 
 
 def total_bytes(files: DataFrame) -> DataFrame:
-    """Content bytes (not disk blocks) of every file in the tree."""
+    """Bytes (not disk blocks) of every file in the tree; contents are not read."""
     return files.agg(F.count(F.lit(1)).cast("bigint").alias("n_files"),
-                     F.coalesce(F.sum(F.octet_length("content")), F.lit(0)).cast("bigint").alias("total_bytes"))
+                     F.coalesce(F.sum("length"), F.lit(0)).cast("bigint").alias("total_bytes"))
 
 
 def line_counts(files: DataFrame, exts=SOURCE_EXTS) -> DataFrame:
@@ -44,15 +44,18 @@ def longest(files: DataFrame, k: int = 10, exts=SOURCE_EXTS) -> DataFrame:
 
 
 def longest_sha1(files: DataFrame, k: int = 10, exts=SOURCE_EXTS) -> DataFrame:
-    """SHA-1 of the whole content of the k longest files."""
-    top = line_counts(files, exts).orderBy(F.desc("lines"), F.asc("path")).limit(k)
-    return top.select("path", F.sha1(F.col("content").cast("binary")).alias("sha1"))
+    """SHA-1 of the whole content of the k longest files.
+
+    The ranking carries paths and counts only; its k paths then pick the
+    contents, which are digested where they are read."""
+    digests = files.select("path", F.sha1(F.col("content").cast("binary")).alias("sha1"))
+    return digests.join(F.broadcast(longest(files, k, exts).select("path")), "path")
 
 
 def grep_count(files: DataFrame, phrase: str) -> DataFrame:
-    """Number of distinct files whose content contains the phrase."""
+    """Number of files whose content contains the phrase (a row is a file)."""
     hit = files.where(F.col("content").contains(phrase))
-    return hit.agg(F.lit(phrase).alias("phrase"), F.count_distinct("path").cast("bigint").alias("n_files"))
+    return hit.agg(F.lit(phrase).alias("phrase"), F.count(F.lit(1)).cast("bigint").alias("n_files"))
 
 
 def licenses(files: DataFrame, exts=("c",)) -> DataFrame:

@@ -72,8 +72,8 @@ def merge(a: Sketch, b: Sketch) -> Sketch:
 def estimate(s: Sketch) -> DataFrame:
     """One row: m, n_set, estimate (double, rounded to 6), estimate_int.
 
-    The harmonic sum is exact in double (terms are 2^-rho, rho <= 33, at
-    most 2^16 of them), so the result does not depend on summation order.
+    The harmonic sum is exact in double (terms are 2^-rho, rho <= 33, up to
+    2^20 of them), so the result does not depend on summation order.
     The small-m alpha is the large-m formula, as in the reference.
     """
     m = float(s.m)
@@ -91,7 +91,21 @@ def estimate(s: Sketch) -> DataFrame:
                       F.round(est, 6).alias("estimate"), est.cast("bigint").alias("estimate_int"))
 
 
-def approx_distinct(keys: DataFrame, key: str) -> DataFrame:
-    """Spark's own sketches for the same question (not bit-identical)."""
-    return keys.agg(F.approx_count_distinct(key, 0.03).alias("approx_n"),
-                    F.hll_sketch_estimate(F.hll_sketch_agg(key, 10)).alias("hll_n"))
+APPROX_RSD = 0.03     # asked of approx_count_distinct
+DATASKETCH_LGK = 12   # 2^12 registers: about 1.6 % standard error
+
+
+def approx_distinct(keys: DataFrame, key: str, sigmas: float = 4.0) -> DataFrame:
+    """Spark's own sketches for the same question, and whether each is within
+    ``sigmas`` standard errors of the exact count.
+
+    (sketch, approx, exact, within_bound), one row per sketch.  The exact
+    count is a distinct aggregate of its own; the sketches never need it."""
+    exact = keys.where(F.col(key).isNotNull()).select(key).distinct().agg(F.count(F.lit(1)).alias("exact"))
+    approx = keys.agg(F.approx_count_distinct(key, APPROX_RSD).cast("bigint").alias("hllpp"),
+                      F.hll_sketch_estimate(F.hll_sketch_agg(key, DATASKETCH_LGK)).cast("bigint").alias("datasketch"))
+    rows = approx.select(F.expr("stack(2, 'hllpp', hllpp, %s, 'datasketch', datasketch, %s) as (sketch, approx, err)"
+                                % (repr(APPROX_RSD) + "D", repr(1.04 / math.sqrt(2 ** DATASKETCH_LGK)) + "D")))
+    n = F.col("exact")
+    return rows.withColumn("exact", exact.scalar()).select(
+        "sketch", "approx", "exact", (F.abs(F.col("approx") - n) <= F.ceil(sigmas * F.col("err") * n)).alias("within_bound"))

@@ -11,13 +11,12 @@ from __future__ import annotations
 
 GRAPH = r"""
 n as (select cast(floor(1.1e0*count(*)) as bigint) m from customer),
-e0 as (select o_custkey src, o_orderkey, (o_orderkey*31+7) % (select m from n) dst
-       from orders where o_orderpriority='1-URGENT'),
-pc as (select src, cast(ceil(count(*)/1024.0) as bigint) nchunk from e0 group by src),
-e as (select e0.src, e0.dst, e0.o_orderkey % pc.nchunk chunk from e0 join pc on e0.src = pc.src),
+e as (select l_orderkey, string_agg(cast(dst as varchar), ' ' order by dst) ids
+      from (select l_orderkey, (l_orderkey*31 + l_partkey*7) % (select m from n) dst from lineitem) group by l_orderkey),
 graph_lines as (
-  select concat(cast(c_custkey as varchar), ': ', coalesce(string_agg(cast(dst as varchar), ' ' order by dst), '')) line
-  from customer left join e on c_custkey = src group by c_custkey, chunk
+  select concat(cast(o_custkey as varchar), ': ', coalesce(ids, '')) line
+  from orders left join e on o_orderkey = l_orderkey
+  union all select concat(cast(c_custkey as varchar), ': ') from customer where c_custkey not in (select o_custkey from orders)
   union all select concat(cast(c_custkey as varchar), ': 0') from customer where c_custkey % 50 = 0
   union all select '' union all select 'malformed'),
 adj as (
@@ -227,13 +226,21 @@ f as (select n_set, case when e_raw <= 2.5e0 * 1024 and v > 0 then 1024 * ln(102
                          else e_raw end est from e)
 select cast(1024 as bigint) m, cast(n_set as bigint) n_set, round(est, 6) estimate, cast(trunc(est) as bigint) estimate_int from f"""
 
+ORACLE["approx_distinct"] = "with " + TOKENS + """,
+n as (select cast(count(distinct token) as bigint) exact from tok)
+select s sketch, exact, true within_bound from n, (select unnest(['hllpp', 'datasketch']) s)"""
+
 # ------------------------------------------------------------------ geo 1-NN
 
 GEO = """
-gp as (select c_custkey id, c_name location, ((c_custkey * 7919) % 18000) / cast(100 as double) - 90 latitude,
-              ((c_custkey * 104729) % 36000) / cast(100 as double) - 180 longitude from customer),
-gq as (select s_suppkey qid, ((s_suppkey * 7919 + 1234) % 18000) / cast(100 as double) - 90 latitude,
-              ((s_suppkey * 104729 + 777) % 36000) / cast(100 as double) - 180 longitude from supplier)
+gp as (select c_custkey id, c_name location,
+              (('0x' || substr(md5(concat('point:lat:', c_custkey)), 1, 8))::BIGINT % 18001) / cast(100 as double) - 90 latitude,
+              (('0x' || substr(md5(concat('point:lon:', c_custkey)), 1, 8))::BIGINT % 36000) / cast(100 as double) - 180 longitude
+       from customer),
+gq as (select s_suppkey qid,
+              (('0x' || substr(md5(concat('query:lat:', s_suppkey)), 1, 8))::BIGINT % 18001) / cast(100 as double) - 90 latitude,
+              (('0x' || substr(md5(concat('query:lon:', s_suppkey)), 1, 8))::BIGINT % 36000) / cast(100 as double) - 180 longitude
+       from supplier)
 """
 
 ORACLE["geo_points"] = "with " + GEO + """
@@ -292,7 +299,14 @@ nn as (select qid, id, name, sqrt(d2) dist from (
                 (pb.easting - pq.easting) * (pb.easting - pq.easting) + (pb.northing - pq.northing) * (pb.northing - pq.northing) d2
          from pq cross join pb)
        qualify row_number() over (partition by qid order by d2, id) = 1),
-ex as (select qid, case when qid % 10 = 0 then 'wrong' else name end label from nn)
+lq as (select s_suppkey qid, easting + 0.25 easting, northing + 0.25 northing,
+              case when s_suppkey % 10 = 0 then 'wrong' else name end label
+       from supplier join pb on s_suppkey = id),
+fd as (select qid, name from (
+         select lq.qid, pb.name, pb.id,
+                (pb.easting - lq.easting) * (pb.easting - lq.easting) + (pb.northing - lq.northing) * (pb.northing - lq.northing) d2
+         from lq cross join pb)
+       qualify row_number() over (partition by qid order by d2, id) = 1)
 """
 
 ORACLE["l2_nearest"] = "with " + PUBS + "select qid, id, name, dist from nn"
@@ -300,11 +314,16 @@ ORACLE["l2_nearest_expanded"] = ORACLE["l2_nearest"]
 ORACLE["l2_nearest_batched"] = ORACLE["l2_nearest"]
 
 ORACLE["nn_label_mismatches"] = "with " + PUBS + """
-select nn.qid, nn.name found, ex.label expected from nn join ex on nn.qid = ex.qid where nn.name is distinct from ex.label"""
+select fd.qid, fd.name found, lq.label expected from fd join lq on fd.qid = lq.qid where fd.name is distinct from lq.label"""
 
 ORACLE["nn_label_error_count"] = "with " + PUBS + """
-select cast(count(*) as bigint) n_queries, cast(count(*) filter (where nn.name is distinct from ex.label) as bigint) n_errors
-from nn join ex on nn.qid = ex.qid"""
+select cast(count(*) as bigint) n_queries, cast(count(*) filter (where fd.name is distinct from lq.label) as bigint) n_errors
+from fd join lq on fd.qid = lq.qid"""
+
+ORACLE["embedding_l2_nearest"] = "with " + VEC + """,
+pr as (select qw.qid, x.idx, list_distance(e.v, x.v) d
+       from qw join ev e on qw.word = e.word join ev x on x.idx <> e.idx)
+select qid, idx, round(d, 6) dist from pr qualify row_number() over (partition by qid order by d, idx) = 1"""
 
 # ---------------------------------------------------------------------- LSH
 
@@ -337,6 +356,18 @@ sc as (select cand.qid, cand.idx, list_inner_product(q.u, un.u) sim
 select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
   select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
 
+ORACLE["lsh_top3_by_vector"] = "with " + LSH + """,
+mv as (select qw.qid, list_transform(ev.v, lambda x: x + 0.05::DOUBLE) v from qw join ev on qw.word = ev.word),
+ms as (select mv.qid, string_agg(case when list_inner_product(mv.v, pm.gv) > 0 then '1' else '0' end, '' order by pm.plane) sig
+       from mv cross join pm group by mv.qid),
+mb as (select ms.qid, cast(pos.tbl as integer) tbl, string_agg(substr(sig, cast(pos.p as integer) + 1, 1), '' order by pos.slot) bucket
+       from ms cross join pos group by ms.qid, pos.tbl),
+cand as (select distinct mb.qid, xb.idx from mb join bk xb on xb.tbl = mb.tbl and xb.bucket = mb.bucket),
+sc as (select cand.qid, cand.idx, list_inner_product(mv.v, un.u) / sqrt(list_inner_product(mv.v, mv.v)) sim
+       from cand join mv on mv.qid = cand.qid join un on un.idx = cand.idx)
+select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
+  select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
+
 # --------------------------------------------------------------- source tree
 
 SRC = r"""
@@ -364,7 +395,7 @@ ORACLE["corpus_longest_sha1"] = "with " + SRC + """
 select path, sha1(content) sha1 from (select * from lc order by lines desc, path limit 10)"""
 
 ORACLE["corpus_grep_count"] = "with " + SRC + """
-select 'License' phrase, cast(count(distinct path) as bigint) n_files from sf where contains(content, 'License')"""
+select 'License' phrase, cast(count(*) as bigint) n_files from sf where contains(content, 'License')"""
 
 ORACLE["corpus_licenses"] = "with " + SRC + "select path, license from li where license is not null"
 

@@ -219,7 +219,7 @@ def q_hll_estimate(spark, sf):
 
 @query("approx_distinct")
 def q_approx_distinct(spark, sf):
-    return sketch.approx_distinct(_tokens(spark, sf), "token")
+    return sketch.approx_distinct(_tokens(spark, sf), "token").select("sketch", "exact", "within_bound")
 
 
 # ---------------------------------------------------------------- geo 1-NN
@@ -286,12 +286,11 @@ def _l2(spark, sf, form):
     return spatial.nearest_in_plane(fx.pubs(spark, sf), fx.pub_queries(spark, sf), carry=["name"], form=form)
 
 
-def _expected_labels(spark, sf):
-    """Expected label per query: the true nearest name by the batched scan
-    (a different algorithm from the grid search), spoiled for every tenth
-    query so that the check has something to find."""
-    nn = neighbours.l2_nearest_batched(fx.pubs(spark, sf), fx.pub_queries(spark, sf), carry=["name"])
-    return nn.select("qid", F.when(F.col("qid") % 10 == 0, F.lit("wrong")).otherwise(F.col("name")).alias("label"))
+def _labelled(spark, sf):
+    """(found, expected) for queries that come with an expected label."""
+    q = fx.label_queries(spark, sf)
+    found = spatial.nearest_in_plane(fx.pubs(spark, sf), q.drop("label"), carry=["name"])
+    return found, q.select("qid", "label")
 
 
 @query("l2_nearest")
@@ -311,12 +310,19 @@ def q_l2_nearest_batched(spark, sf):
 
 @query("nn_label_mismatches")
 def q_nn_label_mismatches(spark, sf):
-    return neighbours.label_mismatches(_l2(spark, sf, "direct"), _expected_labels(spark, sf))
+    return neighbours.label_mismatches(*_labelled(spark, sf))
 
 
 @query("nn_label_error_count")
 def q_nn_label_error_count(spark, sf):
-    return neighbours.label_error_count(_l2(spark, sf, "direct"), _expected_labels(spark, sf))
+    return neighbours.label_error_count(*_labelled(spark, sf))
+
+
+@query("embedding_l2_nearest")
+def q_embedding_l2_nearest(spark, sf):
+    q = _query_vectors(spark, sf).select("qid", F.col("idx").alias("self"), "vec")
+    r = neighbours.l2_nearest_vectors(q, _vectors(spark, sf).select("idx", "vec"))
+    return r.select("qid", "idx", F.round("dist", 6).alias("dist"))
 
 
 # ------------------------------------------------------------------- LSH
@@ -358,6 +364,15 @@ def q_lsh_top3(spark, sf):
     return lsh.lsh_topk(_query_vectors(spark, sf), v, planes, pos, k=3)
 
 
+@query("lsh_top3_by_vector")
+def q_lsh_top3_by_vector(spark, sf):
+    v = _vectors(spark, sf)
+    planes, pos = _lsh_params(spark, v)
+    moved = F.transform("vec", lambda x: x + F.lit(0.05))  # vectors that the index does not hold
+    q = _query_vectors(spark, sf).select("qid", F.lit(None).cast("bigint").alias("self"), moved.alias("vec"))
+    return lsh.query_by_vector(lsh.fit(v, planes, pos), q, k=3)
+
+
 # ------------------------------------------------------------- source tree
 
 GREP_PHRASE = "License"
@@ -407,10 +422,10 @@ def q_corpus_top_license(spark, sf):
 
 @query("stream_geo_nearest")
 def q_stream_geo_nearest(spark, sf):
-    r = incremental.run_nearest_stream(spark, fx.geo_points(spark, sf), fx.geo_queries(spark, sf))
+    r = incremental.run_nearest_stream(spark, fx.geo_points(spark, sf), sf, "supplier", fx.as_geo_queries)
     return r.select("qid", "id", "location", F.round("dist", 6).alias("dist"))
 
 
 @query("stream_hll_registers")
 def q_stream_hll_registers(spark, sf):
-    return incremental.run_registers_stream(spark, fx.id_lines(spark, sf), HLL_M, HLL_SEED).select("j", "rho")
+    return incremental.run_registers_stream(spark, sf, "lineitem", fx.as_id_lines, HLL_M, HLL_SEED).select("j", "rho")

@@ -6,20 +6,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
-def read_tree(spark: SparkSession, root: str, glob: str | None = None,
-              max_file_bytes: int | None = None) -> DataFrame:
+def read_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(path, length, content string) for every file below ``root``.
 
     ``glob`` is a file-name filter such as ``*.{c,h}``.  ``binaryFile`` loads a
-    whole file per row, so ``max_file_bytes`` guards against single huge
-    files (they are listed with NULL content instead of being loaded).  For
-    very large trees, pack once to parquet and read that.
+    whole file per row; a query that does not use ``content`` only lists the
+    files.  For very large trees, pack once to parquet and read that.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
-    df = r.load(root)
-    content = F.col("content").cast("string")
-    if max_file_bytes is not None:
-        content = F.when(F.col("length") <= max_file_bytes, content)
-    return df.select("path", "length", content.alias("content"))
+    return r.load(root).select("path", "length", F.col("content").cast("string").alias("content"))

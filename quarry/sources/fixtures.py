@@ -11,66 +11,55 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.functions.hashing import md5_u32
 from quarry.sources.tables import load
 
-# An adjacency line never carries more than this many ids; an owner with more
-# follows gets several lines (the format allows repeated owner lines).  This
-# keeps a hot owner from becoming one giant row.
-MAX_IDS_PER_LINE = 1024
-
-
 def _const_lines(spark: SparkSession, *values: str) -> DataFrame:
     return spark.range(len(values)).select(
         F.element_at(F.array(*[F.lit(v) for v in values]), (F.col("id") + 1).cast("int")).alias("line"))
 
 
 def graph_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Follow graph text: owners = customers, follows from urgent orders.
+    """Follow graph text: one line per order, the ordering customer as owner
+    and one followed id per line item of that order.
 
-    Some owners follow no one, some mentioned ids own no line, every 50th
-    owner has a second line, plus one blank and one malformed line.
+    Orders without line items and customers without orders own a line without
+    ids; some mentioned ids own no line; every 50th customer has a second
+    line; one line is blank and one malformed.
 
-    No outer join touches the edge rows, so an owner with a third of all
-    edges is never one task: edges are kept by a semi join (AQE can split a
-    skewed left side), grouped per (owner, chunk) with at most
-    ``MAX_IDS_PER_LINE`` ids per line, and owners without edges come from an
-    anti join against the one-row-per-owner chunk table.
+    A line is as long as its order, so nothing is ever gathered by owner: an
+    owner with a third of all orders has that many short lines.
     """
     customer = load(spark, sf_dir, "customer").select("c_custkey")
-    orders = (load(spark, sf_dir, "orders")
-              .where(F.col("o_orderpriority") == "1-URGENT")
-              .select("o_orderkey", "o_custkey"))
+    orders = load(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     m = customer.select(F.floor(F.lit(1.1e0) * F.count(F.lit(1))).cast("bigint")).scalar()
-    edges = (orders.join(customer, orders.o_custkey == customer.c_custkey, "left_semi")
-             .select(F.col("o_custkey").alias("src"), "o_orderkey",
-                     ((F.col("o_orderkey") * 31 + 7) % m).alias("dst")))
-    # Chunk count per owner; partial aggregation makes this skew-proof.
-    per_owner = edges.groupBy("src").agg(
-        F.ceil(F.count(F.lit(1)) / F.lit(MAX_IDS_PER_LINE)).cast("bigint").alias("nchunk"))
-    chunked = (edges.join(per_owner, "src")
-               .select("src", "dst", F.pmod("o_orderkey", "nchunk").alias("chunk")))
-    with_edges = (chunked.groupBy("src", "chunk")
-                  .agg(F.array_sort(F.collect_list("dst")).alias("ids"))
-                  .select(F.concat(F.col("src").cast("string"), F.lit(": "),
-                                   F.array_join(F.transform("ids", lambda x: x.cast("string")), " "))
-                          .alias("line")))
-    without = (customer.join(per_owner, customer.c_custkey == per_owner.src, "left_anti")
+    items = load(spark, sf_dir, "lineitem").select(
+        "l_orderkey", ((F.col("l_orderkey") * 31 + F.col("l_partkey") * 7) % m).alias("dst"))
+    per_order = items.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("dst")).alias("ids"))
+    ids = F.array_join(F.transform("ids", lambda x: x.cast("string")), " ")
+    with_orders = (orders.join(per_order, orders.o_orderkey == per_order.l_orderkey, "left")
+                   .select(F.concat(F.col("o_custkey").cast("string"), F.lit(": "), F.coalesce(ids, F.lit(""))).alias("line")))
+    owners = orders.select("o_custkey").distinct()
+    without = (customer.join(owners, customer.c_custkey == owners.o_custkey, "left_anti")
                .select(F.concat(F.col("c_custkey").cast("string"), F.lit(": ")).alias("line")))
     second = customer.where(F.col("c_custkey") % 50 == 0).select(
         F.concat(F.col("c_custkey").cast("string"), F.lit(": 0")).alias("line"))
-    return (with_edges.unionByName(without).unionByName(second)
+    return (with_orders.unionByName(without).unionByName(second)
             .unionByName(_const_lines(spark, "", "malformed")))
 
 
+def as_id_lines(lineitem: DataFrame) -> DataFrame:
+    return lineitem.select(F.concat_ws(" ", "l_orderkey", "l_partkey").alias("line"))
+
+
 def id_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
-    li = load(spark, sf_dir, "lineitem", spread=True)
-    return li.select(F.concat_ws(" ", "l_orderkey", "l_partkey").alias("line"))
+    return as_id_lines(load(spark, sf_dir, "lineitem"))
 
 
 def auth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sshd syslog lines, one per event: accepted, failed, invalid user
     (including ``support`` and an empty name), repeated failure, other."""
-    ev = load(spark, sf_dir, "events", spread=True)
+    ev = load(spark, sf_dir, "events")
     uid = F.col("user_id").cast("string")
     et = F.col("event_type")
     invalid_name = (F.when(F.col("user_id") % 10 == 0, F.lit("support"))
@@ -89,24 +78,32 @@ def auth_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(" port "), (F.lit(1024) + F.col("event_id") % 5000).cast("string"), F.lit(" ssh2")).alias("line"))
 
 
+def _coordinates(kind: str, key) -> tuple:
+    """(latitude, longitude) in hundredths of a degree, uniform by md5 of the key."""
+    return ((md5_u32(kind, "lat", key) % 18001) / F.lit(100.0) - 90,
+            (md5_u32(kind, "lon", key) % 36000) / F.lit(100.0) - 180)
+
+
 def geo_points(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Named points in degrees: (id, location, latitude, longitude)."""
     c = load(spark, sf_dir, "customer")
+    lat, lon = _coordinates("point", F.col("c_custkey"))
     return c.select(F.col("c_custkey").alias("id"), F.col("c_name").alias("location"),
-                    ((F.col("c_custkey") * 7919) % 18000 / F.lit(100.0) - 90).alias("latitude"),
-                    ((F.col("c_custkey") * 104729) % 36000 / F.lit(100.0) - 180).alias("longitude"))
+                    lat.alias("latitude"), lon.alias("longitude"))
+
+
+def as_geo_queries(supplier: DataFrame) -> DataFrame:
+    lat, lon = _coordinates("query", F.col("s_suppkey"))
+    return supplier.select(F.col("s_suppkey").alias("qid"), lat.alias("latitude"), lon.alias("longitude"))
 
 
 def geo_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
-    s = load(spark, sf_dir, "supplier")
-    return s.select(F.col("s_suppkey").alias("qid"),
-                    ((F.col("s_suppkey") * 7919 + 1234) % 18000 / F.lit(100.0) - 90).alias("latitude"),
-                    ((F.col("s_suppkey") * 104729 + 777) % 36000 / F.lit(100.0) - 180).alias("longitude"))
+    return as_geo_queries(load(spark, sf_dir, "supplier"))
 
 
 def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GloVe-style text: ``w<vec_id>`` then the components times 10^6 as integers."""
-    e = load(spark, sf_dir, "embeddings", spread=True)
+    e = load(spark, sf_dir, "embeddings")
     comps = F.transform("embedding", lambda x: F.round(x.cast("double") * 1e6).cast("bigint").cast("string"))
     return e.select(F.concat(F.lit("w"), F.col("vec_id").cast("string"), F.lit(" "),
                              F.array_join(comps, " ")).alias("line"))
@@ -114,7 +111,7 @@ def vector_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def embedding_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(idx, word, vec array<double>) straight from the table."""
-    e = load(spark, sf_dir, "embeddings", spread=True)
+    e = load(spark, sf_dir, "embeddings")
     return e.select(F.col("vec_id").alias("idx"), F.concat(F.lit("w"), F.col("vec_id").cast("string")).alias("word"),
                     F.transform("embedding", lambda x: x.cast("double")).alias("vec"))
 
@@ -145,10 +142,21 @@ def pub_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
                     ((F.col("s_suppkey") * 32452843 + 111) % 1300000).cast("double").alias("northing"))
 
 
+def label_queries(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Queries with an expected label: a point beside the place whose key is
+    the supplier's, labelled with that place's name; every tenth label is
+    spoiled.  (qid, easting, northing, label)"""
+    s = load(spark, sf_dir, "supplier").select("s_suppkey")
+    p = pubs(spark, sf_dir)
+    near = s.join(p, s.s_suppkey == p.id)
+    return near.select(F.col("id").alias("qid"), (F.col("easting") + 0.25).alias("easting"), (F.col("northing") + 0.25).alias("northing"),
+                       F.when(F.col("id") % 10 == 0, F.lit("wrong")).otherwise(F.col("name")).alias("label"))
+
+
 def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A source tree as (path, content): ``.c``/``.h``/``.txt`` files, with
+    """A source tree as (path, content, length): ``.c``/``.h``/``.txt`` files, with
     SPDX lines in four comment styles (and none) prepended to the text."""
-    d = load(spark, sf_dir, "documents", spread=True)
+    d = load(spark, sf_dir, "documents")
     ext = (F.when(F.col("doc_id") % 3 == 0, F.lit(".c"))
            .when(F.col("doc_id") % 3 == 1, F.lit(".h")).otherwise(F.lit(".txt")))
     r = F.col("doc_id") % 5
@@ -158,4 +166,4 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .when(r == 3, F.lit(" * SPDX-License-Identifier: (GPL-2.0 OR MIT)\n"))
             .otherwise(F.lit("// SPDX-License-Identifier: Apache-2.0\n")))
     return d.select(F.concat(F.lit("src/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), ext).alias("path"),
-                    F.concat(spdx, F.col("text")).alias("content"))
+                    F.concat(spdx, F.col("text")).alias("content")).withColumn("length", F.octet_length("content").cast("bigint"))

@@ -5,8 +5,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 
 
-def write_result(df: DataFrame, path: str, fmt: str = "csv", header: bool = True) -> None:
-    """Replace a result set (``longest.txt``-style outputs)."""
+def write_result(df: DataFrame, path: str, fmt: str = "csv", header: bool = True, order=()) -> None:
+    """Replace a result set (``longest.txt``-style outputs).
+
+    ``order`` names the columns to sort by, such as the query id: a range
+    sort, so the part files read in name order are in query order."""
+    if order:
+        df = df.orderBy(*order)
     w = df.write.mode("overwrite")
     if fmt == "csv":
         w.option("header", header).csv(path)

@@ -47,32 +47,86 @@ def adjacency_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
     return lines.where((F.trim(line) != "") & ~line.rlike(ADJ_PATTERN)).select(line.alias("line"))
 
 
+def _uint64(tok: Column) -> Column:
+    """The 64 bits of an integer token in [-2^63, 2^64), as bigint; NULL for anything else."""
+    n = F.when(tok.rlike(r"^[+-]?[0-9]+$"), tok.try_cast("decimal(20,0)"))
+    half, high = (F.lit(str(1 << b)).cast("decimal(20,0)") for b in (63, 64))
+    return (F.when(n >= half, F.when(n < high, (n - high).try_cast("bigint")))
+            .otherwise(n.try_cast("bigint")))
+
+
 def parse_id_tokens(lines: DataFrame, line_col: str = "line") -> DataFrame:
-    """Every whitespace token is one 64-bit key -> (pos int, token bigint).
+    """Every whitespace token is one unsigned 64-bit key -> (pos int, token bigint).
 
-    Tokens that are not integers become NULL through ``try_cast`` instead of
-    failing the job; callers filter them.
+    Keys from 2^63 on keep their 64 bits (the bigint is negative).  A token
+    that is no such integer has a NULL ``token``; :func:`id_token_rejects`
+    lists those.
     """
     toks = _split_ws(F.col(line_col))
     return (lines.select(F.posexplode(toks).alias("pos", "tok"))
-            .select("pos", F.expr("try_cast(tok as bigint)").alias("token")))
+            .select("pos", _uint64(F.col("tok")).alias("token")))
+
+
+def id_token_rejects(lines: DataFrame, line_col: str = "line") -> DataFrame:
+    """(pos, tok): the tokens that are not 64-bit integers."""
+    return (lines.select(F.posexplode(_split_ws(F.col(line_col))).alias("pos", "tok"))
+            .where(_uint64(F.col("tok")).isNull()))
+
 
+def _numbers(parts: Column) -> Column:
+    """Doubles, NULL where one of the texts is not a number."""
+    xs = F.transform(parts, lambda x: x.try_cast("double"))
+    return F.when(~F.exists(xs, lambda x: x.isNull()), xs)
 
-def parse_vectors(lines: DataFrame, line_col: str = "line") -> DataFrame:
+
+def parse_vectors(lines: DataFrame, dim: int | None = None, line_col: str = "line") -> DataFrame:
     """``word f1 ... fd`` (single spaces, no quoting) -> (word, vec array<double>).
 
-    Words such as ``null`` stay text.  The numbers become one array column,
-    not d columns.
+    With ``dim``, the last ``dim`` fields are the numbers and the word is all
+    before them, spaces included; without it, the word is the first field.
+    Words such as ``null`` stay text.  A line with a bad number, or too few,
+    is left out; :func:`vector_rejects` lists those.
     """
+    parsed = _with_vector(lines, dim, line_col)
+    return parsed.where("vec is not null").select("word", "vec")
+
+
+def vector_rejects(lines: DataFrame, dim: int | None = None, line_col: str = "line") -> DataFrame:
+    return _with_vector(lines, dim, line_col).where("vec is null").select(F.col(line_col).alias("line"))
+
+
+def _with_vector(lines: DataFrame, dim: int | None, line_col: str) -> DataFrame:
     parts = F.split(F.col(line_col), " ")
-    return lines.select(
-        F.element_at(parts, 1).alias("word"),
-        F.transform(F.slice(parts, 2, F.size(parts) - 1),
-                    lambda x: x.cast("double")).alias("vec"))
+    words = F.lit(1) if dim is None else F.size(parts) - dim
+    enough = (words >= 1) & (F.size(parts) > words)
+    vec = F.when(enough, _numbers(F.slice(parts, F.greatest(words, F.lit(1)) + 1, F.greatest(F.size(parts) - words, F.lit(0)))))
+    return lines.select(F.col(line_col), F.when(enough, F.array_join(F.slice(parts, 1, F.greatest(words, F.lit(1))), " ")).alias("word"),
+                        vec.alias("vec"))
+
+
+def parse_lat_lon(numbered: DataFrame, line_col: str = "line") -> DataFrame:
+    """(qid, line ``lat lon``) -> (qid, latitude, longitude); a malformed line
+    keeps its id with NULL coordinates, so that every query has an answer row."""
+    xs = _numbers(_split_ws(F.col(line_col)))
+    good = F.when(F.size(xs) == 2, xs)
+    return numbered.select("qid", F.get(good, 0).alias("latitude"), F.get(good, 1).alias("longitude"))
+
+
+def parse_query_vectors(numbered: DataFrame, line_col: str = "line") -> DataFrame:
+    """(qid, line of floats) -> (qid, vec array<double>), NULL for a bad line."""
+    return numbered.select("qid", _numbers(_split_ws(F.col(line_col))).alias("vec"))
+
+
+def parse_labels(numbered: DataFrame, line_col: str = "line") -> DataFrame:
+    """(qid, line) -> (qid, label): one expected label per line, trimmed; an empty line is NULL."""
+    return numbered.select("qid", F.nullif(F.trim(F.col(line_col)), F.lit("")).alias("label"))
 
 
 def read_point_csv(spark: SparkSession, path: str, kind: str = "geo") -> DataFrame:
-    """Header CSV of named points with an explicit schema (no inference)."""
+    """Header CSV of named points with an explicit schema (no inference).
+
+    ``id`` is the row's number in the file; a value that does not fit the
+    schema is NULL, and the indexes leave such points out."""
     if kind == "geo":
         schema = T.StructType([T.StructField("location", T.StringType()),
                                T.StructField("latitude", T.DoubleType()),
@@ -81,17 +135,17 @@ def read_point_csv(spark: SparkSession, path: str, kind: str = "geo") -> DataFra
         schema = T.StructType([T.StructField("name", T.StringType()),
                                T.StructField("easting", T.FloatType()),
                                T.StructField("northing", T.FloatType())])
-    return spark.read.schema(schema).option("header", True).csv(path)
+    return with_line_ids(spark.read.schema(schema).option("header", True).csv(path), "id")
 
 
-def with_line_ids(df: DataFrame) -> DataFrame:
-    """Line number (from 0) as query id for plain query files, at load.
+def with_line_ids(df: DataFrame, name: str = "qid") -> DataFrame:
+    """Line number (from 0) for plain query files, at load.
 
     ``monotonically_increasing_id`` is (split index << 33) + row within the
-    split, in file order.  Per-split row counts (one row per split, a bounded
-    table) turn into running offsets, and each row's number is its split's
-    offset plus its position: two passes over the file, no per-row Python
-    and no window over the whole file.
+    split, in file order.  Per-split row counts (one row per split) turn into
+    running offsets, and each row's number is its split's offset plus its
+    position: two passes over the file, no per-row Python and no window over
+    the rows.  Whether the offsets are broadcast is left to their size.
     """
     t = df.withColumn("_mid", F.monotonically_increasing_id()) \
           .withColumn("_split", F.shiftright("_mid", 33))
@@ -99,5 +153,5 @@ def with_line_ids(df: DataFrame) -> DataFrame:
     offsets = counts.select(
         "_split", (F.sum("_n").over(Window.orderBy("_split")) - F.col("_n")).alias("_off"))
     pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (t.join(F.broadcast(offsets), "_split")
-            .select((F.col("_off") + pos).alias("qid"), *df.columns))
+    return (t.join(offsets, "_split")
+            .select((F.col("_off") + pos).alias(name), *df.columns))

@@ -63,6 +63,17 @@ def test_merge_laws(spark):
     assert _regs(sketch.merge(a, a)) == _regs(a)
 
 
+def test_register_counts_above_2_to_16(spark):
+    xs = [0, 1, 2**62 + 12345, -1, -(2**63), 987654321]
+    df = spark.createDataFrame([(x,) for x in xs], "x long")
+    for bits in (0, 16, 17, 20, 40, 63):
+        got = [r.j for r in df.select(multiply_shift_index(F.col("x"), bits).alias("j")).collect()]
+        assert got == [((x % 2**64) * MULTIPLIER % 2**64) >> (64 - bits) for x in xs], bits
+    s = sketch.build(_keys(spark, 0, 3000), "k", 1 << 18, 7)
+    est = sketch.estimate(s).first()
+    assert est.m == 1 << 18 and abs(est.estimate - 3000) < 60
+
+
 def test_merge_checks_parameters(spark):
     a = sketch.build(_keys(spark, 0, 10), "k", 256, 7)
     with pytest.raises(ValueError):
