@@ -70,9 +70,10 @@ def _order() -> Column:
 
 
 def _shared(rows: DataFrame, key: str) -> DataFrame:
-    """The rows whose key is on more than one row."""
-    many = rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key)
-    return rows.join(many, key, "left_semi")
+    """The rows whose key is on more than one row.  A bitmap of fixed size
+    drops most other rows before they are shuffled to the join."""
+    many = staged(rows.groupBy(key).agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(key), "lines-shared")
+    return rows.where(slot_bitmap(many)(F.col(key))).join(many, key, "left_semi")
 
 
 def near_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
