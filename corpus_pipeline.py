@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.llm import decontam, langid, linededup, packing, simhash
-from quarry.llm.common import staged, table
+from quarry.llm.common import staged, table, unused
 
 TOKENIZER = "byte_bpe_50k.json"
 
@@ -25,11 +25,12 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Repeated lines go, the earliest stays; a document of which no word is
     left goes with them.  ``n_chars`` follows the text."""
-    kept = linededup.dedup_lines(docs)
-    changed = F.col("n_exact_removed") + F.col("n_near_removed") > 0
+    counts = tuple(unused(docs, c) for c in linededup.COUNTS)
+    kept = linededup.dedup_lines(docs, counts)
+    changed = F.col(counts[0]) + F.col(counts[1]) > 0
     left = kept.where(~changed | F.regexp_like("text", F.lit("[^\\x20\\x09-\\x0D]")))
-    return left.select(*[F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(F.col(c)).alias(c)
-                         if c == "n_chars" else F.col(c) for c in docs.columns])
+    return left.select(*[F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(left[c]).alias(c)
+                         if c == "n_chars" else left[c] for c in docs.columns])
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

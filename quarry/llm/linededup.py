@@ -144,18 +144,31 @@ def removed_lines(docs: DataFrame) -> DataFrame:
         F.collect_set(F.when(late, F.col("pos"))).alias("exact"), F.collect_set(F.when(~late, F.col("pos"))).alias("near"))
 
 
-def dedup_lines(docs: DataFrame) -> DataFrame:
+COUNTS = ("n_exact_removed", "n_near_removed")
+
+
+def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS) -> DataFrame:
     """All rows of ``docs`` with ``text`` rebuilt from the lines that stay, and
-    two more columns, ``n_exact_removed`` and ``n_near_removed``."""
-    gone = removed_lines(docs).select(F.col("id").alias("_id"), F.col("text_key").alias("_text"), "exact", "near")
-    joined = docs.join(gone, docs["doc_id"].cast("long").eqNullSafe(gone["_id"]) & (text_key(docs["text"]) == gone["_text"]), "left")
-    parts = F.split(docs["text"].cast("string"), "\n")
-    numbers = F.sequence(F.lit(0), F.size(parts) - 1)
-    stay = F.array_except(numbers, F.concat("exact", "near"))
-    text = F.when(F.col("_text").isNull(), docs["text"]).otherwise(F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n"))
-    count = lambda c: F.greatest(F.coalesce(F.size(c), F.lit(0)), F.lit(0)).cast("long")
-    return joined.select(*[text.alias(c) if c.lower() == "text" else docs[c] for c in docs.columns],
-                         count("exact").alias("n_exact_removed"), count("near").alias("n_near_removed"))
+    two more columns, named by ``counts``: how many lines went because an
+    equal one, or only because a near one, comes earlier.  Texts that a bitmap
+    shows to lose no line are not shuffled."""
+    gone = staged(removed_lines(docs), "lines-gone")
+    touched = slot_bitmap(gone.select(F.xxhash64("id", "text_key").alias("k")))
+    key = F.xxhash64(docs["doc_id"].cast("long"), text_key(docs["text"]))
+    some, others = docs.where(touched(key)), docs.where(~touched(key))
+    joined = some.join(gone, some["doc_id"].cast("long").eqNullSafe(gone["id"]) & (text_key(some["text"]) == gone["text_key"]), "left")
+    parts = F.split(some["text"].cast("string"), "\n")
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.concat(gone["exact"], gone["near"]))
+    rebuilt = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
+    text = F.when(gone["text_key"].isNull(), some["text"]).otherwise(rebuilt)
+
+    def count(c):
+        return F.when(c.isNull(), 0).otherwise(F.size(c)).cast("long")
+
+    changed = joined.select(*[text.alias(c) if c.lower() == "text" else some[c] for c in docs.columns],
+                            count(gone["exact"]).alias(counts[0]), count(gone["near"]).alias(counts[1]))
+    none = F.lit(0).cast("long")
+    return changed.unionByName(others.select("*", none.alias(counts[0]), none.alias(counts[1])))
 
 
 def op10_linededup(spark, sf_dir):
