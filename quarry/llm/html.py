@@ -81,6 +81,11 @@ LABELLED = """
  0   5 0.00   1 0.00   3 1.00 0
  0   7 0.00   3 0.00   0 0.00 0
  0  12 0.60  60 0.00   4 1.00 0
+ 0   1 1.00   1 1.00  40 0.00 0
+ 0   2 1.00   3 1.00  60 0.00 0
+ 0   4 0.90   0 0.00  25 0.00 0
+ 0   5 1.00  50 0.00  30 0.00 0
+ 0  30 0.80  20 0.00  40 0.00 0
  0   2 0.00   5 1.00   1 0.00 0
 """
 

@@ -12,8 +12,8 @@ whole text, hashed to ``DIMENSIONS``, as square roots of relative frequencies
 (so a vector has length 1 whatever the length of the text).
 
 Training rows are a bounded sample: at most ``SAMPLE`` rows over all
-languages, chosen by a hash of the text, each a feature vector of fixed size;
-only those vectors reach the driver.  Languages that the family table does
+languages, chosen by a hash of the text, each a feature vector of fixed size
+(8 KB); only those vectors reach the driver.  Languages that the family table does
 not name form a family of their own.
 
 Null, empty and letterless texts are ``und`` with score 0.  Without a
@@ -32,7 +32,7 @@ from quarry.llm.common import table, text_key
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
-SAMPLE = 4000        # bound on the training rows, all languages together
+SAMPLE = 2000        # bound on the training rows, all languages together
 LANGUAGES = 200      # bound on the languages learned: the most frequent ones
 CHUNK = 1 << 18      # characters featurised at a time
 FOLDS, HELD = 5, 0
@@ -114,7 +114,7 @@ def _vectors(batches):
     import pyarrow as pa
     features = Features()
     for b in batches:
-        vectors = [None if v is None else v.tobytes() for v in map(features, b.column("text").to_pylist())]
+        vectors = [None if v is None else v.astype("<f2").tobytes() for v in map(features, b.column("text").to_pylist())]
         out = pa.RecordBatch.from_arrays([b.column("draw"), b.column("lang"), pa.array(vectors, pa.binary())], names=["draw", "lang", "v"])
         yield out.filter(out.column("v").is_valid())
 
@@ -135,7 +135,7 @@ def training_sample(docs: DataFrame, bound: int = SAMPLE):
     drawn = (rows.withColumn("draw", F.pmod(text_key(F.col("text")), F.lit(1 << 30))).where(F.col("draw") / float(1 << 30) < share)
              .select("draw", "lang", "text").mapInArrow(_vectors, "draw long, lang string, v binary"))
     chosen = drawn.dropDuplicates(["draw", "lang"]).orderBy("draw", "lang").limit(bound).toPandas()
-    matrix = np.frombuffer(b"".join(chosen["v"]), np.float32).reshape(-1, DIMENSIONS)
+    matrix = np.frombuffer(b"".join(chosen["v"]), "<f2").reshape(-1, DIMENSIONS).astype(np.float32)
     return chosen["lang"].tolist(), matrix
 
 

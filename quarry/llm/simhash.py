@@ -245,6 +245,8 @@ def spanning_forest(fps, distance: int):
 def links(distinct: DataFrame, distance: int = DISTANCE, parts=None) -> DataFrame:
     """Edges (a, b) whose components are those of all pairs at most
     ``distance`` bits apart.  Outside large buckets they are all such pairs."""
+    if distance < 1:
+        return distinct.sparkSession.createDataFrame([], "a long, b long")
     parts = parts or choose_partitions(distinct, distance)
     rows = _probe_rows(distinct, parts)
     hot = staged(rows.groupBy("part", "key").agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("own").cast("long")).alias("own"))
