@@ -62,7 +62,10 @@ def _repeat_words(words: Column) -> Column:
 
 
 def features(docs: DataFrame) -> DataFrame:
-    """(doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_chars, classes, common)"""
+    """(doc_id, lang, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, n_chars, classes, common)
+
+    Written once: a filter pushed into these expressions would evaluate the
+    words of a text anew for each of them."""
     lang = F.col("lang").cast("string") if "lang" in docs.columns else F.lit(None).cast("string")
     base = docs.select(F.col("doc_id").cast("long").alias("doc_id"), lang.alias("lang"),
                        F.coalesce(F.col("text").cast("string"), F.lit("")).alias("t"))
@@ -71,13 +74,14 @@ def features(docs: DataFrame) -> DataFrame:
     lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(WS_BYTES))) > 0)
     counted = [F.regexp_count("t", F.lit(p)).cast("long") for p in CLASSES]
     common = [(F.size("known") - F.size(F.array_remove("known", w))).cast("long") for w in VOCABULARY]
-    return known.select(
+    counts = known.select(
         "doc_id", "lang", F.size("words").cast("long").alias("n_words"),
         F.length(F.array_join("words", "")).cast("long").alias("word_chars"),
         bound(lines, lambda x: (F.size(x) - F.size(F.array_distinct(x))).cast("long")).alias("n_dup_lines"),
         _repeat_words(F.col("words")).alias("n_repeat_words"), F.length("t").cast("long").alias("n_chars"),
         F.array(*counted).alias("classes"), F.array(*common).alias("common")
     ).withColumn("n_symbols", F.get("classes", F.lit(CLASSES.index("[#*$%&|<>]"))))
+    return staged(counts, "quality")
 
 
 def _shares(counts: Column, total: Column) -> Column:
@@ -114,7 +118,7 @@ def references(found: DataFrame) -> dict[str, tuple[list[float], list[float]]]:
 
 def judge(docs: DataFrame, max_class: float = MAX_CLASS_DISTANCE, max_common: float = MAX_COMMON_DISTANCE) -> DataFrame:
     """(doc_id, base counts, base_failed, class_distance, common_distance, kept)"""
-    found = staged(features(docs), "quality")
+    found = features(docs)
     refs = references(found)
     none = F.lit(None).cast("double")
 
