@@ -5,9 +5,10 @@ Index (built once per point set):
   * exact copies (same coordinates) collapse to one point, the smallest id,
     which is the one a tie would pick anyway; a location holding a third of
     all rows becomes one row;
-  * every point gets a cell of a fine level-0 grid (32x finer per axis than
-    a uniform grid with about two points per cell would be), so dense
-    clusters are resolved into small cells;
+  * every point gets a cell of a fine level-0 grid: 32x finer per axis than
+    a uniform grid with about two points per cell would be, and finer still,
+    by measurement, until no cell has more than ``LEAF`` distinct points, so
+    that a dense cluster is resolved whatever the extent around it;
   * a pyramid keeps one representative point per non-empty cell at level 0
     and at every coarser level (each 4x4 cells of the level below); each
     level is an aggregate of the previous one.
@@ -49,7 +50,8 @@ from quarry.session import scratch_path
 
 POINTS_PER_CELL = 2.0     # density of the uniform grid the resolution starts from
 FINER_BITS = 5            # level 0 is 2^5 = 32x finer per axis than that
-MAX_BITS = 20             # 2^20 latitude bands: cells of ~19 m
+LEAF = 64                 # most distinct points of a level-0 cell
+MAX_BITS = 28             # cells of 2^-28 of the span (7 cm on Earth): where splitting ends
 STEP = 2                  # each pyramid level is 2^STEP = 4x coarser per axis
 TIGHTEN_BELOW = 2         # branch-and-bound pruning at the finest levels (< this)
 _EPS = 1e-9
@@ -99,13 +101,19 @@ class Geometry:
     # ---- lower bound of the distance from (qa, qb) to any point of a cell ----
     def cell_lower_bound(self, qa: Column, qb: Column, ci: Column, cj: Column, s: int) -> Column:
         """Cell (ci, cj) at shift ``s`` covers level-0 rows [ci << s, (ci + 1) << s).
-        Plane: distance to the cell rectangle.  Sphere: the latitude gap to
-        the cell's band (a great-circle distance is never below it)."""
+        Plane: distance to the cell rectangle.  Sphere: the larger of the
+        latitude gap to the cell's band and, for a query outside its
+        longitudes, the distance to the nearer of its two meridians."""
         lo_i, hi_i = F.shiftleft(ci, s).cast("double"), F.shiftleft(ci + 1, s).cast("double")
         if self.kind == "sphere":
             lat_lo = lo_i * (180.0 / self.ni) - 90.0
             lat_hi = hi_i * (180.0 / self.ni) - 90.0
-            return F.radians(F.greatest(lat_lo - qa, qa - lat_hi, F.lit(0.0)))
+            band = F.radians(F.greatest(lat_lo - qa, qa - lat_hi, F.lit(0.0)))
+            west, width = F.shiftleft(cj, s).cast("double") * (360.0 / self.nj) - 180.0, (1 << s) * (360.0 / self.nj)
+            ahead = F.pmod(qb - west, F.lit(360.0))          # of the western meridian
+            gap = F.least(ahead - width, 360.0 - ahead)      # to the nearer one, from outside
+            across = F.asin(F.cos(F.radians(qa)) * F.sin(F.radians(F.least(gap, F.lit(90.0)))))
+            return F.greatest(band, F.when(gap > 0, across).otherwise(F.lit(0.0)))
         lo_j, hi_j = F.shiftleft(cj, s).cast("double"), F.shiftleft(cj + 1, s).cast("double")
         dy = F.greatest(self.y0 + lo_i * self.c0 - qa, qa - (self.y0 + hi_i * self.c0), F.lit(0.0))
         dx = F.greatest(self.x0 + lo_j * self.c0 - qb, qb - (self.x0 + hi_j * self.c0), F.lit(0.0))
@@ -185,6 +193,24 @@ def _build(points: DataFrame, geom: Geometry, pid: str, a: str, b: str, carry, p
     return GridIndex(geom, pts, spark.read.schema(reps.schema).parquet(f"{path}/reps"), carry, empty)
 
 
+def _fine_enough(points: DataFrame, a: str, b: str, geometry, bits: int) -> int:
+    """The number of bits, from ``bits`` on, at which no level-0 cell has more
+    than ``LEAF`` distinct points.
+
+    One aggregate where points are spread evenly; a dense cluster in a wide
+    extent takes a few more, over ever larger steps."""
+    places = points.where(_on_map(a, b)).select(a, b).distinct()
+    step = 1
+    while bits < MAX_BITS:
+        cells = places.select(*[c.alias(n) for n, c in zip(("ci", "cj"), geometry(bits).cells(F.col(a), F.col(b)), strict=True)])
+        most = cells.groupBy("ci", "cj").count().agg(F.max("count")).first()[0] or 0
+        if most <= LEAF:
+            break
+        bits = min(MAX_BITS, bits + max(step, math.ceil(0.5 * math.log2(most / LEAF))))
+        step *= 2
+    return bits
+
+
 def _answer(index: GridIndex, queries: DataFrame, qid: str, pid: str, a: str, b: str, digits: int | None) -> DataFrame:
     """One row per query: a query without a place on the map, and every query
     over an empty index, has a NULL id and distance."""
@@ -306,8 +332,11 @@ def sphere_index(points: DataFrame, *, pid: str = "id", lat: str = "latitude", l
     fresh folder of the shared location by default); ``level`` overrides the
     number of latitude-band bits of level 0."""
     n = points.where(_on_map(lat, lon)).count()
-    bits = level if level is not None else _sphere_bits(n)
-    geom = Geometry("sphere", bits, 2 ** bits, 2 ** (bits + 1), True)
+
+    def geometry(bits: int) -> Geometry:
+        return Geometry("sphere", bits, 2 ** bits, 2 ** (bits + 1), True)
+
+    geom = geometry(level if level is not None else _fine_enough(points, lat, lon, geometry, _sphere_bits(n)))
     return _build(points, geom, pid, lat, lon, carry, path or scratch_path(points.sparkSession, "sphere-index"), not n)
 
 
@@ -338,8 +367,11 @@ def plane_index(points: DataFrame, *, pid: str = "id", x: str = "easting", y: st
     span = max(x1 - x0, y1 - y0, 1e-9)
     p = int(math.ceil(0.5 * math.log2(max(st["n"] / POINTS_PER_CELL, 1.0))))
     bits = max(1, min(MAX_BITS, p + FINER_BITS))
-    g = 2 ** bits
-    geom = Geometry("plane", bits, g, g, False, x0=x0, y0=y0, c0=span * (1 + 1e-12) / g, form=form)
+
+    def geometry(bits: int) -> Geometry:
+        return Geometry("plane", bits, 2 ** bits, 2 ** bits, False, x0=x0, y0=y0, c0=span * (1 + 1e-12) / 2 ** bits, form=form)
+
+    geom = geometry(_fine_enough(points, y, x, geometry, bits))
     return _build(points, geom, pid, y, x, carry, scratch_path(points.sparkSession, "plane-index"), not st["n"])
 
 

@@ -253,3 +253,31 @@ def test_search_keeps_k_best_whatever_the_number_of_batches():
     few, many = peak(6), peak(60)
     assert (few[0], many[0]) == (5 * 400, 59 * 400)
     assert many[1] < 1.5 * few[1]
+
+
+def test_far_outlier_leaves_no_crowded_cell(spark):
+    rng = np.random.default_rng(21)
+    P = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(0, 1000, size=(20_000, 2)))] + [(99_999, 5e8, 5e8)]
+    Q = [(i, float(x), float(y)) for i, (x, y) in enumerate(rng.uniform(-100, 1100, size=(30, 2)))] + [(100, 4e8, 4e8), (101, 1e6, 1e6)]
+    pdf = spark.createDataFrame(P, "id long, easting double, northing double")
+    qdf = spark.createDataFrame(Q, "qid long, easting double, northing double")
+    index = spatial.plane_index(pdf)
+    assert index.pts.groupBy("ci", "cj").count().agg(F.max("count")).first()[0] <= spatial.LEAF
+    A = np.array([p[1:] for p in P])
+    want = {q: P[int(((A - (x, y)) ** 2).sum(axis=1).argmin())][0] for q, x, y in Q}
+    assert {r.qid: r.id for r in spatial.nearest_in_plane(pdf, qdf).collect()} == want
+
+
+def test_sphere_cell_bound_never_exceeds_a_distance(spark):
+    rng = np.random.default_rng(8)
+    geom = spatial.Geometry("sphere", 5, 32, 64, True)
+    rows = [(float(a), float(b), float(c), float(d)) for a, b, c, d in zip(rng.uniform(-90, 90, 4000), rng.uniform(-180, 180, 4000),
+                                                                          rng.uniform(-90, 90, 4000), rng.uniform(-180, 180, 4000))]
+    df = spark.createDataFrame(rows, "qa double, qb double, pa double, pb double")
+    ci, cj = geom.cells(F.col("pa"), F.col("pb"))
+    df = df.withColumns({"ci": ci, "cj": cj})
+    for s in (0, 2):
+        cells = df.withColumns({"ci": F.shiftright("ci", s), "cj": F.shiftright("cj", s)})
+        gap = cells.select((geom.dist(F.col("qa"), F.col("qb"), F.col("pa"), F.col("pb"))
+                            - geom.cell_lower_bound(F.col("qa"), F.col("qb"), F.col("ci"), F.col("cj"), s)).alias("g"))
+        assert gap.agg(F.min("g")).first()[0] > -1e-9
