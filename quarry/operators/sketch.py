@@ -59,6 +59,19 @@ def build(keys: DataFrame, key: str, m: int = 1024, seed: int = 42, method: str
     return Sketch(upd.groupBy("j").agg(F.max("rho").alias("rho")), m, seed)
 
 
+def build_by(keys: DataFrame, key: str, by: str, m: int = 1024, seed: int = 42) -> DataFrame:
+    """(by, j, rho): one sketch per value of ``by``, in one pass over the keys."""
+    log2m = _check_m(m)
+    hashed = with_tabulation_hash(keys.where(F.col(key).isNotNull()).select(by, key), key, seed)
+    return (hashed.select(by, multiply_shift_index(F.col(key), log2m).alias("j"), rho32(F.col("h")).alias("rho"))
+            .groupBy(by, "j").agg(F.max("rho").alias("rho")))
+
+
+def merge_all(sketches: DataFrame, m: int, seed: int) -> Sketch:
+    """The element-wise register maximum over all sketches of :func:`build_by`."""
+    return Sketch(sketches.groupBy("j").agg(F.max("rho").alias("rho")), m, seed)
+
+
 def merge(a: Sketch, b: Sketch) -> Sketch:
     """Element-wise register maximum; sizes and seeds must agree."""
     if a.m != b.m:

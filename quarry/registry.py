@@ -206,10 +206,8 @@ def q_hll_registers(spark, sf):
 
 @query("hll_merge")
 def q_hll_merge(spark, sf):
-    t = _tokens(spark, sf)
-    a = sketch.build(t.where("pos = 0"), "token", HLL_M, HLL_SEED)
-    b = sketch.build(t.where("pos = 1"), "token", HLL_M, HLL_SEED)
-    return sketch.merge(a, b).registers
+    by_place = sketch.build_by(_tokens(spark, sf), "token", "pos", HLL_M, HLL_SEED)
+    return sketch.merge_all(by_place, HLL_M, HLL_SEED).registers
 
 
 @query("hll_estimate")

@@ -74,6 +74,14 @@ def test_register_counts_above_2_to_16(spark):
     assert est.m == 1 << 18 and abs(est.estimate - 3000) < 60
 
 
+def test_sketches_by_group_merge_to_the_whole(spark):
+    keys = _keys(spark, 0, 3000).withColumn("g", F.col("k") % 3)
+    by = sketch.build_by(keys, "k", "g", 256, 7)
+    assert _regs(sketch.merge_all(by, 256, 7)) == _regs(sketch.build(keys, "k", 256, 7))
+    one = sketch.Sketch(by.where("g = 1").select("j", "rho"), 256, 7)
+    assert _regs(one) == _regs(sketch.build(keys.where("g = 1"), "k", 256, 7))
+
+
 def test_merge_checks_parameters(spark):
     a = sketch.build(_keys(spark, 0, 10), "k", 256, 7)
     with pytest.raises(ValueError):
