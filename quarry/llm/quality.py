@@ -25,7 +25,7 @@ MIN_WORDS = 50            # base rule
 MAX_REPEAT_PERCENT = 50   # base rule
 MIN_CLASS_CHARS = 200     # guard of the character-class comparison
 MIN_COMMON_WORDS = 100    # guard of the common-word comparison
-MAX_CLASS_DISTANCE = 0.27
+MAX_CLASS_DISTANCE = 0.30
 MAX_COMMON_DISTANCE = 0.40
 
 # fixed values: character classes, each counted by its pattern; the rest are lower-case ASCII letters and others
