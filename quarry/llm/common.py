@@ -59,22 +59,19 @@ def slot_bitmap(keys: DataFrame, bits: int = 22):
 
     Returns a function of a long column that is true for every key of the
     table (and for few others, while the table has far fewer keys than
-    ``2^bits``).  At most ``2^bits / 64`` longs reach the driver.
+    ``2^bits``).  The bitmap is one row of ``2^bits / 64`` longs, whatever the
+    number of keys: a scalar subquery, which no plan spells out.
     """
     key = keys.columns[0]
-    slot = F.pmod(F.col(key), F.lit(1 << bits))
-    words = (keys.where(F.col(key).isNotNull()).select(slot.alias("s"))
-             .groupBy(F.shiftright("s", 6).cast("int").alias("w"))
-             .agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b")).collect())
-    array = [0] * (1 << (bits - 6))
-    for r in words:
-        array[r["w"]] = r["b"]
-    table_ = constant_array(array, "bigint")
+    words = (keys.where(F.col(key).isNotNull()).select(F.pmod(F.col(key), F.lit(1 << bits)).alias("s"))
+             .groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b")))
+    every = keys.sparkSession.range(1 << (bits - 6)).join(words, F.col("id") == F.col("w"), "left")
+    array = every.agg(F.transform(F.sort_array(F.collect_list(F.struct("id", F.coalesce("b", F.lit(0).cast("long")).alias("b")))),
+                                  lambda x: x["b"]).alias("bitmap")).scalar()
 
     def contains(c: Column) -> Column:
         s = F.pmod(c, F.lit(1 << bits))
-        word = F.get(table_, F.shiftright(s, 6).cast("int"))
-        return F.getbit(word, s.bitwiseAND(F.lit(63)).cast("int")) == 1
+        return F.getbit(F.get(array, F.shiftright(s, 6).cast("int")), s.bitwiseAND(F.lit(63)).cast("int")) == 1
     return contains
 
 

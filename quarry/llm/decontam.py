@@ -128,15 +128,19 @@ def _document_runs(bitmap: bytes, sizes: dict[int, int]):
 def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """(doc_id, text_key, n_words, n_hit, n_items, items, contaminated): one row per row of ``docs``."""
     wins = staged(item_windows(items, window, shingle), "decontam-windows")
-    # at most 2^BITS distinct slots and SHINGLE sizes reach the driver, whatever the benchmark's size
-    slots = (wins.select(F.explode("h").alias("h")).select(F.col("h").bitwiseAND((1 << BITS) - 1).cast("int").alias("s"))
-             .distinct().toPandas()["s"].to_numpy())
+    # what reaches the driver: the set bytes of the bitmap, and one row per shingle size
+    slots = wins.select(F.explode("h").alias("h")).select(F.col("h").bitwiseAND((1 << BITS) - 1).alias("s"))
+    octets = slots.groupBy(F.shiftright("s", 3).cast("int").alias("at")).agg(
+        F.bit_or(F.expr("shiftleft(1, cast(s & 7 AS int))")).alias("set")).toLocalIterator()
+    bitmap = bytearray(max(1, 1 << (BITS - 3)))
+    for r in octets:
+        bitmap[r["at"]] = r["set"]
     sizes = {r["size"]: r["least"] for r in
              wins.groupBy("size").agg(F.min(F.col("len") - F.col("size") + 1).alias("least")).collect()}
     src = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_key(F.col("text")).alias("text_key"),
                       F.col("text").cast("string").alias("text"))
     scanned = staged(
-        src.mapInArrow(_document_runs(_bitmap(slots), sizes),
+        src.mapInArrow(_document_runs(bytes(bitmap), sizes),
                        "doc_id long, text_key long, n_words long, runs array<struct<at:int,size:int,words:string,h:array<long>>>")
         .withColumn("row", F.monotonically_increasing_id()), "decontam-runs")
 
@@ -177,13 +181,6 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
         F.coalesce("items", F.array().cast("array<string>")).alias("items"), F.col("n_hit").isNotNull().alias("contaminated"))
 
 
-def _bitmap(slots) -> bytes:
-    import numpy as np
-    bits = np.zeros(1 << BITS, bool)
-    bits[np.asarray(slots, np.int64)] = True
-    return np.packbits(bits, bitorder="little").tobytes()
-
-
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns unchanged."""
     bad = contamination(docs, items, window, shingle).where("contaminated").select(

@@ -13,7 +13,7 @@ whole text, hashed to ``DIMENSIONS``, as square roots of relative frequencies
 
 Training rows are a bounded sample: at most ``SAMPLE`` rows over all
 languages, chosen by a hash of the text, each a feature vector of fixed size
-(8 KB); only those vectors reach the driver.  Languages that the family table does
+(8 KB), in one task; only the trained weights reach the driver.  Languages that the family table does
 not name form a family of their own.
 
 Null, empty and letterless texts are ``und`` with score 0.  Without a
@@ -120,23 +120,34 @@ def _vectors(batches):
 
 
 def training_sample(docs: DataFrame, bound: int = SAMPLE):
-    """(languages, matrix): at most ``bound`` rows, spread evenly over the languages."""
-    import numpy as np
+    """(draw, lang, v): at most ``bound`` rows, spread evenly over the languages; None without any."""
     rows = learnable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                  F.col("lang").cast("string").alias("lang")))
     counts = {r["lang"]: r["n"] for r in
               rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
     if not counts:
-        return [], np.zeros((0, DIMENSIONS), np.float32)
+        return None
     each = max(1, bound // len(counts))
     # a share of the hash range per language; copies of a text are drawn together and count once
     share = F.element_at(F.from_json(F.lit(json.dumps({k: min(1.0, each / n) for k, n in counts.items()})), "map<string,double>"),
                          F.col("lang"))
     drawn = (rows.withColumn("draw", F.pmod(text_key(F.col("text")), F.lit(1 << 30))).where(F.col("draw") / float(1 << 30) < share)
              .select("draw", "lang", "text").mapInArrow(_vectors, "draw long, lang string, v binary"))
-    chosen = drawn.dropDuplicates(["draw", "lang"]).orderBy("draw", "lang").limit(bound).toPandas()
-    matrix = np.frombuffer(b"".join(chosen["v"]), "<f2").reshape(-1, DIMENSIONS).astype(np.float32)
-    return chosen["lang"].tolist(), matrix
+    return drawn.dropDuplicates(["draw", "lang"]).orderBy("draw", "lang").limit(bound)
+
+
+def _trained(batches):
+    """The model of all rows given, as one row."""
+    import pickle
+
+    import numpy as np
+    import pyarrow as pa
+    langs, vectors = [], []
+    for b in batches:
+        langs += b.column("lang").to_pylist()
+        vectors += b.column("v").to_pylist()
+    matrix = np.frombuffer(b"".join(vectors), "<f2").reshape(-1, DIMENSIONS).astype(np.float32)
+    yield pa.RecordBatch.from_arrays([pa.array([pickle.dumps(train(langs, matrix))], pa.binary())], names=["model"])
 
 
 def linear_svm(x, y, cost: float = 10.0, epochs: int = 20, seed: int = 7):
@@ -240,7 +251,14 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
 
 def fit(docs: DataFrame, bound: int = SAMPLE):
-    return train(*training_sample(docs, bound))
+    """The model, trained in one task on the bounded sample; its weights reach the driver."""
+    import pickle
+
+    import numpy as np
+    sample = training_sample(docs, bound)
+    if sample is None:
+        return train([], np.zeros((0, DIMENSIONS), np.float32))
+    return pickle.loads(sample.repartition(1).mapInArrow(_trained, "model binary").first()["model"])
 
 
 def accepted(docs: DataFrame, model, min_score: float = MIN_SCORE) -> DataFrame:

@@ -30,7 +30,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import WS_BYTES, slot_bitmap, staged, table, text_key
+from quarry.llm.common import WS_BYTES, slot_bitmap, staged, table, text_key, unused
 
 MIN_CHARS = 20
 REGION = 64
@@ -156,17 +156,19 @@ def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS) -> DataFrame:
     touched = slot_bitmap(gone.select(F.xxhash64("id", "text_key").alias("k")))
     key = F.xxhash64(docs["doc_id"].cast("long"), text_key(docs["text"]))
     some, others = docs.where(touched(key)), docs.where(~touched(key))
-    joined = some.join(gone, some["doc_id"].cast("long").eqNullSafe(gone["id"]) & (text_key(some["text"]) == gone["text_key"]), "left")
+    of, at, exact, near = (unused(docs, c) for c in ("_of", "_at", "_exact", "_near"))
+    gone = gone.toDF(of, at, exact, near)
+    joined = some.join(gone, some["doc_id"].cast("long").eqNullSafe(F.col(of)) & (text_key(some["text"]) == F.col(at)), "left")
     parts = F.split(some["text"].cast("string"), "\n")
-    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.concat(gone["exact"], gone["near"]))
+    stay = F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.concat(exact, near))
     rebuilt = F.array_join(F.transform(stay, lambda i: F.get(parts, i)), "\n")
-    text = F.when(gone["text_key"].isNull(), some["text"]).otherwise(rebuilt)
+    text = F.when(F.col(at).isNull(), some["text"]).otherwise(rebuilt)
 
     def count(c):
-        return F.when(c.isNull(), 0).otherwise(F.size(c)).cast("long")
+        return F.when(F.col(c).isNull(), 0).otherwise(F.size(c)).cast("long")
 
     changed = joined.select(*[text.alias(c) if c.lower() == "text" else some[c] for c in docs.columns],
-                            count(gone["exact"]).alias(counts[0]), count(gone["near"]).alias(counts[1]))
+                            count(exact).alias(counts[0]), count(near).alias(counts[1]))
     none = F.lit(0).cast("long")
     return changed.unionByName(others.select("*", none.alias(counts[0]), none.alias(counts[1])))
 
