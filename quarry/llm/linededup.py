@@ -136,8 +136,9 @@ def removed_lines(docs: DataFrame) -> DataFrame:
     first = staged(scanned.groupBy("key").agg(F.min(_order()).alias("order"), F.count(F.lit(1)).alias("times"),
                                               F.any_value("halves").alias("halves")), "lines-first")
     near = near_lines(lines, first).withColumn("is_near", F.lit(True))
-    hit = (first.select("key", "order", "times").join(near, "key", "left").where("times > 1 or is_near")
-           .select("key", "order", F.coalesce("is_near", F.lit(False)).alias("is_near")))
+    # written, so that its size is known and a hot line's partition can be split in the join
+    hit = staged(first.select("key", "order", "times").join(near, "key", "left").where("times > 1 or is_near")
+                 .select("key", "order", F.coalesce("is_near", F.lit(False)).alias("is_near")), "lines-hit")
     late = _order() != F.col("order")
     gone = scanned.select("id", "text_key", "pos", "key").join(hit, "key").where(late | F.col("is_near"))
     return gone.groupBy("id", "text_key").agg(
