@@ -183,8 +183,9 @@ def contamination(docs: DataFrame, items: DataFrame, window: int = WINDOW, shing
 
 def clean(docs: DataFrame, items: DataFrame, window: int = WINDOW, shingle: int = SHINGLE) -> DataFrame:
     """The rows of ``docs`` without a hit word, all columns unchanged."""
-    bad = contamination(docs, items, window, shingle).where("contaminated").select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    # written first: the texts are only shuffled where the set is too large to broadcast
+    bad = staged(contamination(docs, items, window, shingle).where("contaminated").select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct(), "decontam-bad")
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (text_key(docs["text"]) == bad["_text"]), "left_anti")
 
 

@@ -28,7 +28,7 @@ import json
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quarry.llm.common import table, text_key
+from quarry.llm.common import staged, table, text_key
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
@@ -264,8 +264,9 @@ def fit(docs: DataFrame, bound: int = SAMPLE):
 def accepted(docs: DataFrame, model, min_score: float = MIN_SCORE) -> DataFrame:
     """The rows of ``docs`` whose text has a language: not ``und``, and no
     score below ``min_score`` (a text that fits no learned language)."""
-    bad = identify(docs, model).where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score)).select(
-        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct()
+    # written first: the texts are only shuffled where the set is too large to broadcast
+    bad = staged(identify(docs, model).where((F.col("lang_pred") == UNDETERMINED) | (F.col("score") < min_score)).select(
+        F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")).distinct(), "langid-bad")
     return docs.join(bad, docs["doc_id"].cast("long").eqNullSafe(bad["_id"]) & (text_key(docs["text"]) == bad["_text"]), "left_anti")
 
 

@@ -292,22 +292,20 @@ def keep_one(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE)
     """The rows of ``docs`` with one document of each group: the smallest
     doc_id.  Where that id is on several rows (or the group has no id), the
     row with the smallest text hash stays, once."""
-    near = near_duplicates(docs, shingle, distance)
-    chosen = (near.groupBy("component").agg(F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")).alias("k"))
-              .select(F.col("k.doc_id").alias("_id"), F.col("k.text_key").alias("_text")))
-    repeated = (near.groupBy("doc_id", "text_key").count().where("count > 1")
-                .select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_text")))
-    key = text_key(docs["text"])
-
-    def same(other):
-        return docs["doc_id"].cast("long").eqNullSafe(other["_id"]) & (key == other["_text"])
-
-    rest = docs.join(chosen, same(chosen), "left_semi")
-    twice = rest.join(repeated, (rest["doc_id"].cast("long").eqNullSafe(repeated["_id"]))
-                      & (text_key(rest["text"]) == repeated["_text"]), "left_semi").dropDuplicates(["doc_id", "text"])
-    once = rest.join(repeated, (rest["doc_id"].cast("long").eqNullSafe(repeated["_id"]))
-                     & (text_key(rest["text"]) == repeated["_text"]), "left_anti")
-    return once.unionByName(twice)
+    near = staged(near_duplicates(docs, shingle, distance), "simhash-near")
+    mine = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_key")
+    chosen = near.groupBy("component").agg(F.min(mine).alias("first"))
+    # what goes is written first: the texts are only shuffled where it is too large to broadcast
+    gone = staged(near.join(chosen, "component").where(mine != F.col("first")).select("doc_id", "text_key").distinct(), "simhash-gone")
+    again = staged(near.groupBy("doc_id", "text_key").count().where("count > 1").select("doc_id", "text_key"), "simhash-again")
+
+    def row_in(other, df):
+        return df["doc_id"].cast("long").eqNullSafe(other["_id"]) & (text_key(df["text"]) == other["_text"])
+
+    gone, again = (x.toDF("_id", "_text") for x in (gone, again))
+    rest = docs.join(gone, row_in(gone, docs), "left_anti")
+    twice = rest.join(again, row_in(again, rest), "left_semi").dropDuplicates(["doc_id", "text"])
+    return rest.join(again, row_in(again, rest), "left_anti").unionByName(twice)
 
 
 def op2_simhash(spark, sf_dir):
