@@ -24,6 +24,7 @@ from quarry.llm.common import staged, table
 CAPACITY = 1024
 GROUP = 4096
 SEPARATOR = 0
+ROWS = 256   # documents tokenized at a time
 IDS = "array<int>"
 
 
@@ -39,10 +40,12 @@ def encoder(path: str):
     import numpy as np
     from tokenizers import Tokenizer
 
-    slow = Tokenizer.from_file(path)
+    slow = []   # loaded where it is first needed
 
     def by_tokenizers(text):
-        return np.array(slow.encode(text, add_special_tokens=False).ids, np.uint32)
+        if not slow:
+            slow.append(Tokenizer.from_file(path))
+        return np.array(slow[0].encode(text, add_special_tokens=False).ids, np.uint32)
 
     with open(path, encoding="utf-8") as f:
         spec = json.load(f)
@@ -86,7 +89,7 @@ def _tokenize(path: str, capacity: int, separator: int, keep_ids: bool):
         import numpy as np
         import pyarrow as pa
         encode = encoder(path)
-        for b in batches:
+        for b in (whole.slice(at, ROWS) for whole in batches for at in range(0, whole.num_rows, ROWS)):
             out = {k: [] for k in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "ids")}
             for doc, text in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
                 ids = np.append(encode(text or ""), separator).astype("<u4")
