@@ -1,5 +1,6 @@
 import collections
 import math
+import random
 import re
 
 import duckdb
@@ -64,3 +65,35 @@ def test_empty_table_and_no_reference(spark):
     assert quality.judge(empty(spark)).collect() == []
     got = quality.judge(awkward(spark).drop("lang")).collect()
     assert all(r.kept == (not r.base_failed) for r in got)
+
+
+def _prose(rng, common, letters, n):
+    """Words of ``letters``, four in ten of them common."""
+    return " ".join(rng.choice(common) if rng.random() < 0.4 else "".join(rng.choice(letters) for _ in range(rng.randrange(3, 9)))
+                    for _ in range(n)) + "."
+
+
+def test_every_language_has_references_and_gibberish_goes(spark):
+    rng = random.Random(5)
+    latin, cyrillic = "abcdefghilmnoprstuvw", "абвгдежзиклмнопрстуя"
+    english, russian = "the of and to in that it is was for".split(), "и в не на что он как это по но".split()
+    rows = [(i, _prose(rng, english, latin, 200), "en") for i in range(60)]
+    rows += [(100 + i, _prose(rng, russian, cyrillic, 200), "ru") for i in range(60)]
+    rows += [(300 + i, " ".join("".join(rng.choice(latin) for _ in range(rng.randrange(3, 9))) for _ in range(300)), "en") for i in range(3)]
+    rows += [(400, _prose(rng, russian, cyrillic, 200), None), (401, _prose(rng, english, latin, 150), "tlh")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert {*english, *russian} <= set(quality.vocabulary(docs))
+    refs = quality.references(quality.features(docs))
+    assert set(refs) == {"en", "ru", "tlh"}
+    kept = {r.doc_id for r in quality.judge(docs).collect() if r.kept}
+    assert not kept & {300, 301, 302}
+    assert {*range(60), *range(100, 160), 400, 401} <= kept
+
+
+def test_limits_lie_below_a_text_without_common_words(spark):
+    found = quality.features(spark.read.parquet(f"{SF01}/documents.parquet"))
+    refs = quality.references(found)
+    most = quality.limits(found, refs)
+    assert set(most) == set(refs)
+    for lang, (_, shares) in refs.items():
+        assert most[lang][1] < quality._js([0.0] * (len(shares) - 1) + [1.0], shares)
