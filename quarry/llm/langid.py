@@ -11,10 +11,11 @@ spaces squeezed, a space at both ends; counts of the 1- to 3-grams of the
 whole text, hashed to ``DIMENSIONS``, as square roots of relative frequencies
 (so a vector has length 1 whatever the length of the text).
 
-Training rows are a bounded sample: at most ``SAMPLE`` rows over all
-languages, chosen by a hash of the text, each a feature vector of fixed size
-(8 KB), in one task; only the trained weights reach the driver.  Languages that the family table does
-not name form a family of their own.
+Training rows are a sample: of every language the distinct texts with the
+smallest hashes, ``SAMPLE`` divided by the number of languages, but ``LEAST``
+at least; copies of a text count once.  Each is a feature vector of fixed size
+(8 KB), in one task; only the trained weights reach the driver.  Languages
+that the family table does not name form a family of their own.
 
 Null, empty and letterless texts are ``und`` with score 0.  Without a
 training row every text is ``und``; with one language, every text with a
@@ -23,17 +24,15 @@ letter is that language with score 1.  Ties go to the first name in order.
 
 from __future__ import annotations
 
-import json
-
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import staged, table, text_key
 
 DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
-SAMPLE = 2000        # bound on the training rows, all languages together
-LANGUAGES = 200      # bound on the languages learned: the most frequent ones
+SAMPLE = 2000        # training rows, all languages together
+LEAST = 20           # training rows of each language, also where all together are more
 CHUNK = 1 << 18      # characters featurised at a time
 FOLDS, HELD = 5, 0
 UNDETERMINED = "und"
@@ -120,20 +119,20 @@ def _vectors(batches):
 
 
 def training_sample(docs: DataFrame, bound: int = SAMPLE):
-    """(draw, lang, v): at most ``bound`` rows, spread evenly over the languages; None without any."""
-    rows = learnable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
-                                 F.col("lang").cast("string").alias("lang")))
-    counts = {r["lang"]: r["n"] for r in
-              rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(LANGUAGES).collect()}
-    if not counts:
+    """(draw, lang, v): distinct texts, evenly over all languages; None without any."""
+    rows = (learnable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
+                                  F.col("lang").cast("string").alias("lang")))
+            .where(F.regexp_like("text", F.lit("\\p{L}"))).withColumn("draw", text_key(F.col("text"))))
+    distinct = rows.groupBy("lang", "draw").agg(F.min("doc_id").alias("doc_id"))
+    rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    # written, so that its size is known and the texts are not shuffled to the join
+    ranked = staged(distinct.withColumn("rank", rank).where(F.col("rank") <= max(bound, LEAST)), "langid-ranked")
+    languages = ranked.where("rank = 1").count()
+    if not languages:
         return None
-    each = max(1, bound // len(counts))
-    # a share of the hash range per language; copies of a text are drawn together and count once
-    share = F.element_at(F.from_json(F.lit(json.dumps({k: min(1.0, each / n) for k, n in counts.items()})), "map<string,double>"),
-                         F.col("lang"))
-    drawn = (rows.withColumn("draw", F.pmod(text_key(F.col("text")), F.lit(1 << 30))).where(F.col("draw") / float(1 << 30) < share)
-             .select("draw", "lang", "text").mapInArrow(_vectors, "draw long, lang string, v binary"))
-    return drawn.dropDuplicates(["draw", "lang"]).orderBy("draw", "lang").limit(bound)
+    chosen = ranked.where(F.col("rank") <= max(LEAST, bound // languages)).drop("rank")
+    drawn = rows.join(chosen, ["lang", "draw", "doc_id"], "left_semi").select("draw", "lang", "text")
+    return drawn.mapInArrow(_vectors, "draw long, lang string, v binary").dropDuplicates(["draw", "lang"])
 
 
 def _trained(batches):
@@ -251,14 +250,15 @@ def identify(docs: DataFrame, model) -> DataFrame:
 
 
 def fit(docs: DataFrame, bound: int = SAMPLE):
-    """The model, trained in one task on the bounded sample; its weights reach the driver."""
+    """The model, trained in one task on the sample; its weights reach the driver."""
     import pickle
 
     import numpy as np
     sample = training_sample(docs, bound)
     if sample is None:
         return train([], np.zeros((0, DIMENSIONS), np.float32))
-    return pickle.loads(sample.repartition(1).mapInArrow(_trained, "model binary").first()["model"])
+    rows = sample.repartition(1).sortWithinPartitions("draw", "lang")
+    return pickle.loads(rows.mapInArrow(_trained, "model binary").first()["model"])
 
 
 def accepted(docs: DataFrame, model, min_score: float = MIN_SCORE) -> DataFrame:

@@ -57,3 +57,24 @@ def test_features_do_not_depend_on_chunks(monkeypatch):
 def test_unknown_languages_are_families_of_their_own():
     assert langid.family_of("en") == langid.family_of("de") == "germanic"
     assert langid.family_of("es") == "romance" and langid.family_of("tlh") == "only-tlh"
+
+
+def test_copies_count_once_and_every_language_is_learned(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet").where("lang in ('en', 'es')").select("doc_id", "text", "lang")
+    copy = docs.where("lang = 'es'").orderBy("doc_id").limit(1).select("text", "lang")
+    copies = spark.range(10_000_000, 10_020_000).withColumnRenamed("id", "doc_id").crossJoin(copy)
+    rare = spark.createDataFrame([(20_000_000 + i, f"palabra número {i}", f"x{i % 250}") for i in range(500)], "doc_id long, text string, lang string")
+    counts = {r.lang: r["count"] for r in langid.training_sample(docs.union(copies), 100).groupBy("lang").count().collect()}
+    assert counts == {"en": 50, "es": 50}
+    learnt = {r.lang for r in langid.training_sample(docs.union(rare)).select("lang").distinct().collect()}
+    assert learnt == {"en", "es", *(r.lang for r in langid.learnable(rare).select("lang").distinct().collect())}
+    assert len(learnt) > 200
+
+
+def test_sample_is_bounded_for_each_language(spark):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    texts = {r.lang: r.n for r in langid.learnable(docs).where("text rlike '\\\\p{L}'").groupBy("lang").agg({"text": "count"})
+             .withColumnRenamed("count(text)", "n").collect()}
+    for bound in (40, 120):
+        counts = {r.lang: r["count"] for r in langid.training_sample(docs, bound).groupBy("lang").count().collect()}
+        assert set(counts) == set(texts) and set(counts.values()) == {max(langid.LEAST, bound // len(texts))}
