@@ -23,10 +23,11 @@ def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Repeated lines go, the earliest stays; a document of which no word is
+    """Repeated lines with a letter or a digit go, however short, and near ones
+    from ``linededup.MIN_CHARS`` on; the earliest stays; a document of which no word is
     left goes with them.  ``n_chars`` follows the text."""
     counts = tuple(unused(docs, c) for c in linededup.COUNTS)
-    kept = linededup.dedup_lines(docs, counts)
+    kept = linededup.dedup_lines(docs, counts, every_line=True)
     changed = F.col(counts[0]) + F.col(counts[1]) > 0
     left = kept.where(~changed | F.regexp_like("text", F.lit("[^\\x20\\x09-\\x0D]")))
     return left.select(*[F.when(changed, F.length("text").cast(docs.schema[c].dataType)).otherwise(left[c]).alias(c)

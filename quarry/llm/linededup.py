@@ -1,10 +1,12 @@
 """Line deduplication by a deletion-neighbourhood join (edit distance 1).
 
 A line is the text between newlines, trimmed of [\\x20\\x09-\\x0D].  Lines of at
-least ``MIN_CHARS`` code points are compared; shorter ones, blank ones
-included, are always kept.  Lines are ordered by (doc_id, text hash, line
+least ``MIN_CHARS`` code points are compared; shorter ones are kept, or, with
+``every_line``, compared with equal ones only if they have a letter or a
+digit.  Lines are ordered by (doc_id, text hash, line
 number), null ids last.  A line is removed if an equal line, or one at edit
-distance 1 (insert, delete or substitute one code point), comes earlier.
+distance 1 (insert, delete or substitute one code point; not among shorter
+lines), comes earlier.
 
 Only DataFrame functions are used:
 
@@ -48,11 +50,14 @@ def _right(c: Column, n: Column) -> Column:
     return F.substring(c, F.length(c) - n + 1, n)
 
 
-def _lines(docs: DataFrame) -> DataFrame:
+def _lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
     """(id, text_key, pos, line): the lines that are compared."""
+    compared = F.length("line") >= MIN_CHARS
+    if every_line:
+        compared |= F.regexp_like("line", F.lit("[\\p{L}\\p{N}]"))
     rows = docs.select(F.col("doc_id").cast("long").alias("id"), text_key(F.col("text")).alias("text_key"),
                        F.posexplode(F.split(F.col("text").cast("string"), "\n")).alias("pos", "line"))
-    return rows.withColumn("line", _trim(F.col("line"))).where(F.length("line") >= MIN_CHARS)
+    return rows.withColumn("line", _trim(F.col("line"))).where(compared)
 
 
 def _half_keys(line: Column, n: Column) -> Column:
@@ -127,12 +132,15 @@ def near_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     return pairs.join(left, "key").join(right, "other").where(distance == 1).select("key").distinct()
 
 
-def removed_lines(docs: DataFrame) -> DataFrame:
+def removed_lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
     """(id, text_key, exact, near): per document that loses lines, their numbers from 0."""
-    lines = _lines(docs)
+    lines = _lines(docs, every_line)
     n = F.length("line")
+    halves = _half_keys(F.col("line"), n)
+    if every_line:
+        halves = F.when(n >= MIN_CHARS, halves).otherwise(F.array().cast("array<bigint>"))
     scanned = staged(lines.select("id", "text_key", "pos", F.unhex(F.md5("line")).alias("key"),
-                                  _half_keys(F.col("line"), n).alias("halves")), "lines")
+                                  halves.alias("halves")), "lines")
     first = staged(scanned.groupBy("key").agg(F.min(_order()).alias("order"), F.count(F.lit(1)).alias("times"),
                                               F.any_value("halves").alias("halves")), "lines-first")
     near = near_lines(lines, first).withColumn("is_near", F.lit(True))
@@ -148,12 +156,12 @@ def removed_lines(docs: DataFrame) -> DataFrame:
 COUNTS = ("n_exact_removed", "n_near_removed")
 
 
-def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS) -> DataFrame:
+def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS, every_line: bool = False) -> DataFrame:
     """All rows of ``docs`` with ``text`` rebuilt from the lines that stay, and
     two more columns, named by ``counts``: how many lines went because an
     equal one, or only because a near one, comes earlier.  Texts that a bitmap
     shows to lose no line are not shuffled."""
-    gone = staged(removed_lines(docs), "lines-gone")
+    gone = staged(removed_lines(docs, every_line), "lines-gone")
     touched = slot_bitmap(gone.select(F.xxhash64("id", "text_key").alias("k")))
     key = F.xxhash64(docs["doc_id"].cast("long"), text_key(docs["text"]))
     some, others = docs.where(touched(key)), docs.where(~touched(key))

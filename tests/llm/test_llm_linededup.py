@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 import pytest
+from conftest import SMOKE
 from llmdata import awkward, empty
 
 from quarry.llm import linededup
@@ -102,3 +103,19 @@ def test_documents_left_without_a_word_go(spark):
                                  "doc_id long, text string, n_chars long")
     got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
     assert got == {1: (line, 45), 3: ("own words here", 14), 4: ("", 0), 5: (None, None)}
+
+
+def test_pipeline_drops_short_repeats(spark):
+    docs = spark.createDataFrame([(1, "Read more\n---\n7\nown text one", 30), (2, " Read more\n---\n7\nown text ona", 31), (3, "Read more", 9)],
+                                 "doc_id long, text string, n_chars long")
+    got = {r.doc_id: (r.text, r.n_chars) for r in corpus_pipeline.line_dedup(spark, docs, "").collect()}
+    assert got == {1: ("Read more\n---\n7\nown text one", 30), 2: ("---\nown text ona", 16)}
+
+
+def test_no_line_with_a_word_is_left_twice(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet")
+
+    def lines(df):
+        return [s for r in df.collect() for s in (x.strip(WS) for x in (r.text or "").split("\n")) if any(c.isalnum() for c in s)]
+    kept = lines(corpus_pipeline.line_dedup(spark, docs, ""))
+    assert len(set(kept)) == len(kept) < len(lines(docs))
