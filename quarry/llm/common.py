@@ -49,6 +49,20 @@ def unused(df: DataFrame, base: str) -> str:
     return name
 
 
+def slices(batch, column: str, most: int = 1 << 22):
+    """Parts of an Arrow batch whose ``column`` has at most ``most`` bytes, or one row."""
+    import numpy as np
+    import pyarrow.compute as pc
+    if not batch.num_rows:
+        return
+    sizes = pc.fill_null(pc.binary_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    ends, at = np.cumsum(sizes), 0
+    while at < batch.num_rows:
+        end = max(at + 1, int(np.searchsorted(ends, ends[at] - sizes[at] + most, side="right")))
+        yield batch.slice(at, end - at)
+        at = end
+
+
 def text_key(c: Column) -> Column:
     """64-bit hash of a text; with the id it identifies a document row."""
     return F.xxhash64(F.coalesce(c, F.lit("")), c.isNull())

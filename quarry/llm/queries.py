@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import chat, decontam, html, langid, linededup, packing, quality, secrets, simhash, warc
+from quarry.llm import chat, decontam, html, langid, linededup, packing, quality, runs, secrets, simhash, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -13,6 +13,7 @@ QUERIES = {
     "op8_quality": quality.op8_quality,
     "op9_chat": chat.op9_chat,
     "op10_linededup": linededup.op10_linededup,
+    "op11_runs": runs.op11_runs,
 }
 
 ORACLE: dict[str, str] = {
