@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import chat, decontam, html, langid, linededup, packing, quality, runs, secrets, simhash, warc
+from quarry.llm import chat, decontam, html, langid, licenses, linededup, packing, quality, runs, secrets, simhash, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -14,6 +14,7 @@ QUERIES = {
     "op9_chat": chat.op9_chat,
     "op10_linededup": linededup.op10_linededup,
     "op11_runs": runs.op11_runs,
+    "op12_licenses": licenses.op12_licenses,
 }
 
 ORACLE: dict[str, str] = {
