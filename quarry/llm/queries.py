@@ -1,6 +1,6 @@
 """Registered queries of the operators, and their SQL where SQL can say it."""
 
-from quarry.llm import chat, decontam, html, langid, licenses, linededup, packing, quality, runs, secrets, simhash, warc
+from quarry.llm import chat, decontam, html, langid, licenses, linededup, packing, phrases, quality, runs, secrets, simhash, warc
 
 QUERIES = {
     "op1_langid": langid.op1_langid,
@@ -15,10 +15,12 @@ QUERIES = {
     "op10_linededup": linededup.op10_linededup,
     "op11_runs": runs.op11_runs,
     "op12_licenses": licenses.op12_licenses,
+    "op13_phrases": phrases.op13_phrases,
 }
 
 ORACLE: dict[str, str] = {
     "op5_decontam": decontam.OP5_SQL,
     "op10_linededup": linededup.OP10_SQL,
     "op6_warc": warc.OP6_SQL,
+    "op13_phrases": phrases.OP13_SQL,
 }
