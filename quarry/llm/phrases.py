@@ -18,10 +18,14 @@ are scanned in a cycle, one part a step, all lengths in the same scan:
 4. The scans go on until nothing is active and nothing can be activated.
 
 Each task counts its rows with NumPy and gives one row per phrase and part of
-a batch; a shuffle adds them up.  Tasks know the phrases that may matter by two
+a batch; a shuffle adds them up.  Tasks know the phrases that may matter by
 bitmaps of fixed size (collisions let further phrases through, which the exact
-joins behind the shuffle drop).  The state, one row per activated phrase, is a
-table in the shared folder, written anew at each step.
+joins behind the shuffle drop).  In the first cycle, when most phrases come up,
+a shard is scanned twice: the first scan adds up 64-bit hashes of the phrases,
+packed in ranges of hashes, to find the few that have 1/``shards`` of the
+threshold; phrases with such a hash are then counted as texts.  The state, one
+row per activated phrase, is a table in the shared folder, written anew at
+each step.
 
 A null text is empty, a null language ``und``.  Rows count as often as they
 are given.  An empty table gives no phrase.  Other columns are ignored.  Ties
@@ -34,6 +38,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quarry.llm.common import slices, staged, table
+from quarry.session import scratch_path
 
 LONGEST = 4
 THRESHOLD = 30       # occurrences of a candidate
@@ -63,14 +68,14 @@ def _slot(lang: Column, words: Column) -> Column:
 
 
 def sharded(docs: DataFrame, shards: int = SHARDS) -> DataFrame:
-    """(lang, text, shard), written by shard; equal rows may share one."""
+    """(lang, text, size, shard), written by shard; equal rows may share one."""
     lang = F.coalesce(docs["lang"].cast("string"), F.lit("und"))
     text = F.coalesce(docs["text"].cast("string"), F.lit(""))
-    from quarry.session import scratch_path
     path = scratch_path(docs.sparkSession, "phrases-shards")
-    rows = docs.select(lang.alias("lang"), text.alias("text"), F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(shards)).cast("int").alias("shard"))
+    rows = docs.select(lang.alias("lang"), text.alias("text"), F.octet_length(text).alias("size"),
+                       F.pmod(F.xxhash64(docs["doc_id"], text), F.lit(shards)).cast("int").alias("shard"))
     rows.write.partitionBy("shard").parquet(path)
-    return docs.sparkSession.read.schema("lang string, text string, shard int").parquet(path)
+    return docs.sparkSession.read.schema("lang string, text string, size int, shard int").parquet(path)
 
 
 def _tokens(texts: list[bytes]):
@@ -88,83 +93,176 @@ def _tokens(texts: list[bytes]):
     return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary, piece
 
 
-def _counted(texts: list[bytes], lang: str, step: int, shards: int, usable, fresh, active):
-    """[(length, phrases, counts)] of the phrases of some texts that may be counted
-    in this step; length 0: the number of words.
+def _has(bitmap, slots):
+    import numpy as np
+    return (bitmap[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1) == 1
+
+
+class _Phrases:
+    """The phrases of some texts of one language that may be counted in a step.
 
     ``usable``: bitmap of the phrases whose extensions may be counted, ``fresh``:
     of those that came to it in the last cycle, ``active``: of the active ones."""
-    import zlib
 
-    import numpy as np
-    import pyarrow as pa
-    import pyarrow.compute as pc
-    codes, values, piece = _tokens(texts)
-    n = len(codes)
-    out = []
-    if step < shards and n:
-        out.append((0, pa.array([""], pa.large_string()), np.array([n])))
-
-    def has(bitmap, slots):
-        return (bitmap[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1) == 1
-
-    crc = np.array([zlib.crc32(v.as_buffer()) for v in values], dtype=np.int64) if n else np.zeros(0, dtype=np.int64)
-    places = [(crc * p) & MASK for p in PLACES]
-    # slots of the phrases that start at each word, one length after the other
-    slots = ((zlib.crc32(lang.encode()) * LANG_PLACE & MASK) + places[0][codes]) & MASK
-    for k in range(1, LONGEST + 1):
-        if k > 1:
-            n -= 1
-            if n <= 0:
-                break
-            inside = piece[:n] == piece[k - 1:k - 1 + n]
-            known, new = has(usable, slots), has(fresh, slots)
-            # prefix at i, suffix at i + 1
-            wanted = inside & known[:n] & known[1:] & (new[:n] | new[1:])
-            slots = (slots[:n] + places[k - 1][codes[k - 1:k - 1 + n]]) & MASK
-            wanted |= inside & has(active, slots)
-        elif step < shards:
-            wanted = np.ones(n, dtype=bool)
-        else:
-            wanted = has(active, slots)
-        at = np.flatnonzero(wanted)
-        if not len(at):
-            continue
-        rows = [codes[at + j] for j in range(k)]
-        key = rows[0]
+    def __init__(self, texts: list[bytes], lang: str, usable, fresh, active):
+        import zlib
+
+        import numpy as np
+        self.codes, self.values, self.piece = _tokens(texts)
+        self.bitmaps = usable, fresh, active
+        crc = np.array([zlib.crc32(v.as_buffer()) for v in self.values], dtype=np.int64)
+        self.crc = crc[self.codes] if len(self.codes) else self.codes
+        self.lang = zlib.crc32(lang.encode())
+
+    def lengths(self, words: bool):
+        """(length, places that may be counted, those of active phrases, 64-bit hashes of all
+        places) for each length; ``words``: whether every word may be counted."""
+        import numpy as np
+        usable, fresh, active = self.bitmaps
+        n = len(self.codes)
+        slots = ((self.lang * LANG_PLACE & MASK) + (self.crc * PLACES[0] & MASK)) & MASK
+        hashes = _mixed(self.crc.astype(np.uint64) + np.uint64(self.lang << 32))
+        for k in range(1, LONGEST + 1):
+            if k > 1:
+                n -= 1
+                if n <= 0:
+                    return
+                inside = self.piece[:n] == self.piece[k - 1:k - 1 + n]
+                known, new = _has(usable, slots), _has(fresh, slots)
+                # prefix at i, suffix at i + 1
+                wanted = inside & known[:n] & known[1:] & (new[:n] | new[1:])
+                last = self.crc[k - 1:k - 1 + n]
+                slots = (slots[:n] + (last * PLACES[k - 1] & MASK)) & MASK
+                hashes = _mixed(hashes[:n] * np.uint64(0xD6E8FEB86659FD93) + last.astype(np.uint64))
+                going = inside & _has(active, slots)
+            else:
+                wanted = np.full(n, words)
+                going = _has(active, slots)
+            yield k, wanted & ~going, going, hashes
+
+    def counted(self, k: int, at):
+        """(texts, counts) of the phrases of length k at some places."""
+        import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
+        rows = [self.codes[at + j] for j in range(k)]
+        key, room, m = rows[0], len(self.values), len(self.values)
         for r in rows[1:]:
-            key = np.unique(key, return_inverse=True)[1] * len(values) + r
+            if room * m >= 1 << 62:
+                key, room = np.unique(key, return_inverse=True)[1], len(at)
+            key, room = key * m + r, room * m
         _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        words = [values.take(pa.array(r[first])).cast(pa.large_string()) for r in rows]
-        phrases = words[0] if k == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string()))
-        out.append((k, phrases, counts))
-    return out
+        words = [self.values.take(pa.array(r[first])).cast(pa.large_string()) for r in rows]
+        return words[0] if k == 1 else pc.binary_join_element_wise(*words, pa.scalar(" ", pa.large_string())), counts
+
+
+def _mixed(x):
+    """Spreads the bits of unsigned 64-bit integers."""
+    import numpy as np
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
 
 
-def _scan(rows: DataFrame, step: int, shards: int, bitmaps) -> DataFrame:
-    """(lang, k, phrase, n): partial counts of one shard."""
-    usable, fresh, active = bitmaps
+def _by_language(batches):
+    """(language, texts) of parts of Arrow batches."""
+    import pyarrow as pa
+    for b in (part for batch in batches for part in slices(batch, "text")):
+        groups: dict[str, list[bytes]] = {}
+        for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
+            groups.setdefault(lang, []).append(text)
+        yield from groups.items()
+
+
+def _likely(rows: DataFrame, step: int, shards: int, threshold: int, bitmaps) -> bytes:
+    """Bitmap of the hashes that 1/``shards`` of the threshold or more of the
+    places in a shard have which may be counted and are not of active phrases.
+
+    Every task sorts the hashes of a part of its rows and cuts them by range;
+    a range meets in one task and is a few megabytes, whatever the input, as
+    there are as many ranges as it has such parts."""
+    shard = rows.where(F.col("shard") == step % shards)
+    chars = shard.agg(F.coalesce(F.sum(F.col("size").cast("long")), F.lit(0))).first()[0]
+    bits = max(8, (chars >> 22).bit_length())
 
+    def hashed(batches):
+        import numpy as np
+        import pyarrow as pa
+        maps = [np.frombuffer(b, dtype=np.uint64) for b in bitmaps]
+        edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
+        for lang, texts in _by_language(batches):
+            parts = [hashes[wanted] for _, wanted, _, hashes in _Phrases(texts, lang, *maps).lengths(step < shards)]
+            h, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
+            n = n.astype(np.uint32)
+            cut = np.append(np.searchsorted(h, edges), len(h))
+            filled = np.flatnonzero(cut[1:] > cut[:-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(filled.astype(np.int64)), pa.array([h[cut[i]:cut[i + 1]].tobytes() for i in filled], pa.binary()),
+                 pa.array([n[cut[i]:cut[i + 1]].tobytes() for i in filled], pa.binary())], names=["range", "h", "n"])
+
+    def added(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        def slots(parts):
+            h, n = (np.concatenate([np.frombuffer(x[i], dtype=t) for x in parts]) for i, t in ((0, np.uint64), (1, np.uint32)))
+            order = np.argsort(h, kind="stable")
+            h, n = h[order], n[order].astype(np.int64)
+            first = np.flatnonzero(np.concatenate(([True], h[1:] != h[:-1])))
+            many = h[first][np.add.reduceat(n, first) * shards >= threshold]
+            return pa.RecordBatch.from_arrays([pa.array((many & np.uint64(MASK)).astype(np.int64))], names=["s"])
+
+        at, parts = None, []
+        for b in batches:
+            for r, h, n in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                if r != at and parts:
+                    yield slots(parts)
+                    parts = []
+                at = r
+                parts.append((h, n))
+        if parts:
+            yield slots(parts)
+
+    sums = shard.select("lang", "text").mapInArrow(hashed, "range long, h binary, n binary").repartition("range").sortWithinPartitions("range")
+    return _bitmap(sums.mapInArrow(added, "s long"))
+
+
+def _scan(rows: DataFrame, step: int, shards: int, bitmaps, likely: bytes | None) -> DataFrame:
+    """(lang, k, phrase, n): partial counts of one shard; length 0: the number of words."""
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        maps = [np.frombuffer(b, dtype=np.uint64) for b in (usable, fresh, active)]
-        for b in (part for batch in batches for part in slices(batch, "text")):
-            groups: dict[str, list[bytes]] = {}
-            for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
-                groups.setdefault(lang, []).append(text)
-            for lang, texts in groups.items():
-                for k, phrases, counts in _counted(texts, lang, step, shards, *maps):
-                    m = len(counts)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array([lang] * m, pa.string()), pa.array(np.full(m, k, dtype=np.int32)), phrases.cast(pa.string()),
-                         pa.array(counts.astype(np.int64))], names=["lang", "k", "phrase", "n"])
+        maps = [np.frombuffer(b, dtype=np.uint64) for b in bitmaps]
+        enough = None if likely is None else np.frombuffer(likely, dtype=np.uint64)
+        for lang, texts in _by_language(batches):
+            phrases = _Phrases(texts, lang, *maps)
+            found = [(0, pa.array([""], pa.large_string()), np.array([len(phrases.codes)]))] if step < shards and len(phrases.codes) else []
+            for k, wanted, going, hashes in phrases.lengths(step < shards):
+                if enough is not None:
+                    wanted &= _has(enough, (hashes & np.uint64(MASK)).astype(np.int64))
+                at = np.flatnonzero(wanted | going)
+                if len(at):
+                    found.append((k, *phrases.counted(k, at)))
+            for k, texts_, counts in found:
+                m = len(counts)
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * m, pa.string()), pa.array(np.full(m, k, dtype=np.int32)), texts_.cast(pa.string()),
+                     pa.array(counts.astype(np.int64))], names=["lang", "k", "phrase", "n"])
 
     return rows.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
 
 
+def _bitmap(slots: DataFrame) -> bytes:
+    """The bitmap of a table of slots (s); of fixed size, whatever the table."""
+    import numpy as np
+    words = slots.groupBy(F.shiftright("s", 6).alias("w")).agg(F.bit_or(F.expr("shiftleft(1L, cast(s & 63 AS int))")).alias("b"))
+    out = np.zeros(1 << (BITS - 6), dtype=np.int64)
+    for r in words.toArrow().to_batches():
+        out[r.column(0).to_numpy()] = r.column(1).to_numpy()
+    return out.tobytes()
+
+
 def _bitmaps(state: DataFrame, step: int, shards: int) -> tuple[bytes, bytes, bytes]:
-    """The three bitmaps of a step, of fixed size whatever the state."""
+    """The bitmaps of usable, fresh and active phrases of a step."""
     import numpy as np
     slot = _slot(F.col("lang"), F.split("phrase", " "))
     kinds = F.array(F.when(F.col("since") <= step, 0), F.when(F.col("since").between(step - shards + 1, step), 1), F.when(F.col("listed") > step - shards, 2))
@@ -214,7 +312,8 @@ def count_phrases(docs: DataFrame, threshold: int = THRESHOLD, shards: int = SHA
     state = spark.createDataFrame([], STATE)
     step, bitmaps = 0, (bytes(1 << (BITS - 3)),) * 3
     while step < shards or any(b.strip(b"\0") for b in bitmaps[1:]):
-        counts = _scan(rows, step, shards, bitmaps)
+        likely = _likely(rows, step, shards, threshold, bitmaps) if step <= shards else None
+        counts = _scan(rows, step, shards, bitmaps, likely)
         state = _advance(state, counts, step, shards, threshold)
         step += 1
         bitmaps = _bitmaps(state, step, shards)
@@ -262,7 +361,7 @@ def op13_phrases(spark, sf_dir):
 
 
 OP13_SQL = f"""
-WITH p AS (SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(x, '[ \t]+'), w -> w <> '') AS w FROM (
+WITH p AS (SELECT row_number() OVER () AS piece, lang, list_filter(string_split_regex(x, '[ \t]+'), lambda w: w <> '') AS w FROM (
   SELECT coalesce(lang, 'und') AS lang,
          unnest(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\n\v\f\r]')) AS x
   FROM documents)),
