@@ -119,3 +119,27 @@ def day_extremes(parsed: DataFrame) -> DataFrame:
         F.max("attempts").alias("most_attempts"),
         F.min_by("day", F.struct(F.col("attempts").alias("k"), F.col("day").alias("d"))).alias("least_day"),
         F.min("attempts").alias("least_attempts"))
+
+
+def tallies(parsed: DataFrame) -> DataFrame:
+    """Every tally of the log in one scan and one shuffle:
+    (kind, key, attempts, successes, failures), kind one of account, ip, day,
+    invalid_account.  ``invalid_account`` only has failures of invalid users.
+
+    GROUPING SETS aggregate each row under four keys; partial aggregation
+    leaves one row per key and task."""
+    kinds = ("account", "ip", "day", "invalid_account")
+    ok = F.col("is_ok") == 1
+    zero = F.lit(0).cast("bigint")
+    sums = parsed.groupingSets([[k] for k in kinds], *kinds).agg(
+        F.grouping_id().alias("gid"), F.sum("w").cast("bigint").alias("attempts"),
+        F.coalesce(F.sum(F.when(ok, F.col("w"))), zero).cast("bigint").alias("successes"),
+        F.coalesce(F.sum(F.when(~ok, F.col("w"))), zero).cast("bigint").alias("failures"),
+        F.max("is_invalid").alias("invalid"))
+    # the grouping id has a bit for each key that a row is not grouped by
+    of = {(1 << len(kinds)) - 1 - (1 << (len(kinds) - 1 - i)): k for i, k in enumerate(kinds)}
+    kind = F.coalesce(*[F.when(F.col("gid") == g, F.lit(k)) for g, k in of.items()])
+    key = F.coalesce(*[F.when(F.col("gid") == g, F.col(k)) for g, k in of.items()])
+    out = sums.select(kind.alias("kind"), key.alias("key"), "attempts", "successes", "failures", "invalid")
+    # rows of valid users have no invalid account
+    return out.where(~((F.col("kind") == "invalid_account") & F.col("key").isNull() & (F.col("invalid") == 0))).drop("invalid")

@@ -47,9 +47,9 @@ def longest_sha1(files: DataFrame, k: int = 10, exts=SOURCE_EXTS) -> DataFrame:
     """SHA-1 of the whole content of the k longest files.
 
     The ranking carries paths and counts only; its k paths then pick the
-    contents, which are digested where they are read."""
-    digests = files.select("path", F.sha1(F.col("content").cast("binary")).alias("sha1"))
-    return digests.join(F.broadcast(longest(files, k, exts).select("path")), "path")
+    contents, and only those are digested, where they are read."""
+    picked = files.select("path", "content").join(F.broadcast(longest(files, k, exts).select("path")), "path", "left_semi")
+    return picked.select("path", F.sha1(F.col("content").cast("binary")).alias("sha1"))
 
 
 def grep_count(files: DataFrame, phrase: str) -> DataFrame:

@@ -8,11 +8,15 @@
 * index: one Arrow pass emits a row's unit vector and its bucket in every
   table; rows are written per (table, bucket), sorted inside each task, without
   an exchange of vectors;
+* probes: a query visits, in every table, its own bucket and the ones it most
+  nearly fell into: the planes of the table are flipped in the order of the
+  sum of the squared distances of the query from the flipped planes.  A few
+  probes do the work of many more tables, so the index stays small;
 * top-k: a query is hashed by its own vector, whether it is in the index or
-  not; only buckets that some query hashes to are read on, and
+  not; only buckets that some query probes are read on, and
   :func:`search_blocks` ranks them by the exact dot product, a large bucket in
   bounded blocks, so candidate pairs are never rows.
-  A query that shares no bucket with any row gets no neighbour.
+  A query whose buckets are all empty gets no neighbour.
 """
 
 from __future__ import annotations
@@ -29,6 +33,7 @@ from quarry.operators.blocked import BLOCK_ROWS, _best, _matrix, checked_dim, se
 from quarry.operators.neighbours import SIM_DIGITS, unit_vectors, usable
 from quarry.session import scratch_path
 
+FLIPS = 12  # planes of a table that may be flipped: those nearest the query
 _U = 4294967297.0  # 2^32 + 1: maps a 32-bit draw to (0, 1)
 
 
@@ -109,7 +114,27 @@ class LshIndex:
 SCHEMA = "tbl int, bucket string, {0} long, self long, vec array<double>"
 
 
-def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str) -> DataFrame:
+def probe_bits(dots: np.ndarray, pos: list[int], probes: int) -> np.ndarray:
+    """(rows x probes x slots) bits of the buckets of one table that each row
+    visits, nearest first; ``dots``: (rows x planes) of unit vectors.  Slots of
+    one plane flip together.  Fewer where the table has fewer buckets."""
+    planes = list(dict.fromkeys(pos))
+    slots = [planes.index(p) for p in pos]
+    own = dots[:, planes] > 0
+    if probes <= 1:
+        return own[:, None, slots]
+    flips = min(len(planes), FLIPS)
+    margin = np.abs(dots[:, planes])
+    order = np.argsort(margin, axis=1, kind="stable")[:, :flips]
+    masks = (np.arange(1 << flips)[:, None] >> np.arange(flips)) & 1
+    cost = np.take_along_axis(margin, order, 1) ** 2 @ masks.T
+    best = np.argsort(cost, axis=1, kind="stable")[:, :probes]
+    flipped = np.zeros((len(dots), best.shape[1], len(planes)), dtype=bool)
+    np.put_along_axis(flipped, np.broadcast_to(order[:, None, :], (*best.shape, flips)), masks[best].astype(bool), axis=2)
+    return (own[:, None, :] ^ flipped)[:, :, slots]
+
+
+def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str, probes: int = 1) -> DataFrame:
     """(tbl, bucket, id, self, vec unit): one Arrow pass over (id, self, vec)."""
     P = np.asarray(planes, dtype=np.float64)
 
@@ -118,16 +143,23 @@ def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str) -> Data
             if not b.num_rows:
                 continue
             vecs = _matrix(b.column("vec"))
-            bits = _sign_bits(P, vecs)
             norm = np.sqrt(np.einsum("ij,ij->i", vecs, vecs))
             some = np.flatnonzero(norm > 0)
-            unit = (vecs[some] / norm[some, None]).ravel()
-            offsets = pa.array(np.arange(len(some) + 1, dtype=np.int32) * P.shape[1])
-            vec = pa.ListArray.from_arrays(offsets, pa.array(unit))
-            ids, own = b.column(id_col).take(pa.array(some)), b.column("self").take(pa.array(some))
+            # the signs are those of the vectors as given, the margins of unit vectors
+            unit = vecs[some] / norm[some, None]
+            dots = (vecs[some] @ P.T) / norm[some, None]
             for t, pos in enumerate(positions):
-                yield pa.RecordBatch.from_arrays([pa.array(np.full(len(some), t), pa.int32()), _strings(bits[some][:, pos]), ids, own, vec],
-                                                 names=["tbl", "bucket", id_col, "self", "vec"])
+                bits = probe_bits(dots, pos, probes)
+                n = bits.shape[1]
+                at = np.repeat(np.arange(len(some)), n)
+                for a in range(0, len(at), 1 << 16):
+                    part = at[a:a + (1 << 16)]
+                    rid = pa.array(some[part])
+                    vec = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * P.shape[1]), pa.array(unit[part].ravel()))
+                    chars = bits.reshape(len(at), -1)[a:a + (1 << 16)].astype(np.uint8) + np.uint8(48)
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t), pa.int32()), _strings(chars),
+                                                      b.column(id_col).take(rid), b.column("self").take(rid), vec],
+                                                     names=["tbl", "bucket", id_col, "self", "vec"])
     src = rows.where(usable(F.col("vec"))).select(F.col(id_col).cast("bigint").alias(id_col), F.col("self").cast("bigint").alias("self"),
                                                   checked_dim(F.col("vec"), P.shape[1], "a vector").alias("vec"))
     return src.mapInArrow(fn, SCHEMA.format(id_col))
@@ -145,14 +177,14 @@ def fit(vectors: DataFrame, planes: np.ndarray, positions, path: str | None = No
     return LshIndex(spark.read.schema(rows.schema).parquet(path), planes, positions)
 
 
-def query_by_vector(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def query_by_vector(index: LshIndex, queries: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS, probes: int = 1) -> DataFrame:
     """queries (qid, self, vec) -> (qid, rank, idx, sim).
 
-    Candidates are the rows sharing a (table, bucket) with the query's own
-    vector, ranked by the exact dot product of unit vectors.  ``self`` is an
-    id to leave out, or NULL.
+    Candidates are the rows in the buckets that the query's own vector
+    ``probes`` in each table, ranked by the exact dot product of unit vectors.
+    ``self`` is an id to leave out, or NULL.
     """
-    q = _hashed(queries, index.planes, index.positions, "qid")
+    q = _hashed(queries, index.planes, index.positions, "qid", probes)
     wanted = q.select("tbl", "bucket").distinct()
     g = F.concat_ws(":", "tbl", "bucket")
     data = index.rows.join(wanted, ["tbl", "bucket"], "left_semi").select(g.alias("g"), F.col("idx").alias("id"), "vec")
@@ -163,13 +195,21 @@ def query_by_vector(index: LshIndex, queries: DataFrame, k: int = 3, block_rows:
                       F.round("score", SIM_DIGITS).alias("sim"))
 
 
-def query(index: LshIndex, queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS) -> DataFrame:
+def candidate_rows(index: LshIndex, queries: DataFrame, probes: int = 1) -> DataFrame:
+    """(qid, n_candidates): rows that a query is compared with, a row once for
+    every table in which they meet; the search's work, to be weighed against its recall."""
+    q = _hashed(queries, index.planes, index.positions, "qid", probes).select("qid", "tbl", "bucket")
+    sizes = index.rows.groupBy("tbl", "bucket").agg(F.count(F.lit(1)).alias("n"))
+    return q.join(sizes, ["tbl", "bucket"]).groupBy("qid").agg(F.sum("n").alias("n_candidates"))
+
+
+def query(index: LshIndex, queries: DataFrame, vectors: DataFrame, k: int = 3, block_rows: int = BLOCK_ROWS, probes: int = 1) -> DataFrame:
     """queries (qid, idx) that name rows of ``vectors``; the row itself is left out."""
     named = queries.select("qid", F.col("idx").alias("self")).join(vectors.select(F.col("idx").alias("self"), "vec"), "self")
-    return query_by_vector(index, named, k, block_rows)
+    return query_by_vector(index, named, k, block_rows, probes)
 
 
 def lsh_topk(queries: DataFrame, vectors: DataFrame, planes: np.ndarray, positions, k: int = 3,
-             block_rows: int = BLOCK_ROWS) -> DataFrame:
+             block_rows: int = BLOCK_ROWS, probes: int = 1) -> DataFrame:
     """Fit on ``vectors`` (idx, vec) and answer ``queries`` (qid, idx)."""
-    return query(fit(vectors, planes, positions), queries, vectors, k=k, block_rows=block_rows)
+    return query(fit(vectors, planes, positions), queries, vectors, k=k, block_rows=block_rows, probes=probes)

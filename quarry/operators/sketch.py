@@ -109,16 +109,14 @@ DATASKETCH_LGK = 12   # 2^12 registers: about 1.6 % standard error
 
 
 def approx_distinct(keys: DataFrame, key: str, sigmas: float = 4.0) -> DataFrame:
-    """Spark's own sketches for the same question, and whether each is within
-    ``sigmas`` standard errors of the exact count.
-
-    (sketch, approx, exact, within_bound), one row per sketch.  The exact
-    count is a distinct aggregate of its own; the sketches never need it."""
-    exact = keys.where(F.col(key).isNotNull()).select(key).distinct().agg(F.count(F.lit(1)).alias("exact"))
+    """Spark's own sketches for the same question: (sketch, approx, low, high),
+    one row per sketch.  The count lies within ``sigmas`` standard errors of
+    ``approx``, from ``low`` to ``high``; no key is shuffled."""
     approx = keys.agg(F.approx_count_distinct(key, APPROX_RSD).cast("bigint").alias("hllpp"),
                       F.hll_sketch_estimate(F.hll_sketch_agg(key, DATASKETCH_LGK)).cast("bigint").alias("datasketch"))
     rows = approx.select(F.expr("stack(2, 'hllpp', hllpp, %s, 'datasketch', datasketch, %s) as (sketch, approx, err)"
                                 % (repr(APPROX_RSD) + "D", repr(1.04 / math.sqrt(2 ** DATASKETCH_LGK)) + "D")))
-    n = F.col("exact")
-    return rows.withColumn("exact", exact.scalar()).select(
-        "sketch", "approx", "exact", (F.abs(F.col("approx") - n) <= F.ceil(sigmas * F.col("err") * n)).alias("within_bound"))
+    # approx is at most sigmas * err * n, rounded up, away from n
+    slack = sigmas * F.col("err")
+    return rows.select("sketch", "approx", F.floor((F.col("approx") - 1) / (1 + slack)).alias("low"),
+                       F.ceil((F.col("approx") + 1) / (1 - slack)).alias("high"))

@@ -331,12 +331,12 @@ LSH = VEC + """,
 hp as (select p.range plane, d.range dim,
          round(sqrt(-2 * ln((('0x' || substr(md5(concat('1234:', p.range, ':', d.range, ':a')), 1, 8))::BIGINT::DOUBLE + 1) / 4294967297e0))
            * cos(2 * pi() * (('0x' || substr(md5(concat('1234:', p.range, ':', d.range, ':b')), 1, 8))::BIGINT::DOUBLE + 1) / 4294967297e0), 9) g
-       from range(16) p cross join range((select max(len(embedding)) from embeddings)) d),
+       from range(48) p cross join range((select max(len(embedding)) from embeddings)) d),
 pm as (select plane, list(g order by dim) gv from hp group by plane),
 sg as (select ev.idx, string_agg(case when list_inner_product(ev.v, pm.gv) > 0 then '1' else '0' end, '' order by pm.plane) sig
        from ev cross join pm group by ev.idx),
-pos as (select t.range tbl, j.range slot, (('0x' || substr(md5(concat('1234:h:', t.range, ':', j.range)), 1, 8))::BIGINT % 16) p
-        from range(8) t cross join range(6) j),
+pos as (select t.range tbl, j.range slot, (('0x' || substr(md5(concat('1234:h:', t.range, ':', j.range)), 1, 8))::BIGINT % 48) p
+        from range(12) t cross join range(7) j),
 bk as (select sg.idx, cast(pos.tbl as integer) tbl, string_agg(substr(sig, cast(pos.p as integer) + 1, 1), '' order by pos.slot) bucket
        from sg cross join pos group by sg.idx, pos.tbl)
 """
@@ -347,26 +347,35 @@ ORACLE["lsh_buckets"] = "with " + LSH + "select idx, tbl, bucket from bk"
 
 ORACLE["lsh_bucket_sizes"] = "with " + LSH + "select tbl, bucket, cast(count(*) as bigint) n from bk group by tbl, bucket"
 
-ORACLE["lsh_top3"] = "with " + LSH + """,
-qx as (select q.qid, q.self_idx, b.tbl, b.bucket from q join bk b on b.idx = q.self_idx),
-cand as (select distinct qx.qid, xb.idx from qx join bk xb on xb.tbl = qx.tbl and xb.bucket = qx.bucket
-         where xb.idx <> qx.self_idx),
-sc as (select cand.qid, cand.idx, list_inner_product(q.u, un.u) sim
-       from cand join q on q.qid = cand.qid join un on un.idx = cand.idx)
+# A query (qid, v, n its length) visits ten buckets of each table: its own and those
+# over the planes it is nearest to; a plane drawn twice for a table flips once.
+PROBES = """,
+dp as (select qv.qid, pm.plane, list_inner_product(qv.v, pm.gv) / qv.n d from qv cross join pm),
+tp as (select tbl, p, min(slot) slot from pos group by tbl, p),
+mg as (select dp.qid, tp.tbl, tp.p, d, row_number() over (partition by dp.qid, tp.tbl order by abs(d), tp.slot) - 1 pl
+       from tp join dp on dp.plane = tp.p),
+nb as (select tbl, cast(count(*) as integer) m from tp group by tbl),
+mk as (select tbl, unnest(range(1 << m)) mask from nb),
+co as (select mg.qid, mg.tbl, mk.mask, sum(case when (mk.mask >> mg.pl) & 1 = 1 then d * d else 0 end) cost
+       from mg join mk on mk.tbl = mg.tbl group by mg.qid, mg.tbl, mk.mask),
+pr as (select qid, tbl, mask from co qualify row_number() over (partition by qid, tbl order by cost, mask) <= 10),
+qb as (select pr.qid, cast(pr.tbl as integer) tbl, pr.mask,
+              string_agg(case when (mg.d > 0) <> ((pr.mask >> mg.pl) & 1 = 1) then '1' else '0' end, '' order by pos.slot) bucket
+       from pr join pos on pos.tbl = pr.tbl join mg on mg.qid = pr.qid and mg.tbl = pr.tbl and mg.p = pos.p
+       group by pr.qid, pr.tbl, pr.mask),
+cand as (select distinct qb.qid, bk.idx from qb join bk on bk.tbl = qb.tbl and bk.bucket = qb.bucket join qv on qv.qid = qb.qid
+         where bk.idx is distinct from qv.self_idx),
+sc as (select cand.qid, cand.idx, list_inner_product(qv.v, un.u) / qv.n sim
+       from cand join qv on qv.qid = cand.qid join un on un.idx = cand.idx)
 select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
   select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
 
+ORACLE["lsh_top3"] = "with " + LSH + """,
+qv as (select q.qid, q.self_idx, ev.v, sqrt(list_inner_product(ev.v, ev.v)) n from q join ev on ev.idx = q.self_idx)""" + PROBES
+
 ORACLE["lsh_top3_by_vector"] = "with " + LSH + """,
 mv as (select qw.qid, list_transform(ev.v, lambda x: x + 0.05::DOUBLE) v from qw join ev on qw.word = ev.word),
-ms as (select mv.qid, string_agg(case when list_inner_product(mv.v, pm.gv) > 0 then '1' else '0' end, '' order by pm.plane) sig
-       from mv cross join pm group by mv.qid),
-mb as (select ms.qid, cast(pos.tbl as integer) tbl, string_agg(substr(sig, cast(pos.p as integer) + 1, 1), '' order by pos.slot) bucket
-       from ms cross join pos group by ms.qid, pos.tbl),
-cand as (select distinct mb.qid, xb.idx from mb join bk xb on xb.tbl = mb.tbl and xb.bucket = mb.bucket),
-sc as (select cand.qid, cand.idx, list_inner_product(mv.v, un.u) / sqrt(list_inner_product(mv.v, mv.v)) sim
-       from cand join mv on mv.qid = cand.qid join un on un.idx = cand.idx)
-select qid, cast(rank as integer) rank, idx, round(sim, 6) sim from (
-  select *, row_number() over (partition by qid order by round(sim, 6) desc, idx) rank from sc) where rank <= 3"""
+qv as (select qid, null::BIGINT self_idx, v, sqrt(list_inner_product(v, v)) n from mv)""" + PROBES
 
 # --------------------------------------------------------------- source tree
 
@@ -410,3 +419,48 @@ select license, cast(count(*) as bigint) n from li where license is not null gro
 
 ORACLE["stream_geo_nearest"] = ORACLE["geo_nearest"]
 ORACLE["stream_hll_registers"] = ORACLE["hll_registers"]
+
+# ------------------------------------------- files, appends, indexes, summaries
+
+ORACLE["distinct_users_bitmap"] = ORACLE["distinct_users"]
+
+ORACLE["auth_tallies"] = "with " + AUTH + """,
+k as (select 'account' kind, account "key", * from p union all select 'ip', ip, * from p union all select 'day', "day", * from p
+      union all select 'invalid_account', invalid_account, * from p where is_invalid = 1)
+select kind, "key", cast(sum(w) as bigint) attempts, cast(coalesce(sum(w) filter (where is_ok = 1), 0) as bigint) successes,
+       cast(coalesce(sum(w) filter (where is_ok = 0), 0) as bigint) failures from k group by kind, "key" """
+
+ORACLE["auth_frequent_accounts"] = "with " + AUTH + """
+select account, cast(sum(w) as bigint) attempts from p where account is not null group by account
+having sum(w) > 0.005 * (select sum(w) from p where account is not null)"""
+
+ORACLE["auth_days_appended"] = ORACLE["auth_attempts_by_day"]
+
+ORACLE["distinct_tokens_by_place"] = "with " + TOKENS + """
+select pos, cast(count(distinct token) as bigint) n from tok group by pos
+union all select null, cast(count(distinct token) as bigint) from tok"""
+
+GEO_FILES = GEO + """,
+fp as (select row_number() over (order by id) - 1 id, location, case when id % 97 <> 0 then latitude end latitude, longitude from gp),
+fq as (select row_number() over (order by qid) - 1 qid, case when qid % 50 <> 0 then latitude end latitude, longitude from gq)
+"""
+
+ORACLE["geo_nearest_files"] = "with " + GEO_FILES + """,
+pr as (select fq.qid, fp.id, fp.location,
+         2 * asin(sqrt(least(1.0, pow(sin((radians(fp.latitude) - radians(fq.latitude)) / 2), 2)
+           + cos(radians(fq.latitude)) * cos(radians(fp.latitude)) * pow(sin((radians(fp.longitude) - radians(fq.longitude)) / 2), 2)))) dist
+       from fq cross join fp where fq.latitude is not null and fp.latitude is not null)
+select qid, id, location, round(dist, 6) dist from pr
+qualify row_number() over (partition by qid order by round(dist, 9), id) = 1
+union all select qid, null, null, null from fq where latitude is null"""
+
+ORACLE["geo_file_rejects"] = "with " + GEO_FILES + "select id, location, 'unknown' latitude from fp where latitude is null"
+
+ORACLE["corpus_tree_packed"] = "with " + SRC + """
+select ext, cast(count(*) as bigint) n_files, cast(sum(strlen(coalesce(content, ''))) as bigint) n_bytes,
+       cast(sum(length(content) - length(replace(content, chr(10), ''))) as bigint) n_lines from fe group by ext"""
+
+ORACLE["corpus_phrase_counts"] = "with " + SRC + """,
+ph as (select distinct substr(text, 1, 30) phrase from benchmark where length(text) >= 3
+       union select unnest(['License', 'SPDX-License-Identifier: MIT', 'in no file']))
+select phrase, cast((select count(*) from sf where contains(content, phrase)) as bigint) n_files from ph"""

@@ -13,9 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions import vectors as vfn
-from quarry.operators import authlog, corpus, follows, lsh, neighbours, sketch, spatial
+from quarry.functions.text import newline_count
+from quarry.operators import authlog, corpus, distinct, follows, heavy, lsh, neighbours, phrase_index, sketch, spatial
 from quarry.sources import fixtures as fx
-from quarry.sources import text
+from quarry.sources import files, sinks, text
+from quarry.session import scratch_path
 from quarry.streaming import incremental
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -89,6 +91,11 @@ def q_distinct_users(spark, sf):
     return follows.distinct_users(_adj(spark, sf))
 
 
+@query("distinct_users_bitmap")
+def q_distinct_users_bitmap(spark, sf):
+    return distinct.count_texts(_adj(spark, sf), "user").withColumnRenamed("n", "n_users")
+
+
 # ---------------------------------------------------------------- sshd log
 
 def _auth(spark, sf):
@@ -180,6 +187,28 @@ def q_auth_day_extremes(spark, sf):
     return authlog.day_extremes(_auth(spark, sf))
 
 
+@query("auth_tallies")
+def q_auth_tallies(spark, sf):
+    return authlog.tallies(_auth(spark, sf))
+
+
+@query("auth_frequent_accounts")
+def q_auth_frequent_accounts(spark, sf):
+    found = heavy.frequent(_auth(spark, sf), "account", "w", 0.005)
+    return found.select(F.col("key").alias("account"), F.col("weight").alias("attempts"))
+
+
+@query("auth_days_appended")
+def q_auth_days_appended(spark, sf):
+    """Day tallies appended in three batches; one is replayed, one was staged and never committed."""
+    days = authlog.attempts_by_day(_auth(spark, sf)).withColumn("part", F.pmod(F.xxhash64("day"), F.lit(3)))
+    out = scratch_path(spark, "appended-days")
+    for part in (0, 1, 2, 1):
+        sinks.append_batch(days.where(F.col("part") == part).drop("part"), out, f"part{part}")
+    sinks.stage_batch(days.drop("part"), out, "lost")
+    return sinks.read_appended(spark, out, "day string, attempts long").drop("batch")
+
+
 # ---------------------------------------------------------------- HyperLogLog
 
 HLL_M, HLL_SEED = 1024, 42
@@ -217,7 +246,18 @@ def q_hll_estimate(spark, sf):
 
 @query("approx_distinct")
 def q_approx_distinct(spark, sf):
-    return sketch.approx_distinct(_tokens(spark, sf), "token").select("sketch", "exact", "within_bound")
+    tokens = _tokens(spark, sf)
+    exact = distinct.count(distinct.bitmaps(tokens, F.col("token"))).select("n").scalar()
+    rows = sketch.approx_distinct(tokens, "token").withColumn("exact", exact)
+    return rows.select("sketch", "exact", F.col("exact").between(F.col("low"), F.col("high")).alias("within_bound"))
+
+
+@query("distinct_tokens_by_place")
+def q_distinct_tokens_by_place(spark, sf):
+    """Exact distinct keys at each place of a line, and at all of them from the same bitmaps."""
+    maps = distinct.bitmaps(_tokens(spark, sf), F.col("token"), "pos")
+    every = distinct.count(distinct.rolled_up(maps)).select(F.lit(None).cast("int").alias("pos"), "n")
+    return distinct.count(maps, "pos").unionByName(every)
 
 
 # ---------------------------------------------------------------- geo 1-NN
@@ -235,6 +275,24 @@ def q_geo_nearest(spark, sf):
     return r.withColumn("dist", F.round("dist", 6))
 
 
+def _geo_files(spark, sf):
+    return fx.write_geo_files(spark, sf, scratch_path(spark, "geo-files"))
+
+
+@query("geo_nearest_files")
+def q_geo_nearest_files(spark, sf):
+    """Points and places from their files; ids are line numbers."""
+    points, queries = _geo_files(spark, sf)
+    places = text.parse_lat_lon(text.with_line_ids(text.read_lines(spark, queries)))
+    r = spatial.nearest_on_sphere(text.read_point_csv(spark, points), places, carry=["location"])
+    return r.withColumn("dist", F.round("dist", 6))
+
+
+@query("geo_file_rejects")
+def q_geo_file_rejects(spark, sf):
+    return text.point_rejects(spark, _geo_files(spark, sf)[0]).select("id", "location", "latitude")
+
+
 # ------------------------------------------------------ embeddings, cosine
 
 def _vectors(spark, sf):
@@ -325,7 +383,8 @@ def q_embedding_l2_nearest(spark, sf):
 
 # ------------------------------------------------------------------- LSH
 
-LSH_PLANES, LSH_BITS, LSH_TABLES, LSH_SEED = 16, 6, 8, 1234
+LSH_PLANES, LSH_BITS, LSH_TABLES, LSH_SEED = 48, 7, 12, 1234
+LSH_PROBES = 10  # buckets visited in each table
 
 
 def _lsh_params(spark, vectors):
@@ -359,7 +418,7 @@ def q_lsh_bucket_sizes(spark, sf):
 def q_lsh_top3(spark, sf):
     v = _vectors(spark, sf)
     planes, pos = _lsh_params(spark, v)
-    return lsh.lsh_topk(_query_vectors(spark, sf), v, planes, pos, k=3)
+    return lsh.lsh_topk(_query_vectors(spark, sf), v, planes, pos, k=3, probes=LSH_PROBES)
 
 
 @query("lsh_top3_by_vector")
@@ -368,7 +427,7 @@ def q_lsh_top3_by_vector(spark, sf):
     planes, pos = _lsh_params(spark, v)
     moved = F.transform("vec", lambda x: x + F.lit(0.05))  # vectors that the index does not hold
     q = _query_vectors(spark, sf).select("qid", F.lit(None).cast("bigint").alias("self"), moved.alias("vec"))
-    return lsh.query_by_vector(lsh.fit(v, planes, pos), q, k=3)
+    return lsh.query_by_vector(lsh.fit(v, planes, pos), q, k=3, probes=LSH_PROBES)
 
 
 # ------------------------------------------------------------- source tree
@@ -416,6 +475,25 @@ def q_corpus_top_license(spark, sf):
     return corpus.top_license(fx.source_files(spark, sf))
 
 
+@query("corpus_tree_packed")
+def q_corpus_tree_packed(spark, sf):
+    """Files written in two lots; the tree is packed after each, and the packed table counted."""
+    src = fx.source_files(spark, sf).select("path", "content", F.pmod(F.xxhash64("path"), F.lit(2)).alias("lot"))
+    root = scratch_path(spark, "tree")
+    for lot in (0, 1):
+        files.write_tree(src.where(F.col("lot") == lot), f"{root}/files")
+        files.pack_tree(spark, f"{root}/files", f"{root}/packed")
+    tree = corpus.with_ext(files.read_packed(spark, f"{root}/packed"))
+    return tree.groupBy("ext").agg(F.count(F.lit(1)).cast("bigint").alias("n_files"), F.sum("length").cast("bigint").alias("n_bytes"),
+                                   F.sum(newline_count(F.col("content"))).cast("bigint").alias("n_lines"))
+
+
+@query("corpus_phrase_counts")
+def q_corpus_phrase_counts(spark, sf):
+    index = phrase_index.build(fx.source_files(spark, sf))
+    return phrase_index.counts(index, fx.search_phrases(spark, sf, GREP_PHRASE, "SPDX-License-Identifier: MIT", "in no file"))
+
+
 # --------------------------------------------------------------- streaming
 
 @query("stream_geo_nearest")

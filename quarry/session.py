@@ -75,10 +75,9 @@ def shared_dir(spark: SparkSession) -> str:
     master = spark.sparkContext.master
     if not master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a shared folder on a cluster")
-    d = tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp")
-    spark.conf.set("spark.checkpoint.dir", d)
-    spark.sparkContext.setCheckpointDir(d)
-    return d
+    # the setting itself is fixed once a context runs; the context keeps the folder
+    spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="quarry-ckpt-", dir="/tmp"))
+    return spark.sparkContext.getCheckpointDir().rstrip("/")
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -1,19 +1,83 @@
-"""A directory tree of files as a DataFrame."""
+"""A directory tree of files as a DataFrame, and as a packed table that is kept
+up to date by listing what has changed."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.sources import sinks
+
 
 def read_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
-    """(path, length, content string) for every file below ``root``.
+    """(path, length, content string) for every file below ``root`` that is not
+    empty (Spark's file sources skip empty files).
 
     ``glob`` is a file-name filter such as ``*.{c,h}``.  ``binaryFile`` loads a
     whole file per row; a query that does not use ``content`` only lists the
-    files.  For very large trees, pack once to parquet and read that.
+    files.  For very large trees see :func:`pack_tree`.
     """
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     return r.load(root).select("path", "length", F.col("content").cast("string").alias("content"))
+
+
+def write_tree(files: DataFrame, root: str) -> int:
+    """Write (path, content) rows as files below ``root``; how many.
+
+    Every task writes its own rows, each file under another name first, so
+    that a retried task replaces whole files.  NULL contents are empty files."""
+    def run(batches):
+        import os
+        import uuid
+
+        import pyarrow as pa
+        from pyarrow import fs
+        store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        for b in batches:
+            for name, content in zip(b.column("path").to_pylist(), b.column("content").cast(pa.binary()).to_pylist(), strict=True):
+                target = f"{base}/{name}"
+                store.create_dir(os.path.dirname(target), recursive=True)
+                part = f"{target}.{uuid.uuid4().hex}.part"
+                with store.open_output_stream(part) as out:
+                    out.write(content or b"")
+                store.move(part, target)
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows], pa.int64())], names=["n"])
+
+    written = files.select("path", F.col("content").cast("string").alias("content")).mapInArrow(run, "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+
+
+PACKED = "path string, modified timestamp, length long, content binary"
+
+
+def pack_tree(spark: SparkSession, root: str, packed: str, glob: str | None = None) -> int:
+    """Append to the table at ``packed`` the files below ``root`` that are new or
+    changed since the last call; how many versions it holds then.
+
+    Only files modified since the newest packed one are listed and read; of
+    those as old as that one, what is packed is left out.  The append is one
+    batch, named by its number, so that a call that failed can be repeated.
+    Spark's file sources skip empty files."""
+    have = sinks.read_appended(spark, packed, PACKED).select("path", "modified", "length")
+    newest = have.agg(F.date_format(F.max("modified") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+    if glob:
+        r = r.option("pathGlobFilter", glob)
+    if newest:
+        r = r.option("modifiedAfter", newest)
+    files = r.load(root).select("path", F.col("modificationTime").alias("modified"), "length", "content")
+    new = files.join(have, ["path", "modified", "length"], "left_anti")
+    batch = f"{sinks.committed(spark, packed).count():08d}"
+    sinks.append_batch(new, packed, batch)
+    return sinks.read_appended(spark, packed, PACKED).count()
+
+
+def read_packed(spark: SparkSession, packed: str) -> DataFrame:
+    """(path, length, content string): the newest version of every packed file.
+
+    A packed table keeps files that have left the tree since."""
+    rows = sinks.read_appended(spark, packed, PACKED)
+    newest = rows.groupBy("path").agg(F.max("modified").alias("modified"))
+    return rows.join(newest, ["path", "modified"], "left_semi").select("path", "length", F.col("content").cast("string").alias("content"))

@@ -167,3 +167,22 @@ def source_files(spark: SparkSession, sf_dir: str) -> DataFrame:
             .otherwise(F.lit("// SPDX-License-Identifier: Apache-2.0\n")))
     return d.select(F.concat(F.lit("src/"), F.col("source"), F.lit("/"), F.col("doc_id").cast("string"), ext).alias("path"),
                     F.concat(spdx, F.col("text")).alias("content")).withColumn("length", F.octet_length("content").cast("bigint"))
+
+
+def write_geo_files(spark: SparkSession, sf_dir: str, root: str) -> tuple[str, str]:
+    """The points as a header CSV in the order of their ids, every 97th without a
+    latitude, and the query places as text, one ``lat lon`` a line, every 50th
+    no place.  Returns both paths."""
+    points, queries = f"{root}/points", f"{root}/queries"
+    p = geo_points(spark, sf_dir).withColumn("latitude", F.when(F.col("id") % 97 == 0, F.lit("unknown")).otherwise(F.col("latitude").cast("string")))
+    p.orderBy("id").select("location", "latitude", "longitude").write.option("header", True).csv(points)
+    q = geo_queries(spark, sf_dir).orderBy("qid").select(
+        F.when(F.col("qid") % 50 == 0, F.lit("somewhere")).otherwise(F.concat_ws(" ", "latitude", "longitude")).alias("value"))
+    q.write.text(queries)
+    return points, queries
+
+
+def search_phrases(spark: SparkSession, sf_dir: str, *more: str) -> DataFrame:
+    """(phrase): the first 30 characters of every benchmark item, where it has 3, and those given."""
+    items = load(spark, sf_dir, "benchmark").select(F.substring("text", 1, 30).alias("phrase")).where("length(phrase) >= 3")
+    return items.unionByName(_const_lines(spark, *more).select(F.col("line").alias("phrase"))).distinct()

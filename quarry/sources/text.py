@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 # Adjacency line: owner, colon, whitespace separated ids.  The owner is
 # trimmed; a line without a colon is a reject, a blank line is skipped.
@@ -122,36 +121,55 @@ def parse_labels(numbered: DataFrame, line_col: str = "line") -> DataFrame:
     return numbered.select("qid", F.nullif(F.trim(F.col(line_col)), F.lit("")).alias("label"))
 
 
+POINT_COLUMNS = {"geo": ("location", "latitude", "longitude", "double"), "plane": ("name", "easting", "northing", "float")}
+
+
+def _point_rows(spark: SparkSession, path: str, kind: str) -> DataFrame:
+    """(id, name, two coordinates as text): the rows of a header CSV, numbered."""
+    cols = POINT_COLUMNS.get(kind, POINT_COLUMNS["plane"])[:3]
+    schema = ", ".join(f"{c} string" for c in cols)
+    return with_line_ids(spark.read.schema(schema).option("header", True).csv(path), "id")
+
+
 def read_point_csv(spark: SparkSession, path: str, kind: str = "geo") -> DataFrame:
     """Header CSV of named points with an explicit schema (no inference).
 
-    ``id`` is the row's number in the file; a value that does not fit the
-    schema is NULL, and the indexes leave such points out."""
+    ``id`` is the row's number in the file, or in all files by name order; a
+    value that is no number is NULL, and the indexes leave such points out
+    (:func:`point_rejects` lists them)."""
+    name, *xy, number = POINT_COLUMNS.get(kind, POINT_COLUMNS["plane"])
+    return _point_rows(spark, path, kind).select("id", name, *[F.col(c).try_cast(number).alias(c) for c in xy])
+
+
+def point_rejects(spark: SparkSession, path: str, kind: str = "geo") -> DataFrame:
+    """(id, name, coordinates as text): the rows of a point CSV that are no
+    place: a coordinate that is missing, no number or not finite, or on the
+    sphere a latitude beyond the poles."""
+    name, *xy, number = POINT_COLUMNS.get(kind, POINT_COLUMNS["plane"])
+    values = [F.col(c).try_cast(number) for c in xy]
+    good = values[0].isNotNull() & values[1].isNotNull()
+    for v in values:
+        good &= (F.abs(v) < float("inf")) & ~F.isnan(v)
     if kind == "geo":
-        schema = T.StructType([T.StructField("location", T.StringType()),
-                               T.StructField("latitude", T.DoubleType()),
-                               T.StructField("longitude", T.DoubleType())])
-    else:
-        schema = T.StructType([T.StructField("name", T.StringType()),
-                               T.StructField("easting", T.FloatType()),
-                               T.StructField("northing", T.FloatType())])
-    return with_line_ids(spark.read.schema(schema).option("header", True).csv(path), "id")
+        good &= F.abs(values[0]) <= 90
+    return _point_rows(spark, path, kind).where(~F.coalesce(good, F.lit(False))).select("id", name, *xy)
 
 
 def with_line_ids(df: DataFrame, name: str = "qid") -> DataFrame:
-    """Line number (from 0) for plain query files, at load.
-
-    ``monotonically_increasing_id`` is (split index << 33) + row within the
-    split, in file order.  Per-split row counts (one row per split) turn into
-    running offsets, and each row's number is its split's offset plus its
-    position: two passes over the file, no per-row Python and no window over
-    the rows.  Whether the offsets are broadcast is left to their size.
+    """Line number (from 0) for plain query files, at load; several files are
+    numbered through in the order of their names.
+
+    ``monotonically_increasing_id`` counts the rows of a split in order.  One
+    row per file block (its first id and its row count) turns into running
+    offsets by file name and block, and each row's number is its block's
+    offset plus its place in the block: two passes over the files, no per-row
+    Python and no window over the rows.  Whether the offsets are broadcast is
+    left to their size.
     """
-    t = df.withColumn("_mid", F.monotonically_increasing_id()) \
-          .withColumn("_split", F.shiftright("_mid", 33))
-    counts = t.groupBy("_split").agg(F.count(F.lit(1)).alias("_n"))
-    offsets = counts.select(
-        "_split", (F.sum("_n").over(Window.orderBy("_split")) - F.col("_n")).alias("_off"))
-    pos = F.col("_mid").bitwiseAND(F.lit((1 << 33) - 1))
-    return (t.join(offsets, "_split")
-            .select((F.col("_off") + pos).alias(name), *df.columns))
+    at = [F.col("_metadata.file_path").alias("_file"), F.col("_metadata.file_block_start").alias("_block")]
+    t = df.select(*at, F.monotonically_increasing_id().alias("_mid"), *df.columns)
+    blocks = t.groupBy("_file", "_block").agg(F.count(F.lit(1)).alias("_n"), F.min("_mid").alias("_first"))
+    offsets = blocks.select(
+        "_file", "_block", "_first", (F.sum("_n").over(Window.orderBy("_file", "_block")) - F.col("_n")).alias("_off"))
+    return (t.join(offsets, ["_file", "_block"])
+            .select((F.col("_off") + F.col("_mid") - F.col("_first")).alias(name), *df.columns))
