@@ -15,7 +15,7 @@ text without any common word.  Short texts say little: each histogram is only
 compared from a minimum length on.
 
 Only DataFrame functions are used.  Null and empty texts have no words and
-fail the base rule.  Without a reference (an empty table, no language) the
+fail the base rule; texts are read whole, however long.  Without a reference (an empty table, no language) the
 base rules decide alone.  Every row of the input gives one row, repeated
 rows included; other columns are ignored.
 """
@@ -43,23 +43,32 @@ WORD = SPACE + "+"
 CLASSES = ("[A-Z]", "[0-9]", "[^\\x00-\\x7F]", "[.,;:!?'\"()-]", "[#*$%&|<>]", SPACE)
 
 def _repeat_words(words: Column) -> Column:
-    """Words inside 3-word windows that occur twice or more."""
-    starts = F.slice(words, F.lit(1), F.size(words) - 2)
-    hashes = F.transform(starts, lambda w, i: F.xxhash64(w, F.get(words, i + 1), F.get(words, i + 2)))
-
-    def covered(at: Column) -> Column:
-        """``at``: (hash, position) in order; windows that share a hash are neighbours."""
-        again = F.filter(at, lambda x, i: (F.get(at, i - 1)["h"] == x["h"]) | (F.get(at, i + 1)["h"] == x["h"]))
-        starts = F.sort_array(F.transform(again, lambda x: x["i"]))
-        return F.aggregate(starts, F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
-                           lambda a, s: F.struct((a["n"] + F.least(F.lit(3), s - a["last"])).alias("n"), s.alias("last")),
-                           lambda a: a["n"])
+    """Words inside 3-word windows that occur twice or more.
+
+    A window is the hash of its words' hashes.  Windows are sorted as one long
+    each, the high bits of the hash before the position, so that equal ones
+    are neighbours; the whole hash decides whether they are equal."""
+    def windows(h: Column) -> Column:
+        return F.transform(F.slice(h, F.lit(1), F.size(h) - 2), lambda x, i: F.xxhash64(x, F.get(h, i + 1), F.get(h, i + 2)))
+
+    def covered(h: Column, low: Column) -> Column:
+        def place(x: Column) -> Column:
+            return x.bitwiseAND(low).cast("int")
+
+        def again(order: Column) -> Column:
+            twice = F.filter(order, lambda x, i: (F.get(h, place(F.get(order, i - 1))) == F.get(h, place(x))) |
+                             (F.get(h, place(F.get(order, i + 1))) == F.get(h, place(x))))
+            return F.aggregate(F.sort_array(F.transform(twice, place)), F.struct(F.lit(0).cast("long").alias("n"), F.lit(-3).alias("last")),
+                               lambda a, s: F.struct((a["n"] + F.least(F.lit(3), s - a["last"])).alias("n"), s.alias("last")), lambda a: a["n"])
+        return bound(F.sort_array(F.transform(h, lambda x, i: x.bitwiseAND(F.bitwise_not(low)).bitwiseOR(i.cast("long")))), again)
 
     def counted(h: Column) -> Column:
-        ordered = F.sort_array(F.transform(h, lambda x, i: F.struct(x.alias("h"), i.alias("i"))))
-        return F.when(F.size(F.array_distinct(h)) == F.size(h), F.lit(0).cast("long")).otherwise(bound(ordered, covered))
+        n = F.size(h)
+        low = F.when(n <= 1 << 10, (1 << 10) - 1).when(n <= 1 << 16, (1 << 16) - 1).otherwise((1 << 31) - 1).cast("long")
+        return bound(low, lambda x: covered(h, x))
 
-    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(bound(hashes, counted))
+    hashes = F.transform(words, lambda w: F.xxhash64(w))
+    return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(bound(bound(hashes, windows), counted))
 
 
 def _base(docs: DataFrame) -> DataFrame:
@@ -133,12 +142,13 @@ def _shares(counts: Column, total: Column) -> Column:
 
 
 def _distance(p: Column, q: Column | list[float]) -> Column:
-    """Jensen-Shannon distance of a histogram column to a reference."""
+    """Jensen-Shannon distance of a histogram column to a reference; null for a null histogram."""
     q = q if isinstance(q, Column) else constant_array(q, "double")
     def part(a: Column, m: Column) -> Column:
         return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
     terms = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
-    return F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x)))
+    # greatest() skips nulls
+    return F.when(p.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))))
 
 
 def base_failed() -> Column:

@@ -4,7 +4,7 @@ import random
 import re
 
 import duckdb
-from conftest import SF01
+from conftest import SF01, SMOKE
 from llmdata import awkward, empty
 
 from quarry.llm import quality
@@ -36,10 +36,77 @@ def test_clean_documents_stay_and_junk_goes(spark):
     labels = {r.doc_id: r.quality for r in spark.read.parquet(f"{SF01}/labels.parquet").collect()}
     good = [i for i, q in labels.items() if q == 1 and i in got and not got[i].base_failed]
     assert sum(got[i].kept for i in good) >= 0.99 * len(good)
+    bad = [i for i, q in labels.items() if q == 0 and i in got and not got[i].base_failed]
+    assert bad and sum(got[i].kept for i in bad) <= 0.1 * len(bad)
     symbols = [i for i, t in docs.items() if not got[i].base_failed and len(re.findall(r"[#*$%&]{3}", t)) > 0.5 * got[i].n_words]
     assert symbols and not any(got[i].kept for i in symbols)
 
 
+def plain_kept(docs):
+    """{doc_id: kept} by the rules of the module's docstring, in plain Python."""
+    def words(t):
+        return re.findall(r"[^\x20\x09-\x0D]+", t or "")
+    shares = {}
+    for _, t, lang in docs:
+        w = [x.lower() for x in words(t)]
+        if lang is not None and len(w) >= 50:
+            for x in w:
+                shares.setdefault(lang, collections.Counter())[x] += (1 << 30) // len(w)
+    common = sorted({x for c in shares.values() for x, _ in sorted(((x, n) for x, n in c.items() if re.search(r"[^\W\d_]", x)), key=lambda y: (-y[1], y[0].encode()))[:25]})
+
+    def histograms(t):
+        t = t or ""
+        n, w = len(t), [x.lower() for x in words(t)]
+        bins = [len(re.findall(p, t)) for p in ("[A-Z]", "[0-9]", r"[^\x00-\x7F]", "[.,;:!?'\"()-]", "[#*$%&|<>]", r"[\x20\x09-\x0D]")]
+        tops = collections.Counter(w)
+        return [x / max(1, n) for x in [*bins, n - sum(bins)]], [x / max(1, len(w)) for x in [*(tops[c] for c in common), len(w) - sum(tops[c] for c in common)]], n, len(w)
+
+    def js(p, q):
+        def part(a, b):
+            return a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+        return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q)) / 2))
+
+    rows = [(i, lang, naive(t)[5], *histograms(t)) for i, t, lang in docs]
+    refs, limits = {}, {}
+    for own in {r[1] for r in rows if r[1] is not None and not r[2]}:
+        fit = [r for r in rows if r[1] == own and not r[2]]
+        refs[own] = [[sum(x) / len(fit) for x in zip(*(r[k] for r in fit))] for k in (3, 4)]
+        tops = []
+        for k, long in ((3, [r for r in fit if r[5] >= 200]), (4, [r for r in fit if r[6] >= 100])):
+            d = [js(r[k], refs[own][k - 3]) for r in long]
+            mean = sum(d) / len(d) if d else None
+            tops.append(None if not d else (mean, mean + 3 * math.sqrt(sum((x - mean) ** 2 for x in d) / len(d))))
+        without = js([0.0] * len(common) + [1.0], refs[own][1])
+        if tops[1] and tops[1][0] < without:
+            tops[1] = (tops[1][0], min(tops[1][1], (tops[1][0] + without) / 2))
+        limits[own] = [t and t[1] for t in tops]
+
+    def near(r, own):
+        for k, length, least in ((3, 5, 200), (4, 6, 100)):
+            if all(m[k - 3] is None for m in limits.values()) or r[length] < least:
+                continue
+            if limits[own][k - 3] is None or js(r[k], refs[own][k - 3]) > limits[own][k - 3] + 1e-9:
+                return False
+        return True
+    return sorted((str(r[0]), not r[2] and (not refs or any(near(r, own) for own in refs))) for r in rows)
+
+
+def test_verdict_equals_a_plain_version(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text", "lang")
+    rows = [tuple(r) for r in docs.collect()]
+    got = sorted((str(r.doc_id), r.kept) for r in quality.judge(docs).collect())
+    assert got == plain_kept(rows) and len({k for _, k in got}) == 2
+
+
+def test_repeated_windows_of_long_and_repetitive_texts(spark):
+    rng = random.Random(3)
+    texts = ["a b c " * 400, " ".join(rng.choice("ab") for _ in range(3000)), " ".join(rng.choice("abcdefghij") for _ in range(1500)), "x " * 70_000,
+             " ".join(f"w{rng.randrange(30)}" for _ in range(1030)), "a b c d", "a a a a", "a a a", " ".join(f"u{i}" for i in range(2000))]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.n_repeat_words for r in quality.judge(docs).collect()}
+    assert got == {i: naive(t)[4] for i, t in enumerate(texts)}
+
+
 def test_distance_is_jensen_shannon(spark):
     p, q = [0.5, 0.25, 0.25, 0.0], [0.1, 0.0, 0.4, 0.5]
     df = spark.createDataFrame([(p,)], "p array<double>")
