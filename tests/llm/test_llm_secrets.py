@@ -1,6 +1,9 @@
+import base64
 import hashlib
+import random
 import re
 
+from conftest import SF01, SMOKE
 from llmdata import awkward, empty
 
 from quarry.llm import secrets
@@ -34,15 +37,63 @@ def test_base_spans_equal_a_plain_scan(spark):
         assert [s for s in by_id[100 + i].spans if s.kind != "markov"] == by_id[100 + i].base
 
 
-def test_models_tell_random_strings_from_identifiers(spark):
+RATIOS = secrets.log_ratios()
+
+
+def excess(token):
+    """What the operator adds up, in plain Python."""
+    codes = [secrets.ALPHABET.index(c) for c in token]
+    total = 0.0
+    for x, y in zip(codes, codes[1:]):
+        total += RATIOS[x * len(secrets.ALPHABET) + y]
+    return total - (secrets.THRESHOLD[0] + len(token) * secrets.THRESHOLD[1])
+
+
+def naive_markov(text):
+    """The spans beside the base ones, by a plain scan of every token."""
+    base = [(m.start(), m.end()) for pattern, group, least in NAIVE.values() for m in pattern.finditer(text or "") if len(m.group(group)) >= least]
+    return [(m.start(), m.end()) for m in re.finditer(r"[A-Za-z0-9+/_.=-]{8,}", text or "")
+            if excess(m[0]) > 0 and not any(a < m.end() and m.start() < z for a, z in base)]
+
+
+def test_markov_spans_equal_a_plain_scan(spark):
+    docs = spark.read.parquet(f"{SMOKE}/documents.parquet").select("doc_id", "text").unionByName(awkward(spark, TEXTS).select("doc_id", "text"))
+    rng = random.Random(3)
+    made = [" ".join(rng.choice([RANDOM, "word", "getUserName2", "".join(rng.choice(secrets.ALPHABET) for _ in range(rng.randrange(4, 30)))]) for _ in range(40)) for _ in range(50)]
+    docs = docs.unionByName(spark.createDataFrame([(9000 + i, t) for i, t in enumerate(made)], "doc_id long, text string"))
+    got = sorted((str(r.doc_id), [(s.start, s.end) for s in r.spans if s.kind == "markov"]) for r in secrets.scan(docs).collect())
+    assert got == sorted((str(r.doc_id), naive_markov(r.text)) for r in docs.collect())
+    assert sum(len(x) for _, x in got) > 200
+
+
+def test_random_strings_are_found_whatever_their_form():
+    rng = random.Random(7)
+
+    def share(n, make):
+        return sum(excess(make(n)) > 0 for _ in range(2000)) / 2000
+
+    def of(chars):
+        return lambda n: "".join(rng.choice(chars) for _ in range(n))
+    base62 = secrets.ALPHABET[:62]
+    assert share(12, of(base62)) >= 0.9 and share(16, of(base62)) >= 0.95 and share(24, of(base62)) >= 0.99
+    assert share(24, of(base62[:52])) >= 0.95                                   # no digit
+    assert share(30, lambda n: base64.b64encode(rng.randbytes(n)).decode()) >= 0.95
+    assert share(16, of("0123456789abcdef")) >= 0.9
+    assert excess("wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") > 0
+    assert naive_markov("aws_secret_access_key = wJalrXUtnFEMI/K7MDENG/bPxRfiCYEXAMPLEKEY") == [(24, 64)]
+
+
+def test_identifiers_and_words_are_left_alone(spark):
     ordinary = ["getUserAccountBalance2", "chapter-12-section-4-the-end", "internationalization2021", "invoice_2024_000123_final",
-                "geschwindigkeitsbegrenzung99", "20230415-103000-backup-file", "thonanedthbleeaonthin12"]
-    fresh = secrets.random_strings(secrets.SAMPLES + 100)[4 * secrets.SAMPLES:]
-    fresh = [s for s in fresh if re.search("[0-9]", s) and not re.fullmatch("[0-9a-f]+", s) and "AKIA" not in s]
-    docs = spark.createDataFrame([(i, f"see {s}, there") for i, s in enumerate(fresh + ordinary)], "doc_id long, text string")
-    hit = {r.doc_id for r in secrets.scan(docs).collect() if any(s.kind == "markov" for s in r.spans)}
-    assert sum(i in hit for i in range(len(fresh))) >= 0.9 * len(fresh)
-    assert not [ordinary[i - len(fresh)] for i in hit if i >= len(fresh)]
+                "geschwindigkeitsbegrenzung99", "20230415-103000-backup-file", "thonanedthbleeaonthin12", "customer_email_address_verified",
+                "src/test/java/org/example/FooTest.java", "www.example.com/products/list.html", "2024-02-29", "+44-20-7946-0958", "192.168.178.21",
+                "XMLHttpRequest", "DEFAULT_MAX_CONNECTIONS", "mother-of-three", "isEmptyOrNull", "libstdc++.so.6", "node_modules/lodash/index.js"]
+    assert sum(excess(w) > 0 for w in ordinary) <= 1
+    assert sum(excess(w) > 0 for w in secrets.ORDINARY if len(w) >= 8) == 0
+    good = {r.doc_id for r in spark.read.parquet(f"{SF01}/labels.parquet").where("quality = 1").collect()}
+    words = {w for r in spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text").collect() if r.doc_id in good
+             for w in re.findall(r"[A-Za-z0-9+/_.=-]{8,}", r.text or "") if w.strip("+/_.=-").isalpha()}
+    assert len(words) > 3000 and sum(excess(w) > 0 for w in words) < 0.01 * len(words)
 
 
 def test_markov_spans_stay_outside_base_spans(spark):
