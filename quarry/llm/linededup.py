@@ -1,9 +1,9 @@
 """Line deduplication by a deletion-neighbourhood join (edit distance 1).
 
-A line is the text between newlines, trimmed of [\\x20\\x09-\\x0D].  Lines of at
-least ``MIN_CHARS`` code points are compared; shorter ones are kept, or, with
-``every_line``, compared with equal ones only if they have a letter or a
-digit.  Lines are ordered by (doc_id, text hash, line
+A line is the text between newlines, trimmed of [\\x20\\x09-\\x0D].  Lines with a
+letter or a digit are compared, however short, and so are others of at least
+``MIN_CHARS`` code points; near lines are only looked for from ``MIN_CHARS`` on
+(without ``every_line``, shorter lines are kept).  Lines are ordered by (doc_id, text hash, line
 number), null ids last.  A line is removed if an equal line, or one at edit
 distance 1 (insert, delete or substitute one code point; not among shorter
 lines), comes earlier.
@@ -23,7 +23,7 @@ Only DataFrame functions are used:
    pairs as it has members.
 5. The edit distance of each pair is verified.
 
-Null texts stay null, empty ones empty.  Fully equal rows (same id and text)
+Null texts stay null, empty ones empty; a text is split whole, however long.  Fully equal rows (same id and text)
 are one document here and keep the same lines; extra columns pass through.
 """
 
@@ -50,7 +50,7 @@ def _right(c: Column, n: Column) -> Column:
     return F.substring(c, F.length(c) - n + 1, n)
 
 
-def _lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
+def _lines(docs: DataFrame, every_line: bool = True) -> DataFrame:
     """(id, text_key, pos, line): the lines that are compared."""
     compared = F.length("line") >= MIN_CHARS
     if every_line:
@@ -90,8 +90,9 @@ def near_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     alive = _shared(halves, "h").select("key").distinct()
     member = slot_bitmap(alive.select(F.xxhash64("key").alias("k")))
     texts = staged(
+        # grouped first: a hot line's occurrences become one row a task before they are shuffled
         lines.withColumn("key", F.unhex(F.md5("line"))).where(member(F.xxhash64("key")))
-        .join(alive, "key", "left_semi").groupBy("key").agg(F.first("line").alias("line"))
+        .groupBy("key").agg(F.first("line").alias("line")).join(alive, "key")
         .join(first.select("key", "order"), "key"), "lines-alive")
 
     n = F.length("line")
@@ -132,7 +133,7 @@ def near_lines(lines: DataFrame, first: DataFrame) -> DataFrame:
     return pairs.join(left, "key").join(right, "other").where(distance == 1).select("key").distinct()
 
 
-def removed_lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
+def removed_lines(docs: DataFrame, every_line: bool = True) -> DataFrame:
     """(id, text_key, exact, near): per document that loses lines, their numbers from 0."""
     lines = _lines(docs, every_line)
     n = F.length("line")
@@ -156,7 +157,7 @@ def removed_lines(docs: DataFrame, every_line: bool = False) -> DataFrame:
 COUNTS = ("n_exact_removed", "n_near_removed")
 
 
-def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS, every_line: bool = False) -> DataFrame:
+def dedup_lines(docs: DataFrame, counts: tuple[str, str] = COUNTS, every_line: bool = True) -> DataFrame:
     """All rows of ``docs`` with ``text`` rebuilt from the lines that stay, and
     two more columns, named by ``counts``: how many lines went because an
     equal one, or only because a near one, comes earlier.  Texts that a bitmap
@@ -192,14 +193,14 @@ _LINE = "trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))"
 OP10_SQL = f"""
 WITH l AS (SELECT doc_id, unnest(range(len(string_split(text, chr(10))))) AS pos, unnest(string_split(text, chr(10))) AS raw
            FROM documents WHERE text IS NOT NULL),
-c AS (SELECT doc_id, pos, raw, line, length(line) AS n FROM (SELECT doc_id, pos, raw, {_LINE.replace('(l,', '(raw,')} AS line FROM l)),
-f AS (SELECT line, n, min((doc_id, pos)) AS o FROM c WHERE n >= {MIN_CHARS} GROUP BY line, n),
-k AS (SELECT line, n, o, unnest([n, n - 1]) AS c FROM f),
+c AS (SELECT doc_id, pos, raw, line, length(line) AS n, length(line) >= {MIN_CHARS} OR regexp_matches(line, '[\\p{{L}}\\p{{N}}]') AS compared FROM (SELECT doc_id, pos, raw, {_LINE.replace('(l,', '(raw,')} AS line FROM l)),
+f AS (SELECT line, n, min((doc_id, pos)) AS o FROM c WHERE compared GROUP BY line, n),
+k AS (SELECT line, n, o, unnest([n, n - 1]) AS c FROM f WHERE n >= {MIN_CHARS}),
 h AS (SELECT line, n, o, c, 'h' || left(line, CAST(ceil(c / 2) AS BIGINT)) AS h FROM k UNION ALL
       SELECT line, n, o, c, 't' || right(line, CAST(c - ceil(c / 2) AS BIGINT)) FROM k),
 near AS (SELECT DISTINCT a.line FROM h a JOIN h b ON a.c = b.c AND a.h = b.h AND b.o < a.o AND abs(a.n - b.n) <= 1
          WHERE levenshtein(a.line, b.line) = 1),
-d AS (SELECT c.doc_id, c.pos, c.raw, c.n >= {MIN_CHARS} AND (c.doc_id, c.pos) <> f.o AS exact,
+d AS (SELECT c.doc_id, c.pos, c.raw, c.compared AND (c.doc_id, c.pos) <> f.o AS exact,
              c.n >= {MIN_CHARS} AND (c.doc_id, c.pos) = f.o AND near.line IS NOT NULL AS near
       FROM c LEFT JOIN f ON c.line = f.line LEFT JOIN near ON c.line = near.line),
 g AS (SELECT doc_id, coalesce(string_agg(raw, chr(10) ORDER BY pos) FILTER (NOT coalesce(exact, false) AND NOT coalesce(near, false)), '') AS text,

@@ -18,10 +18,8 @@ def near(a, b):
     return a[p + (len(a) >= len(b)):] == b[p + (len(b) >= len(a)):]
 
 
-def brute(docs):
-    """Texts after removal; rows (doc_id, text), whole duplicates of a row are one document."""
-    rows = sorted({(d is None, d or 0, t) for d, t in docs if t is not None})
-    return rows, docs
+def compared(s):
+    return len(s) >= linededup.MIN_CHARS or any(c.isalnum() for c in s)
 
 
 def make_texts(seed=3):
@@ -45,7 +43,7 @@ def make_texts(seed=3):
     texts = []
     while out:
         k = rng.randrange(1, 5)
-        texts.append("\n".join([*out[:k], "short", "  " + rng.choice(lines) + "\t", ""]))
+        texts.append("\n".join([*out[:k], "short", "--", rng.choice("abc") + "x", "  " + rng.choice(lines) + "\t", ""]))
         out = out[k:]
     return texts
 
@@ -60,16 +58,17 @@ def test_equals_brute_force(spark, monkeypatch, region):
     for d, t in enumerate(texts):
         for p, raw in enumerate(t.split("\n")):
             s = raw.strip(WS)
-            if len(s) >= linededup.MIN_CHARS and s not in first:
+            if compared(s) and s not in first:
                 first[s] = (d, p)
                 order.append(s)
-    late = {s for i, s in enumerate(order) if any(near(s, e) for e in order[:i])}
+    long = [s for s in order if len(s) >= linededup.MIN_CHARS]
+    late = {s for i, s in enumerate(long) if any(near(s, e) for e in long[:i])}
     assert len(late) > 5
     for d, t in enumerate(texts):
         kept, exact, nearly = [], 0, 0
         for p, raw in enumerate(t.split("\n")):
             s = raw.strip(WS)
-            if len(s) >= linededup.MIN_CHARS and first[s] != (d, p):
+            if compared(s) and first[s] != (d, p):
                 exact += 1
             elif len(s) >= linededup.MIN_CHARS and s in late:
                 nearly += 1
@@ -90,7 +89,7 @@ def test_awkward_rows_and_empty_tables(spark):
     docs = awkward(spark)
     got = linededup.dedup_lines(docs, ("a", "b"))
     assert got.columns == [*docs.columns, "a", "b"] and got.count() == docs.count()
-    # fully equal rows are one document: both keep their lines
+    # fully equal rows are one document: both keep their lines; "same id" of the same id and another text goes
     assert sorted((r.text or "") for r in got.collect()) == sorted((r.text or "") for r in docs.collect())
     assert linededup.dedup_lines(empty(spark), ("a", "b")).collect() == []
     stage = corpus_pipeline.line_dedup(spark, docs, "")
@@ -119,3 +118,10 @@ def test_no_line_with_a_word_is_left_twice(spark):
         return [s for r in df.collect() for s in (x.strip(WS) for x in (r.text or "").split("\n")) if any(c.isalnum() for c in s)]
     kept = lines(corpus_pipeline.line_dedup(spark, docs, ""))
     assert len(set(kept)) == len(kept) < len(lines(docs))
+
+
+def test_short_lines_go_in_the_query_too(spark, tmp_path):
+    rows = [(1, "short line\nshort line\n--\n--"), (2, "short line\nother"), (3, "42")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    got = {r.doc_id: (r.n_chars_kept, r.n_exact_removed) for r in linededup.op10_linededup(spark, str(tmp_path)).collect()}
+    assert got == {1: (16, 1), 2: (5, 1), 3: (2, 0)}
