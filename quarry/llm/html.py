@@ -4,7 +4,13 @@ The page is cut into flat text blocks at block-level tags.  Every block has
 its word count and link density, those of its two neighbours, and the kind of
 its nearest telling container (article; or menu, header, footer, sidebar,
 notice, advert, form, comments).  A decision tree, trained here on a small
-labelled table of such blocks, keeps or drops each block.
+labelled table of such blocks, keeps or drops each block: what is in a
+surrounding container goes; in an article, lists of links go; outside both,
+size, link density and the neighbours decide.
+
+A container is told by its element or role, or by a word of its class or id
+(``site-footer``, but not ``has-sidebar`` or ``no-comments``).  A form, field
+set or dialog that holds most words of the page is a wrapper and tells nothing.
 
 Scripts, styles, comments and other raw elements are skipped, character
 references decoded, white space inside a block becomes one space, and blocks
@@ -34,6 +40,8 @@ AROUND_WORDS = frozenset("""ad ads adbox adslot advert advertisement advertising
 commentlist consent cookie cookies copyright disqus footer gdpr header login masthead menu modal nav navbar navigation newsletter
 notice notification pager pagination popup privacy promo promoted recommend recommended recommendations related replies reply respond
 search share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar widget""".split())
+WRAPPERS = frozenset(("form", "fieldset", "dialog"))  # tell nothing where they hold most words of a page
+NEGATIONS = frozenset("no not non without with has have hide is".split())  # a class name with one says what else there is
 
 FEATURES = ("holder", "words", "links", "words_before", "links_before", "words_after", "links_after")
 # fixed values: the labelled table.  holder: 1 article, -1 around it, 0 neither; links: share of words in links; last: 1 main text
@@ -48,6 +56,22 @@ LABELLED = """
  1   3 0.00   4 1.00   0 0.00 1
  1 300 0.00   5 1.00   8 1.00 1
  1  12 0.00   9 0.00   6 0.00 1
+ 1   7 1.00  55 0.00   0 0.00 1
+ 1   4 1.00   0 0.00  60 0.00 1
+ 1   5 0.80  30 0.10  42 0.00 1
+ 1   4 1.00  60 0.00   3 1.00 0
+ 1   3 1.00   4 1.00   5 1.00 0
+ 1   5 1.00   3 1.00   4 1.00 0
+ 1   6 1.00   5 1.00  40 0.00 0
+ 1   8 0.90   6 1.00   7 1.00 0
+ 1   3 1.00   4 1.00   0 0.00 0
+ 1   9 1.00   7 0.90  50 0.05 0
+ 1   4 1.00  15 0.00   3 1.00 0
+ 1   3 1.00  30 0.00   5 1.00 0
+ 1   8 0.00  20 0.00   5 0.00 1
+ 1  30 0.00  25 0.00   2 1.00 1
+ 1  20 0.10   4 1.00   0 0.00 1
+ 1   6 1.00  70 0.00  40 0.00 1
 -1   4 1.00   3 1.00   5 1.00 0
 -1   9 0.00  40 0.00   0 0.00 0
 -1  60 0.00   1 1.00  45 0.00 0
@@ -70,6 +94,27 @@ LABELLED = """
  0 150 0.10   0 0.00   0 0.00 1
  0  35 0.25  20 0.00  44 0.00 1
  0   4 0.00  33 0.00  29 0.00 1
+ 0   5 0.00  60 0.00  50 0.00 1
+ 0   2 0.00  22 0.00  20 0.00 1
+ 0   4 0.00   2 1.00  12 0.00 1
+ 0   6 0.00   3 1.00  16 0.00 1
+ 0   3 0.00   0 0.00  14 0.00 1
+ 0  21 0.00  20 0.00   1 1.00 1
+ 0  30 0.00  12 0.00   2 1.00 1
+ 0  24 0.10   2 0.00   0 0.00 1
+ 0  40 0.00  30 0.00   3 0.00 1
+ 0  55 0.00   4 1.00   0 0.00 1
+ 0   3 0.00  45 0.00  30 0.00 1
+ 0   7 0.00   3 1.00  60 0.00 1
+ 0   5 0.00   2 1.00  40 0.00 1
+ 0  14 0.00  40 0.00   0 0.00 1
+ 0  16 0.00  25 0.00   4 1.00 1
+ 0  10 0.00  60 0.00  45 0.00 1
+ 0   9 0.00   3 1.00   4 1.00 0
+ 0  10 0.00   0 0.00   2 1.00 0
+ 0  12 0.00   5 1.00   0 0.00 0
+ 0   8 0.00   3 1.00   0 0.00 0
+ 0  11 0.00   2 1.00   3 1.00 0
  0   3 1.00   2 1.00   4 1.00 0
  0   5 0.90  40 0.00   3 1.00 0
  0   2 1.00   0 0.00   2 1.00 0
@@ -133,22 +178,30 @@ def blocks(page: str) -> list[tuple[str, int, float, int]]:
     named = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
     split = re.compile(r"[^a-z]+")
 
-    def mark(name: str, attributes: str) -> int:
-        """What an element says about the blocks in it; 0: nothing."""
+    def around(value: str) -> bool:
+        for token in value.split():
+            words = [w for w in split.split(token) if w]
+            if NEGATIONS.isdisjoint(words) and not AROUND_WORDS.isdisjoint(words):
+                return True
+        return False
+
+    def mark(name: str, attributes: str) -> tuple[int, bool]:
+        """What an element says about the blocks in it (0: nothing), and whether it may be a wrapper."""
         if attributes:
             for m in named.finditer(attributes):
                 value = (m[2] or m[3] or m[4] or "").lower()
                 if m[1].lower() == "role":
                     if value.strip() in AROUND_ROLES:
-                        return -1
+                        return -1, False
                     if value.strip() in ARTICLE:
-                        return 1
-                elif name not in ("body", "html") and not AROUND_WORDS.isdisjoint(split.split(value)):
-                    return -1
-        return 1 if name in ARTICLE else -1 if name in AROUND else 0
+                        return 1, False
+                elif name not in ("body", "html") and around(value):
+                    return -1, False
+        return (1, False) if name in ARTICLE else (-1, name in WRAPPERS) if name in AROUND else (0, False)
 
     found, parts, stack = [], [], []   # parts: (text, in a link)
-    link = holder = 0
+    containers = []                    # [mark, may be a wrapper, words, the container around it]
+    link, inner = 0, -1                # inner: the nearest container
     at = 0
 
     def flush():
@@ -157,7 +210,9 @@ def blocks(page: str) -> list[tuple[str, int, float, int]]:
             if text:
                 words = len(text.split(" "))
                 inside = len(html.unescape("".join(p if k else " " for p, k in parts)).split()) if any(k for _, k in parts) else 0
-                found.append((text, words, min(1.0, inside / words), holder))
+                found.append((text, words, min(1.0, inside / words), inner))
+                if inner >= 0:
+                    containers[inner][2] += words
             parts.clear()
 
     size = len(page)
@@ -198,15 +253,27 @@ def blocks(page: str) -> list[tuple[str, int, float, int]]:
                         del stack[i:]
                         break
             elif not attributes.rstrip().endswith("/"):
-                said = mark(name, attributes)
+                said, wraps = mark(name, attributes)
                 if said:
                     flush()
                 if name == "body":
                     stack = [x for x in stack if x[0] != "head"]
-                stack.append((name, said))
-            holder = next((s for _, s in reversed(stack) if s), 0)
+                outer = stack[-1][1] if stack else -1
+                if said:
+                    containers.append([said, wraps, 0, outer])
+                    outer = len(containers) - 1
+                stack.append((name, outer))
+            inner = stack[-1][1] if stack else -1
     flush()
-    return found
+    # containers come after those around them: sums from the last one on, marks from the first
+    total = sum(b[1] for b in found)
+    for c in reversed(containers):
+        if c[3] >= 0:
+            containers[c[3]][2] += c[2]
+    for c in containers:
+        if c[1] and 2 * c[2] > total:
+            c[0] = containers[c[3]][0] if c[3] >= 0 else 0
+    return [(text, words, links, containers[i][0] if i >= 0 else 0) for text, words, links, i in found]
 
 
 def main_text(page: str | None, tree) -> str:
