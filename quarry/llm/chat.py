@@ -2,8 +2,9 @@
 
 Input lines ``(conv_id, turn, tie, idx, line[, role])`` in order of
 (turn, tie, idx).  Every line has an observation built from its speaker
-marker (system, user, assistant, some other name, none), whether an empty
-line comes before it, its length and a final question mark.  Hidden states
+marker (system, user, assistant, a further learned role, some other name,
+none), whether an empty line comes before it, its length and a final question
+mark.  All roles of the training lines are learned; the model grows with them.  Hidden states
 are a role's first line and its later lines; transitions and emissions are
 counted over all labelled lines.  Viterbi decoding finds the best states, and
 turns are rendered in one canonical form.
@@ -14,7 +15,8 @@ order and cut into chunks of at most ``CHUNK``.  A chunk's best paths are one
 conversation and fix the state at every chunk border; then each chunk is
 decoded by itself.  The result is that of Viterbi over the whole.
 
-Null conv_ids form one conversation; a null turn comes first; a null text is
+Columns of other names than those listed are ignored, whatever they are
+called.  Null conv_ids form one conversation; a null turn comes first; a null text is
 an empty line.  Rows with equal (conv_id, turn) follow each other in order of
 their text; repeated rows are repeated lines.  Empty tables give empty
 results.
@@ -29,7 +31,6 @@ from quarry.llm.common import constant_array, staged, table
 
 CHUNK = 4096
 PARTITIONS = 64
-ROLES = 16          # bound on the roles learned: the most frequent ones
 SMOOTHING = 0.1
 FOLDS, HELD = 5, 0  # conversations whose crc32 leaves HELD are not learned from
 
@@ -41,7 +42,7 @@ SPEAKERS = {
 }
 MARKERS = ("none", *SPEAKERS, "name")
 #: A speaker word in brackets, or before a colon, at the start of a line.
-MARKER = r"^\s{0,3}(?:#{1,4}\s{0,2}|\*\*)?(?:<\|?|\[)?\s?([A-Za-z]{1,16})\s?(?:\|?>:?|\]:?|:\**|\*\*:)(?:\s+|$)"
+MARKER = r"^\s{0,3}(?:#{1,4}\s{0,2}|\*\*)?(?:<\|?|\[)?\s?([A-Za-z][A-Za-z0-9_]{0,31})\s?(?:\|?>:?|\]:?|:\**|\*\*:)(?:\s+|$)"
 
 # fixed values: marker styles in which a table of turns is written as transcripts (system, user, assistant)
 STYLES = (
@@ -70,22 +71,51 @@ def transcripts(turns: DataFrame, unmarked: int = 8) -> DataFrame:
     return rows.select("conv_id", "turn", F.xxhash64("text", "role").alias("tie"), "role", F.posexplode(lines).alias("idx", "line"))
 
 
-def _speaker(line: Column) -> Column:
+def learning(lines: DataFrame) -> DataFrame:
+    """The lines of conversations outside the held-out fold; a null conv_id is held out."""
+    return lines.where(F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % FOLDS, F.lit(HELD)) != HELD)
+
+
+def learned_roles(lines: DataFrame) -> list[str]:
+    """All roles of the labelled training lines, the most frequent first."""
+    counts = learning(lines).where("role IS NOT NULL").groupBy("role").count().orderBy(F.desc("count"), "role")
+    return [r["role"] for r in counts.collect()]
+
+
+def role_words(roles: list[str]) -> list[str]:
+    """Learned roles that are no known speaker word: each is a marker class of its own."""
+    known = {w for words in SPEAKERS.values() for w in words}
+    return sorted({r.lower() for r in roles} - known - {""})
+
+
+def cut_markers(roles: list[str]) -> list[int]:
+    """The marker classes that name a learned role: only those are cut off a turn."""
+    own = {r.lower() for r in roles}
+    spoken = [i + 1 for i, words in enumerate(SPEAKERS.values()) if own & set(words)]
+    return spoken + [len(MARKERS) + i for i in range(len(role_words(roles)))]
+
+
+def _speaker(line: Column, words: list[str]) -> Column:
     word = F.lower(F.regexp_extract(line, MARKER, 1))
     found = F.when(word == "", F.lit(0))
-    for i, words in enumerate(SPEAKERS.values()):
-        found = found.when(word.isin(*words), F.lit(i + 1))
+    for i, known in enumerate(SPEAKERS.values()):
+        found = found.when(word.isin(*known), F.lit(i + 1))
+    if words:
+        at = F.array_position(constant_array(words, "string"), word).cast("int")
+        found = found.when(at > 0, at + (len(MARKERS) - 1))
     return found.otherwise(F.lit(len(MARKERS) - 1))
 
 
-def observed(lines: DataFrame) -> DataFrame:
+def observed(lines: DataFrame, words: list[str]) -> DataFrame:
     """Adds ``marker`` and ``shape``: what of the observation needs one line only."""
     size = F.length(F.trim(F.col("line")))
     shape = F.when(size == 0, 0).when(size < 80, 1).when(size < 400, 2).otherwise(3) * 2 + F.col("line").rlike(r"\?\s*$").cast("int")
-    return lines.withColumns({"marker": _speaker(F.col("line")), "shape": shape.cast("int")})
+    return lines.withColumns({"marker": _speaker(F.col("line"), words), "shape": shape.cast("int")})
 
 
-SYMBOLS = len(MARKERS) * 8 * 2  # marker, shape, empty line before
+def symbols(words: list[str]) -> int:
+    """How many observations there are: marker, shape, empty line before."""
+    return (len(MARKERS) + len(words)) * 8 * 2
 
 
 def _cut(batches):
@@ -116,15 +146,15 @@ def _cut(batches):
              pa.array(symbols, pa.int32())], names=[*keep, "marker", "chunk", "at", "symbol"])
 
 
-def chunked(lines: DataFrame, partitions: int = PARTITIONS) -> DataFrame:
-    """Lines with (chunk, at, symbol), written once."""
+def chunked(lines: DataFrame, partitions: int = PARTITIONS, words: list[str] = ()) -> DataFrame:
+    """Lines with (chunk, at, symbol), written once; ``words``: the learned roles' own markers."""
     cols = "conv_id long, turn long, tie long, role string, idx int, line string"
-    ordered = (observed(lines).select("conv_id", "turn", "tie", "role", "idx", "line", "marker", "shape")
+    ordered = (observed(lines, list(words)).select("conv_id", "turn", "tie", "role", "idx", "line", "marker", "shape")
                .repartitionByRange(partitions, *KEY).sortWithinPartitions(*KEY))
     return staged(ordered.mapInArrow(_cut, f"{cols}, marker int, chunk long, at int, symbol int"), "chat-lines")
 
 
-def train(lines: DataFrame):
+def train(lines: DataFrame, roles: list[str] | None = None, words: list[str] = ()):
     """(roles, log transitions, log emissions) from the labelled lines.
 
     State 0 is the start of a conversation; role r has the states 1 + 2 r
@@ -132,27 +162,20 @@ def train(lines: DataFrame):
     aggregation; one row per pair of states and per state and symbol reaches
     the driver."""
     import numpy as np
-    learn = lines.where(F.col("role").isNotNull() & (F.coalesce(F.crc32(F.col("conv_id").cast("string").cast("binary")) % FOLDS, F.lit(HELD)) != HELD))
-    roles = [r["role"] for r in learn.groupBy("role").count().orderBy(F.desc("count"), "role").limit(ROLES).collect()]
+    roles = learned_roles(lines) if roles is None else roles
     k = 1 + 2 * len(roles)
-    moves, shows = np.full((k, k), SMOOTHING), np.full((k, SYMBOLS), SMOOTHING)
+    moves, shows = np.full((k, k), SMOOTHING), np.full((k, symbols(list(words))), SMOOTHING)
     role = F.array_position(constant_array(roles, "string"), F.col("role")).cast("int") - 1
-    state = F.when(role >= 0, 1 + 2 * role + (F.col("idx") > 0).cast("int"))
-    known = learn.withColumn("state", state).where("state is not null")
-    for r in known.groupBy("state", "symbol").count().collect():
+    states = learning(lines).select("conv_id", "chunk", "at", "symbol", F.when(role >= 0, 1 + 2 * role + (F.col("idx") > 0).cast("int")).alias("state"))
+    for r in states.where("state IS NOT NULL").groupBy("state", "symbol").count().collect():
         shows[r["state"], r["symbol"]] += r["count"]
-    # a turn's first line follows the last line of the turn before it; within a turn, lines follow each other
-    turns = known.groupBy("conv_id", "turn", "tie", "role").agg(F.max("idx").alias("last"), F.min("state").alias("first"))
-    for r in turns.groupBy("first").agg(F.sum(F.least("last", F.lit(1))).alias("n"), F.sum(F.greatest(F.col("last") - 1, F.lit(0))).alias("m")).collect():
-        moves[r["first"], r["first"] + 1] += r["n"]
-        moves[r["first"] + 1, r["first"] + 1] += r["m"]
-    # rows that share a turn number count as one here, so that repeats never multiply
-    numbered = turns.groupBy("conv_id", "turn").agg(
-        F.min("first").alias("first"), F.max(F.col("first") + F.least("last", F.lit(1))).alias("from"))
-    before = numbered.select("conv_id", (F.col("turn") + 1).alias("turn"), "from")
-    for r in (numbered.select("conv_id", "turn", "first").join(before, ["conv_id", "turn"], "left")
-              .groupBy(F.coalesce("from", F.lit(0)).alias("from"), "first").count().collect()):
-        moves[r["from"], r["first"]] += r["count"]
+    # a line follows the one before it, in its chunk or at the end of the conversation's chunk before
+    inside, between = Window.partitionBy("chunk").orderBy("at"), Window.partitionBy("conv_id").orderBy("chunk")
+    within = states.where(F.col("at") >= 0).select("at", "state", F.lag("state").over(inside).alias("from")).where("at > 0").select("from", "state")
+    ends = states.groupBy("conv_id", "chunk").agg(F.min_by("state", "at").alias("state"), F.max_by("state", "at").alias("last"))
+    borders = ends.select(F.when(F.row_number().over(between) == 1, 0).otherwise(F.lag("last").over(between)).alias("from"), "state")
+    for r in within.unionByName(borders).where("from IS NOT NULL AND state IS NOT NULL").groupBy("from", "state").count().collect():
+        moves[r["from"], r["state"]] += r["count"]
     moves[:, 0] = 1e-300
     for s in range(k):  # a later line belongs to the turn of the line before it
         for t in range(2, k, 2):
@@ -263,14 +286,15 @@ def decode(lines: DataFrame, model) -> DataFrame:
 def render(decoded: DataFrame, roles: list[str]) -> DataFrame:
     """(conv_id, turn, role, content, rendered): the recovered turns in order.
 
-    Markers are cut off, the empty lines around a turn dropped."""
+    Markers that name a learned role are cut off (``Note:`` stays), the empty
+    lines around a turn dropped."""
     role = F.get(constant_array(roles, "string"), ((F.col("state") - 1) / 2).cast("int"))
     first = (F.col("state") % 2 == 1).cast("int")
     begins = decoded.groupBy("conv_id", "chunk").agg(F.sum(first).alias("n"))
     before = Window.partitionBy("conv_id").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     offset = begins.select("chunk", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("before"))
     inside = Window.partitionBy("chunk").orderBy("at")  # CHUNK rows at most
-    content = F.when((first == 1) & (F.col("marker") > 0), F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
+    content = F.when((first == 1) & F.col("marker").isin(cut_markers(roles)), F.regexp_replace("line", MARKER, "")).otherwise(F.col("line"))
     numbered = decoded.join(offset, "chunk").select(
         "conv_id", (F.col("before") + F.sum(first).over(inside) - 1).alias("turn"), "chunk", "at", role.alias("role"), content.alias("line"))
     turns = numbered.groupBy("conv_id", "turn").agg(
@@ -282,9 +306,10 @@ def render(decoded: DataFrame, roles: list[str]) -> DataFrame:
 
 def parse(lines: DataFrame) -> DataFrame:
     """Train on the labelled lines, decode all, render."""
-    cut = chunked(lines)
-    model = train(cut)
-    return render(decode(cut, model), model[0])
+    roles = learned_roles(lines)
+    words = role_words(roles)
+    cut = chunked(lines, words=words)
+    return render(decode(cut, train(cut, roles, words)), roles)
 
 
 def op9_chat(spark, sf_dir):

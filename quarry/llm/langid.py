@@ -33,6 +33,7 @@ DIMENSIONS = 4096
 ORDERS = (1, 2, 3)
 SAMPLE = 2000        # training rows, all languages together
 LEAST = 20           # training rows of each language, also where all together are more
+RANGE_BITS = 12      # draws are counted in so many bits' worth of ranges before they are ranked
 CHUNK = 1 << 18      # characters featurised at a time
 FOLDS, HELD = 5, 0
 UNDETERMINED = "und"
@@ -123,10 +124,18 @@ def training_sample(docs: DataFrame, bound: int = SAMPLE):
     rows = (learnable(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"),
                                   F.col("lang").cast("string").alias("lang")))
             .where(F.regexp_like("text", F.lit("\\p{L}"))).withColumn("draw", text_key(F.col("text"))))
-    distinct = rows.groupBy("lang", "draw").agg(F.min("doc_id").alias("doc_id"))
+    distinct = staged(rows.groupBy("lang", "draw").agg(F.min("doc_id").alias("doc_id")), "langid-texts")
+    # the smallest draws of a language are in its first ranges of draws: only as many of those as
+    # it needs are ranked, so no language's texts meet in one task
+    most = max(bound, LEAST)
+    part = F.shiftright("draw", 64 - RANGE_BITS)
+    sizes = distinct.groupBy("lang", part.alias("part")).agg(F.count(F.lit(1)).alias("n"))
+    before = F.sum("n").over(Window.partitionBy("lang").orderBy("part")) - F.col("n")
+    first = sizes.withColumn("before", before).where(F.col("before") < most).select("lang", "part")
     rank = F.row_number().over(Window.partitionBy("lang").orderBy("draw"))
+    near = distinct.withColumn("part", part).join(first, ["lang", "part"], "left_semi").drop("part")
     # written, so that its size is known and the texts are not shuffled to the join
-    ranked = staged(distinct.withColumn("rank", rank).where(F.col("rank") <= max(bound, LEAST)), "langid-ranked")
+    ranked = staged(near.withColumn("rank", rank).where(F.col("rank") <= most), "langid-ranked")
     languages = ranked.where("rank = 1").count()
     if not languages:
         return None

@@ -70,3 +70,40 @@ def test_awkward_rows(spark):
     words = " ".join(r.content for r in got if r.conv_id == 3)
     assert words.count("word") == 50_000
     assert chat.parse(chat.transcripts(turns.limit(0))).collect() == []
+
+
+def _dialogue(roles, n, text=lambda i, r: f"this is what {r} says in turn {i} about it", step=1):
+    return [(c, t * step, roles[(c + t) % len(roles)], text(t, roles[(c + t) % len(roles)])) for c in range(n) for t in range(8)]
+
+
+def test_every_role_is_learned(spark):
+    roles = [f"role{i:02d}" for i in range(19)] + ["user", "Tool_call"]
+    rows = _dialogue(roles, 120)
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {(r.conv_id, r.turn): (r.role, r.content) for r in chat.parse(chat.transcripts(turns, unmarked=10**9)).collect()}
+    assert set(chat.learned_roles(chat.transcripts(turns))) == set(roles)
+    assert sum(got.get((c, t)) == (r, x) for c, t, r, x in rows) >= 0.99 * len(rows)
+
+
+def test_words_before_a_colon_stay_unless_they_name_a_role(spark):
+    rows = _dialogue(["user", "assistant"], 60, lambda i, r: f"Note: remember this, number {i}" if i % 3 else "Alice: said so\nTodo: later")
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = chat.parse(chat.transcripts(turns)).collect()
+    assert sum(r.content.count("Note:") for r in got) == sum(x.count("Note:") for *_, x in rows)
+    assert sum(r.content.count("Alice:") for r in got) == sum(x.count("Alice:") for *_, x in rows)
+
+
+def test_gaps_in_turn_numbers_change_nothing(spark):
+    models = []
+    for step in (1, 5):
+        turns = spark.createDataFrame(_dialogue(["system", "user", "assistant"], 30, step=step), "conv_id long, turn long, role string, text string")
+        lines = chat.transcripts(turns.withColumn("text", F.lit("same text")), unmarked=10**9)
+        models.append(chat.train(chat.chunked(lines, 3)))
+    assert models[0][0] == models[1][0] and np.allclose(models[0][1], models[1][1])
+
+
+def test_transitions_do_not_depend_on_chunks(spark, monkeypatch):
+    turns = spark.createDataFrame(_dialogue(["system", "user", "assistant"], 30), "conv_id long, turn long, role string, text string")
+    whole = chat.train(chat.chunked(chat.transcripts(turns), 1))
+    monkeypatch.setattr(chat, "CHUNK", 3)
+    assert np.allclose(whole[1], chat.train(chat.chunked(chat.transcripts(turns), 5))[1])
