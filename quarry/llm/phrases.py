@@ -46,6 +46,7 @@ COVERED_PERCENT = 80  # a longer candidate with so much of its count hides a phr
 TOP = 2000           # phrases reported per language
 SHARDS = 3
 BITS = 23            # of each bitmap
+PART = 1 << 23       # bytes of text that a task counts at a time
 SLICES = 16          # parts of a language ranked on their own first
 
 # fixed values: the piece separators [.,;:!?\x0A-\x0D] and the word separators [\x20\x09]
@@ -110,34 +111,38 @@ class _Phrases:
         import numpy as np
         self.codes, self.values, self.piece = _tokens(texts)
         self.bitmaps = usable, fresh, active
-        crc = np.array([zlib.crc32(v.as_buffer()) for v in self.values], dtype=np.int64)
+        crc = np.array([zlib.crc32(v) for v in self.values.to_pylist()], dtype=np.int64)
         self.crc = crc[self.codes] if len(self.codes) else self.codes
         self.lang = zlib.crc32(lang.encode())
 
-    def lengths(self, words: bool):
+    def lengths(self, words: bool, hashed: bool):
         """(length, places that may be counted, those of active phrases, 64-bit hashes of all
-        places) for each length; ``words``: whether every word may be counted."""
+        places or None) for each length; ``words``: whether every word may be counted."""
         import numpy as np
         usable, fresh, active = self.bitmaps
+        some_fresh, some_active = fresh.any(), active.any()
         n = len(self.codes)
         slots = ((self.lang * LANG_PLACE & MASK) + (self.crc * PLACES[0] & MASK)) & MASK
-        hashes = _mixed(self.crc.astype(np.uint64) + np.uint64(self.lang << 32))
+        hashes = _mixed(self.crc.astype(np.uint64) + np.uint64(self.lang << 32)) if hashed else None
         for k in range(1, LONGEST + 1):
             if k > 1:
                 n -= 1
-                if n <= 0:
+                if n <= 0 or not (some_fresh or some_active):
                     return
                 inside = self.piece[:n] == self.piece[k - 1:k - 1 + n]
-                known, new = _has(usable, slots), _has(fresh, slots)
-                # prefix at i, suffix at i + 1
-                wanted = inside & known[:n] & known[1:] & (new[:n] | new[1:])
+                wanted = np.zeros(n, dtype=bool)
+                if some_fresh:
+                    known, new = _has(usable, slots), _has(fresh, slots)
+                    # prefix at i, suffix at i + 1
+                    wanted = inside & known[:n] & known[1:] & (new[:n] | new[1:])
                 last = self.crc[k - 1:k - 1 + n]
                 slots = (slots[:n] + (last * PLACES[k - 1] & MASK)) & MASK
-                hashes = _mixed(hashes[:n] * np.uint64(0xD6E8FEB86659FD93) + last.astype(np.uint64))
-                going = inside & _has(active, slots)
+                if hashed:
+                    hashes = _mixed(hashes[:n] * np.uint64(0xD6E8FEB86659FD93) + last.astype(np.uint64))
+                going = inside & _has(active, slots) if some_active else np.zeros(n, dtype=bool)
             else:
                 wanted = np.full(n, words)
-                going = _has(active, slots)
+                going = _has(active, slots) if some_active else np.zeros(n, dtype=bool)
             yield k, wanted & ~going, going, hashes
 
     def counted(self, k: int, at):
@@ -166,7 +171,7 @@ def _mixed(x):
 def _by_language(batches):
     """(language, texts) of parts of Arrow batches."""
     import pyarrow as pa
-    for b in (part for batch in batches for part in slices(batch, "text")):
+    for b in (part for batch in batches for part in slices(batch, "text", PART)):
         groups: dict[str, list[bytes]] = {}
         for lang, text in zip(b.column("lang").to_pylist(), b.column("text").cast(pa.binary()).to_pylist(), strict=True):
             groups.setdefault(lang, []).append(text)
@@ -182,7 +187,7 @@ def _likely(rows: DataFrame, step: int, shards: int, threshold: int, bitmaps) ->
     there are as many ranges as it has such parts."""
     shard = rows.where(F.col("shard") == step % shards)
     chars = shard.agg(F.coalesce(F.sum(F.col("size").cast("long")), F.lit(0))).first()[0]
-    bits = max(8, (chars >> 22).bit_length())
+    bits = max(8, (chars // PART).bit_length())
 
     def hashed(batches):
         import numpy as np
@@ -190,7 +195,7 @@ def _likely(rows: DataFrame, step: int, shards: int, threshold: int, bitmaps) ->
         maps = [np.frombuffer(b, dtype=np.uint64) for b in bitmaps]
         edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
         for lang, texts in _by_language(batches):
-            parts = [hashes[wanted] for _, wanted, _, hashes in _Phrases(texts, lang, *maps).lengths(step < shards)]
+            parts = [hashes[wanted] for _, wanted, _, hashes in _Phrases(texts, lang, *maps).lengths(step < shards, True)]
             h, n = np.unique(np.concatenate(parts) if parts else np.zeros(0, np.uint64), return_counts=True)
             n = n.astype(np.uint32)
             cut = np.append(np.searchsorted(h, edges), len(h))
@@ -236,7 +241,7 @@ def _scan(rows: DataFrame, step: int, shards: int, bitmaps, likely: bytes | None
         for lang, texts in _by_language(batches):
             phrases = _Phrases(texts, lang, *maps)
             found = [(0, pa.array([""], pa.large_string()), np.array([len(phrases.codes)]))] if step < shards and len(phrases.codes) else []
-            for k, wanted, going, hashes in phrases.lengths(step < shards):
+            for k, wanted, going, hashes in phrases.lengths(step < shards, enough is not None):
                 if enough is not None:
                     wanted &= _has(enough, (hashes & np.uint64(MASK)).astype(np.int64))
                 at = np.flatnonzero(wanted | going)
