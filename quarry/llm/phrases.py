@@ -46,6 +46,7 @@ COVERED_PERCENT = 80  # a longer candidate with so much of its count hides a phr
 TOP = 2000           # phrases reported per language
 SHARDS = 3
 BITS = 23            # of each bitmap
+PENDING = 1 << 20    # partial counts that a task adds up before it passes them on
 PART = 1 << 23       # bytes of text that a task counts at a time
 SLICES = 16          # parts of a language ranked on their own first
 
@@ -60,7 +61,7 @@ MASK = (1 << BITS) - 1
 
 
 def _slot(lang: Column, words: Column) -> Column:
-    """The bit of a phrase; the tasks compute the same (``_word_hashes``)."""
+    """The bit of a phrase; the tasks compute the same (``_Phrases``)."""
     def part(c: Column, by: Column | int) -> Column:
         return (F.crc32(c.cast("binary")) * F.lit(by)).bitwiseAND(F.lit(MASK))
     places = F.array(*[F.lit(p).cast("long") for p in PLACES])
@@ -83,10 +84,10 @@ def _tokens(texts: list[bytes]):
     """(codes, word values, piece) of all words of some texts: equal codes for equal words."""
     import numpy as np
     import pyarrow as pa
-    raw = np.frombuffer(b"\n".join(texts).translate(FOLDED), dtype=np.uint8)
+    raw = np.frombuffer(b"".join((b"\n", b"\n".join(texts).translate(FOLDED), b"\n")), dtype=np.uint8)
     ends = raw == 10
     word = ~(ends | (raw == 32))
-    edge = np.flatnonzero(np.diff(np.concatenate(([0], word.view(np.int8), [0]))))
+    edge = np.flatnonzero(word[1:] != word[:-1]) + 1     # the text begins and ends outside a word
     starts, sizes = edge[::2], edge[1::2] - edge[::2]
     piece = np.cumsum(ends)[starts] if len(starts) else starts
     offsets = np.concatenate(([0], np.cumsum(sizes))).astype(np.int64)
@@ -94,15 +95,16 @@ def _tokens(texts: list[bytes]):
     return words.indices.to_numpy(zero_copy_only=False).astype(np.int64), words.dictionary, piece
 
 
-def _has(bitmap, slots):
+def _bits(bitmap: bytes):
+    """A bitmap as an array of booleans."""
     import numpy as np
-    return (bitmap[slots >> 6] >> (slots & 63).astype(np.uint64)) & np.uint64(1) == 1
+    return np.unpackbits(np.frombuffer(bitmap, dtype=np.uint8), bitorder="little").view(bool)
 
 
 class _Phrases:
     """The phrases of some texts of one language that may be counted in a step.
 
-    ``usable``: bitmap of the phrases whose extensions may be counted, ``fresh``:
+    ``usable``: bits of the phrases whose extensions may be counted, ``fresh``:
     of those that came to it in the last cycle, ``active``: of the active ones."""
 
     def __init__(self, texts: list[bytes], lang: str, usable, fresh, active):
@@ -110,20 +112,19 @@ class _Phrases:
 
         import numpy as np
         self.codes, self.values, self.piece = _tokens(texts)
-        self.bitmaps = usable, fresh, active
-        crc = np.array([zlib.crc32(v) for v in self.values.to_pylist()], dtype=np.int64)
-        self.crc = crc[self.codes] if len(self.codes) else self.codes
+        self.bits = usable, fresh, active
+        self.crc = np.array([zlib.crc32(v) for v in self.values.to_pylist()], dtype=np.int64)
         self.lang = zlib.crc32(lang.encode())
 
     def lengths(self, words: bool, hashed: bool):
         """(length, places that may be counted, those of active phrases, 64-bit hashes of all
         places or None) for each length; ``words``: whether every word may be counted."""
         import numpy as np
-        usable, fresh, active = self.bitmaps
+        usable, fresh, active = self.bits
         some_fresh, some_active = fresh.any(), active.any()
-        n = len(self.codes)
-        slots = ((self.lang * LANG_PLACE & MASK) + (self.crc * PLACES[0] & MASK)) & MASK
-        hashes = _mixed(self.crc.astype(np.uint64) + np.uint64(self.lang << 32)) if hashed else None
+        n, codes = len(self.codes), self.codes
+        slots = ((self.lang * LANG_PLACE & MASK) + (self.crc * PLACES[0] & MASK)).astype(np.int32)[codes] & MASK
+        hashes = _mixed(self.crc.astype(np.uint64) + np.uint64(self.lang << 32))[codes] if hashed else None
         for k in range(1, LONGEST + 1):
             if k > 1:
                 n -= 1
@@ -132,17 +133,17 @@ class _Phrases:
                 inside = self.piece[:n] == self.piece[k - 1:k - 1 + n]
                 wanted = np.zeros(n, dtype=bool)
                 if some_fresh:
-                    known, new = _has(usable, slots), _has(fresh, slots)
+                    known, new = usable[slots], fresh[slots]
                     # prefix at i, suffix at i + 1
                     wanted = inside & known[:n] & known[1:] & (new[:n] | new[1:])
-                last = self.crc[k - 1:k - 1 + n]
-                slots = (slots[:n] + (last * PLACES[k - 1] & MASK)) & MASK
+                last = codes[k - 1:k - 1 + n]
+                slots = (slots[:n] + (self.crc * PLACES[k - 1] & MASK).astype(np.int32)[last]) & MASK
                 if hashed:
-                    hashes = _mixed(hashes[:n] * np.uint64(0xD6E8FEB86659FD93) + last.astype(np.uint64))
-                going = inside & _has(active, slots) if some_active else np.zeros(n, dtype=bool)
+                    hashes = _mixed(hashes[:n] * np.uint64(0xD6E8FEB86659FD93) + self.crc.astype(np.uint64)[last])
+                going = inside & active[slots] if some_active else np.zeros(n, dtype=bool)
             else:
                 wanted = np.full(n, words)
-                going = _has(active, slots) if some_active else np.zeros(n, dtype=bool)
+                going = active[slots] if some_active else np.zeros(n, dtype=bool)
             yield k, wanted & ~going, going, hashes
 
     def counted(self, k: int, at):
@@ -192,7 +193,7 @@ def _likely(rows: DataFrame, step: int, shards: int, threshold: int, bitmaps) ->
     def hashed(batches):
         import numpy as np
         import pyarrow as pa
-        maps = [np.frombuffer(b, dtype=np.uint64) for b in bitmaps]
+        maps = [_bits(b) for b in bitmaps]
         edges = np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)
         for lang, texts in _by_language(batches):
             parts = [hashes[wanted] for _, wanted, _, hashes in _Phrases(texts, lang, *maps).lengths(step < shards, True)]
@@ -233,25 +234,39 @@ def _likely(rows: DataFrame, step: int, shards: int, threshold: int, bitmaps) ->
 
 def _scan(rows: DataFrame, step: int, shards: int, bitmaps, likely: bytes | None) -> DataFrame:
     """(lang, k, phrase, n): partial counts of one shard; length 0: the number of words."""
+    names = ["lang", "k", "phrase", "n"]
+
+    def added(pending):
+        """The counts of several parts, one row per phrase."""
+        import pyarrow as pa
+        sums = pa.Table.from_batches(pending).group_by(names[:3], use_threads=False).aggregate([("n", "sum")])
+        return sums.select([*names[:3], "n_sum"]).rename_columns(names).to_batches(max_chunksize=1 << 16)
+
     def run(batches):
         import numpy as np
         import pyarrow as pa
-        maps = [np.frombuffer(b, dtype=np.uint64) for b in bitmaps]
-        enough = None if likely is None else np.frombuffer(likely, dtype=np.uint64)
+        pending = []
+        maps = [_bits(b) for b in bitmaps]
+        enough = None if likely is None else _bits(likely)
         for lang, texts in _by_language(batches):
             phrases = _Phrases(texts, lang, *maps)
             found = [(0, pa.array([""], pa.large_string()), np.array([len(phrases.codes)]))] if step < shards and len(phrases.codes) else []
             for k, wanted, going, hashes in phrases.lengths(step < shards, enough is not None):
                 if enough is not None:
-                    wanted &= _has(enough, (hashes & np.uint64(MASK)).astype(np.int64))
+                    wanted &= enough[(hashes & np.uint64(MASK)).astype(np.int32)]
                 at = np.flatnonzero(wanted | going)
                 if len(at):
                     found.append((k, *phrases.counted(k, at)))
             for k, texts_, counts in found:
                 m = len(counts)
-                yield pa.RecordBatch.from_arrays(
+                pending.append(pa.RecordBatch.from_arrays(
                     [pa.array([lang] * m, pa.string()), pa.array(np.full(m, k, dtype=np.int32)), texts_.cast(pa.string()),
-                     pa.array(counts.astype(np.int64))], names=["lang", "k", "phrase", "n"])
+                     pa.array(counts.astype(np.int64))], names=names))
+            if sum(len(b) for b in pending) >= PENDING:
+                yield from added(pending)
+                pending = []
+        if pending:
+            yield from added(pending)
 
     return rows.where(F.col("shard") == step % shards).select("lang", "text").mapInArrow(run, "lang string, k int, phrase string, n long")
 
