@@ -65,7 +65,7 @@ def _repeat_words(words: Column) -> Column:
     def counted(h: Column) -> Column:
         n = F.size(h)
         low = F.when(n <= 1 << 10, (1 << 10) - 1).when(n <= 1 << 16, (1 << 16) - 1).otherwise((1 << 31) - 1).cast("long")
-        return bound(low, lambda x: covered(h, x))
+        return F.when(F.size(F.array_distinct(h)) == n, F.lit(0).cast("long")).otherwise(bound(low, lambda x: covered(h, x)))
 
     hashes = F.transform(words, lambda w: F.xxhash64(w))
     return F.when(F.size(words) < 4, F.lit(0).cast("long")).otherwise(bound(bound(hashes, windows), counted))
@@ -119,11 +119,12 @@ def features(docs: DataFrame) -> DataFrame:
     words of a text anew for each of them."""
     common_words = vocabulary(docs)
     split = _base(docs).select("*", F.coalesce(_words(F.col("t")), F.array().cast("array<string>")).alias("words"))
-    known = split.select("*", F.transform(F.filter("words", lambda w: F.lower(w).isin(common_words)), F.lower).alias("known"))
+    known = split.select("*", F.transform(F.filter("words", lambda w: F.lower(w).isin(common_words)), F.lower).alias("known"),
+                         F.regexp_replace("t", "[a-z\\x20\\x09-\\x0D]+", "").alias("marks"))
     lines = F.filter(F.split("t", "\n"), lambda x: F.length(F.trim(x, F.lit(WS_BYTES))) > 0)
     word_chars = F.length(F.array_join("words", "")).cast("long")
-    # white space is what is outside the words: not counted match by match
-    counted = [F.length("t") - word_chars if p == SPACE else F.regexp_count("t", F.lit(p)).cast("long") for p in CLASSES]
+    # white space is what is outside the words; the other classes are counted in what is left without lower-case letters and it
+    counted = [F.length("t") - word_chars if p == SPACE else F.regexp_count("marks", F.lit(p)).cast("long") for p in CLASSES]
     common = _counts(F.col("known"), constant_array(common_words, "string"))
     counts = known.select(
         "doc_id", "lang", F.size("words").cast("long").alias("n_words"),
@@ -141,14 +142,28 @@ def _shares(counts: Column, total: Column) -> Column:
     return F.transform(F.concat(counts, F.array(rest)), lambda x: x / F.greatest(total, F.lit(1)))
 
 
-def _distance(p: Column, q: Column | list[float]) -> Column:
-    """Jensen-Shannon distance of a histogram column to a reference; null for a null histogram."""
-    q = q if isinstance(q, Column) else constant_array(q, "double")
-    def part(a: Column, m: Column) -> Column:
-        return F.when(a > 0, a * F.log2(a / m)).otherwise(F.lit(0.0))
-    terms = F.zip_with(p, q, lambda a, b: (part(a, (a + b) / 2) + part(b, (a + b) / 2)) / 2)
+def _filled(p: Column) -> Column:
+    """array<struct<a, i>>: the bins of a histogram that are not empty; null for a null histogram."""
+    return F.filter(F.transform(p, lambda a, i: F.struct(a.alias("a"), i.alias("i"))), lambda x: x["a"] > 0)
+
+
+def _to_reference(filled: Column, q: Column) -> Column:
+    """Jensen-Shannon distance of a histogram, given by its filled bins, to a reference.
+
+    A bin that is empty in the histogram adds half the reference's share, and
+    the reference adds up to 1, so only the filled bins are gone through."""
+    def added(s: Column, x: Column) -> Column:
+        a, b = x["a"], F.get(q, x["i"])
+        both = F.when(b > 0, a * F.log2(2 * a / (a + b)) + b * F.log2(2 * b / (a + b)) - b).otherwise(a)
+        return s + both
+    terms = F.aggregate(filled, F.lit(1.0), added) / 2
     # greatest() skips nulls
-    return F.when(p.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), F.aggregate(terms, F.lit(0.0), lambda s, x: s + x))))
+    return F.when(filled.isNotNull(), F.sqrt(F.greatest(F.lit(0.0), terms)))
+
+
+def _distance(p: Column, q: list[float]) -> Column:
+    """Jensen-Shannon distance of a histogram column to a reference; null for a null histogram."""
+    return _to_reference(_filled(p), constant_array(q, "double"))
 
 
 def base_failed() -> Column:
@@ -184,10 +199,10 @@ def _references_column(rows: list[dict]) -> Column:
 def _to(refs: Column) -> Column:
     """array<struct<class_distance, common_distance, max_class, max_common>>: one element per
     reference; a distance of a text that is too short for it is null."""
-    both = F.struct(F.when(F.col("n_chars") >= MIN_CLASS_CHARS, _shares(F.col("classes"), F.col("n_chars"))).alias("classes"),
-                    F.when(F.col("n_words") >= MIN_COMMON_WORDS, _shares(F.col("common"), F.col("n_words"))).alias("common"))
+    both = F.struct(_filled(F.when(F.col("n_chars") >= MIN_CLASS_CHARS, _shares(F.col("classes"), F.col("n_chars")))).alias("classes"),
+                    _filled(F.when(F.col("n_words") >= MIN_COMMON_WORDS, _shares(F.col("common"), F.col("n_words")))).alias("common"))
     return bound(both, lambda p: F.transform(refs, lambda r: F.struct(
-        _distance(p["classes"], r["classes"]).alias("class_distance"), _distance(p["common"], r["common"]).alias("common_distance"),
+        _to_reference(p["classes"], r["classes"]).alias("class_distance"), _to_reference(p["common"], r["common"]).alias("common_distance"),
         r["max_class"].alias("max_class"), r["max_common"].alias("max_common"))))
 
 
