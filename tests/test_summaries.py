@@ -95,3 +95,37 @@ def test_phrase_index_of_odd_files(spark):
     index = phrase_index.build(files)
     phrases = spark.createDataFrame([("abc",), ("abca",), ("\U0001F600bc",), ("cab",)], "phrase string")
     assert rows(phrase_index.counts(index, phrases)) == [("abc", 2), ("abca", 1), ("cab", 1), ("\U0001F600bc", 1)]
+
+
+def test_a_common_trigram_costs_a_row_per_block_not_per_file(spark):
+    files = spark.range(5000).selectExpr("concat('f', id) as path", "concat('common text ', id % 7) as content").coalesce(1)
+    index = phrase_index.build(files)
+    assert index.postings.where("gram = 'com'").count() == 1
+    phrases = spark.createDataFrame([("common text",), ("text 3",), ("none",)], "phrase string")
+    assert rows(phrase_index.counts(index, phrases)) == [("common text", 5000), ("none", 0), ("text 3", 714)]
+
+
+def test_postings_of_small_blocks_and_slices(monkeypatch):
+    import numpy as np
+    import pyarrow as pa
+    rng = np.random.default_rng(5)
+    texts = ["".join(chr(c) for c in rng.choice([97, 98, 99, 0x1F600, 10], n)) for n in (0, 1, 2, 3, 50, 200, 7, 30, 90, 4)]
+    ids = [0, 1, 2, 3, 5, 6, 20, 21, 1 << 33, (1 << 33) + 1]     # gaps, and another task's numbers
+    batch = pa.RecordBatch.from_arrays([pa.array([*ids, 4], pa.int64()), pa.array([*texts, None])], names=["file", "content"])
+    want = {(s[i:i + 3], f) for f, s in zip(ids, texts, strict=True) for i in range(len(s) - 2)}
+    for block_files, block_bytes, size in ((8192, 1 << 24, 1 << 21), (4, 1 << 24, 5), (8192, 60, 16)):
+        for name, value in (("BLOCK_FILES", block_files), ("BLOCK_BYTES", block_bytes), ("SLICE", size)):
+            monkeypatch.setattr(phrase_index, name, value)
+        got = []
+        for b in phrase_index._postings([batch]):
+            for r in b.to_pylist():
+                met = np.zeros(8192, int)
+                phrase_index._count(met, r["bits"], r["n"])
+                got += [(r["gram"], r["block"] + int(f)) for f in np.flatnonzero(met)]
+        assert len(got) == len(want) and set(got) == want
+
+
+def test_blocks_of_very_many_characters_are_halved():
+    texts = ["".join(chr(0x20000 + 20 * i + j) for j in range(20)) for i in range(2500)] + ["".join(map(chr, range(0x10000, 0x20000)))]
+    got = {(g, first) for first, grams, _, _ in phrase_index._block_postings(texts) for g in grams}
+    assert len({g for g, _ in got}) == sum(len(s) - 2 for s in texts) and len({f for _, f in got}) > 1
