@@ -281,3 +281,55 @@ def test_sphere_cell_bound_never_exceeds_a_distance(spark):
         gap = cells.select((geom.dist(F.col("qa"), F.col("qb"), F.col("pa"), F.col("pb"))
                             - geom.cell_lower_bound(F.col("qa"), F.col("qb"), F.col("ci"), F.col("cj"), s)).alias("g"))
         assert gap.agg(F.min("g")).first()[0] > -1e-9
+
+
+def _search_batch(g, cells, rng):
+    """Rows of one block as the search gets them: 300 data rows in 3 cells, then 20 queries that name cells."""
+    import pyarrow as pa
+    X, Q = rng.normal(size=(300, 8)), rng.normal(size=(20, 8))
+    n = 320
+    return X, Q, pa.RecordBatch.from_arrays(
+        [pa.array([g] * n), pa.array(np.zeros(n, np.int32)), pa.array(np.r_[np.zeros(300, np.int32), np.ones(20, np.int32)]),
+         pa.array(np.r_[np.repeat([4, 5, 6], 100), np.zeros(20)].astype(np.int32)), pa.array(np.r_[np.arange(300), np.arange(20)]), pa.nulls(n, pa.int64()),
+         pa.array([None] * 300 + [9.0] * 20, pa.float64()), pa.array([None] * 300 + [cells] * 20, pa.list_(pa.int32())), pa.array([list(map(float, v)) for v in np.r_[X, Q]])],
+        names=["g", "b", "side", "cell", "id", "self", "bound", "cells", "vec"])
+
+
+def test_a_query_meets_its_cells_of_a_block_within_its_bound():
+    from quarry.operators.blocked import _stream_fn
+    X, Q, batch = _search_batch("0", [4, 6], np.random.default_rng(8))
+    got = {}
+    for b in _stream_fn(3, "l2", None)([batch]):
+        for r in b.to_pylist():
+            got.setdefault(r["qid"], set()).add(r["rid"])
+    want = {}
+    for i, q in enumerate(Q):
+        d = ((X - q) ** 2).sum(axis=1)
+        near = {int(j) for part in (range(100), range(200, 300)) for j in sorted(part, key=lambda j: d[j])[:3] if d[j] <= 9.0}
+        if near:
+            want[i] = near
+    assert got == want
+
+
+def test_a_query_is_sent_once_to_a_group_of_cells(spark, monkeypatch):
+    # one row per query and cell, a whole batch at a time, held up to 256 copies of a batch of vectors
+    from quarry.operators import blocked
+    rng = np.random.default_rng(12)
+    data = spark.createDataFrame([(i, [float(v) for v in rng.normal(size=24)]) for i in range(2000)], "id long, vec array<double>")
+    index = blocked.PivotIndex(data, 200)
+    assert index.groups().max() + 1 <= 2 * blocked.GROUPS
+    assert (np.diff(index.groups()) >= 0).all()
+    sent, search = [], blocked.search_blocks
+    monkeypatch.setattr(blocked, "search_blocks", lambda d, q, *a, **k: (sent.append(q), search(d, q, *a, **k))[1])
+    q = data.where("id < 50").selectExpr("id", "id as self", "vec")
+    assert blocked.exact_topk(index, q, 2).count() == 100
+    assert sent[1].groupBy("g", "id").count().where("count > 1").count() == 0
+    assert sent[1].count() <= 50 * (index.groups().max() + 1) < sent[1].selectExpr("sum(size(cells)) as n").first().n
+
+
+def test_packed_vectors_are_exact():
+    from quarry.operators.blocked import pack, unpack
+    rng = np.random.default_rng(4)
+    vecs = np.r_[rng.normal(size=(5, 6)), rng.normal(size=(5, 6)).astype(np.float32), np.full((1, 6), 1e300), np.zeros((1, 6))]
+    packed = pack(vecs)
+    assert (unpack(packed, 6) == vecs).all() and [len(x) for x in packed.to_pylist()] == [48] * 5 + [24] * 5 + [48, 24]

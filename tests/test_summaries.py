@@ -126,6 +126,6 @@ def test_postings_of_small_blocks_and_slices(monkeypatch):
 
 
 def test_blocks_of_very_many_characters_are_halved():
-    texts = ["".join(chr(0x20000 + 20 * i + j) for j in range(20)) for i in range(2500)] + ["".join(map(chr, range(0x10000, 0x20000)))]
+    texts = ["".join(chr(0x20000 + 20 * i + j) for j in range(20)) for i in range(5000)] + ["".join(map(chr, range(0x10000, 0x20000)))]
     got = {(g, first) for first, grams, _, _ in phrase_index._block_postings(texts) for g in grams}
     assert len({g for g, _ in got}) == sum(len(s) - 2 for s in texts) and len({f for _, f in got}) > 1
