@@ -5,8 +5,8 @@
 * signature: bit p = (v . plane_p > 0), computed per Arrow batch with one
   matrix product (the planes are d x dim numbers, a parameter-sized constant);
 * buckets: L tables, each keyed by k bit positions drawn with replacement;
-* index: one Arrow pass emits a row's unit vector and its bucket in every
-  table; rows are written per (table, bucket), sorted inside each task, without
+* index: one Arrow pass emits a row's vector, in four bytes a component where
+  that is exact, and its bucket in every table; rows are written per (table, bucket), sorted inside each task, without
   an exchange of vectors;
 * probes: a query visits, in every table, its own bucket and the ones it most
   nearly fell into: the planes of the table are flipped in the order of the
@@ -29,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quarry.functions.hashing import md5_u32, md5_u32_py
-from quarry.operators.blocked import BLOCK_ROWS, _best, _matrix, checked_dim, search_blocks
+from quarry.operators.blocked import BLOCK_ROWS, _best, _matrix, checked_dim, pack, search_blocks
 from quarry.operators.neighbours import SIM_DIGITS, unit_vectors, usable
 from quarry.session import scratch_path
 
@@ -106,12 +106,12 @@ def bucket_sizes(bk: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class LshIndex:
-    rows: DataFrame      # (tbl, bucket, idx, vec unit): one row per vector and table
+    rows: DataFrame      # (tbl, bucket, idx, vec packed): one row per vector and table
     planes: np.ndarray
     positions: list
 
 
-SCHEMA = "tbl int, bucket string, {0} long, self long, vec array<double>"
+SCHEMA = "tbl int, bucket string, {0} long, self long, vec binary"
 
 
 def probe_bits(dots: np.ndarray, pos: list[int], probes: int) -> np.ndarray:
@@ -135,7 +135,7 @@ def probe_bits(dots: np.ndarray, pos: list[int], probes: int) -> np.ndarray:
 
 
 def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str, probes: int = 1) -> DataFrame:
-    """(tbl, bucket, id, self, vec unit): one Arrow pass over (id, self, vec)."""
+    """(tbl, bucket, id, self, vec packed): one Arrow pass over (id, self, vec)."""
     P = np.asarray(planes, dtype=np.float64)
 
     def fn(batches):
@@ -146,7 +146,7 @@ def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str, probes:
             norm = np.sqrt(np.einsum("ij,ij->i", vecs, vecs))
             some = np.flatnonzero(norm > 0)
             # the signs are those of the vectors as given, the margins of unit vectors
-            unit = vecs[some] / norm[some, None]
+            packed = pack(vecs[some])
             dots = (vecs[some] @ P.T) / norm[some, None]
             for t, pos in enumerate(positions):
                 bits = probe_bits(dots, pos, probes)
@@ -155,10 +155,9 @@ def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str, probes:
                 for a in range(0, len(at), 1 << 16):
                     part = at[a:a + (1 << 16)]
                     rid = pa.array(some[part])
-                    vec = pa.ListArray.from_arrays(pa.array(np.arange(len(part) + 1, dtype=np.int32) * P.shape[1]), pa.array(unit[part].ravel()))
                     chars = bits.reshape(len(at), -1)[a:a + (1 << 16)].astype(np.uint8) + np.uint8(48)
                     yield pa.RecordBatch.from_arrays([pa.array(np.full(len(part), t), pa.int32()), _strings(chars),
-                                                      b.column(id_col).take(rid), b.column("self").take(rid), vec],
+                                                      b.column(id_col).take(rid), b.column("self").take(rid), packed.take(pa.array(part))],
                                                      names=["tbl", "bucket", id_col, "self", "vec"])
     src = rows.where(usable(F.col("vec"))).select(F.col(id_col).cast("bigint").alias(id_col), F.col("self").cast("bigint").alias("self"),
                                                   checked_dim(F.col("vec"), P.shape[1], "a vector").alias("vec"))
@@ -166,7 +165,7 @@ def _hashed(rows: DataFrame, planes: np.ndarray, positions, id_col: str, probes:
 
 
 def fit(vectors: DataFrame, planes: np.ndarray, positions, path: str | None = None) -> LshIndex:
-    """Hash every row once and write (tbl, bucket, idx, unit vector) under
+    """Hash every row once and write (tbl, bucket, idx, packed vector) under
     ``path`` (a fresh folder of the shared location by default), each task's
     rows in bucket order.  No vector is shuffled; queries read these files.
     """
@@ -185,10 +184,14 @@ def query_by_vector(index: LshIndex, queries: DataFrame, k: int = 3, block_rows:
     ``self`` is an id to leave out, or NULL.
     """
     q = _hashed(queries, index.planes, index.positions, "qid", probes)
-    wanted = q.select("tbl", "bucket").distinct()
+    # written, so that its size is known, queries are hashed for it once and no vector is shuffled to the join
+    spark, path = queries.sparkSession, scratch_path(queries.sparkSession, "lsh-wanted")
+    q.select("tbl", "bucket").distinct().write.parquet(path)
+    wanted = spark.read.schema("tbl int, bucket string").parquet(path)
     g = F.concat_ws(":", "tbl", "bucket")
     data = index.rows.join(wanted, ["tbl", "bucket"], "left_semi").select(g.alias("g"), F.col("idx").alias("id"), "vec")
-    found = search_blocks(data, q.select(g.alias("g"), F.col("qid").alias("id"), "self", "vec"), k, "dot", SIM_DIGITS, block_rows)
+    found = search_blocks(data, q.select(g.alias("g"), F.col("qid").alias("id"), "self", "vec"), k, "dot", SIM_DIGITS, block_rows,
+                          dim=np.asarray(index.planes).shape[1])
     # a pair can meet in several tables
     top = _best(found.groupBy("qid", "rid").agg(F.max("score").alias("score")), k, "dot", SIM_DIGITS)
     return top.select("qid", F.col("rank").cast("int").alias("rank"), F.col("rid").alias("idx"),
