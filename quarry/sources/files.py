@@ -6,8 +6,13 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quarry.session import scratch_path
 from quarry.sources import sinks
 
+# what opening a file counts in bytes when small files are dealt to tasks: with
+# Spark's 4 MB a task gets 32 files, and a tree of millions 100,000 tasks
+OPEN_COST = 1 << 16
+
 
 def read_tree(spark: SparkSession, root: str, glob: str | None = None) -> DataFrame:
     """(path, length, content string) for every file below ``root`` that is not
@@ -35,10 +40,14 @@ def write_tree(files: DataFrame, root: str) -> int:
         import pyarrow as pa
         from pyarrow import fs
         store, base = fs.FileSystem.from_uri(root) if "://" in root or root.startswith("file:") else (fs.LocalFileSystem(), root)
+        made = set()
         for b in batches:
             for name, content in zip(b.column("path").to_pylist(), b.column("content").cast(pa.binary()).to_pylist(), strict=True):
                 target = f"{base}/{name}"
-                store.create_dir(os.path.dirname(target), recursive=True)
+                folder = os.path.dirname(target)
+                if folder not in made:
+                    store.create_dir(folder, recursive=True)
+                    made.add(folder)
                 part = f"{target}.{uuid.uuid4().hex}.part"
                 with store.open_output_stream(part) as out:
                     out.write(content or b"")
@@ -61,16 +70,26 @@ def pack_tree(spark: SparkSession, root: str, packed: str, glob: str | None = No
     batch, named by its number, so that a call that failed can be repeated.
     Spark's file sources skip empty files."""
     have = sinks.read_appended(spark, packed, PACKED).select("path", "modified", "length")
-    newest = have.agg(F.date_format(F.max("modified") - F.expr("INTERVAL 1 SECOND"), "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
+    last = F.max("modified") - F.expr("INTERVAL 1 SECOND")
+    newest = have.agg(F.date_format(last, "yyyy-MM-dd'T'HH:mm:ss")).first()[0]
     r = spark.read.format("binaryFile").option("recursiveFileLookup", "true")
     if glob:
         r = r.option("pathGlobFilter", glob)
     if newest:
         r = r.option("modifiedAfter", newest)
+        # only these can be met again; written, so that their size is known and no content is shuffled to the join
+        path = scratch_path(spark, "packed-last")
+        have.where(F.col("modified") >= F.to_timestamp(F.lit(newest), "yyyy-MM-dd'T'HH:mm:ss")).write.parquet(path)
+        have = spark.read.schema("path string, modified timestamp, length long").parquet(path)
     files = r.load(root).select("path", F.col("modificationTime").alias("modified"), "length", "content")
     new = files.join(have, ["path", "modified", "length"], "left_anti")
     batch = f"{sinks.committed(spark, packed).count():08d}"
-    sinks.append_batch(new, packed, batch)
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", OPEN_COST)
+    try:
+        sinks.append_batch(new, packed, batch)
+    finally:
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)
     return sinks.read_appended(spark, packed, PACKED).count()
 
 
@@ -79,5 +98,10 @@ def read_packed(spark: SparkSession, packed: str) -> DataFrame:
 
     A packed table keeps files that have left the tree since."""
     rows = sinks.read_appended(spark, packed, PACKED)
-    newest = rows.groupBy("path").agg(F.max("modified").alias("modified"))
-    return rows.join(newest, ["path", "modified"], "left_semi").select("path", "length", F.col("content").cast("string").alias("content"))
+    names = rows.select("path", "modified")
+    newest = names.groupBy("path").agg(F.max("modified").alias("newest"), F.min("modified").alias("oldest")).where("newest > oldest")
+    # the superseded versions, written, so that their number is known and no content is shuffled where they are few
+    path = scratch_path(spark, "packed-older")
+    names.join(newest, "path").where("modified < newest").select("path", "modified").distinct().write.parquet(path)
+    older = spark.read.schema("path string, modified timestamp").parquet(path)
+    return rows.join(older, ["path", "modified"], "left_anti").select("path", "length", F.col("content").cast("string").alias("content"))

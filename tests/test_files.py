@@ -44,6 +44,28 @@ def test_packing_reads_only_what_changed(spark, tmp_path):
     assert not [n for _, _, names in os.walk(root) for n in names if n.endswith(".part")]
 
 
+def test_packing_deals_many_small_files_to_few_tasks(spark, tmp_path, monkeypatch):
+    # by default 32 small files were a task, and contents were shuffled to the joins with the packed names
+    root, packed = tmp_path / "tree", str(tmp_path / "packed")
+    df = spark.range(400).selectExpr("concat('s/', id, '.c') as path", "concat('int x', id, ';') as content")
+    assert files.write_tree(df.coalesce(2), f"file://{root}") == 400
+    seen = []
+    append = files.sinks.append_batch
+    monkeypatch.setattr(files.sinks, "append_batch", lambda rows, *a: (seen.append((rows.rdd.getNumPartitions(), rows._jdf.queryExecution().executedPlan().toString())), append(rows, *a))[1])
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    assert files.pack_tree(spark, f"file://{root}", packed) == 400
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == cost
+    assert seen[0][0] <= 8
+    (root / "s/3.c").write_text("later")
+    os.utime(root / "s/3.c", (time.time() + 5, time.time() + 5))
+    assert files.pack_tree(spark, f"file://{root}", packed) == 401
+    assert "SortMergeJoin" not in seen[1][1]
+    whole = files.read_packed(spark, packed)
+    assert "SortMergeJoin" not in whole._jdf.queryExecution().executedPlan().toString()
+    got = {os.path.basename(r.path): r.content for r in whole.collect()}
+    assert got == {f"{i}.c": f"int x{i};" for i in range(400)} | {"3.c": "later"}
+
+
 def test_line_numbers_follow_the_names_of_files(spark, tmp_path):
     for name, n in (("b.txt", 3), ("a.txt", 500), ("c.txt", 40)):   # Spark reads large files first
         (tmp_path / name).write_text("".join(f"{name[0]}{i}\n" for i in range(n)))
