@@ -1,3 +1,4 @@
+import os
 import random
 import re
 from collections import Counter
@@ -7,6 +8,7 @@ from conftest import SMOKE
 from llmdata import awkward, empty
 
 from quarry.llm import phrases
+from quarry.session import shared_dir
 
 
 def plain(rows, threshold, top=2000):
@@ -81,3 +83,27 @@ def test_awkward_rows_and_empty_tables(spark):
     rows = [(r.lang, r.text) for r in docs.collect()]
     assert sorted(tuple(r) for r in phrases.collocations(docs, 2, shards=1).collect()) == plain(rows, 2)
     assert phrases.collocations(empty(spark), shards=1).collect() == []
+
+
+def test_steps_read_and_keep_numbers_only(spark):
+    """The texts are taken apart once; shards and state of the steps hold no text."""
+    folder = shared_dir(spark)
+    before = set(os.listdir(folder))
+    docs = spark.createDataFrame(drawn(5), "doc_id long, lang string, text string")
+    found, _ = phrases.count_phrases(docs, 5, 2)
+    assert found.where("k > 2").count()
+    made = [x for x in set(os.listdir(folder)) - before if x.startswith(("phrases-shards", "phrases-state"))]
+    assert len(made) > 3
+    for x in made:
+        assert not [c for c, kind in spark.read.parquet(f"{folder}/{x}").dtypes if kind == "string"], x
+
+
+def test_many_dictionaries_of_a_language(spark, monkeypatch):
+    monkeypatch.setattr(phrases, "PART", 256)
+    monkeypatch.setattr(phrases, "IDS", 64)
+    monkeypatch.setattr(phrases, "PENDING", 50)
+    rows = drawn(6) + [(999, "en", "of the new york city " * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    assert sorted(tuple(r) for r in phrases.collocations(docs, 6, shards=2).collect()) == plain([r[1:] for r in rows], 6)
+    used = phrases._split(docs, 2).where("word IS NOT NULL").groupBy("lang", "word").count()
+    assert used.agg({"count": "max"}).first()[0] > 10
