@@ -54,8 +54,8 @@ TOP = 2000           # phrases reported per language
 SHARDS = 3
 BITS = 23            # of each bitmap
 PENDING = 1 << 20    # partial counts that a task adds up before it passes them on
-PART = 1 << 23       # bytes of text that a task takes at a time, with one dictionary of words
-IDS = 1 << 22        # bytes of word ids that a task counts at a time
+PART = 1 << 22       # bytes of text that a task takes at a time, with one dictionary of words
+IDS = 1 << 21        # bytes of word ids that a task counts at a time
 SLICES = 16          # parts of a language ranked on their own first
 
 # fixed values: the piece separators [.,;:!?\x0A-\x0D] and the word separators [\x20\x09]
@@ -356,11 +356,12 @@ def _scan(rows: DataFrame, step: int, shards: int, bitmaps, likely: bytes | None
                     w = [ids[at + j].astype(np.int64) if j < k else np.zeros(len(at), np.int64) for j in range(LONGEST)]
                     one = pa.table([pa.array(w[0] << 32 | w[1]), pa.array(w[2] << 32 | w[3])], names=names[:2])
                     pending += one.group_by(names[:2], use_threads=False).aggregate([([], "count_all")]).rename_columns(names).to_batches()
-            if sum(len(b) for b in pending) >= PENDING:
-                yield from added(pending)
-                pending = []
+                if sum(len(b) for b in pending) >= PENDING:
+                    yield from added(pending)
+                    pending = []
         if pending:
             yield from added(pending)
+        pa.default_memory_pool().release_unused()    # the worker lives on
 
     return rows.where(F.col("shard") == step % shards).select("ids").mapInArrow(run, "hi long, lo long, n long")
 
